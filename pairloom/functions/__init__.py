@@ -1 +1,11 @@
-"""Column functions: text, paths, naming and image arithmetic."""
+"""Text, path, naming and image functions.
+
+Each takes a SQL expression, such as a column name, and returns a SQL
+expression, for use with ``selectExpr`` and ``F.expr``. Expressions built this
+way cost one call to the JVM each, however deep they nest.
+"""
+
+
+def text_literal(text: str) -> str:
+    """SQL literal of a Python string."""
+    return "'" + "".join(c if c.isascii() and c.isalnum() else f"\\u{ord(c):04x}" for c in text) + "'"

@@ -1,32 +1,26 @@
 """Names of samples, shards and slice folders."""
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from pairloom.functions import text_literal
 from pairloom.functions.text import strip
 
 KEY_HASH_CHARS = 20
 
 
-def stem_of(file: Column) -> Column:
-    return F.regexp_replace(file, r"\.parquet$", "")
+def stem_of(file: str) -> str:
+    return rf"regexp_replace({file}, r'\.parquet$', '')"
 
 
-def sample_key(stem: Column, index: Column, prompt: Column) -> Column:
+def sample_key(stem: str, index: str, prompt: str) -> str:
     """Stem, zero-padded index and a short hash of stem, index and prompt."""
-    index = index.cast("bigint")
-    digest = F.sha2(F.concat_ws("\0", stem, index.cast("string"), prompt), 256)
-    return F.format_string("%s_%08d_%s", stem, index, F.substring(digest, 1, KEY_HASH_CHARS))
+    digest = f"sha2(concat_ws('\\u0000', {stem}, CAST({index} AS STRING), {prompt}), 256)"
+    return f"format_string('%s_%08d_%s', {stem}, {index}, left({digest}, {KEY_HASH_CHARS}))"
 
 
-def shard_name(shard_id: Column, prefix: Column | str = "") -> Column:
-    if isinstance(prefix, str):
-        prefix = F.lit(prefix)
-    prefix = strip(F.coalesce(prefix, F.lit("")))
-    body = F.format_string("shard-%05d.tar", shard_id.cast("bigint"))
-    return F.when(prefix != "", F.concat(prefix, F.lit("-"), body)).otherwise(body)
+def shard_name(shard_id: str, prefix: str = "''") -> str:
+    body = f"format_string('shard-%05d.tar', {shard_id})"
+    return f"concat_ws('-', nullif({strip(prefix)}, ''), {body})"
 
 
-def slice_layout(out: str, stem: Column) -> Column:
+def slice_layout(out: str, stem: str) -> str:
     """Folder that takes the shards of one slice."""
-    return F.concat(F.lit(out.rstrip("/") + "/"), stem, F.lit("/"))
+    return f"concat({text_literal(out.rstrip('/') + '/')}, {stem}, '/')"

@@ -1,84 +1,75 @@
-"""Path algebra as Column expressions."""
+"""Path algebra."""
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from pairloom.functions import text_literal
 from pairloom.functions.text import let, nfc, strip
 
 # Fixed values.
-TURN_PREFIX = r"(?i)^(?:singleturn|multiturn)/+"
+TURN_PREFIX = "r'(?i)^(?:singleturn|multiturn)/+'"
 MAX_TURN_PREFIXES = 4
-IMAGE_SUFFIX = r"\.(jpg|jpeg|png|webp|bmp|gif)$"
-NULL_WORDS = ("", "none", "null")
+IMAGE_SUFFIX = r"r'\.(jpg|jpeg|png|webp|bmp|gif)$'"
+NULL_WORDS = "('', 'none', 'null')"
 
 
-def normalize_path(c: Column) -> Column:
+def normalize_path(x: str) -> str:
     """Stripped, NFC, forward slashes only, no ``//``, no leading dots or slashes."""
-    t = nfc(F.translate(strip(c), "\\", "/"))
-    return F.ltrim(F.regexp_replace(t, "/{2,}", "/"), F.lit("./"))
+    text = nfc(f"translate({strip(x)}, '\\\\', '/')")
+    return f"trim(LEADING './' FROM regexp_replace({text}, '/{{2,}}', '/'))"
 
 
-def path_variants(c: Column) -> Column:
+def path_variants(x: str) -> str:
     """Spellings of one path to try, in order, without blanks or repeats."""
 
-    def spell(n: Column) -> Column:
-        out = [n, strip(c)]
-        cur = n
+    def spell(n: str) -> str:
+        out = [n, strip(x)]
         for _ in range(MAX_TURN_PREFIXES):
-            cur = F.regexp_replace(cur, TURN_PREFIX, "")
-            out.append(cur)
-        return F.array_distinct(F.filter(F.array(*out), lambda x: x != ""))
+            n = f"regexp_replace({n}, {TURN_PREFIX}, '')"
+            out.append(n)
+        return f"array_distinct(filter(array({', '.join(out)}), v -> v <> ''))"
 
-    return let(normalize_path(c), spell)
+    return let(normalize_path(x), "n", spell)
 
 
-def collapse_path(c: Column) -> Column:
+def collapse_path(x: str) -> str:
     """Drop ``.`` and empty segments; a leading slash stays."""
-    c = F.regexp_replace(c, r"/(?:\.?/)+", "/")
-    return F.regexp_replace(c, r"^\./|^\.$|/\.?$", "")
-
-
-def _climb(acc: Column, seg: Column) -> Column:
-    last = F.element_at(acc, -1)
-    can_drop = (F.size(acc) > 0) & ~F.coalesce(last, F.lit("")).isin("..", "")
-    at_root = (F.size(acc) == 1) & (last == "")
-    return (
-        F.when(seg != "..", F.array_append(acc, seg))
-        .when(can_drop, F.slice(acc, 1, F.size(acc) - 1))
-        .when(at_root, acc)
-        .otherwise(F.array_append(acc, seg))
-    )
+    return rf"regexp_replace(regexp_replace({x}, r'/(?:\.?/)+', '/'), r'^\./|^\.$|/\.?$', '')"
 
 
-def canonical_path(c: Column) -> Column:
+def canonical_path(x: str) -> str:
     """``collapse_path`` plus ``..``; a path that climbs out keeps its leading ``..``."""
-
-    def climb_out(p: Column) -> Column:
-        start = F.array().cast("array<string>")
-        walked = F.array_join(F.aggregate(F.split(p, "/"), start, _climb), "/")
-        return F.when(p.rlike(r"(^|/)\.\.(/|$)"), walked).otherwise(p)
-
-    return let(collapse_path(c), climb_out)
+    climb = """aggregate(split(q, '/'), CAST(array() AS array<string>), (done, seg) -> CASE
+        WHEN seg <> '..' THEN array_append(done, seg)
+        WHEN done = array('') THEN done
+        WHEN size(done) > 0 AND element_at(done, -1) <> '..' THEN slice(done, 1, size(done) - 1)
+        ELSE array_append(done, seg) END)"""
+    return let(
+        collapse_path(x),
+        "q",
+        lambda q: rf"CASE WHEN {q} RLIKE r'(^|/)\.\.(/|$)' THEN array_join({climb}, '/') ELSE {q} END",
+    )
 
 
-def dir_name(c: Column) -> Column:
+def dir_name(x: str) -> str:
     """Everything up to and including the last slash."""
-    return F.regexp_extract(c, r"^(.*/)?", 0)
+    return f"left({x}, length({x}) - length({base_name(x)}))"
 
 
-def base_name(c: Column) -> Column:
-    return F.substring_index(c, "/", -1)
+def base_name(x: str) -> str:
+    return f"substring_index({x}, '/', -1)"
 
 
-def substitute_paths(c: Column, rules: Sequence[tuple[str, str]]) -> Column:
+def substitute_paths(x: str, rules: Sequence[tuple[str, str]]) -> str:
     """Apply (old, new) rules in order, each to its first occurrence only."""
     for old, new in rules:
         if old and new:
-            at = F.instr(c, F.lit(old))
-            c = F.when(at > 0, F.overlay(c, F.lit(new), at, F.lit(len(old)))).otherwise(c)
-    return c
+            find, put = text_literal(old), text_literal(new)
+            x = let(
+                x,
+                "s",
+                lambda s: f"IF(contains({s}, {find}), overlay({s} PLACING {put} FROM instr({s}, {find}) FOR {len(old)}), {s})",
+            )
+    return x
 
 
 def parse_rules(items: Sequence[str]) -> list[tuple[str, str]]:
@@ -92,29 +83,25 @@ def parse_rules(items: Sequence[str]) -> list[tuple[str, str]]:
     return rules
 
 
-def prepend_subdir(c: Column, subdir: Column | str) -> Column:
-    """Put bare file names under ``subdir``; ``./a`` counts as bare."""
-    if isinstance(subdir, str):
-        subdir = F.lit(subdir)
-    subdir = strip(F.coalesce(subdir, F.lit("")))
-    bare = collapse_path(strip(c))
-    joined = F.concat_ws("/", F.nullif(collapse_path(subdir), F.lit("")), F.nullif(bare, F.lit("")))
-    return F.when((subdir != "") & ~bare.contains("/"), joined).otherwise(c)
+def prepend_subdir(x: str, subdir: str) -> str:
+    """Put bare file names under ``subdir``, an expression; ``./a`` counts as bare."""
+    folder = collapse_path(strip(subdir))
+    bare = collapse_path(strip(x))
+    joined = f"concat_ws('/', nullif({folder}, ''), nullif({bare}, ''))"
+    return f"CASE WHEN {strip(subdir)} <> '' AND NOT contains({bare}, '/') THEN {joined} ELSE {x} END"
 
 
-def root_prefix(c: Column) -> Column:
-    return F.split_part(F.btrim(c, F.lit("/")), F.lit("/"), F.lit(1))
+def root_prefix(x: str) -> str:
+    return f"split_part(btrim({x}, '/'), '/', 1)"
 
 
-def is_basename_only(c: Column) -> Column:
-    s = F.btrim(c, F.lit("/"))
-    return ~s.contains("/") & F.lower(s).rlike(IMAGE_SUFFIX)
+def is_basename_only(x: str) -> str:
+    return f"(NOT contains(btrim({x}, '/'), '/') AND lower(btrim({x}, '/')) RLIKE {IMAGE_SUFFIX})"
 
 
-def null_path(c: Column) -> Column:
+def null_path(x: str) -> str:
     """Stripped path, or null where it is blank or spells none/null."""
-    s = strip(c)
-    return F.when(~F.lower(s).isin(*NULL_WORDS), s)
+    return f"CASE WHEN lower({strip(x)}) NOT IN {NULL_WORDS} THEN {strip(x)} END"
 
 
 def glob_to_regex(pattern: str) -> str:

@@ -1,37 +1,38 @@
-"""Unicode text helpers that stay on the JVM.
+"""Unicode text functions that stay on the JVM.
 
 Spark SQL has no NFC and no full case folding, but it ships ICU and can call
 static methods by name. The calls sit behind a test for non-ASCII text, so
 plain paths never pay for them.
 """
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Callable
+
+from pairloom.functions import text_literal
 
 # Every character Python's str.strip() removes; Spark's trim() knows only the space.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
-def strip(c: Column) -> Column:
-    return F.btrim(c, F.lit(WHITESPACE))
+def strip(x: str) -> str:
+    return f"btrim({x}, {text_literal(WHITESPACE)})"
 
 
-def _is_wide(c: Column) -> Column:
-    return F.octet_length(c) != F.char_length(c)
+def _icu(x: str, method: str, flag: str, plain: str) -> str:
+    owner, _, name = method.rpartition(".")
+    wide = f"octet_length({x}) <> char_length({x})"
+    return f"CASE WHEN {wide} THEN reflect('com.ibm.icu.{owner}', '{name}', {x}, {flag}) ELSE {plain} END"
 
 
-def nfc(c: Column) -> Column:
+def nfc(x: str) -> str:
     """Unicode normal form C."""
-    composed = F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(False))
-    return F.when(_is_wide(c), composed).otherwise(c)
+    return _icu(x, "text.Normalizer.compose", "false", x)
 
 
-def casefold(c: Column) -> Column:
+def casefold(x: str) -> str:
     """Full Unicode case folding: 'ß' becomes 'ss', which lower() does not do."""
-    folded = F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), c, F.lit(True))
-    return F.when(_is_wide(c), folded).otherwise(F.lower(c))
+    return _icu(x, "lang.UCharacter.foldCase", "true", f"lower({x})")
 
 
-def let(c: Column, body) -> Column:
-    """Evaluate ``c`` once and use it several times in ``body``."""
-    return F.transform(F.array(c), body)[0]
+def let(x: str, name: str, body: Callable[[str], str]) -> str:
+    """Evaluate ``x`` once and use it several times in ``body``."""
+    return f"transform(array({x}), {name} -> {body(name)})[0]"

@@ -22,24 +22,23 @@ def audited_pairs(
         reference_paths(pairs), manifest, settings.pair_dir, locate=False
     ).withColumn("ok", F.lit(True))
     both = resolve_pairs(pairs, known)
-    return both.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(False)) for c in ("input_ok", "output_ok")}
-    )
+    flags = [f"coalesce({s}_ok, false) AS {s}_ok" for s in ("input", "output")]
+    return both.selectExpr(*[c for c in both.columns if not c.endswith("_ok")], *flags)
 
 
 def audit_stats(rows: DataFrame, audited: DataFrame) -> DataFrame:
     """Per file: rows, strict pairs, pairs with both files, broken pairs, resolve rate."""
     totals = rows.groupBy("file").agg(F.count("*").alias("rows"))
-    ok = F.col("input_ok") & F.col("output_ok")
     pairs = audited.groupBy("file").agg(
-        F.count("*").alias("strict_pairs"), F.count_if(ok).alias("both_exist")
+        F.count("*").alias("pairs"), F.expr("count_if(input_ok AND output_ok)").alias("both")
     )
-    zero = F.lit(0).cast("bigint")
-    return (
-        totals.join(pairs, "file", "left")
-        .withColumns({c: F.coalesce(F.col(c), zero) for c in ("strict_pairs", "both_exist")})
-        .withColumn("broken_pairs", F.col("strict_pairs") - F.col("both_exist"))
-        .withColumn("resolve_rate", F.try_divide("both_exist", "strict_pairs"))
+    counts = totals.join(pairs, "file", "left").selectExpr(
+        "file", "rows", "coalesce(pairs, 0) AS strict_pairs", "coalesce(both, 0) AS both_exist"
+    )
+    return counts.selectExpr(
+        "*",
+        "strict_pairs - both_exist AS broken_pairs",
+        "try_divide(both_exist, strict_pairs) AS resolve_rate",
     )
 
 
@@ -47,22 +46,18 @@ def audit_examples(
     audited: DataFrame, settings: PathSettings = PathSettings(), limit: int = MAX_EXAMPLES
 ) -> DataFrame:
     """The first broken pairs of each file, with the side that is missing."""
-    stem = stem_of(F.col("file"))
-    reason = (
-        F.when(~F.col("input_ok") & ~F.col("output_ok"), "missing_both")
-        .when(~F.col("input_ok"), "missing_input")
-        .otherwise("missing_output")
-    )
     first = W.partitionBy("file").orderBy("part", "row_index", "turn_pos")
+    shown = {s: prepend_subdir(f"{s}_path", settings.subdir(stem_of("file"))) for s in ("input", "output")}
     return (
-        audited.filter(~(F.col("input_ok") & F.col("output_ok")))
+        audited.filter("NOT (input_ok AND output_ok)")
         .withColumn("nth", F.row_number().over(first))
         .filter(F.col("nth") <= limit)
-        .select(
+        .selectExpr(
             "file",
             "nth",
-            prepend_subdir(F.col("input_path"), settings.subdir(stem)).alias("input"),
-            prepend_subdir(F.col("output_path"), settings.subdir(stem)).alias("output"),
-            reason.alias("reason"),
+            f"{shown['input']} AS input",
+            f"{shown['output']} AS output",
+            """CASE WHEN NOT input_ok AND NOT output_ok THEN 'missing_both'
+               WHEN NOT input_ok THEN 'missing_input' ELSE 'missing_output' END AS reason""",
         )
     )

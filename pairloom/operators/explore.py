@@ -8,26 +8,21 @@ from pairloom.functions.paths import is_basename_only, root_prefix
 
 def explore_stats(rows: DataFrame) -> DataFrame:
     """Per file: rows, strict pairs, rows without and with several pairs."""
-    n = F.size("pairs")
-    bare = F.exists(
-        "pairs", lambda p: is_basename_only(p["input_path"]) | is_basename_only(p["output_path"])
-    )
+    bare = f"{is_basename_only('p.input_path')} OR {is_basename_only('p.output_path')}"
     return rows.groupBy("file").agg(
         F.count("*").alias("rows_total"),
-        F.sum(n).alias("strict_pairs"),
-        F.count_if(n == 0).alias("rows_without_pairs"),
-        F.count_if(n > 1).alias("rows_with_many_pairs"),
-        F.bool_or(bare).alias("has_basename_only"),
+        F.expr("sum(size(pairs))").alias("strict_pairs"),
+        F.expr("count_if(size(pairs) = 0)").alias("rows_without_pairs"),
+        F.expr("count_if(size(pairs) > 1)").alias("rows_with_many_pairs"),
+        F.expr(f"bool_or(exists(pairs, p -> {bare}))").alias("has_basename_only"),
     )
 
 
 def root_histogram(rows: DataFrame) -> DataFrame:
     """Per file: how often each path root occurs, inputs and outputs together."""
-    roots = F.flatten(
-        F.transform("pairs", lambda p: F.array(root_prefix(p["input_path"]), root_prefix(p["output_path"])))
-    )
+    both = f"array({root_prefix('p.input_path')}, {root_prefix('p.output_path')})"
     return (
-        rows.select("file", F.explode(roots).alias("root"))
+        rows.selectExpr("file", f"explode(flatten(transform(pairs, p -> {both}))) AS root")
         .filter("root <> ''")
         .groupBy("file", "root")
         .agg(F.count("*").alias("paths"))
@@ -42,31 +37,23 @@ def missing_roots(histogram: DataFrame, listing: DataFrame) -> DataFrame:
     cut into pieces of the lengths these roots have, which turns the substring
     test into an equi-join as well: no root is compared with every path.
     """
-    roots = histogram.select("root").distinct().filter(~is_basename_only(F.col("root")))
-    segments = listing.select(F.explode(F.split("path", "/")).alias("segment")).distinct()
+    roots = histogram.select("root").distinct().filter(f"NOT {is_basename_only('root')}")
+    segments = listing.selectExpr("explode(split(path, '/')) AS segment").distinct()
     unmatched = roots.join(segments, F.col("root") == F.col("segment"), "left_anti")
     # One value per distinct root length, so the array stays small however many roots there are.
-    lengths = unmatched.agg(F.collect_set(F.char_length("root")).alias("ls")).scalar()
-
-    def cut(length):
-        starts = F.sequence(F.lit(1), F.char_length("segment") - length + 1)
-        pieces = F.transform(starts, lambda at: F.substring(F.col("segment"), at, length))
-        return F.when(F.char_length("segment") > length, pieces).otherwise(F.array().cast("array<string>"))
-
-    pieces = (
-        segments.withColumn("ls", lengths)
-        .select(F.explode(F.flatten(F.transform("ls", cut))).alias("piece"))
-        .distinct()
-    )
+    lengths = unmatched.agg(F.expr("collect_set(char_length(root))")).scalar()
+    cut = """explode(flatten(transform(filter(lengths, n -> n < char_length(segment)),
+        n -> transform(sequence(1, char_length(segment) - n + 1), at -> substring(segment, at, n)))))"""
+    pieces = segments.withColumn("lengths", lengths).selectExpr(f"{cut} AS piece").distinct()
     missing = unmatched.join(pieces, F.col("root") == F.col("piece"), "left_anti")
     return histogram.join(missing, "root", "left_semi").select("file", "root", "paths")
 
 
 def explore_totals(stats: DataFrame, files: DataFrame) -> DataFrame:
     """Files, rows and strict pairs; files of unknown layout count as files only."""
-    n_files = files.select("file").distinct().agg(F.count("*").alias("files"))
+    n_files = files.select("file").distinct().agg(F.count("*")).scalar()
     sums = stats.agg(
-        F.coalesce(F.sum("rows_total"), F.lit(0)).alias("rows_total"),
-        F.coalesce(F.sum("strict_pairs"), F.lit(0)).alias("strict_pairs"),
+        F.expr("coalesce(sum(rows_total), 0)").alias("rows_total"),
+        F.expr("coalesce(sum(strict_pairs), 0)").alias("strict_pairs"),
     )
-    return sums.withColumn("files", n_files.scalar())
+    return sums.withColumn("files", n_files)

@@ -4,8 +4,7 @@ A row keeps its pairs as one array column. Row-level counts read the size of
 that array, so nothing is exploded or joined before pairs are needed.
 """
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from pairloom.functions.text import strip
@@ -16,126 +15,105 @@ INPUT, OUTPUT, PROMPT, TURNS = "input_images", "output_images", "prompt", "data"
 PAIR = "struct<turn_pos:int,input_path:string,output_path:string,prompt:string>"
 KEYS = ["file", "part", "row_index"]
 
+# Layouts with embedded images are recognised but give no pairs.
+NO_PAIRS = f"CAST(array() AS array<{PAIR}>)"
+NO_PATHS = "CAST(array() AS array<string>)"
 
-def _none() -> Column:
-    return F.array().cast("array<string>")
 
+def _kept(paths: str) -> str:
+    return f"filter({paths}, p -> p <> '')"
 
-def _kept(paths: Column) -> Column:
-    return F.filter(paths, lambda p: p.isNotNull() & (p != ""))
 
-
-def flatten_paths(c: Column, dtype: T.DataType) -> Column:
+def flatten_paths(x: str, dtype: T.DataType, depth: int = 0) -> str:
     """All non-blank strings of a nested list, stripped, in order."""
     if isinstance(dtype, T.StringType):
-        return _kept(F.array(strip(c)))
+        return _kept(f"array({strip(x)})")
     if not isinstance(dtype, T.ArrayType):
-        return _none()
-    c = F.coalesce(c, F.array().cast(dtype))
+        return NO_PATHS
+    item = f"e{depth}"
+    x = f"coalesce({x}, CAST(array() AS {dtype.simpleString()}))"
     if isinstance(dtype.elementType, T.StringType):
-        return _kept(F.transform(c, strip))
-    return F.flatten(F.transform(c, lambda x: flatten_paths(x, dtype.elementType)))
+        return _kept(f"transform({x}, {item} -> {strip(item)})")
+    return f"flatten(transform({x}, {item} -> {flatten_paths(item, dtype.elementType, depth + 1)}))"
 
 
-def clean_prompt(c: Column) -> Column:
+def clean_prompt(x: str) -> str:
     """Stripped prompt; a missing one becomes empty, and empty ones are kept."""
-    return strip(F.coalesce(c.cast("string"), F.lit("")))
+    return strip(f"coalesce(CAST({x} AS STRING), '')")
 
 
-def _strict(found: Column) -> Column:
+def _strict(found: str) -> str:
     """Keep the candidates with exactly one path on each side."""
-    single = F.filter(found, lambda x: (F.size(x["ins"]) == 1) & (F.size(x["outs"]) == 1))
-    return F.transform(
-        single,
-        lambda x: F.struct(
-            x["pos"].alias("turn_pos"),
-            x["ins"][0].alias("input_path"),
-            x["outs"][0].alias("output_path"),
-            x["prompt"].alias("prompt"),
-        ),
-    ).cast(f"array<{PAIR}>")
-
-
-def _one(ins: Column, outs: Column, prompt: Column) -> Column:
-    return _strict(
-        F.array(
-            F.struct(F.lit(0).alias("pos"), ins.alias("ins"), outs.alias("outs"), prompt.alias("prompt"))
-        )
-    )
+    return f"""transform(filter({found}, x -> size(x.ins) = 1 AND size(x.outs) = 1),
+        x -> struct(x.pos AS turn_pos, x.ins[0] AS input_path, x.outs[0] AS output_path, x.prompt AS prompt))"""
+
+
+def _one(ins: str, outs: str, prompt: str) -> str:
+    return _strict(f"array(struct(0 AS pos, {ins} AS ins, {outs} AS outs, {prompt} AS prompt))")
 
 
-def _text(schema: T.StructType, text_col: str | None) -> Column:
-    return clean_prompt(F.col(text_col) if text_col in schema.names else F.lit(None))
+def _text(schema: T.StructType, text_col: str | None) -> str:
+    return clean_prompt(f"`{text_col}`" if text_col in schema.names else "NULL")
 
 
 def pairs_from_lists(
     schema: T.StructType, input_col: str = INPUT, output_col: str = OUTPUT, text_col: str | None = PROMPT
-) -> Column:
+) -> str:
     """List layout: one top-level slot per side that holds exactly one path."""
 
-    def side(name: str) -> Column:
+    def side(name: str) -> str:
         dtype = schema[name].dataType
-        paths = flatten_paths(F.col(name), dtype)
+        paths = flatten_paths(f"`{name}`", dtype)
         if isinstance(dtype, T.ArrayType):
-            paths = F.when(F.size(name) == 1, paths).otherwise(_none())
+            paths = f"IF(size(`{name}`) = 1, {paths}, {NO_PATHS})"
         return paths
 
     return _one(side(input_col), side(output_col), _text(schema, text_col))
 
 
-def pairs_from_turns(schema: T.StructType, turns_col: str = TURNS) -> Column:
+def pairs_from_turns(schema: T.StructType, turns_col: str = TURNS) -> str:
     """Multi-turn layout: every turn with one path on each side is a pair."""
     dtype = schema[turns_col].dataType
     if not (isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType)):
-        return F.array().cast(f"array<{PAIR}>")
+        return NO_PAIRS
     turn = dtype.elementType
 
-    def side(t: Column, name: str) -> Column:
-        return flatten_paths(t[name], turn[name].dataType) if name in turn.names else _none()
+    def side(name: str) -> str:
+        return flatten_paths(f"t.{name}", turn[name].dataType) if name in turn.names else NO_PATHS
 
-    def read(t: Column, pos: Column) -> Column:
-        prompt = t[PROMPT] if PROMPT in turn.names else F.lit(None)
-        return F.struct(
-            pos.alias("pos"),
-            side(t, INPUT).alias("ins"),
-            side(t, OUTPUT).alias("outs"),
-            clean_prompt(prompt).alias("prompt"),
-        )
-
-    return _strict(F.transform(F.coalesce(F.col(turns_col), F.array().cast(dtype)), read))
+    prompt = clean_prompt(f"t.{PROMPT}" if PROMPT in turn.names else "NULL")
+    turns = f"coalesce(`{turns_col}`, CAST(array() AS {dtype.simpleString()}))"
+    return _strict(
+        f"transform({turns}, (t, i) -> struct(i AS pos, {side(INPUT)} AS ins, {side(OUTPUT)} AS outs, {prompt} AS prompt))"
+    )
 
 
 def pairs_from_columns(
     schema: T.StructType, input_col: str, output_col: str, text_col: str | None = None
-) -> Column:
+) -> str:
     """Plain layout: a scalar path, or a list that holds exactly one."""
 
-    def side(name: str) -> Column:
+    def side(name: str) -> str:
         dtype = schema[name].dataType
         if isinstance(dtype, T.ArrayType):
-            return flatten_paths(F.col(name), dtype)
-        return flatten_paths(F.col(name).cast("string"), T.StringType())
+            return flatten_paths(f"`{name}`", dtype)
+        return flatten_paths(f"CAST(`{name}` AS STRING)", T.StringType())
 
     return _one(side(input_col), side(output_col), _text(schema, text_col))
 
 
-def no_pairs() -> Column:
-    """Layouts with embedded images are recognised but give no pairs."""
-    return F.array().cast(f"array<{PAIR}>")
-
-
 def layout_pairs(
     schema: T.StructType, layout: str, input_col: str | None, output_col: str | None, text_col: str | None
-) -> Column:
+) -> str:
     if layout == "multiturn":
         return pairs_from_turns(schema)
     if layout == "lists":
         return pairs_from_lists(schema, input_col, output_col, text_col or PROMPT)
     if layout == "path":
         return pairs_from_columns(schema, input_col, output_col, text_col or PROMPT)
-    return no_pairs()
+    return NO_PAIRS
 
 
 def emit_pairs(rows: DataFrame) -> DataFrame:
     """One row per strict pair."""
-    return rows.select(*KEYS, F.inline("pairs"))
+    return rows.selectExpr(*KEYS, "inline(pairs)")

@@ -16,15 +16,15 @@ the winner matters, ``locate`` looks up the exact name first and uses ``lo``
 only if there is none.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.paths import base_name, canonical_path, collapse_path, dir_name, path_variants
-from pairloom.functions.text import casefold, let
+from pairloom.functions.text import casefold
 
 # Folders tried after the root itself, and the task folders of the last resort.
 SINGLE, MULTI = "Singleturn", "Multiturn"
-TASK = r"^Singleturn/(results_[^/]*)/([^/]+/[^/]+)$"
+TASK = "r'^Singleturn/(results_[^/]*)/([^/]+/[^/]+)$'"
 PAIR_DIR = "Parquet"
 
 # Places in the order they are tried for one spelling; the bare repeat has no PAIR_DIR.
@@ -36,41 +36,32 @@ DIRECT, SIBLING = 0, 1
 
 def _folded(df: DataFrame) -> DataFrame:
     """Replace ``path`` by its lookup key and the file name as spelled."""
-    return (
-        df.withColumn("want", base_name(F.col("path")))
-        .withColumn("fold", casefold(F.col("want")))
-        .withColumn("key", F.concat(dir_name(F.col("path")), F.col("fold")))
-        .drop("fold")
-    )
+    rest = [c for c in df.columns if c != "path"]
+    named = df.selectExpr(*rest, f"{dir_name('path')} AS dir", f"{base_name('path')} AS want")
+    folded = named.selectExpr(*rest, "dir", "want", f"{casefold('want')} AS fold")
+    return folded.selectExpr(*rest, "want", "concat(dir, fold) AS key")
+
+
+def _folders(pair_dir: str) -> list[tuple[int, str]]:
+    pairs = "/".join(s for s in pair_dir.split("/") if s not in ("", "."))
+    return [(p, f) for p, f in ((IN_SINGLE, SINGLE), (IN_MULTI, MULTI), (IN_PAIRS, pairs)) if f]
 
 
 def file_index(manifest: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True) -> DataFrame:
     """Manifest keyed by every path under which a reference may name a file."""
     extra = [c for c in manifest.columns if c != "path"]
-    path = F.col("path")
-    folders = [(p, f) for p, f in _folders(pair_dir) if f]
-
-    def entry(kind, place, key, task):
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            F.lit(place).alias("place"),
-            key.alias("path"),
-            task.alias("task"),
-        )
 
-    none = F.lit(None).cast("string")
-    entries = [entry(DIRECT, ROOT, path, none)]
-    for place, folder in folders:
-        inside = F.substring(path, len(folder) + 2, 2**31 - 1)
-        entries.append(F.when(path.startswith(folder + "/"), entry(DIRECT, place, inside, none)))
+    def entry(kind, place, path, task="CAST(NULL AS STRING)"):
+        return f"struct({kind} AS kind, {place} AS place, {path} AS path, {task} AS task)"
+
+    entries = [entry(DIRECT, ROOT, "path")]
+    for place, name in _folders(pair_dir):
+        inside = entry(DIRECT, place, f"substring(path, {len(name) + 2})")
+        entries.append(f"IF(startswith(path, '{name}/'), {inside}, NULL)")
     if sibling:
-        tail = F.regexp_extract("path", TASK, 2)
-        entries.append(
-            F.when(path.rlike(TASK), entry(SIBLING, ROOT, tail, F.regexp_extract("path", TASK, 1)))
-        )
-    keyed = manifest.withColumn("at", F.explode(F.array_compact(F.array(*entries)))).select(
-        "at.*", *extra
-    )
+        task, tail = (f"regexp_extract(path, {TASK}, {i})" for i in (1, 2))
+        entries.append(f"IF(path RLIKE {TASK}, {entry(SIBLING, ROOT, tail, task)}, NULL)")
+    keyed = manifest.selectExpr(*extra, f"inline(array_compact(array({', '.join(entries)})))")
     return (
         _folded(keyed)
         .groupBy("kind", "key", "place")
@@ -80,112 +71,64 @@ def file_index(manifest: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = Tr
             F.max("task").alias("last_task"),
         )
         # A sibling counts only if exactly one task folder has it.
-        .filter("kind = 0 or task = last_task")
+        .filter(f"kind = {DIRECT} OR task = last_task")
         .drop("last_task")
     )
 
 
-def _folders(pair_dir: str) -> list[tuple[int, str]]:
-    pairs = "/".join(s for s in pair_dir.split("/") if s not in ("", "."))
-    return [(IN_SINGLE, SINGLE), (IN_MULTI, MULTI), (IN_PAIRS, pairs)]
-
-
-def _first_of_each(entries: Column) -> Column:
-    """Drop entries whose path came earlier; at a later rank it can never win."""
-
-    def keep(all_: Column) -> Column:
-        paths = F.transform(all_, lambda x: x["path"])
-        return F.filter(all_, lambda x, i: F.array_position(paths, x["path"]) == i + 1)
-
-    return let(entries, keep)
-
-
-def _outside(path: Column) -> Column:
-    return path.startswith("../") | path.isin("..", "")
-
-
 def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True) -> DataFrame:
     """Lookup rows of each distinct reference, ranked in the order of trial."""
 
-    def entry(kind, path, base, places):
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            path.alias("path"),
-            base.cast("int").alias("base"),
-            F.lit(places).alias("places"),
-        )
-
-    # Each spelling, and the same without leading dots, with its first rank.
-    spell = F.transform(
-        F.col("variants"),
-        lambda v, j: F.struct(
-            canonical_path(v).alias("path"),
-            canonical_path(F.ltrim(v, F.lit("./"))).alias("bare"),
-            F.substring_index(collapse_path(v), "/", -2).alias("tail"),
-            j.alias("nth"),
-        ),
-    )
+    def spelled(v: str) -> str:
+        bare = canonical_path(f"trim(LEADING './' FROM {v})")
+        tail = f"substring_index({collapse_path(v)}, '/', -2)"
+        return f"struct({canonical_path(v)} AS path, {bare} AS bare, {tail} AS tail)"
 
-    def lookups(s: Column) -> Column:
-        first = lambda x: x["nth"] * PER_SPELLING
-        plain = F.transform(s, lambda x: entry(DIRECT, x["path"], first(x), 4))
-        bare = F.transform(
-            F.filter(s, lambda x: x["bare"] != x["path"]),
-            lambda x: entry(DIRECT, x["bare"], first(x) + 4, 3),
-        )
+    def entry(kind, path, base, places):
+        return f"struct({kind} AS kind, {path} AS path, {base} AS base, {places} AS places)"
+
+    as_is = f"struct({canonical_path('ref')} AS path, {canonical_path('ref')} AS bare, '' AS tail)"
+    first = f"nth * {PER_SPELLING}"
+    entries = [
+        entry(DIRECT, "s.path", first, 4),
+        # The repeat without leading dots is not tried next to the pair files.
+        f"IF(s.bare <> s.path, {entry(DIRECT, 's.bare', f'{first} + 4', 3)}, NULL)",
+    ]
+    for place, name in _folders(pair_dir):
         # A spelling that climbs out of the root may come back in under a folder.
-        back_in = F.flatten(
-            F.transform(
-                F.filter(s, lambda x: x["path"].startswith("../")),
-                lambda x: F.array(
-                    *[
-                        entry(DIRECT, canonical_path(F.concat(F.lit(f + "/"), x["path"])), first(x) + at, 1)
-                        for at, f in _folders(pair_dir)
-                    ]
-                ),
-            )
-        )
-        found = [_first_of_each(plain), bare, back_in]
-        if sibling:
-            tails = F.transform(s, lambda x: entry(SIBLING, x["tail"], x["nth"] + SIBLING_BASE, 1))
-            found.append(
-                F.filter(
-                    _first_of_each(tails),
-                    lambda x: x["path"].contains("/") & ~x["path"].rlike(r"(^|/)\.\.(/|$)"),
-                )
-            )
-        return F.filter(F.concat(*found), lambda x: ~_outside(x["path"]))
-
-    as_is = F.array(entry(DIRECT, canonical_path(F.col("ref")), F.lit(0), 1))
+        back_in = entry(DIRECT, canonical_path(f"concat('{name}/', s.path)"), f"{first} + {place}", 1)
+        entries.append(f"IF(startswith(s.path, '../'), {back_in}, NULL)")
+    if sibling:
+        usable = r"contains(s.tail, '/') AND NOT s.tail RLIKE r'(^|/)\.\.(/|$)' AND (nth = 0 OR s.tail <> tail)"
+        entries.append(f"IF({usable}, {entry(SIBLING, 's.tail', f'nth + {SIBLING_BASE}', 1)}, NULL)")
+    inside = "x IS NOT NULL AND x.path NOT IN ('', '..') AND NOT startswith(x.path, '../')"
     rows = (
-        refs.withColumn("variants", path_variants(F.col("ref")))
-        .withColumn(
-            "at", F.when(F.col("ref").startswith("/"), as_is).otherwise(let(spell, lookups))
+        refs.selectExpr("ref", f"{path_variants('ref')} AS variants")
+        # Spellings that come to the same are tried once.
+        .selectExpr(
+            "ref",
+            f"IF(startswith(ref, '/'), array({as_is}), array_distinct(transform(variants, v -> {spelled('v')}))) AS s",
         )
-        .select("ref", F.explode("at").alias("at"))
-        .select("ref", "at.*")
+        .selectExpr("ref", "s[0].tail AS tail", "posexplode(s) AS (nth, s)")
+        .selectExpr("ref", f"inline(filter(array({', '.join(entries)}), x -> {inside}))")
     )
-    return _folded(rows).drop("path")
+    return _folded(rows)
 
 
 def match_lookups(lookups: DataFrame, index: DataFrame, pair_dir: str = PAIR_DIR) -> DataFrame:
     """First hit per reference, with the exact and the smallest folded spelling."""
+    folder = " ".join(f"WHEN place = {p} THEN '{f}/'" for p, f in _folders(pair_dir))
+    sibling = f"WHEN kind = {SIBLING} THEN concat('{SINGLE}/', task, '/')"
+    parent = f"concat(CASE {sibling} {folder} ELSE '' END, left(key, length(key) - length({base_name('key')})))"
     hits = lookups.join(index, ["kind", "key"]).filter("place < places")
-    folder = F.when(
-        F.col("kind") == SIBLING, F.concat(F.lit(SINGLE + "/"), F.col("task"), F.lit("/"))
-    )
-    for place, name in _folders(pair_dir):
-        folder = folder.when(F.col("place") == place, name + "/")
-    parent = F.concat(folder.otherwise(""), dir_name(F.col("key")))
-    return hits.groupBy("ref").agg(
-        F.min(
-            F.struct(
-                (F.col("base") + F.col("place")).alias("rank"),
-                F.concat(parent, F.col("want")).alias("exact"),
-                F.concat(parent, F.col("lo.want")).alias("path"),
-                F.col("lo"),
-            )
-        ).alias("hit")
+    return (
+        hits.selectExpr("ref", "base + place AS rank", f"{parent} AS parent", "want", "lo")
+        .selectExpr(
+            "ref",
+            "struct(rank, concat(parent, want) AS exact, concat(parent, lo.want) AS path, lo) AS hit",
+        )
+        .groupBy("ref")
+        .agg(F.min("hit").alias("hit"))
     )
 
 
@@ -201,7 +144,7 @@ def resolve_paths(
     With ``locate`` the result carries the spelling on disk and the other
     manifest columns; without, only the fact that the reference resolves.
     """
-    refs = refs.select("ref").filter("ref is not null").distinct()
+    refs = refs.filter("ref IS NOT NULL").select("ref").distinct()
     if not locate:
         manifest = manifest.select("path")
     extra = [c for c in manifest.columns if c != "path"]
@@ -209,25 +152,23 @@ def resolve_paths(
     hits = match_lookups(path_lookups(refs, pair_dir, sibling), index, pair_dir)
     if not locate:
         return hits.select("ref")
-    on_disk = manifest.select(
-        F.col("path").alias("exact"), F.struct(F.lit(True).alias("found"), *extra).alias("here")
-    ).dropDuplicates(["exact"])
-    found = F.col("here.found").isNotNull()
+    here = ", ".join(["true AS found", *extra])
+    on_disk = manifest.selectExpr("path AS exact", f"struct({here}) AS here").dropDuplicates(["exact"])
     return (
         hits.select("ref", "hit.*")
         .join(on_disk, "exact", "left")
-        .select(
+        .selectExpr(
             "ref",
             "rank",
-            F.when(found, F.col("exact")).otherwise(F.col("path")).alias("path"),
-            *[F.when(found, F.col(f"here.{c}")).otherwise(F.col(f"lo.{c}")).alias(c) for c in extra],
+            "IF(here.found, exact, path) AS path",
+            *[f"IF(here.found, here.{c}, lo.{c}) AS {c}" for c in extra],
         )
     )
 
 
 def reference_paths(pairs: DataFrame) -> DataFrame:
     """Distinct references of both sides of all pairs."""
-    return pairs.select(F.explode(F.array("input_ref", "output_ref")).alias("ref")).distinct()
+    return pairs.selectExpr("explode(array(input_ref, output_ref)) AS ref").filter("ref IS NOT NULL").distinct()
 
 
 def attach_side(pairs: DataFrame, known: DataFrame, side: str) -> DataFrame:
@@ -236,16 +177,12 @@ def attach_side(pairs: DataFrame, known: DataFrame, side: str) -> DataFrame:
     Null references would all meet in one task, so each gets a key of its own
     that matches nothing.
     """
-    apart = F.concat(F.lit("\0"), F.xxhash64("file", "part", "row_index", "turn_pos").cast("string"))
-    right = known.select(
-        F.col("ref").alias("_key"),
-        *[F.col(c).alias(f"{side}_{c}") for c in known.columns if c != "ref"],
-    )
-    return (
-        pairs.withColumn("_key", F.coalesce(F.col(f"{side}_ref"), apart))
-        .join(right, "_key", "left")
-        .drop("_key")
+    apart = "concat('\\u0000', xxhash64(file, part, row_index, turn_pos))"
+    right = known.selectExpr(
+        "ref AS _key", *[f"{c} AS {side}_{c}" for c in known.columns if c != "ref"]
     )
+    keyed = pairs.selectExpr("*", f"coalesce({side}_ref, {apart}) AS _key")
+    return keyed.join(right, "_key", "left").drop("_key")
 
 
 def resolve_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -255,4 +192,5 @@ def resolve_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 def file_manifest(listing: DataFrame) -> DataFrame:
     """Listed files under canonical relative paths."""
-    return listing.withColumn("path", canonical_path(F.col("path"))).filter("path <> ''")
+    rest = [c for c in listing.columns if c != "path"]
+    return listing.selectExpr(f"{canonical_path('path')} AS path", *rest).filter("path <> ''")

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from pairloom.functions import text_literal
 from pairloom.functions.naming import sample_key, shard_name, stem_of
 from pairloom.runtime import stage
 
@@ -21,31 +22,29 @@ KEPT, MISSING, BAD = "kept", "missing_file", "bad_image"
 def build_status(pairs: DataFrame) -> DataFrame:
     """First reason, in order, that keeps a pair out: no file, no bytes, no image.
 
-    Needs ``<side>_path_found``, ``<side>_size`` and ``<side>_valid``.
+    Needs the size and validity of both sides, null where a file is missing.
     """
-    usable = [F.coalesce(F.col(f"{s}_size"), F.lit(0)) > 0 for s in ("input", "output")]
-    valid = [F.coalesce(F.col(f"{s}_valid"), F.lit(False)) for s in ("input", "output")]
-    return pairs.withColumn(
-        "status",
-        F.when(~(usable[0] & usable[1]), MISSING).when(~(valid[0] & valid[1]), BAD).otherwise(KEPT),
-    )
+    sides = ("input", "output")
+    usable = " AND ".join(f"coalesce({s}_size, 0) > 0" for s in sides)
+    valid = " AND ".join(f"coalesce({s}_valid, false)" for s in sides)
+    status = f"CASE WHEN NOT ({usable}) THEN '{MISSING}' WHEN NOT ({valid}) THEN '{BAD}' ELSE '{KEPT}' END"
+    return pairs.selectExpr("*", f"{status} AS status")
 
 
 def build_stats(rows: DataFrame, built: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """Per file: rows, pairs, kept, missing and bad. Unknown layouts get a note."""
-    zero = F.lit(0).cast("bigint")
+    statuses = (KEPT, MISSING, BAD)
     counts = built.groupBy("file").agg(
         F.count("*").alias("pairs_emitted"),
-        *[F.count_if(F.col("status") == s).alias(s) for s in (KEPT, MISSING, BAD)],
+        *[F.expr(f"count_if(status = '{s}')").alias(s) for s in statuses],
     )
     stats = rows.groupBy("file").agg(F.count("*").alias("rows")).join(counts, "file", "left")
-    note = F.lit(None).cast("string")
+    note = "CAST(NULL AS STRING)"
     if files is not None:
         stats = files.select("file", "layout").join(stats, "file", "left")
-        note = F.when(F.col("layout") == "unknown", "skipped_unknown_layout")
-    return stats.withColumn("note", note).withColumns(
-        {c: F.coalesce(F.col(c), zero) for c in ("rows", "pairs_emitted", KEPT, MISSING, BAD)}
-    )
+        note = "IF(layout = 'unknown', 'skipped_unknown_layout', NULL)"
+    numbers = [f"coalesce({c}, 0) AS {c}" for c in ("rows", "pairs_emitted", *statuses)]
+    return stats.selectExpr("file", *numbers, f"{note} AS note")
 
 
 def pair_index(kept: DataFrame, per_file: bool = False, staged: bool = True) -> DataFrame:
@@ -57,43 +56,37 @@ def pair_index(kept: DataFrame, per_file: bool = False, staged: bool = True) ->
     """
     if staged:
         kept = stage(kept, "kept")
-    block = F.floor(F.col("row_index") / BLOCK_ROWS)
-    kept = kept.withColumn("block", block)
+    kept = kept.selectExpr("*", f"row_index div {BLOCK_ROWS} AS block")
     unit = ["file", "part", "block"]
     counts = kept.groupBy(*unit).agg(F.count("*").alias("n"))
-    before = W.orderBy("part", "block").rowsBetween(W.unboundedPreceding, -1)
-    in_file = counts.withColumn(
-        "start", F.coalesce(F.sum("n").over(before.partitionBy("file")), F.lit(0))
-    )
-    if not per_file:
+    earlier = W.orderBy("part", "block").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select(*unit, F.sum("n").over(earlier.partitionBy("file")).alias("start"))
+    if per_file:
+        starts = starts.selectExpr(*unit, "coalesce(start, 0) AS start")
+    else:
         # One row per pair file: the only step that sees all files at once.
-        earlier = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
         files = counts.groupBy("file").agg(F.sum("n").alias("n"))
-        files = files.select("file", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-        in_file = in_file.join(files, "file").withColumn("start", F.col("start") + F.col("offset"))
-    starts = in_file.select(*unit, "start")
+        before = W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+        files = files.select("file", F.sum("n").over(before).alias("offset"))
+        starts = starts.join(files, "file").selectExpr(
+            *unit, "coalesce(start, 0) + coalesce(offset, 0) AS start"
+        )
     nth = F.row_number().over(W.partitionBy(*unit).orderBy("row_index", "turn_pos"))
-    return (
-        kept.withColumn("nth", nth)
-        .join(starts, unit)
-        .withColumn("pair_index", F.col("start") + F.col("nth") - 1)
-        .drop("block", "nth", "start")
-    )
+    out = [c for c in kept.columns if c != "block"]
+    return kept.withColumn("nth", nth).join(starts, unit).selectExpr(*out, "start + nth - 1 AS pair_index")
 
 
 def assign_shards(
     indexed: DataFrame, samples_per_shard: int = SAMPLES_PER_SHARD, prefix: str = "", per_file: bool = False
 ) -> DataFrame:
     """Key and shard of each numbered pair; the last shard may be short."""
-    stem = stem_of(F.col("file"))
-    name = shard_name(F.col("shard_id"), prefix)
+    stem = stem_of("file")
+    name = shard_name("shard_id", text_literal(prefix))
     if per_file:
-        name = F.concat(stem, F.lit("/"), name)
-    return (
-        indexed.withColumn("shard_id", F.floor(F.col("pair_index") / samples_per_shard))
-        .withColumn("key", sample_key(stem, F.col("pair_index"), F.col("prompt")))
-        .withColumn("shard_name", name)
-    )
+        name = f"concat({stem}, '/', {name})"
+    numbered = indexed.selectExpr("*", f"pair_index div {samples_per_shard} AS shard_id")
+    key = sample_key(stem, "pair_index", "prompt")
+    return numbered.selectExpr("*", f"{key} AS key", f"{name} AS shard_name")
 
 
 def shard_sizes(samples: DataFrame) -> DataFrame:
@@ -125,22 +118,15 @@ def limited_stats(
     rows of the batch in hand, later files do not appear. Without enough pairs
     nothing stops and all counts are reported.
     """
-    last = indexed.filter(F.col("pair_index") == max_shards * samples_per_shard - 1).select(
-        F.struct(*ORDER).alias("at")
-    )
+    at = f"struct({', '.join(ORDER)})"
+    last = indexed.filter(F.col("pair_index") == max_shards * samples_per_shard - 1)
     # One row or none: the number is dense and unique.
-    stop = last.agg(F.max("at")).scalar()
-
-    def upto(df: DataFrame, *names: str) -> DataFrame:
-        df = df.withColumn("stop", stop)
-        return df.filter(F.col("stop").isNull() | (F.struct(*names) <= F.struct(*[f"stop.{n}" for n in names])))
-
-    in_batch = F.floor(F.col("row_index") / batch_rows)
-    same = (F.col("file") == F.col("stop.file")) & (F.col("part") == F.col("stop.part"))
+    stop = last.agg(F.expr(f"max({at})")).scalar()
     seen = rows.select("file", "part", "row_index").withColumn("stop", stop)
+    same_batch = f"""struct(file, part) = struct(stop.file, stop.part)
+        AND row_index div {batch_rows} <= stop.row_index div {batch_rows}"""
     seen = seen.filter(
-        F.col("stop").isNull()
-        | (F.struct("file", "part") < F.struct("stop.file", "stop.part"))
-        | (same & (in_batch <= F.floor(F.col("stop.row_index") / batch_rows)))
+        f"stop IS NULL OR struct(file, part) < struct(stop.file, stop.part) OR ({same_batch})"
     )
-    return build_stats(seen, upto(built.select(*ORDER, "status"), *ORDER))
+    done = built.select(*ORDER, "status").withColumn("stop", stop).filter(f"stop IS NULL OR {at} <= stop")
+    return build_stats(seen, done)

@@ -3,12 +3,13 @@
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions import text_literal
 from pairloom.functions.naming import stem_of
 from pairloom.functions.paths import null_path, prepend_subdir, substitute_paths
-from pairloom.functions.text import strip
+from pairloom.functions.text import let, strip
 
 # Rename that hybrid slices need, and the stems that get it unasked.
 HYBRID_RULE = ("results_compose", "results_hybrid")
@@ -31,44 +32,46 @@ class PathSettings:
     auto_hybrid: bool = True
     pair_dir: str = "Parquet"
 
-    def subdir(self, stem: Column) -> Column:
-        chosen = F.lit(self.subdirs.get("*", ""))
-        for name, folder in self.subdirs.items():
-            if name != "*":
-                chosen = F.when(stem == name, folder).otherwise(chosen)
-        return chosen
+    def subdir(self, stem: str) -> str:
+        """Expression for the folder of a slice's bare file names."""
+        cases = [
+            f"WHEN {stem} = {text_literal(k)} THEN {text_literal(v)}" for k, v in self.subdirs.items() if k != "*"
+        ]
+        default = text_literal(self.subdirs.get("*", ""))
+        return f"CASE {' '.join(cases)} ELSE {default} END" if cases else default
 
+    def hybrid(self, stem: str) -> str:
+        """Expression that says whether a slice gets the hybrid rename."""
+        tests = [f"{stem} = {text_literal(s)}" for s in self.hybrid_stems]
+        if self.auto_hybrid:
+            tests.append(f"startswith({stem}, '{HYBRID_STEM}')")
+        return f"({' OR '.join(tests)})" if tests else "false"
 
-def needs_hybrid(stem: Column, settings: PathSettings) -> Column:
-    wanted = stem.isin(*settings.hybrid_stems) if settings.hybrid_stems else F.lit(False)
-    return wanted | stem.startswith(HYBRID_STEM) if settings.auto_hybrid else wanted
 
-
-def slice_rules(stem: Column, settings: PathSettings) -> Column:
+def slice_rules(stem: str, settings: PathSettings) -> str:
     """The substitution rules of a slice as an array, the hybrid rename first."""
 
     def as_array(rules):
-        pairs = [F.struct(F.lit(o).alias("old"), F.lit(n).alias("new")) for o, n in rules]
-        return F.array(*pairs).cast("array<struct<old:string,new:string>>")
+        pairs = [f"struct({text_literal(o)} AS old, {text_literal(n)} AS new)" for o, n in rules]
+        return f"CAST(array({', '.join(pairs)}) AS array<struct<old:string,new:string>>)"
 
-    return F.when(needs_hybrid(stem, settings), as_array([HYBRID_RULE, *settings.rules])).otherwise(
-        as_array(settings.rules)
-    )
+    with_rename = as_array([HYBRID_RULE, *settings.rules])
+    return f"IF({settings.hybrid(stem)}, {with_rename}, {as_array(settings.rules)})"
 
 
-def rewrite_path(c: Column, stem: Column, settings: PathSettings) -> Column:
+def rewrite_path(x: str, stem: str, settings: PathSettings) -> str:
     """Path to look up: subfolder, then substitutions, then null words."""
-    c = strip(prepend_subdir(c, settings.subdir(stem)))
-    c = F.when(needs_hybrid(stem, settings), substitute_paths(c, [HYBRID_RULE])).otherwise(c)
-    return null_path(substitute_paths(c, settings.rules))
+    path = strip(prepend_subdir(x, settings.subdir(stem)))
+    renamed = substitute_paths("r", [HYBRID_RULE])
+    path = let(path, "r", lambda r: f"IF({settings.hybrid(stem)}, {renamed}, {r})")
+    return let(substitute_paths(path, settings.rules), "done", null_path)
 
 
 def rewrite_pairs(pairs: DataFrame, settings: PathSettings) -> DataFrame:
     """Add the references to look up to every pair."""
-    stem = stem_of(F.col("file"))
-    return pairs.withColumns(
-        {f"{s}_ref": rewrite_path(F.col(f"{s}_path"), stem, settings) for s in ("input", "output")}
-    )
+    stem = stem_of("file")
+    refs = [f"{rewrite_path(f'{s}_path', stem, settings)} AS {s}_ref" for s in ("input", "output")]
+    return pairs.selectExpr("*", *refs)
 
 
 def slice_gate(

@@ -11,11 +11,11 @@ MAX_BAD_KEYS = 3
 
 def _sample_members(members: DataFrame) -> DataFrame:
     """Members that belong to samples, split at the last dot."""
+    suffix = "substring_index(member, '.', -1)"
     return (
-        members.filter(F.col("member").contains("."))
-        .withColumn("suffix", F.substring_index("member", ".", -1))
-        .filter(F.col("suffix").isin(*SUFFIXES))
-        .withColumn("key", F.expr("left(member, length(member) - length(suffix) - 1)"))
+        members.filter(f"contains(member, '.') AND {suffix} IN {SUFFIXES}")
+        .selectExpr("*", f"{suffix} AS suffix")
+        .selectExpr("*", "left(member, length(member) - length(suffix) - 1) AS key")
     )
 
 
@@ -24,38 +24,33 @@ def verify_shards(members: DataFrame, expected: DataFrame) -> DataFrame:
 
     ``members`` has shard_name and member, ``expected`` shard_name and samples.
     """
-    count = {s: F.count_if(F.col("suffix") == s).alias(f"n_{s}") for s in SUFFIXES}
-    per_key = _sample_members(members).groupBy("shard_name", "key").agg(*count.values())
-    full = F.lit(True)
-    for s in SUFFIXES:
-        full = full & (F.col(f"n_{s}") > 0)
-    per_key = per_key.withColumn("full", full)
+    per_key = _sample_members(members).groupBy("shard_name", "key").agg(
+        *[F.expr(f"count_if(suffix = '{s}')").alias(f"n_{s}") for s in SUFFIXES]
+    )
+    full = " AND ".join(f"n_{s} > 0" for s in SUFFIXES)
     per_shard = per_key.groupBy("shard_name").agg(
         *[F.sum(f"n_{s}").alias(f"n_{s}") for s in SUFFIXES],
-        F.count_if(~F.col("full")).alias("bad_keys"),
+        F.expr(f"count_if(NOT ({full}))").alias("bad_keys"),
     )
     nth = F.row_number().over(W.partitionBy("shard_name").orderBy("key"))
     examples = (
-        per_key.filter(~F.col("full"))
+        per_key.filter(f"NOT ({full})")
         .withColumn("nth", nth)
         .filter(F.col("nth") <= MAX_BAD_KEYS)
         .groupBy("shard_name")
         .agg(F.array_sort(F.collect_list("key")).alias("examples"))
     )
-    zero = F.lit(0).cast("bigint")
-    numbers = [*[f"n_{s}" for s in SUFFIXES], "bad_keys"]
-    out = (
+    numbers = [f"coalesce({c}, 0) AS {c}" for c in (*[f"n_{s}" for s in SUFFIXES], "bad_keys")]
+    same = " AND ".join(f"n_{s} = samples" for s in SUFFIXES)
+    problem = f"CASE WHEN bad_keys > 0 THEN 'incomplete_keys' WHEN NOT ({same}) THEN 'wrong_count' END"
+    return (
         expected.select("shard_name", "samples")
         .join(per_shard, "shard_name", "left")
         .join(examples, "shard_name", "left")
-        .withColumns({c: F.coalesce(F.col(c), zero) for c in numbers})
+        .selectExpr("shard_name", "samples", *numbers, "examples")
+        .selectExpr("*", f"{problem} AS problem")
+        .selectExpr("*", "problem IS NULL AS ok")
     )
-    same = F.lit(True)
-    for s in SUFFIXES:
-        same = same & (F.col(f"n_{s}") == F.col("samples"))
-    return out.withColumn(
-        "problem", F.when(F.col("bad_keys") > 0, "incomplete_keys").when(~same, "wrong_count")
-    ).withColumn("ok", F.col("problem").isNull())
 
 
 def first_keys(members: DataFrame, per_shard: int) -> DataFrame:

@@ -51,9 +51,8 @@ def audit(
     """The sections of the audit report; pairs are resolved once."""
     audited = stage(audited_pairs(rows, manifest, settings), "audited")
     stats = layouts.select("file", "layout").join(audit_stats(rows, audited), "file", "left")
-    zero = F.lit(0).cast("bigint")
-    counts = ["rows", "strict_pairs", "both_exist", "broken_pairs"]
-    stats = stats.withColumns({c: F.coalesce(F.col(c), zero) for c in counts})
+    counts = [f"coalesce({c}, 0) AS {c}" for c in ("rows", "strict_pairs", "both_exist", "broken_pairs")]
+    stats = stats.selectExpr("file", "layout", *counts, "resolve_rate")
     return {"files": stats, "examples": audit_examples(audited, settings)}
 
 
@@ -160,13 +159,7 @@ def shard_members(spark: SparkSession, out: str) -> DataFrame:
     """Member index of the shards below ``out``."""
     archives = list_archives(list_tree(spark, out))
     index = index_members(archives, out)
-    segments = F.transform(
-        "segments",
-        lambda s: F.struct(
-            s["file"].alias("file"), s["offset"].alias("offset"), s["length"].alias("length")
-        ),
-    )
-    return index.select(F.col("archive").alias("shard_name"), "member", "size", segments.alias("segments"), "state")
+    return index.selectExpr("archive AS shard_name", "member", "size", "segments", "state")
 
 
 def verify(spark: SparkSession, out: str, expected: DataFrame, per_shard: int = DECODED_PER_SHARD) -> DataFrame:
@@ -178,7 +171,7 @@ def verify(spark: SparkSession, out: str, expected: DataFrame, per_shard: int =
 
 def gate(audit_files: DataFrame, build_stats_: DataFrame | None = None, **limits) -> DataFrame:
     """Verdict per slice with its output folder name."""
-    return slice_gate(audit_files, build_stats_, **limits).withColumn("stem", stem_of(F.col("file")))
+    return slice_gate(audit_files, build_stats_, **limits).selectExpr("*", f"{stem_of('file')} AS stem")
 
 
 def write_reports(sections: dict[str, DataFrame], out: str) -> None:

@@ -101,17 +101,18 @@ KEYS = ["file", "part", "row_index"]
 
 def list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = list_table(spark, sf_dir)
-    return df.select(*KEYS, pairs_from_lists(df.schema).alias("pairs"))
+    return df.selectExpr(*KEYS, f"{pairs_from_lists(df.schema)} AS pairs")
 
 
 def turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = turn_table(spark, sf_dir)
-    return df.select(*KEYS, pairs_from_turns(df.schema).alias("pairs"))
+    return df.selectExpr(*KEYS, f"{pairs_from_turns(df.schema)} AS pairs")
 
 
 def column_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = column_table(spark, sf_dir)
-    return df.select(*KEYS, pairs_from_columns(df.schema, "original_path", "edited_path", "caption").alias("pairs"))
+    pairs = pairs_from_columns(df.schema, "original_path", "edited_path", "caption")
+    return df.selectExpr(*KEYS, f"{pairs} AS pairs")
 
 
 def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +216,7 @@ def _write_images(root: str):
                     files.create_dir(folder, recursive=True)
                     made.add(folder)
                 with files.open_output_stream(path) as f:
-                    f.write(data if row.valid else data[:-20])
+                    f.write(data if row.valid else data[: len(data) // 2])
             yield pd.DataFrame({"written": [len(batch)]})
 
     return run
@@ -294,7 +295,7 @@ def split_shards(spark: SparkSession, sf_dir: str) -> str:
 
 
 def located_manifest(listing: DataFrame) -> DataFrame:
-    return listing.withColumn("segments", whole_file(F.col("path")))
+    return listing.selectExpr("*", f"{whole_file('path')} AS segments")
 
 
 def pair_file_tree(spark: SparkSession, sf_dir: str) -> str:

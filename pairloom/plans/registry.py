@@ -114,8 +114,8 @@ def scan_image_bytes(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def flatten_paths(spark: SparkSession, sf: str) -> DataFrame:
     df = src.list_table(spark, sf)
-    flat = pair_ops.flatten_paths(F.col("input_images"), df.schema["input_images"].dataType)
-    return df.select("file", "row_index", F.size(flat).alias("n"), F.concat_ws("|", flat).alias("flat"))
+    flat = pair_ops.flatten_paths("input_images", df.schema["input_images"].dataType)
+    return df.selectExpr("file", "row_index", f"size({flat}) AS n", f"concat_ws('|', {flat}) AS flat")
 
 
 def _emitted(rows: DataFrame) -> DataFrame:
@@ -139,8 +139,8 @@ def pairs_from_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clean_prompt(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.concat(F.lit(" \t\u3000"), F.col("prompt"), F.lit("\u2028\n"))
-    return src.pairs_base(spark, sf).select("row_index", pair_ops.clean_prompt(raw).alias("prompt"))
+    raw = r"concat(' \t\u3000', prompt, '\u2028\n')"
+    return src.pairs_base(spark, sf).selectExpr("row_index", f"{pair_ops.clean_prompt(raw)} AS prompt")
 
 
 @query
@@ -164,74 +164,73 @@ def _paths(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def normalize_path(spark: SparkSession, sf: str) -> DataFrame:
-    df = _paths(spark, sf)
-    return df.select("row_index", paths.normalize_path(F.col("path")).alias("path"))
+    return _paths(spark, sf).selectExpr("row_index", f"{paths.normalize_path('path')} AS path")
 
 
 @query
 def path_variants(spark: SparkSession, sf: str) -> DataFrame:
-    v = paths.path_variants(F.col("path"))
-    return _paths(spark, sf).select("row_index", F.posexplode(v).alias("nth", "variant"))
+    variants = paths.path_variants("path")
+    return _paths(spark, sf).selectExpr("row_index", f"posexplode({variants}) AS (nth, variant)")
 
 
 @query
 def substitute_paths(spark: SparkSession, sf: str) -> DataFrame:
-    return _paths(spark, sf).select("row_index", paths.substitute_paths(F.col("path"), RULES).alias("path"))
+    return _paths(spark, sf).selectExpr("row_index", f"{paths.substitute_paths('path', RULES)} AS path")
 
 
 @query
 def slice_rules(spark: SparkSession, sf: str) -> DataFrame:
     settings = slices.PathSettings(rules=[("a", "b")], hybrid_stems=["add_part3"])
-    rules = F.explode(slices.slice_rules(naming.stem_of(F.col("file")), settings))
-    return src.pairs_base(spark, sf).select("file", "row_index", rules.alias("r")).select("file", "row_index", "r.*")
+    rules = slices.slice_rules(naming.stem_of("file"), settings)
+    return src.pairs_base(spark, sf).selectExpr("file", "row_index", f"inline({rules})")
 
 
 @query
 def prepend_subdir(spark: SparkSession, sf: str) -> DataFrame:
-    c = paths.prepend_subdir(F.col("path"), " Singleturn//part1/ ")
-    return _paths(spark, sf).select("row_index", c.alias("path"))
+    path = paths.prepend_subdir("path", "' Singleturn//part1/ '")
+    return _paths(spark, sf).selectExpr("row_index", f"{path} AS path")
 
 
 @query
 def root_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    return _paths(spark, sf).select("row_index", paths.root_prefix(F.col("path")).alias("root"))
+    return _paths(spark, sf).selectExpr("row_index", f"{paths.root_prefix('path')} AS root")
 
 
 @query
 def is_basename_only(spark: SparkSession, sf: str) -> DataFrame:
-    return _paths(spark, sf).select("row_index", paths.is_basename_only(F.col("path")).alias("bare"))
+    return _paths(spark, sf).selectExpr("row_index", f"{paths.is_basename_only('path')} AS bare")
 
 
 @query
 def null_path(spark: SparkSession, sf: str) -> DataFrame:
-    word = F.expr("CASE row_index % 4 WHEN 0 THEN ' None' WHEN 1 THEN 'NULL\n' WHEN 2 THEN concat(' ', path) ELSE '  ' END")
-    return _paths(spark, sf).select("row_index", paths.null_path(word).alias("path"))
+    word = r"CASE row_index % 4 WHEN 0 THEN ' None' WHEN 1 THEN 'NULL\n' WHEN 2 THEN concat(' ', path) ELSE '  ' END"
+    words = _paths(spark, sf).selectExpr("row_index", f"{word} AS word")
+    return words.selectExpr("row_index", f"{paths.null_path('word')} AS path")
 
 
 @query
 def fold_text(spark: SparkSession, sf: str) -> DataFrame:
     """Normal form and case folding of whole texts."""
     docs = src.table(spark, sf, "documents")
-    return docs.select("doc_id", nfc(F.col("text")).alias("nfc"), casefold(F.col("text")).alias("folded"))
+    return docs.selectExpr("doc_id", f"{nfc('text')} AS nfc", f"{casefold('text')} AS folded")
 
 
 @query
 def sample_key(spark: SparkSession, sf: str) -> DataFrame:
-    prompt = F.coalesce("prompt", F.lit(""))
-    key = naming.sample_key(naming.stem_of(F.col("file")), F.col("row_index"), prompt)
-    return src.pairs_base(spark, sf).select("row_index", key.alias("key"))
+    key = naming.sample_key(naming.stem_of("file"), "row_index", "coalesce(prompt, '')")
+    return src.pairs_base(spark, sf).selectExpr("row_index", f"{key} AS key")
 
 
 @query
 def shard_name(spark: SparkSession, sf: str) -> DataFrame:
-    prefix = F.expr("CASE WHEN row_index % 2 = 0 THEN concat(' ', replace(file, '.parquet', '')) ELSE ' ' END")
-    return src.pairs_base(spark, sf).select("row_index", naming.shard_name(F.col("row_index") * 37, prefix).alias("name"))
+    prefix = "CASE WHEN row_index % 2 = 0 THEN concat(' ', replace(file, '.parquet', '')) ELSE ' ' END"
+    return src.pairs_base(spark, sf).selectExpr("row_index", f"{naming.shard_name('row_index * 37', prefix)} AS name")
 
 
 @query
 def slice_layout(spark: SparkSession, sf: str) -> DataFrame:
-    folder = naming.slice_layout("out/", naming.stem_of(F.col("file")))
-    return src.pairs_base(spark, sf).groupBy(folder.alias("folder")).agg(F.count("*").alias("rows"))
+    folder = naming.slice_layout("out/", naming.stem_of("file"))
+    return src.pairs_base(spark, sf).groupBy(F.expr(folder).alias("folder")).agg(F.count("*").alias("rows"))
 
 
 # Resolution
@@ -395,9 +394,8 @@ def limit_shards(spark: SparkSession, sf: str) -> DataFrame:
 def skip_existing(spark: SparkSession, sf: str) -> DataFrame:
     samples = _samples(spark, sf)
     # Every shard with an odd number is taken to exist already.
-    existing = src.table(spark, sf, "orders").select(
-        naming.shard_name(F.col("o_orderkey") * 2 + 1).alias("shard_name")
-    )
+    odd = naming.shard_name("o_orderkey * 2 + 1")
+    existing = src.table(spark, sf, "orders").selectExpr(f"{odd} AS shard_name")
     return shards.skip_existing(samples, existing).select("key", "shard_name")
 
 
@@ -428,8 +426,8 @@ def image_validity_jvm(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def image_fit(spark: SparkSession, sf: str) -> DataFrame:
     checked = QUERIES["image_validity"](spark, sf).filter("valid")
-    width, height = images.image_fit(F.col("width"), F.col("height"))
-    return checked.select("path", width.alias("width"), height.alias("height"))
+    width, height = images.image_fit("width", "height")
+    return checked.selectExpr("path", f"{width} AS width", f"{height} AS height")
 
 
 @query

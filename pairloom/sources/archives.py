@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pairloom.functions.paths import base_name, dir_name
+from pairloom.functions.paths import dir_name
 from pairloom.runtime import stage
 from pairloom.sources.files import SEGMENTS, SegmentReader, join_path, open_fs
 
 # Fixed value: name of one part of a split archive.
-SPLIT_NAME = r"^((?s:.*/)?)([^/]+\.tar)\.split\.(\d+)$"
+SPLIT_NAME = r"r'^((?s:.*/)?)([^/]+\.tar)\.split\.(\d+)$'"
 
 BLOCK = 512
 RANGE_BYTES = 256 << 20
@@ -37,13 +37,9 @@ MEMBER = f"archive string, member string, size long, segments {SEGMENTS}, range_
 
 def split_parts(listing: DataFrame) -> DataFrame:
     """Parts of split archives: folder, archive name and index."""
-    part = [F.regexp_extract("path", SPLIT_NAME, i) for i in (1, 2, 3)]
-    return listing.filter(F.col("path").rlike(SPLIT_NAME)).select(
-        part[0].alias("dir"),
-        part[1].alias("base"),
-        part[2].cast("decimal(38,0)").alias("idx"),
-        "path",
-        "size",
+    name, base, idx = (f"regexp_extract(path, {SPLIT_NAME}, {i})" for i in (1, 2, 3))
+    return listing.filter(f"path RLIKE {SPLIT_NAME}").selectExpr(
+        f"{name} AS dir", f"{base} AS base", f"CAST({idx} AS DECIMAL(38, 0)) AS idx", "path", "size"
     )
 
 
@@ -250,15 +246,8 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
         .mapInPandas(_index(root), MEMBER)
     )
     kept = walked.join(torn, "archive", "left_anti").unionByName(again)
-    return kept.select(
-        "archive",
-        F.concat(dir_name(F.col("archive")), F.col("member")).alias("path"),
-        "member",
-        "size",
-        "segments",
-        F.col("start").alias("offset"),
-        "state",
-    )
+    path = f"concat({dir_name('archive')}, member) AS path"
+    return kept.selectExpr("archive", path, "member", "size", "segments", "start AS offset", "state")
 
 
 def _unpack(root: str):

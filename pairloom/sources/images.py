@@ -6,7 +6,7 @@ import zlib
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.sources.files import SegmentReader
@@ -131,30 +131,29 @@ def decode_folder(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def image_fit(width: Column, height: Column, max_side: int = MAX_SIDE) -> tuple[Column, Column]:
+def image_fit(width: str, height: str, max_side: int = MAX_SIDE) -> tuple[str, str]:
     """Size after shrinking the longest edge to ``max_side``; 0 or less switches it off.
 
     The short edge is the floor or ceiling that changes the aspect least, at least 1.
+    Takes and gives SQL expressions.
     """
     if max_side <= 0:
         return width, height
-    long, short = F.greatest(width, height), F.least(width, height)
-    ideal = max_side * short / long
-    lo, hi = F.floor(ideal), F.ceil(ideal)
-    # Distances of width/height from the aspect, for either orientation.
-    wide = width >= height
-    aspect = width / height
-
-    def off(n: Column) -> Column:
-        ratio = F.when(wide, F.try_divide(F.lit(max_side), n)).otherwise(n / max_side)
-        return F.when(wide & (n == 0), 0.0).otherwise(F.abs(aspect - ratio))
-
-    near = F.greatest(F.when(off(lo) <= off(hi), lo).otherwise(hi), F.lit(1))
-    shrink = long > max_side
-    return (
-        F.when(~shrink, width).when(wide, max_side).otherwise(near).cast("int"),
-        F.when(~shrink, height).when(wide, near).otherwise(max_side).cast("int"),
-    )
+    wide = f"{width} >= {height}"
+    ideal = f"({max_side} * least({width}, {height}) / greatest({width}, {height}))"
+
+    def off(n: str) -> str:
+        landscape = f"IF({n} = 0, 0, abs({width} / {height} - try_divide({max_side}, {n})))"
+        return f"IF({wide}, {landscape}, abs({width} / {height} - {n} / {max_side}))"
+
+    low, high = f"floor({ideal})", f"ceil({ideal})"
+    near = f"greatest(1, IF({off(low)} <= {off(high)}, {low}, {high}))"
+
+    def edge(size: str, is_long: str) -> str:
+        fits = f"greatest({width}, {height}) <= {max_side}"
+        return f"CAST(CASE WHEN {fits} THEN {size} WHEN {is_long} THEN {max_side} ELSE {near} END AS INT)"
+
+    return edge(width, wide), edge(height, f"NOT ({wide})")
 
 
 def to_jpeg(data: bytes, quality: int, max_side: int) -> bytes:

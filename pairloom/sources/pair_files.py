@@ -169,7 +169,7 @@ def scan_pairs(spark: SparkSession, catalog: DataFrame) -> tuple[DataFrame, Data
     rows = spark.createDataFrame([], f"file string, part string, row_index long, pairs array<{PAIR}>")
     for (layout, i, o, t, _), paths in sorted(groups.items(), key=str):
         df = spark.read.parquet(*sorted(paths))
-        rows = rows.unionByName(df.select(*file_keys(), layout_pairs(df.schema, layout, i, o, t).alias("pairs")))
+        rows = rows.unionByName(df.select(*file_keys(), F.expr(layout_pairs(df.schema, layout, i, o, t)).alias("pairs")))
     return rows, layouts
 
 

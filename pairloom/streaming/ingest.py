@@ -43,7 +43,7 @@ def ingest_slices(
         .option("pathGlobFilter", "*.parquet")
         .parquet(folder)
     )
-    rows = source.select(*file_keys(), layout_pairs(schema, layout, *columns).alias("pairs"))
+    rows = source.select(*file_keys(), F.expr(layout_pairs(schema, layout, *columns)).alias("pairs"))
 
     def run(batch: DataFrame, number: int) -> None:
         batch = stage(batch, "batch")
