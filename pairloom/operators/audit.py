@@ -17,7 +17,7 @@ def audited_pairs(
     rows: DataFrame, manifest: DataFrame, settings: PathSettings = PathSettings()
 ) -> DataFrame:
     """Every strict pair with a flag per side that says whether the file exists."""
-    pairs = rewrite_pairs(emit_pairs(rows).drop("prompt"), settings)
+    pairs = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
     known = resolve_paths(
         reference_paths(pairs), manifest, settings.pair_dir, locate=False
     ).withColumn("ok", F.lit(True))

@@ -5,6 +5,7 @@ that array, so nothing is exploded or joined before pairs are needed.
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairloom.functions.text import strip
@@ -12,7 +13,7 @@ from pairloom.functions.text import strip
 # Columns of the list and multi-turn layouts.
 INPUT, OUTPUT, PROMPT, TURNS = "input_images", "output_images", "prompt", "data"
 
-PAIR = "struct<turn_pos:int,input_path:string,output_path:string,prompt:string>"
+PAIR = "struct<turn_pos:int,input_path:string,output_path:string>"
 KEYS = ["file", "part", "row_index"]
 
 # Layouts with embedded images are recognised but give no pairs.
@@ -45,20 +46,14 @@ def clean_prompt(x: str) -> str:
 def _strict(found: str) -> str:
     """Keep the candidates with exactly one path on each side."""
     return f"""transform(filter({found}, x -> size(x.ins) = 1 AND size(x.outs) = 1),
-        x -> struct(x.pos AS turn_pos, x.ins[0] AS input_path, x.outs[0] AS output_path, x.prompt AS prompt))"""
+        x -> struct(x.pos AS turn_pos, x.ins[0] AS input_path, x.outs[0] AS output_path))"""
 
 
-def _one(ins: str, outs: str, prompt: str) -> str:
-    return _strict(f"array(struct(0 AS pos, {ins} AS ins, {outs} AS outs, {prompt} AS prompt))")
+def _one(ins: str, outs: str) -> str:
+    return _strict(f"array(struct(0 AS pos, {ins} AS ins, {outs} AS outs))")
 
 
-def _text(schema: T.StructType, text_col: str | None) -> str:
-    return clean_prompt(f"`{text_col}`" if text_col in schema.names else "NULL")
-
-
-def pairs_from_lists(
-    schema: T.StructType, input_col: str = INPUT, output_col: str = OUTPUT, text_col: str | None = PROMPT
-) -> str:
+def pairs_from_lists(schema: T.StructType, input_col: str = INPUT, output_col: str = OUTPUT) -> str:
     """List layout: one top-level slot per side that holds exactly one path."""
 
     def side(name: str) -> str:
@@ -68,29 +63,30 @@ def pairs_from_lists(
             paths = f"IF(size(`{name}`) = 1, {paths}, {NO_PATHS})"
         return paths
 
-    return _one(side(input_col), side(output_col), _text(schema, text_col))
+    return _one(side(input_col), side(output_col))
+
+
+def _turn_type(schema: T.StructType) -> T.StructType | None:
+    dtype = schema[TURNS].dataType
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        return dtype.elementType
+    return None
 
 
-def pairs_from_turns(schema: T.StructType, turns_col: str = TURNS) -> str:
+def pairs_from_turns(schema: T.StructType) -> str:
     """Multi-turn layout: every turn with one path on each side is a pair."""
-    dtype = schema[turns_col].dataType
-    if not (isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType)):
+    turn = _turn_type(schema)
+    if turn is None:
         return NO_PAIRS
-    turn = dtype.elementType
 
     def side(name: str) -> str:
         return flatten_paths(f"t.{name}", turn[name].dataType) if name in turn.names else NO_PATHS
 
-    prompt = clean_prompt(f"t.{PROMPT}" if PROMPT in turn.names else "NULL")
-    turns = f"coalesce(`{turns_col}`, CAST(array() AS {dtype.simpleString()}))"
-    return _strict(
-        f"transform({turns}, (t, i) -> struct(i AS pos, {side(INPUT)} AS ins, {side(OUTPUT)} AS outs, {prompt} AS prompt))"
-    )
+    turns = f"coalesce({TURNS}, CAST(array() AS {schema[TURNS].dataType.simpleString()}))"
+    return _strict(f"transform({turns}, (t, i) -> struct(i AS pos, {side(INPUT)} AS ins, {side(OUTPUT)} AS outs))")
 
 
-def pairs_from_columns(
-    schema: T.StructType, input_col: str, output_col: str, text_col: str | None = None
-) -> str:
+def pairs_from_columns(schema: T.StructType, input_col: str, output_col: str) -> str:
     """Plain layout: a scalar path, or a list that holds exactly one."""
 
     def side(name: str) -> str:
@@ -99,21 +95,47 @@ def pairs_from_columns(
             return flatten_paths(f"`{name}`", dtype)
         return flatten_paths(f"CAST(`{name}` AS STRING)", T.StringType())
 
-    return _one(side(input_col), side(output_col), _text(schema, text_col))
+    return _one(side(input_col), side(output_col))
 
 
-def layout_pairs(
-    schema: T.StructType, layout: str, input_col: str | None, output_col: str | None, text_col: str | None
-) -> str:
+def row_prompts(schema: T.StructType, layout: str, text_col: str | None) -> str:
+    """Prompts of a row by turn; rows of the other layouts have one turn."""
     if layout == "multiturn":
-        return pairs_from_turns(schema)
-    if layout == "lists":
-        return pairs_from_lists(schema, input_col, output_col, text_col or PROMPT)
-    if layout == "path":
-        return pairs_from_columns(schema, input_col, output_col, text_col or PROMPT)
-    return NO_PAIRS
-
-
-def emit_pairs(rows: DataFrame) -> DataFrame:
+        turn = _turn_type(schema)
+        prompt = f"t.{PROMPT}" if turn is not None and PROMPT in turn.names else "NULL"
+        return f"transform({TURNS}, t -> {clean_prompt(prompt)})"
+    text_col = text_col or PROMPT
+    return f"array({clean_prompt(f'`{text_col}`' if text_col in schema.names else 'NULL')})"
+
+
+def read_rows(
+    df: DataFrame,
+    layout: str,
+    input_col: str | None = INPUT,
+    output_col: str | None = OUTPUT,
+    text_col: str | None = PROMPT,
+    keys: list | None = None,
+) -> DataFrame:
+    """Rows in the common form: file, part and row, their pairs and their prompts.
+
+    Prompts are a column of their own, so that steps which need only paths
+    never read them.
+    """
+    if layout == "multiturn":
+        pairs = pairs_from_turns(df.schema)
+    elif layout == "lists":
+        pairs = pairs_from_lists(df.schema, input_col, output_col)
+    elif layout == "path":
+        pairs = pairs_from_columns(df.schema, input_col, output_col)
+    else:
+        pairs = NO_PAIRS
+    prompts = NO_PATHS if pairs == NO_PAIRS else row_prompts(df.schema, layout, text_col)
+    return df.select(*(keys or KEYS), F.expr(pairs).alias("pairs"), F.expr(prompts).alias("prompts"))
+
+
+def emit_pairs(rows: DataFrame, prompts: bool = True) -> DataFrame:
     """One row per strict pair."""
-    return rows.selectExpr(*KEYS, "inline(pairs)")
+    if not prompts:
+        return rows.selectExpr(*KEYS, "inline(pairs)")
+    with_prompt = "struct(p.turn_pos, p.input_path, p.output_path, prompts[p.turn_pos] AS prompt)"
+    return rows.selectExpr(*KEYS, f"inline(transform(pairs, p -> {with_prompt}))")

@@ -7,11 +7,11 @@ under its path inside every known folder, so a reference ships one or two
 lookup rows instead of one per candidate. Exact and folded matches share one
 key, because a candidate with an exact match also has a folded one.
 
-    manifest (path, ...)  --file_index-->    (kind, key, place, lo, ...)
-    refs (ref)            --path_lookups-->  (ref, kind, key, want, base, ...)
+    manifest (path, ...)  --file_index-->    (kind, key, in_0 .. in_3, task)
+    refs (ref)            --path_lookups-->  (ref, kind, key, want, base, places)
     join on (kind, key), smallest rank per ref wins
 
-``lo`` is the smallest file name that folds to the key. Where the spelling of
+``in_<place>`` is the smallest file name there that folds to the key, ``lo`` the one that wins. Where the spelling of
 the winner matters, ``locate`` looks up the exact name first and uses ``lo``
 only if there is none.
 """
@@ -62,15 +62,15 @@ def file_index(manifest: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = Tr
         task, tail = (f"regexp_extract(path, {TASK}, {i})" for i in (1, 2))
         entries.append(f"IF(path RLIKE {TASK}, {entry(SIBLING, ROOT, tail, task)}, NULL)")
     keyed = manifest.selectExpr(*extra, f"inline(array_compact(array({', '.join(entries)})))")
+    # One row per key, so that the join needs no second shuffle of the manifest.
+    file = f"struct({', '.join(['want', *extra])})"
+    found = [F.expr(f"min(IF(place = {p}, {file}, NULL))").alias(f"in_{p}") for p in range(4)]
+    tasks = [F.min("task").alias("task"), F.max("task").alias("last_task")]
+    # A sibling counts only if exactly one task folder has it.
     return (
         _folded(keyed)
-        .groupBy("kind", "key", "place")
-        .agg(
-            F.min(F.struct("want", *extra)).alias("lo"),
-            F.min("task").alias("task"),
-            F.max("task").alias("last_task"),
-        )
-        # A sibling counts only if exactly one task folder has it.
+        .groupBy("kind", "key")
+        .agg(*found, *tasks)
         .filter(f"kind = {DIRECT} OR task = last_task")
         .drop("last_task")
     )
@@ -117,12 +117,18 @@ def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True
 
 def match_lookups(lookups: DataFrame, index: DataFrame, pair_dir: str = PAIR_DIR) -> DataFrame:
     """First hit per reference, with the exact and the smallest folded spelling."""
-    folder = " ".join(f"WHEN place = {p} THEN '{f}/'" for p, f in _folders(pair_dir))
-    sibling = f"WHEN kind = {SIBLING} THEN concat('{SINGLE}/', task, '/')"
-    parent = f"concat(CASE {sibling} {folder} ELSE '' END, left(key, length(key) - length({base_name('key')})))"
-    hits = lookups.join(index, ["kind", "key"]).filter("place < places")
+    names = dict(_folders(pair_dir))
+    in_task = f"concat('{SINGLE}/', task, '/')"
+    tried = []
+    for place in range(4):
+        folder = f"'{names[place]}/'" if place in names else f"IF(kind = {SIBLING}, {in_task}, '')"
+        hit = f"struct(base + {place} AS rank, {folder} AS folder, in_{place} AS lo)"
+        tried.append(f"IF(places > {place} AND in_{place} IS NOT NULL, {hit}, NULL)")
+    parent = f"concat(hit.folder, left(key, length(key) - length({base_name('key')})))"
+    hits = lookups.join(index, ["kind", "key"]).selectExpr("ref", "key", "want", f"coalesce({', '.join(tried)}) AS hit")
     return (
-        hits.selectExpr("ref", "base + place AS rank", f"{parent} AS parent", "want", "lo")
+        hits.filter("hit IS NOT NULL")
+        .selectExpr("ref", "hit.rank", f"{parent} AS parent", "want", "hit.lo")
         .selectExpr(
             "ref",
             "struct(rank, concat(parent, want) AS exact, concat(parent, lo.want) AS path, lo) AS hit",

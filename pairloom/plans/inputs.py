@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.operators.pairs import pairs_from_columns, pairs_from_lists, pairs_from_turns
+from pairloom.operators.pairs import read_rows
 from pairloom.operators.slices import PathSettings
 from pairloom.plans import flows
 from pairloom.runtime import new_folder
@@ -96,23 +96,16 @@ def column_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-KEYS = ["file", "part", "row_index"]
-
-
 def list_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = list_table(spark, sf_dir)
-    return df.selectExpr(*KEYS, f"{pairs_from_lists(df.schema)} AS pairs")
+    return read_rows(list_table(spark, sf_dir), "lists")
 
 
 def turn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = turn_table(spark, sf_dir)
-    return df.selectExpr(*KEYS, f"{pairs_from_turns(df.schema)} AS pairs")
+    return read_rows(turn_table(spark, sf_dir), "multiturn")
 
 
 def column_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = column_table(spark, sf_dir)
-    pairs = pairs_from_columns(df.schema, "original_path", "edited_path", "caption")
-    return df.selectExpr(*KEYS, f"{pairs} AS pairs")
+    return read_rows(column_table(spark, sf_dir), "path", "original_path", "edited_path", "caption")
 
 
 def all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

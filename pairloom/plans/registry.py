@@ -45,7 +45,7 @@ def query(f):
 def scan_pairs(spark: SparkSession, sf: str) -> DataFrame:
     files = pair_files.list_pair_files(src.pair_file_tree(spark, sf))
     rows, _ = pair_files.scan_pairs(spark, pair_files.column_catalog(spark, files))
-    return rows.selectExpr("file", "size(pairs) AS n_pairs", "get(pairs, 0).input_path AS input_path", "get(pairs, 0).prompt AS prompt")
+    return rows.selectExpr("file", "size(pairs) AS n_pairs", "get(pairs, 0).input_path AS input_path", "IF(size(pairs) > 0, prompts[0], NULL) AS prompt")
 
 
 @query

@@ -40,15 +40,16 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, size: str, key: str, bytes_per_task: int = 256 << 20) -> DataFrame:
+def spread(df: DataFrame, size: str, *keys: str, bytes_per_task: int = 256 << 20) -> DataFrame:
     """Repartition rows that stand for ``size`` bytes each, for tasks that read them.
 
     Spark sizes tasks by the rows it shuffles, which are tiny beside the data
-    they point to. Stage ``df`` first: its bytes are added up in a job of its own.
+    they point to. Neighbours by ``keys`` stay together, as they share files.
+    Stage ``df`` first: its bytes are added up in a job of its own.
     """
     total = df.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-total // bytes_per_task))
-    return df.repartition(tasks, key)
+    return df.repartitionByRange(tasks, *keys)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -19,13 +19,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairloom.functions.paths import dir_name
-from pairloom.runtime import stage
+from pairloom.runtime import spread, stage
 from pairloom.sources.files import SEGMENTS, SegmentReader, join_path, open_fs
 
 # Fixed value: name of one part of a split archive.
 SPLIT_NAME = r"r'^((?s:.*/)?)([^/]+\.tar)\.split\.(\d+)$'"
 
 BLOCK = 512
+RANGES_PER_TASK = 4
 RANGE_BYTES = 256 << 20
 # Room before a range in which the headers of a long member name may start.
 LOOK_BACK = 64 << 10
@@ -218,8 +219,8 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
         (F.col("range_no") * range_bytes).alias("lo"),
         F.least((F.col("range_no") + 1) * range_bytes, F.greatest("total", F.lit(1))).alias("hi"),
     )
-    # One range is a lot of reading behind a short row, so ranges are spread by number, not by size.
-    width = spark.sparkContext.defaultParallelism
+    # One range is a lot of reading behind a short row, so tasks are counted by ranges, not by size.
+    width = max(spark.sparkContext.defaultParallelism, ranges.count() // RANGES_PER_TASK)
     walked = stage(
         ranges.repartition(width, "archive", "range_no").mapInPandas(_index(root), MEMBER), "members"
     )
@@ -292,9 +293,9 @@ def _payload(root: str):
 def scan_tar_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Archive, member, size and bytes of every regular member."""
     index = index_members(archives, root, range_bytes)
-    files = index.filter("state = 'file'").select("archive", "member", "size", "segments")
+    files = spread(index.filter("state = 'file'"), "size", "archive", "offset")
     schema = "archive string, member string, size long, payload binary"
-    read = files.mapInPandas(_payload(root), schema)
+    read = files.select("archive", "member", "size", "segments").mapInPandas(_payload(root), schema)
     return read.unionByName(scan_compressed(archives, index, root))
 
 

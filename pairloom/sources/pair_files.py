@@ -9,7 +9,7 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.operators.pairs import INPUT, KEYS, OUTPUT, PAIR, PROMPT, TURNS, layout_pairs
+from pairloom.operators.pairs import INPUT, KEYS, OUTPUT, PAIR, PROMPT, TURNS, read_rows
 from pairloom.sources.files import open_fs
 
 # Column names by role, the preferred name first.
@@ -166,10 +166,12 @@ def scan_pairs(spark: SparkSession, catalog: DataFrame) -> tuple[DataFrame, Data
         if p.layout != "unknown":
             key = (p.layout, p.input_col, p.output_col, p.text_col, tuple(p.signature))
             groups.setdefault(key, []).append(p.path)
-    rows = spark.createDataFrame([], f"file string, part string, row_index long, pairs array<{PAIR}>")
+    rows = spark.createDataFrame(
+        [], f"file string, part string, row_index long, pairs array<{PAIR}>, prompts array<string>"
+    )
     for (layout, i, o, t, _), paths in sorted(groups.items(), key=str):
         df = spark.read.parquet(*sorted(paths))
-        rows = rows.unionByName(df.select(*file_keys(), F.expr(layout_pairs(df.schema, layout, i, o, t)).alias("pairs")))
+        rows = rows.unionByName(read_rows(df, layout, i, o, t, file_keys()))
     return rows, layouts
 
 

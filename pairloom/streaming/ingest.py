@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from pairloom.operators.audit import audit_stats, audited_pairs
-from pairloom.operators.pairs import emit_pairs, layout_pairs
+from pairloom.operators.pairs import emit_pairs, read_rows
 from pairloom.operators.shards import SAMPLES_PER_SHARD, assign_shards, pair_index
 from pairloom.operators.slices import SUCCESS, PathSettings, slice_gate
 from pairloom.runtime import stage
@@ -43,7 +43,7 @@ def ingest_slices(
         .option("pathGlobFilter", "*.parquet")
         .parquet(folder)
     )
-    rows = source.select(*file_keys(), F.expr(layout_pairs(schema, layout, *columns)).alias("pairs"))
+    rows = read_rows(source, layout, *columns, file_keys())
 
     def run(batch: DataFrame, number: int) -> None:
         batch = stage(batch, "batch")
