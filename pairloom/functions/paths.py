@@ -33,7 +33,8 @@ def path_variants(x: str) -> str:
 
 def collapse_path(x: str) -> str:
     """Drop ``.`` and empty segments; a leading slash stays."""
-    return rf"regexp_replace(regexp_replace({x}, r'/(?:\.?/)+', '/'), r'^\./|^\.$|/\.?$', '')"
+    inner = rf"regexp_replace({x}, r'/(?:\.?/)+', '/')"
+    return rf"regexp_replace(regexp_replace({inner}, r'/\.?$', ''), r'^\.(?:/|$)', '')"
 
 
 def canonical_path(x: str) -> str:
