@@ -27,6 +27,9 @@ SINGLE, MULTI = "Singleturn", "Multiturn"
 TASK = "r'^Singleturn/(results_[^/]*)/([^/]+/[^/]+)$'"
 PAIR_DIR = "Parquet"
 
+# References with one spelling only: printable ASCII, nothing to strip, collapse or cut off.
+UNCLEAN = r"r'(?i)^(?:singleturn|multiturn)/|^[ ./]|[ /]$|//|/\.\.?(?:/|$)|\\|[^ -~]'"
+
 # Places in the order they are tried for one spelling; the bare repeat has no PAIR_DIR.
 ROOT, IN_SINGLE, IN_MULTI, IN_PAIRS = range(4)
 PER_SPELLING = 7
@@ -102,12 +105,14 @@ def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True
         usable = r"contains(s.tail, '/') AND NOT s.tail RLIKE r'(^|/)\.\.(/|$)' AND (nth = 0 OR s.tail <> tail)"
         entries.append(f"IF({usable}, {entry(SIBLING, 's.tail', f'nth + {SIBLING_BASE}', 1)}, NULL)")
     inside = "x IS NOT NULL AND x.path NOT IN ('', '..') AND NOT startswith(x.path, '../')"
+    clean = "array(struct(ref AS path, ref AS bare, substring_index(ref, '/', -2) AS tail))"
     rows = (
-        refs.selectExpr("ref", f"{path_variants('ref')} AS variants")
+        refs
         # Spellings that come to the same are tried once.
         .selectExpr(
             "ref",
-            f"IF(startswith(ref, '/'), array({as_is}), array_distinct(transform(variants, v -> {spelled('v')}))) AS s",
+            f"""CASE WHEN startswith(ref, '/') THEN array({as_is}) WHEN NOT ref RLIKE {UNCLEAN} THEN {clean}
+                ELSE array_distinct(transform({path_variants('ref')}, v -> {spelled('v')})) END AS s""",
         )
         .selectExpr("ref", "s[0].tail AS tail", "posexplode(s) AS (nth, s)")
         .selectExpr("ref", f"inline(filter(array({', '.join(entries)}), x -> {inside}))")
@@ -147,6 +152,7 @@ def resolve_paths(
 ) -> DataFrame:
     """Resolved path per distinct reference; unresolved references are absent.
 
+    Paths in the manifest are canonical and unique, as ``file_manifest`` makes them.
     With ``locate`` the result carries the spelling on disk and the other
     manifest columns; without, only the fact that the reference resolves.
     """
@@ -159,7 +165,7 @@ def resolve_paths(
     if not locate:
         return hits.select("ref")
     here = ", ".join(["true AS found", *extra])
-    on_disk = manifest.selectExpr("path AS exact", f"struct({here}) AS here").dropDuplicates(["exact"])
+    on_disk = manifest.selectExpr("path AS exact", f"struct({here}) AS here")
     return (
         hits.select("ref", "hit.*")
         .join(on_disk, "exact", "left")
@@ -197,6 +203,7 @@ def resolve_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def file_manifest(listing: DataFrame) -> DataFrame:
-    """Listed files under canonical relative paths."""
+    """Listed files under canonical relative paths, each once."""
     rest = [c for c in listing.columns if c != "path"]
-    return listing.selectExpr(f"{canonical_path('path')} AS path", *rest).filter("path <> ''")
+    files = listing.selectExpr(f"{canonical_path('path')} AS path", *rest).filter("path <> ''")
+    return files.dropDuplicates(["path"])

@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pairloom.functions.paths import dir_name
+from pairloom.functions.paths import base_name, canonical_path, dir_name
 from pairloom.runtime import spread, stage
 from pairloom.sources.files import SEGMENTS, SegmentReader, join_path, open_fs
 
-# Fixed value: name of one part of a split archive.
-SPLIT_NAME = r"r'^((?s:.*/)?)([^/]+\.tar)\.split\.(\d+)$'"
+# Fixed value: end of the name of one part of a split archive.
+SPLIT_NAME = r"r'[^/]\.tar\.split\.[0-9]+\z'"
 
 BLOCK = 512
 RANGES_PER_TASK = 4
@@ -33,14 +33,17 @@ LOOK_BACK = 64 << 10
 COMPRESSED = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00")
 
 PARTS = "array<struct<idx:decimal(38,0),path:string,size:bigint>>"
-MEMBER = f"archive string, member string, size long, segments {SEGMENTS}, range_no long, start long, next long, state string"
+MEMBER = f"archive string, whole boolean, member string, size long, segments {SEGMENTS}, range_no long, start long, next long, state string"
 
 
 def split_parts(listing: DataFrame) -> DataFrame:
     """Parts of split archives: folder, archive name and index."""
-    name, base, idx = (f"regexp_extract(path, {SPLIT_NAME}, {i})" for i in (1, 2, 3))
-    return listing.filter(f"path RLIKE {SPLIT_NAME}").selectExpr(
-        f"{name} AS dir", f"{base} AS base", f"CAST({idx} AS DECIMAL(38, 0)) AS idx", "path", "size"
+    parts = listing.filter(f"path RLIKE {SPLIT_NAME}").selectExpr(
+        "substring_index(path, '.split.', -1) AS idx", "path", "size"
+    )
+    parts = parts.selectExpr("left(path, length(path) - length(idx) - 7) AS tar", "idx", "path", "size")
+    return parts.selectExpr(
+        f"{dir_name('tar')} AS dir", f"{base_name('tar')} AS base", "CAST(idx AS DECIMAL(38, 0)) AS idx", "path", "size"
     )
 
 
@@ -74,10 +77,12 @@ def list_archives(listing: DataFrame) -> DataFrame:
         parts.join(complete, ["dir", "base"], "left_semi")
         .groupBy(F.concat("dir", "base").alias("archive"))
         .agg(F.sort_array(F.collect_list(one)).cast(PARTS).alias("parts"))
+        .withColumn("whole", F.lit(False))
     )
     whole = listing.filter(F.col("path").endswith(".tar")).select(
         F.col("path").alias("archive"),
         F.array(F.struct(F.lit(0).alias("idx"), "path", "size")).cast(PARTS).alias("parts"),
+        F.lit(True).alias("whole"),
     )
     return split.unionByName(whole)
 
@@ -177,7 +182,8 @@ def _index(root: str, limit: int = 20_000):
         for batch in batches:
             for task in batch.to_dict("records"):
                 f, rows = _Joined(root, task["parts"]), []
-                mark = [task["archive"], None, None, None, task["range_no"], None, None]
+                of = [task["archive"], task["whole"]]
+                mark = [*of, None, None, None, task["range_no"], None, None]
                 f.seek(0)
                 if f.read(6).startswith(COMPRESSED):
                     if task["lo"] == 0:
@@ -188,7 +194,7 @@ def _index(root: str, limit: int = 20_000):
                         at = f.pieces(m.offset_data, m.size) if m.isreg() and not m.issparse() else None
                         state = "file" if at is not None else "other"
                         rows.append(
-                            [task["archive"], _text(m.name), m.size, at, task["range_no"], m.offset, after, state]
+                            [*of, _text(m.name), m.size, at, task["range_no"], m.offset, after, state]
                         )
                         if len(rows) >= limit:
                             yield pd.DataFrame(rows, columns=names)
@@ -214,6 +220,7 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
     ranges = tasks.withColumn("range_no", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1)))
     ranges = ranges.select(
         "archive",
+        "whole",
         F.transform("parts", lambda p: F.struct(p["path"].alias("path"), p["size"].alias("size"))).alias("parts"),
         "range_no",
         (F.col("range_no") * range_bytes).alias("lo"),
@@ -242,13 +249,13 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
     torn = torn.select("archive").distinct()
     again = (
         tasks.join(torn, "archive", "left_semi")
-        .select("archive", "parts", F.lit(0).cast("bigint").alias("range_no"), F.lit(0).cast("bigint").alias("lo"), F.col("total").alias("hi"))
+        .select("archive", "whole", "parts", F.lit(0).cast("bigint").alias("range_no"), F.lit(0).cast("bigint").alias("lo"), F.col("total").alias("hi"))
         .repartition(width, "archive")
         .mapInPandas(_index(root), MEMBER)
     )
     kept = walked.join(torn, "archive", "left_anti").unionByName(again)
     path = f"concat({dir_name('archive')}, member) AS path"
-    return kept.selectExpr("archive", path, "member", "size", "segments", "start AS offset", "state")
+    return kept.selectExpr("archive", "whole", path, "member", "size", "segments", "start AS offset", "state")
 
 
 def _unpack(root: str):
@@ -300,5 +307,11 @@ def scan_tar_members(archives: DataFrame, root: str = "", range_bytes: int = RAN
 
 
 def archive_manifest(index: DataFrame) -> DataFrame:
-    """Members as manifest rows: path as if unpacked next to the archive, size, location."""
-    return index.filter("state = 'file'").select("path", "size", "segments")
+    """Members as manifest rows: path as if unpacked next to the archive, size, location.
+
+    Of members with one path the last to be unpacked counts: split archives
+    come before whole ones, each sorted by name, and members in order.
+    """
+    member = F.struct("whole", "archive", "offset", "size", "segments")
+    last = index.filter("state = 'file'").groupBy(F.expr(canonical_path("path")).alias("path"))
+    return last.agg(F.max(member).alias("m")).select("path", "m.size", "m.segments")

@@ -123,3 +123,12 @@ def test_part_indices(spark):
     parts = archives.split_parts(spark.createDataFrame(rows, "path string, size long"))
     got = {r.base: (r.complete, r.bytes) for r in archives.check_split_parts(parts).collect()}
     assert got == {"full.tar": (True, 30), "gap.tar": (False, 20), "late.tar": (True, 20), "twice.tar": (False, 20), "wide.tar": (True, 20), "hole_and_twice.tar": (False, 30)}
+
+
+def test_last_unpacked_member_wins(spark, tmp_path):
+    split(tmp_path, "z.tar", make_tar([("x", b"1"), ("./x", b"22"), ("y", b"1")]), [700])
+    (tmp_path / "a.tar").write_bytes(make_tar([("y", b"333"), ("w", b"1")]))
+    (tmp_path / "b.tar").write_bytes(make_tar([("w", b"4444")]))
+    found = archives.list_archives(list_tree(spark, str(tmp_path)))
+    manifest = archives.archive_manifest(archives.index_members(found, str(tmp_path)))
+    assert sorted((r.path, r["size"]) for r in manifest.collect()) == [("w", 4), ("x", 2), ("y", 3)]
