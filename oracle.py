@@ -244,6 +244,7 @@ def statements() -> dict[str, str]:
         "is_basename_only": f"""WITH {PATHS} SELECT row_index, NOT contains(trim(path, '/'), '/')
             AND regexp_matches(lower(trim(path, '/')), '\\.(jpg|jpeg|png|webp|bmp|gif)$') AS bare FROM p""",
         "null_path": f"WITH {PATHS} SELECT row_index, CASE WHEN row_index % 4 = 2 THEN {_strip('path')} END AS path FROM p",
+        "fold_text": "SELECT doc_id, nfc_normalize(text) AS nfc, replace(lower(text), 'ß', 'ss') AS folded FROM documents",
         "sample_key": f"""WITH {BASE}, b AS (SELECT row_index, replace(file, '.parquet', '') AS stem, coalesce(prompt, '') AS prompt FROM base)
             SELECT row_index, concat(stem, '_', printf('%08d', row_index), '_', sha256(concat(stem, chr(0), row_index, chr(0), prompt))[1:20]) AS key FROM b""",
         "shard_name": f"""WITH {BASE} SELECT row_index, concat(CASE WHEN row_index % 2 = 0 THEN concat(replace(file, '.parquet', ''), '-') ELSE '' END,

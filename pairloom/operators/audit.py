@@ -9,6 +9,7 @@ from pairloom.functions.paths import prepend_subdir
 from pairloom.operators.pairs import emit_pairs
 from pairloom.operators.resolve import reference_paths, resolve_pairs, resolve_paths
 from pairloom.operators.slices import PathSettings, rewrite_pairs
+from pairloom.runtime import stage
 
 MAX_EXAMPLES = 8
 
@@ -18,10 +19,9 @@ def audited_pairs(
 ) -> DataFrame:
     """Every strict pair with a flag per side that says whether the file exists."""
     pairs = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
-    known = resolve_paths(
-        reference_paths(pairs), manifest, settings.pair_dir, locate=False
-    ).withColumn("ok", F.lit(True))
-    both = resolve_pairs(pairs, known)
+    refs = stage(reference_paths(pairs), "references")
+    known = stage(resolve_paths(refs, manifest, settings.pair_dir, locate=False), "resolved")
+    both = resolve_pairs(pairs, known.withColumn("ok", F.lit(True)), refs)
     flags = [f"coalesce({s}_ok, false) AS {s}_ok" for s in ("input", "output")]
     return both.selectExpr(*[c for c in both.columns if not c.endswith("_ok")], *flags)
 

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.paths import base_name, canonical_path, collapse_path, dir_name, path_variants
 from pairloom.functions.text import casefold
+from pairloom.operators.skew import SAMPLE, hot_keys, skew_left_join
 
 # Folders tried after the root itself, and the task folders of the last resort.
 SINGLE, MULTI = "Singleturn", "Multiturn"
@@ -120,8 +121,14 @@ def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True
     return _folded(rows)
 
 
-def match_lookups(lookups: DataFrame, index: DataFrame, pair_dir: str = PAIR_DIR) -> DataFrame:
-    """First hit per reference, with the exact and the smallest folded spelling."""
+def match_lookups(
+    lookups: DataFrame, index: DataFrame, hot: DataFrame, pair_dir: str = PAIR_DIR
+) -> DataFrame:
+    """First hit per reference, with the exact and the smallest folded spelling.
+
+    Many references may share the tail by which siblings are found, so keys
+    with many lookups are joined apart.
+    """
     names = dict(_folders(pair_dir))
     in_task = f"concat('{SINGLE}/', task, '/')"
     tried = []
@@ -130,7 +137,8 @@ def match_lookups(lookups: DataFrame, index: DataFrame, pair_dir: str = PAIR_DIR
         hit = f"struct(base + {place} AS rank, {folder} AS folder, in_{place} AS lo)"
         tried.append(f"IF(places > {place} AND in_{place} IS NOT NULL, {hit}, NULL)")
     parent = f"concat(hit.folder, left(key, length(key) - length({base_name('key')})))"
-    hits = lookups.join(index, ["kind", "key"]).selectExpr("ref", "key", "want", f"coalesce({', '.join(tried)}) AS hit")
+    hits = skew_left_join(lookups, index, ["kind", "key"], hot, ["ref"])
+    hits = hits.selectExpr("ref", "key", "want", f"coalesce({', '.join(tried)}) AS hit")
     return (
         hits.filter("hit IS NOT NULL")
         .selectExpr("ref", "hit.rank", f"{parent} AS parent", "want", "hit.lo")
@@ -156,12 +164,18 @@ def resolve_paths(
     With ``locate`` the result carries the spelling on disk and the other
     manifest columns; without, only the fact that the reference resolves.
     """
-    refs = refs.filter("ref IS NOT NULL").select("ref").distinct()
+    if "n" not in refs.columns:
+        refs = _counted(refs)
+    # Reading the count keeps this plan the same as that of the hot references.
+    refs = refs.filter("n > 0").select("ref")
     if not locate:
         manifest = manifest.select("path")
     extra = [c for c in manifest.columns if c != "path"]
     index = file_index(manifest, pair_dir, sibling)
-    hits = match_lookups(path_lookups(refs, pair_dir, sibling), index, pair_dir)
+    some = path_lookups(refs.sample(1 / SAMPLE, seed=0), pair_dir, sibling)
+    some = some.groupBy("kind", "key").agg(F.count("*").alias("n"))
+    hot = hot_keys(some, ["kind", "key"], SAMPLE)
+    hits = match_lookups(path_lookups(refs, pair_dir, sibling), index, hot, pair_dir)
     if not locate:
         return hits.select("ref")
     here = ", ".join(["true AS found", *extra])
@@ -178,28 +192,29 @@ def resolve_paths(
     )
 
 
-def reference_paths(pairs: DataFrame) -> DataFrame:
-    """Distinct references of both sides of all pairs."""
-    return pairs.selectExpr("explode(array(input_ref, output_ref)) AS ref").filter("ref IS NOT NULL").distinct()
+def _counted(refs: DataFrame) -> DataFrame:
+    return refs.filter("ref IS NOT NULL").groupBy("ref").agg(F.count("*").alias("n"))
 
 
-def attach_side(pairs: DataFrame, known: DataFrame, side: str) -> DataFrame:
-    """Join what is known about one side's reference to the pairs.
+def reference_paths(pairs: DataFrame) -> DataFrame:
+    """Distinct references of both sides of all pairs, with the number of their uses."""
+    return _counted(pairs.selectExpr("explode(array(input_ref, output_ref)) AS ref"))
 
-    Null references would all meet in one task, so each gets a key of its own
-    that matches nothing.
-    """
-    apart = "concat('\\u0000', xxhash64(file, part, row_index, turn_pos))"
-    right = known.selectExpr(
-        "ref AS _key", *[f"{c} AS {side}_{c}" for c in known.columns if c != "ref"]
-    )
-    keyed = pairs.selectExpr("*", f"coalesce({side}_ref, {apart}) AS _key")
-    return keyed.join(right, "_key", "left").drop("_key")
 
+def resolve_pairs(pairs: DataFrame, known: DataFrame, refs: DataFrame) -> DataFrame:
+    """Both sides of every pair with what is known about their references.
 
-def resolve_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """Both sides of every pair with what is known about their references."""
-    return attach_side(attach_side(pairs, known, "input"), known, "output")
+    ``refs`` holds the use counts; one image may be the input of most pairs.
+    The resolved path comes back as ``<side>_found``, other columns under their names.
+    """
+    known = known.withColumnRenamed("path", "found")
+    values = [c for c in known.columns if c != "ref"]
+    for side in ("input", "output"):
+        key = f"{side}_ref"
+        hot = hot_keys(refs, ["ref"]).selectExpr(f"ref AS {key}")
+        right = known.selectExpr(f"ref AS {key}", *[f"{c} AS {side}_{c}" for c in values])
+        pairs = skew_left_join(pairs, right, [key], hot, ["file", "part", "row_index", "turn_pos"])
+    return pairs
 
 
 def file_manifest(listing: DataFrame) -> DataFrame:

@@ -56,13 +56,13 @@ def audit(
     return {"files": stats, "examples": audit_examples(audited, settings)}
 
 
-def check_references(pairs: DataFrame, manifest: DataFrame, settings: PathSettings, root: str = "") -> DataFrame:
+def check_references(refs: DataFrame, manifest: DataFrame, settings: PathSettings, root: str = "") -> DataFrame:
     """What is known of each distinct reference: path, size, location, decodability.
 
     The manifest needs path, size and segments. Each file is decoded once,
     however many pairs name it.
     """
-    known = resolve_paths(reference_paths(pairs), manifest, settings.pair_dir)
+    known = resolve_paths(refs, manifest, settings.pair_dir)
     known = stage(known.select("ref", "path", "size", "segments"), "resolved")
     files = known.filter("size > 0").groupBy("path").agg(
         F.first("segments").alias("segments"), F.max("size").alias("size")
@@ -77,7 +77,9 @@ def build_pairs(
 ) -> DataFrame:
     """Every strict pair with its build status and the location of both images."""
     pairs = rewrite_pairs(emit_pairs(rows), settings)
-    return build_status(resolve_pairs(pairs, check_references(pairs, manifest, settings, root)))
+    slim = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
+    refs = stage(reference_paths(slim), "references")
+    return build_status(resolve_pairs(pairs, check_references(refs, manifest, settings, root), refs))
 
 
 @dataclass

@@ -240,10 +240,15 @@ def _pairs(spark: SparkSession, sf: str) -> DataFrame:
     return slices.rewrite_pairs(pair_ops.emit_pairs(src.list_rows(spark, sf)), src.SETTINGS)
 
 
+def _refs(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = pair_ops.emit_pairs(src.list_rows(spark, sf), prompts=False)
+    return res.reference_paths(slices.rewrite_pairs(pairs, src.SETTINGS))
+
+
 @query
 def resolve_exact(spark: SparkSession, sf: str) -> DataFrame:
     """References whose first hit has the spelling asked for."""
-    refs = res.reference_paths(_pairs(spark, sf))
+    refs = _refs(spark, sf)
     found = res.resolve_paths(refs, src.files_on_disk(spark, sf), sibling=False)
     same = F.substring_index("ref", "/", -1) == F.substring_index("path", "/", -1)
     return found.filter(same).select("ref", "path")
@@ -252,7 +257,7 @@ def resolve_exact(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def resolve_casefold(spark: SparkSession, sf: str) -> DataFrame:
     """References whose first hit differs in case."""
-    refs = res.reference_paths(_pairs(spark, sf))
+    refs = _refs(spark, sf)
     found = res.resolve_paths(refs, src.files_on_disk(spark, sf), sibling=False)
     same = F.substring_index("ref", "/", -1) == F.substring_index("path", "/", -1)
     return found.filter(~same).select("ref", "path")
@@ -261,23 +266,24 @@ def resolve_casefold(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def resolve_sibling(spark: SparkSession, sf: str) -> DataFrame:
     """References found only under another task folder."""
-    refs = res.reference_paths(_pairs(spark, sf))
+    refs = _refs(spark, sf)
     found = res.resolve_paths(refs, src.files_on_disk(spark, sf))
     return found.filter(F.col("rank") >= res.SIBLING_BASE).select("ref", "path")
 
 
 @query
 def resolve_paths(spark: SparkSession, sf: str) -> DataFrame:
-    refs = res.reference_paths(_pairs(spark, sf))
+    refs = _refs(spark, sf)
     found = res.resolve_paths(refs, src.files_on_disk(spark, sf))
-    return refs.join(found.select("ref", "path", "size"), "ref", "left")
+    return refs.select("ref").join(found.select("ref", "path", "size"), "ref", "left")
 
 
 @query
 def resolve_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = _pairs(spark, sf)
-    found = res.resolve_paths(res.reference_paths(pairs), src.files_on_disk(spark, sf))
-    both = res.resolve_pairs(pairs, found.select("ref", F.col("path").alias("found")))
+    refs = stage(_refs(spark, sf), "references")
+    found = stage(res.resolve_paths(refs, src.files_on_disk(spark, sf)), "resolved")
+    both = res.resolve_pairs(pairs, found.select("ref", "path"), refs)
     return both.select("file", "row_index", "turn_pos", "input_found", "output_found")
 
 
@@ -325,8 +331,9 @@ def audit_examples_(spark: SparkSession, sf: str) -> DataFrame:
 
 def _built(spark: SparkSession, sf: str) -> DataFrame:
     pairs = _pairs(spark, sf)
-    known = res.resolve_paths(res.reference_paths(pairs), src.manifest(spark, sf).select("path", "size", "valid"))
-    return shards.build_status(res.resolve_pairs(pairs, known.select("ref", "size", "valid")))
+    refs = stage(_refs(spark, sf), "references")
+    known = stage(res.resolve_paths(refs, src.manifest(spark, sf).select("path", "size", "valid")), "resolved")
+    return shards.build_status(res.resolve_pairs(pairs, known.select("ref", "size", "valid"), refs))
 
 
 @query
