@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions.paths import base_name, canonical_path, dir_name
 from pairloom.runtime import spread, stage
-from pairloom.sources.files import SEGMENTS, SegmentReader, join_path, open_fs
+from pairloom.sources.files import SEGMENTS, SegmentReader, batches_of, join_path, open_fs
 
 # Fixed value: end of the name of one part of a split archive.
 SPLIT_NAME = r"r'[^/]\.tar\.split\.[0-9]+\z'"
@@ -258,22 +258,25 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
     return kept.selectExpr("archive", "whole", path, "member", "size", "segments", "start AS offset", "state")
 
 
+MEMBER_BYTES = ["archive", "member", "size", "payload"]
+
+
+def _stream(root: str, task) -> Iterator[tuple]:
+    f = _Joined(root, task["parts"])
+    try:
+        with tarfile.open(fileobj=io.BufferedReader(f, 4 << 20), mode="r|*") as tar:
+            for m in tar:
+                if m.isreg():
+                    data = tar.extractfile(m).read()
+                    yield task["archive"], _text(m.name), len(data), data
+    except (tarfile.TarError, OSError, EOFError):
+        return
+
+
 def _unpack(root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for task in batch.to_dict("records"):
-                f = _Joined(root, task["parts"])
-                try:
-                    with tarfile.open(fileobj=io.BufferedReader(f, 4 << 20), mode="r|*") as tar:
-                        for m in tar:
-                            if m.isreg():
-                                data = tar.extractfile(m).read()
-                                yield pd.DataFrame(
-                                    [[task["archive"], _text(m.name), len(data), data]],
-                                    columns=["archive", "member", "size", "payload"],
-                                )
-                except (tarfile.TarError, OSError, EOFError):
-                    continue
+        rows = (row for batch in batches for task in batch.to_dict("records") for row in _stream(root, task))
+        yield from batches_of(rows, MEMBER_BYTES)
 
     return run
 
@@ -289,10 +292,12 @@ def scan_compressed(archives: DataFrame, index: DataFrame, root: str = "") -> Da
 def _payload(root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = SegmentReader(root)
-        for batch in batches:
-            for row in batch.to_dict("records"):
-                row["payload"] = reader.read(row.pop("segments"))
-                yield pd.DataFrame([row])
+        rows = (
+            (r.archive, r.member, r.bytes, reader.read(r.segments))
+            for batch in batches
+            for r in batch.rename(columns={"size": "bytes"}).itertuples(index=False)
+        )
+        yield from batches_of(rows, MEMBER_BYTES)
 
     return run
 

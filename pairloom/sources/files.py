@@ -1,7 +1,9 @@
 """File access inside tasks, through Arrow's filesystems."""
 
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyarrow import fs
 
 LOCAL = fs.LocalFileSystem()
@@ -52,3 +54,16 @@ class SegmentReader:
                 return None
             out.append(data)
         return b"".join(out)
+
+
+def batches_of(rows: Iterator[tuple], columns: list[str], max_bytes: int = 16 << 20) -> Iterator[pd.DataFrame]:
+    """Rows that end in their bytes, in frames of bounded size."""
+    batch, size = [], 0
+    for row in rows:
+        batch.append(row)
+        size += 512 + len(row[-1] or b"")
+        if size >= max_bytes:
+            yield pd.DataFrame(batch, columns=columns)
+            batch, size = [], 0
+    if batch:
+        yield pd.DataFrame(batch, columns=columns)

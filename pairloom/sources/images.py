@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.sources.files import SegmentReader
+from pairloom.sources.files import SegmentReader, batches_of
 
 try:
     from PIL import Image
@@ -102,9 +102,8 @@ def image_validity(located: DataFrame, root: str = "") -> DataFrame:
 def _read(root: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = SegmentReader(root)
-        for batch in batches:
-            for path, segments in zip(batch.path, batch.segments):
-                yield pd.DataFrame({"path": [path], "content": [reader.read(segments) or None]})
+        rows = ((p, reader.read(s) or None) for batch in batches for p, s in zip(batch.path, batch.segments))
+        yield from batches_of(rows, ["path", "content"])
 
     return run
 

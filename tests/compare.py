@@ -15,10 +15,10 @@ sys.path.insert(0, str(ROOT))
 import __spark_entry__ as entry  # noqa: E402
 
 
-def session(cores: str = "8") -> SparkSession:
+def session(cores: str = "8", shuffles: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", shuffles)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

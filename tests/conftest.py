@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    spark = session("8")
+    spark = session("8", shuffles="4")
     ship_package(spark)
     return spark
 

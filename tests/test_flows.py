@@ -123,8 +123,7 @@ def expected_shards(per_shard, per_file=False):
     return shards
 
 
-@pytest.mark.parametrize("per_file", [False, True])
-@pytest.mark.parametrize("source", ["tree", "archives"])
+@pytest.mark.parametrize(("source", "per_file"), [("tree", False), ("archives", True)])
 def test_build_and_verify(spark, root, packed, tmp_path, source, per_file):
     rows, layouts = scan(spark, root)
     manifest = tree_manifest(spark, root) if source == "tree" else archive_manifest(spark, packed)
