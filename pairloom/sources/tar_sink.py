@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -29,13 +30,15 @@ class Written(WriterCommitMessage):
 class TarShardWriter(DataSourceWriter):
     """Writes one tar per shard; rows arrive grouped by shard and in index order.
 
-    A shard is written under a temporary name and then renamed. The same rows
-    give the same bytes, so a repeated task replaces a shard by its equal.
+    A shard is written under a temporary name and then renamed, and one that
+    exists is left alone unless ``overwrite`` is set. The same rows give the
+    same bytes, so it does not matter which attempt of a task wrote a shard.
     """
 
     def __init__(self, options: dict) -> None:
         self.out = options["path"].rstrip("/")
         self.root = options.get("root", "")
+        self.overwrite = options.get("overwrite", "false") == "true"
         self.reencode = options.get("reencode", "false") == "true"
         self.quality = int(options.get("quality", JPEG_QUALITY))
         self.max_side = int(options.get("maxside", MAX_SIDE))
@@ -44,6 +47,8 @@ class TarShardWriter(DataSourceWriter):
         reader, shards = SegmentReader(self.root), 0
         for name, samples in groupby(rows, lambda r: r.shard_name):
             files, path = open_fs(f"{self.out}/{name}")
+            if not self.overwrite and files.get_file_info(path).type == fs.FileType.File:
+                continue
             folder, _, base = path.rpartition("/")
             files.create_dir(folder, recursive=True)
             part = f"{folder}/.{base}.{uuid.uuid4().hex}"

@@ -150,6 +150,11 @@ def test_resume_writes_only_what_is_missing(spark, root, tmp_path):
     assert not list(out.glob(".*"))
     with tarfile.open(out / "shard-00003.tar") as tar:
         assert [m.name for m in tar] == [n for n, _ in want["shard-00003.tar"]]
+    # Existing shards are replaced on request only.
+    flows.build(rows, manifest, str(out), root=str(root), samples_per_shard=10)
+    assert (out / "shard-00000.tar").read_bytes() == b"left alone"
+    flows.build(rows, manifest, str(out), root=str(root), samples_per_shard=10, overwrite="true")
+    assert read_tars(out) == want
 
 
 def test_same_input_gives_same_bytes(spark, root, tmp_path):
