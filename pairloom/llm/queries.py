@@ -1,10 +1,10 @@
 """The ten operators over whole tables, and the pipeline."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import packing, resharding
+from pairloom.llm import language, packing, resharding, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def fold(folds: int) -> Column:
+    """Remainder of crc32 of doc_id as text; 0 for a null doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds, F.lit(0))
+
+
+@query
+def op3_zstd_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.learn(docs.where(fold(4) != 2))
+    return language.identify(docs.withColumn("held_out", fold(4) == 2), model, ["doc_id", "held_out"])
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf, "documents"), RANKS)
@@ -35,3 +47,11 @@ def op8_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
     docs = docs.selectExpr("doc_id", "size", "crc32(coalesce(text, '')) AS text_crc32", "old_shard", "block")
     placed = resharding.reshard(docs, [1] * NEW_SHARDS, OLD_SHARDS, ["doc_id", "text_crc32", "size"])
     return placed.selectExpr("doc_id", "size", "text_crc32", "'bytes' AS law", "shard", "slot", "CAST(NULL AS INT) AS grown_shard", "old_shard")
+
+
+@query
+def op10_kneser_ney_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.learn(docs, table(spark, sf, "labels").where(fold(5) != 0), fold(5) == 4)
+    scored = toxicity.score(docs.withColumn("held_out", fold(5) == 0), model, ["doc_id", "held_out"])
+    return scored.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", "mean_ratio", "top_ratio")
