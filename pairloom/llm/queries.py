@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import language, packing, resharding, toxicity
+from pairloom.llm import language, packing, resharding, secrets, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -49,9 +49,17 @@ def op8_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
     return placed.selectExpr("doc_id", "size", "text_crc32", "'bytes' AS law", "shard", "slot", "CAST(NULL AS INT) AS grown_shard", "old_shard")
 
 
+@query
+def op9_markov_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = secrets.find(docs.select("doc_id", "text"), secrets.learn(docs))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {k})) AS LONG) AS n_{kind}") for k, kind in enumerate(secrets.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secrets.as_text("base"), 256).alias("base_sha256"), secrets.as_text("spans").alias("spans"))
+
+
 @query
 def op10_kneser_ney_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = toxicity.learn(docs, table(spark, sf, "labels").where(fold(5) != 0), fold(5) == 4)
     scored = toxicity.score(docs.withColumn("held_out", fold(5) == 0), model, ["doc_id", "held_out"])
-    return scored.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", "mean_ratio", "top_ratio")
+    return scored.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", *toxicity.RATIOS)

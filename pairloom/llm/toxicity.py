@@ -17,9 +17,14 @@ from pairloom.runtime import stage
 
 ROWS = 20_000  # labelled rows a class for the counts, and as many in all for the calibration
 ENTRIES = 1_000_000  # n-grams of the model; beyond, the rarest back off as well
-RARE = 3  # n-grams with no more occurrences back off entirely
+RARE = 3  # words with no more continuations in either class back off entirely
+RARE_PAIRS = 20  # and pairs of words
 DISCOUNT = 1.5  # taken from the others
 WINDOW = 32  # words
+EVIDENCE = 1.5  # log ratio from which a word speaks for itself; weaker ones mostly tell how languages and topics are mixed in the classes
+SCALES = (5, 50, 10)  # bring the features of ordinary and toxic texts to about 0 to 5
+LIMIT = 10
+RATIOS = ["mean_ratio", "telling_ratio", "window_ratio"]
 
 
 @dataclass
@@ -47,18 +52,19 @@ class Model:
         return np.log(p[:, 0]) - np.log(p[:, 1])
 
     def features(self, texts: list) -> np.ndarray:
-        """Per text: the mean log ratio a word, and the largest mean of a window of words; 0 without words."""
+        """Per text: the mean log ratio a word, the same of telling words alone, and the largest mean of these in a window; 0 without words."""
         words = Words(texts)
-        out = np.zeros((len(texts), 2))
+        out = np.zeros((len(texts), 3))
         if not len(words.starts):
             return out
-        total = np.r_[0.0, np.cumsum(self.ratios(words.hashes(), words.doc))]
+        ratios = self.ratios(words.hashes(), words.doc)
         first, n = words.first[:-1], words.count
         some = n > 0
-        out[some, 0] = (total[first + n] - total[first])[some] / n[some]
+        all_words, telling = (np.r_[0.0, np.cumsum(r)] for r in (ratios, np.where(np.abs(ratios) >= EVIDENCE, ratios, 0.0)))
+        for k, total in enumerate((all_words, telling)):
+            out[some, k] = (total[first + n] - total[first])[some] / n[some]
         ends = np.minimum(np.arange(len(words.starts)) + WINDOW, (first + n)[words.doc])
-        means = (total[ends] - total[:-1]) / WINDOW
-        out[some, 1] = np.maximum.reduceat(means, first[some])
+        out[some, 2] = np.maximum.reduceat((telling[ends] - telling[:-1]) / WINDOW, first[some])
         return out
 
     def scores(self, features: np.ndarray) -> np.ndarray:
@@ -71,7 +77,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def _design(features: np.ndarray) -> np.ndarray:
-    return np.column_stack([features * (10, 1), np.ones(len(features))])
+    return np.column_stack([np.clip(features * SCALES, -LIMIT, LIMIT), np.ones(len(features))])
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -99,7 +105,7 @@ def count_pairs(labelled: DataFrame) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, calibrate: Column) -> Model | None:
-    """Model from the docs that ``labels`` marks; rows with ``calibrate`` only fit the two weights of the score.
+    """Model from the docs that ``labels`` marks; rows with ``calibrate`` only fit the weights of the score.
 
     Sampled by hash of doc_id, as many ordinary as toxic rows. None if a class is missing.
     """
@@ -119,10 +125,10 @@ def learn(docs: DataFrame, labels: DataFrame, calibrate: Column) -> Model | None
     model = _smooth(pairs)
     if model is None:
         return None
-    model.weights = np.array([1.0, 0.0, 0.0])
-    found = score(sample.where("calibrate"), model, ["toxic"]).select("mean_ratio", "top_ratio", "toxic").toPandas()
+    model.weights = np.array([0.0, 1.0, 0.0, -1.0])
+    found = score(sample.where("calibrate"), model, ["toxic"]).select(*RATIOS, "toxic").toPandas()
     if found.toxic.nunique() == 2:
-        model.weights = _logistic(found[["mean_ratio", "top_ratio"]].to_numpy(), found.toxic.to_numpy())
+        model.weights = _logistic(found[RATIOS].to_numpy(), found.toxic.to_numpy())
     return model
 
 
@@ -135,16 +141,16 @@ def _smooth(pairs: DataFrame) -> Model | None:
     totals = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.sum("before").alias("before"), F.count("*").alias("types")).first()
     if not totals.n1 or not totals.n0:
         return None
-    rare = RARE
-    while (size := words.where(kept > rare).count() + wide.where(kept > rare).count()) > ENTRIES:
-        rare = rare * size // ENTRIES + 1
+    rare, rare_pairs = RARE, RARE_PAIRS
+    while (size := words.where(kept > rare).count() + wide.where(kept > rare_pairs).count()) > ENTRIES:
+        rare, rare_pairs = rare * size // ENTRIES + 1, rare_pairs * size // ENTRIES + 1
     uni = words.where(kept > rare).toPandas()
-    bi = wide.where((kept > rare) & (F.col("u") != 0)).toPandas()
+    bi = wide.where((kept > rare_pairs) & (F.col("u") != 0)).toPandas()
     if uni.empty:
         return None
     n, big = uni[["n1", "n0"]].to_numpy(float), np.array([totals.n1, totals.n0], dtype=float)
     shared = (uni["before"].to_numpy() + 0.5) / (totals.before + 0.5 * (totals.types + 1))
-    own = np.where(n > rare, n - DISCOUNT, 0) / big
+    own = np.maximum(n - DISCOUNT, 0) / big
     p = own + (1 - own.sum(0)) * shared[:, None]
     order = np.argsort(uni.w.to_numpy().view(np.uint64))
     keys = uni.w.to_numpy().view(np.uint64)[order]
@@ -152,7 +158,7 @@ def _smooth(pairs: DataFrame) -> Model | None:
     m, u = bi[["n1", "n0"]].to_numpy(float), bi.u.to_numpy().view(np.uint64)
     at, known = _find(keys, u)
     at, m, u, bi = at[known], m[known], u[known], bi[known]
-    taken = np.where(m > rare, m - DISCOUNT, 0)
+    taken = np.maximum(m - DISCOUNT, 0)
     used = np.zeros_like(p)
     np.add.at(used, at, taken)
     follow = pairs.groupBy("u").agg(*by_class).fillna(0)  # all that follows a word
@@ -181,7 +187,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 30, ridge: float = 1e-3
 
 
 def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns and mean_ratio, top_ratio, score (0 to 1) of each whole text.
+    """``keep`` columns, ``RATIOS`` and score (0 to 1) of each whole text.
 
     Null and empty texts have ratios of 0; without a model every score is 0.
     Repeated rows stay, extra columns go.
@@ -193,10 +199,10 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
         for whole in batches:
             for batch in chunks(whole, "__text"):
                 texts = batch.column("__text").to_pylist()
-                x = own.features(texts) if own else np.zeros((len(texts), 2))
+                x = own.features(texts) if own else np.zeros((len(texts), 3))
                 y = own.scores(x) if own else np.zeros(len(texts))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *map(pa.array, (x[:, 0].copy(), x[:, 1].copy(), y))], names=[*keep, "mean_ratio", "top_ratio", "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(c) for c in (*x.T.copy(), y))], names=[*keep, *RATIOS, "score"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{schema}, mean_ratio double, top_ratio double, score double")
+    return rows.mapInArrow(run, f"{schema}, {', '.join(f'{c} double' for c in RATIOS)}, score double")
