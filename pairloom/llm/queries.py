@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import language, packing, resharding, secrets, toxicity
+from pairloom.llm import jaccard, language, packing, resharding, secret_scan, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,11 @@ def op3_zstd_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(docs.withColumn("held_out", fold(4) == 2), model, ["doc_id", "held_out"])
 
 
+@query
+def op5_jaccard_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf, "documents"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf, "documents"), RANKS)
@@ -52,9 +57,9 @@ def op8_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_markov_secrets(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    found = secrets.find(docs.select("doc_id", "text"), secrets.learn(docs))
-    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {k})) AS LONG) AS n_{kind}") for k, kind in enumerate(secrets.KINDS[:3])]
-    return found.select("doc_id", *counts, F.sha2(secrets.as_text("base"), 256).alias("base_sha256"), secrets.as_text("spans").alias("spans"))
+    found = secret_scan.find(docs.select("doc_id", "text"), secret_scan.learn(docs))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {k})) AS LONG) AS n_{kind}") for k, kind in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.as_text("base"), 256).alias("base_sha256"), secret_scan.as_text("spans").alias("spans"))
 
 
 @query
