@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import jaccard, language, packing, resharding, secret_scan, toxicity
+from pairloom.llm import jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,12 @@ def fold(folds: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds, F.lit(0))
 
 
+@query
+def op1_elias_fano_lm(spark: SparkSession, sf: str) -> DataFrame:
+    scored, _ = lm_trie.score(table(spark, sf, "documents"), fold(5) != 1)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op3_zstd_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
