@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
+from pairloom.llm import hamming, jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
+from pairloom.runtime import stage
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,6 +52,13 @@ def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+@query
+def op7_multi_index_hamming(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries: every vector whose id is divisible by 20; the vector itself is among its neighbours."""
+    codes = stage(hamming.sign_codes(table(spark, sf, "embeddings")), "codes")
+    return hamming.nearest(codes, codes.where("vec_id % 20 = 0"))
+
+
 @query
 def op8_flow_resharding(spark: SparkSession, sf: str) -> DataFrame:
     """Old shards hold whole sources, so that one of them is far too large."""
