@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import hamming, jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
+from pairloom.llm import decontaminate, hamming, jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
 from pairloom.runtime import stage
 
 QUERIES: dict = {}
@@ -34,6 +34,12 @@ def op1_elias_fano_lm(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op2_latent_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Only documents that hold an item have rows, one an item."""
+    return decontaminate.matches(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op3_zstd_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
