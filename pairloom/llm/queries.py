@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, hamming, jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
+from pairloom.llm import decontaminate, hamming, html_tree, jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
 from pairloom.runtime import stage
 
 QUERIES: dict = {}
@@ -47,15 +47,25 @@ def op3_zstd_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(docs.withColumn("held_out", fold(4) == 2), model, ["doc_id", "held_out"])
 
 
+@query
+def op4_tree_html(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages")
+    return html_tree.extract(pages, html_tree.learn(pages), ["page_id", "url"])
+
+
 @query
 def op5_jaccard_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf, "documents"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    placed = packing.pack_documents(docs, RANKS)
+    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
-    packed = packing.pack_documents(table(spark, sf, "documents"), RANKS)
-    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    return packed(table(spark, sf, "documents"))
 
 
 @query
@@ -88,3 +98,10 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     model = toxicity.learn(docs, table(spark, sf, "labels").where(fold(5) != 0), fold(5) == 4)
     scored = toxicity.score(docs.withColumn("held_out", fold(5) == 0), model, ["doc_id", "held_out"])
     return scored.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", *toxicity.RATIOS)
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
