@@ -81,7 +81,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = K, segments: int = SE
         probes = open_.select("query", "bound", cut("query")).select("query", "bound", "at.*", F.explode(F.array(*map(F.lit, masks(width, radius)))).alias("flip"))
         probes = probes.selectExpr("query", "bound", "segment", "bucket ^ flip AS bucket")
         distance = F.bit_count(F.col("query").bitwiseXOR(F.col("code")))
-        hits = probes.join(index, ["segment", "bucket"]).where(fresh & (distance <= F.col("bound"))).select("query", "code", "copies", distance.alias("distance"))
+        hits = probes.hint("merge").join(index.hint("merge"), ["segment", "bucket"]).where(fresh & (distance <= F.col("bound"))).select("query", "code", "copies", distance.alias("distance"))
         if best is not None:
             hits = hits.unionByName(best.join(open_, "query", "left_semi"))
         hits = stage(hits, "hits")
