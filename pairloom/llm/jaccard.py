@@ -21,10 +21,12 @@ from pairloom.runtime import stage
 
 SIZE = 4
 PERCENT = 85
-SAMPLE_ROWS = 20_000  # documents from which common shingles are learned; this orders shingles and affects speed only
+SAMPLE_ROWS = 10_000  # documents from which common shingles are learned; this orders shingles and affects speed only
 COMMON = 200_000  # common shingles at most
 COMMON_FROM = 3
 TILE = 512  # classes a side
+SHORT_WORDS = 32  # 64-bit words of a bitmap at most where it stands beside every prefix shingle
+FILTER_BITS = 24  # log2 of the bits of the filter that picks the documents to compare; 2 MB
 
 
 def shingle_sets(texts: list, size: int = SIZE) -> list[np.ndarray]:
@@ -55,8 +57,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Bits at the hashes' low ends, at least twice as many as hashes; the number is a power of two."""
-    width = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    """Bits at the hashes' low ends, at least as many as hashes; the number is a power of two."""
+    width = max(64, 1 << (len(hashes) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(mix(hashes) & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -67,6 +69,11 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
 
 
+def _short(bits: bytes) -> bytes:
+    words = np.frombuffer(bits, np.uint64)
+    return _fold(words, min(len(words), SHORT_WORDS)).tobytes()
+
+
 def prefix_length(n: int, percent: int) -> int:
     """A similar set holds at least percent * n / 100 of n elements, so it holds one of these many."""
     return n - -(-percent * n // 100) + 1 if n else 0
@@ -90,7 +97,7 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, common: np.ndarray, size: int, percent: int) -> DataFrame:
-    """(doc_id, n, h1, h2, prefix, bits): size and hash of the set, its rarest shingles, its bitmap."""
+    """(doc_id, n, h1, h2, prefix, bits, short): size and hash of the set, its rarest shingles, its bitmap, whole and folded."""
     by = np.argsort(common)
     shared = docs.sparkSession.sparkContext.broadcast((common[by], len(common) - by))
 
@@ -112,22 +119,41 @@ def signatures(docs: DataFrame, common: np.ndarray, size: int, percent: int) ->
                         rank = np.where(keys[at] == s, ranks[at], 0)
                     prefixes.append(s[np.argsort(rank, kind="stable")[: prefix_length(len(s), percent)]])
                 columns = [batch.column("doc_id"), pa.array(n), *(pa.array(np.ascontiguousarray(hashes[:, k]).view(np.int64)) for k in (0, 1))]
-                columns += [_lists(prefixes), pa.array([bitmap(s) for s in sets], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2", "prefix", "bits"])
+                maps = [bitmap(s) for s in sets]
+                columns += [_lists(prefixes), pa.array(maps, pa.binary()), pa.array([_short(m) for m in maps], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2", "prefix", "bits", "short"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, prefix array<long>, bits binary, short binary")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, prefix array<long>, bits binary")
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits at the hashes of all ids, a table of fixed size."""
+    at = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+    parts = ids.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
+    bits = np.zeros((1 << FILTER_BITS) + 32768, dtype=bool)
+    for r in parts:  # buckets count from 1; bucket 0 holds value 0
+        lo = (r.part - 1) * 32768
+        found = np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little"))
+        bits[found + lo + 1 if r.part else found] = True
+    return bits
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of class ids that are similar, by intersection of sorted arrays."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    """The pairs (a, b) of class ids that are similar, by intersection of sorted arrays.
+
+    Texts do not move: documents that a filter of ids may hold are shingled where they lie, and only their sets are shuffled.
+    """
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(id_filter(wanted)))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(shared.value).astype(bool)
         for whole in batches:
-            for batch in chunks(whole):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(shingle_sets(batch.column("text").to_pylist(), size))], names=["id", "s"])
+            for batch in chunks(whole.filter(pa.array(bits[whole.column("at").to_numpy()]))):
+                yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(shingle_sets(batch.column("text").to_pylist(), size))], names=["id", "s"])
 
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
+    texts = named.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)))
     sets = stage(texts.mapInArrow(shingle, "id long, s array<long>"), "sets")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,33 +169,53 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], names=["a", "b"])
 
     left = pairs.join(sets.selectExpr("id AS b", "s"), "b")
-    return left.join(sets.selectExpr("id AS a", "s AS t"), "a").mapInArrow(compare, "a long, b long")
+    return left.join(sets.selectExpr("id AS a", "s AS t"), "a").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _bound(n: np.ndarray, m: np.ndarray, bits: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of n and m elements may be similar; every bit that only one bitmap has is an element that only one set has."""
+    apart = np.bitwise_count(bits ^ other).sum(-1, dtype=np.int64)
+    most = (n + m - apart) // 2
+    return 100 * most >= percent * (n + m - most)
+
+
+def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and bitmaps do not rule out."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = np.zeros(batch.num_rows, dtype=bool)
+            for i, (n, m, x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True)):
+                if 100 * min(n, m) >= percent * max(n, m):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    words = min(len(x), len(y))
+                    good[i] = _bound(n, m, _fold(x, words), _fold(y, words), percent)
+            yield batch.filter(pa.array(good)).select(["a", "b"])
 
-def tile_pairs(batch: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one tile that may be similar. Rows: id, component, n, band, side, bits; ``band`` 0 or 1 within the tile."""
-    ids, comp, n, band, side = (batch.column(c).to_numpy() for c in ("id", "component", "n", "band", "side"))
-    raw = [np.frombuffer(b, dtype=np.uint64) for b in batch.column("bits").to_pylist()]
-    words = min(map(len, raw))
-    bits = np.stack([_fold(b, words) for b in raw])
-    first, second = [], []
+    left = pairs.join(classes.select(F.col("id").alias("b"), "n", F.col("bits").alias("x")), "b")
+    return left.join(classes.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("y")), "a").mapInArrow(run, "a long, b long")
+
+
+def tile_pairs(ids, comp, n, band, side, raw: list[bytes], percent: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs of one tile that may be similar; ``band`` is 0 or 1 within the tile, ``side`` 2 if the tile is one block."""
+    first, second, bits = [], [], None
     for i in range(len(ids)):
         ok = (ids > ids[i]) & (comp != comp[i]) & ((band == 0) | (band[i] == 0)) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
-        ok &= (side != side[i]) | (side == 2)
-        at = np.flatnonzero(ok)
+        at = np.flatnonzero(ok & ((side != side[i]) | (side == 2)))
         if not len(at):
             continue
-        apart = np.bitwise_count(bits[at] ^ bits[i]).sum(1, dtype=np.int64)  # elements that only one set has, at least
-        most = (n[at] + n[i] - apart) // 2
-        at = at[100 * most >= percent * (n[at] + n[i] - most)]
+        if bits is None:
+            views = [np.frombuffer(b, dtype=np.uint64) for b in raw]
+            words = min(map(len, views))
+            bits = np.stack([_fold(v, words) for v in views])
+        at = at[_bound(n[at], n[i], bits[at], bits[i], percent)]
         first.append(np.full(len(at), ids[i]))
         second.append(ids[at])
-    none = np.zeros(0, dtype=np.int64)
-    return (np.concatenate(first), np.concatenate(second)) if first else (none, none)
+    return first, second
 
 
-def tiles(rows: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of ``rows(token, id, component, n, bits)``.
+def tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of ``rows(token, id, component, n)``; ``classes`` has the bitmaps.
 
     A tile has one token and two neighbouring size bands. Large tiles are cut
     into blocks, and every pair of blocks is a tile of its own, so no task holds a whole group.
@@ -180,21 +226,53 @@ def tiles(rows: DataFrame, percent: int) -> DataFrame:
     counts = counts.where("c0 <> c1 AND lowest = 0").select("token", "tile", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
     cut = banded.join(counts, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cut = cut.select("token", "tile", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "n", "bits",
+    cut = cut.select("token", "tile", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "n",
                      (F.col("size_band") - F.col("tile")).cast("int").alias("band"), F.expr("CASE WHEN block = other THEN 2 WHEN block < other THEN 0 ELSE 1 END").alias("side"))
+    cut = cut.join(classes.select("id", F.col("short").alias("bits")), "id")
+
+    keys = ["token", "tile", "x", "y"]
+
+    def pairs(table: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        columns = [table.column(c).to_numpy() for c in ("id", "component", "n", "band", "side")]
+        raw, first, second = table.column("bits").to_pylist(), [], []
+        for lo, hi in zip(starts, np.r_[starts[1:], table.num_rows], strict=True):
+            a, b = tile_pairs(*(c[lo:hi] for c in columns), raw[lo:hi], percent)
+            first += a
+            second += b
+        none = [np.zeros(0, dtype=np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x + none)) for x in (first, second)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            starts = _starts(table, keys)
+            if len(starts) > 1:  # the last tile may go on in the next batch
+                yield pairs(table.slice(0, starts[-1]), starts[:-1])
+            rest = table.slice(starts[-1])
+        if rest is not None:
+            yield pairs(rest, np.zeros(1, dtype=np.int64))
+
+    return cut.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
-    def run(table: pa.Table) -> pa.Table:
-        a, b = tile_pairs(table, percent)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return cut.groupBy("token", "tile", "x", "y").applyInArrow(run, "a long, b long").distinct()
+def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:
+    new = np.zeros(table.num_rows, dtype=bool)
+    new[:1] = True
+    for k in keys:
+        c = table.column(k).to_numpy()
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
 
 
 def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; linked documents share the smallest doc_id.
 
     Texts without words are linked with nothing. Rows that repeat a doc_id or a
-    text are kept, and share a component with their copies if they have words.
+    text are kept; rows of one doc_id are one node, and copies of a text with words
+    share a component.
     Other columns are ignored; no rows give no rows. A null doc_id is not a
     component's name while another document can give one.
     """
@@ -202,9 +280,10 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     signed = stage(signatures(docs, common_shingles(docs, size), size, percent), "signed")
     some = signed.where("n > 0")
     classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
-    one = some.join(classes.where("id IS NOT NULL").select(F.col("id").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    tokens = one.select(F.explode("prefix").alias("token"), F.col("doc_id").alias("id"), "n")
-    shared = tokens.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("token")
+    one = some.select(F.col("doc_id").alias("id"), "n", "prefix", "bits", "short").join(classes.select("id"), "id", "left_semi")
+    one = stage(one, "classes")
+    tokens = one.select(F.explode("prefix").alias("token"), "id", "n")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     shared = stage(tokens.join(shared, "token"), "shared")
 
     width = math.log(100 / percent)
@@ -212,13 +291,13 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     hubs = banded.groupBy("token", "band").agg(F.min("id").alias("a"), F.count("*").alias("members")).where("members > 1")
     common = banded.join(hubs, ["token", "band"]).where("a <> id").groupBy("id", "a").agg(F.count("*").alias("c"))
     best = common.groupBy("id").agg(F.max(F.struct("c", F.negative("a").alias("a"))).alias("best"))
-    first = stage(verified(stage(best.selectExpr("-best.a AS a", "id AS b"), "pairs"), docs, size, percent), "links")
+    first = stage(verified(stage(bounded(best.selectExpr("-best.a AS a", "id AS b"), one, percent), "pairs"), docs, size, percent), "links")
     joined = stage(components(first), "joined")
 
     apart = shared.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_tokens = apart.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    rows = apart.join(open_tokens, "token").join(one.select(F.col("doc_id").alias("id"), "bits"), "id")
-    more = verified(stage(tiles(rows, percent), "pairs"), docs, size, percent)
+    met = stage(tiles(apart.join(open_tokens, "token"), one, percent), "met")
+    more = verified(stage(bounded(met, one, percent), "pairs"), docs, size, percent)
     final = components(first.union(more))
 
     names = classes.join(final, "id", "left").select("h1", "h2", F.coalesce("component", "id").alias("component"))
