@@ -8,7 +8,6 @@ back off where it has none. Nothing that grows with the corpus reaches the drive
 or a single task.
 """
 
-import io
 import mmap
 import tempfile
 from collections.abc import Iterator
@@ -16,174 +15,184 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.eliasfano import EliasFano, from_blob, to_blob
-from pairloom.llm.words import Words, chunks
+from pairloom.llm.words import Words, chain, chunks, mix
 from pairloom.runtime import stage
 
 ORDER = 3
-BLOCK_BYTES = 8 << 20
-SHARD_TOKENS = 3_000_000
+BLOCK_BYTES = 4 << 20
+SHARD_CHARS = 8_000_000  # characters of text a shard
+HOT = 500_000  # occurrences of a context from which its successors are dealt over all shards
 END = np.uint64(1)  # key of the end of a text, also the context of its first word
 PRIOR = {2: 50.0, 3: 5.0}  # weight of the shorter context, in occurrences
 LEVELS = 256  # quantised probabilities a shard
+ROWS = "block long, shard int, blob binary"
 
 
-def _crush(**arrays: np.ndarray) -> bytes:
+def _crush(*arrays: np.ndarray) -> bytes:
     """Compressed arrays; bytes of one significance lie together."""
-    out = io.BytesIO()
-    np.savez(out, **{f"{k}~{a.dtype.str}": np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T for k, a in arrays.items()})
-    return zstandard.compress(out.getvalue(), 3)
+    head = np.array([len(arrays), *(x for a in arrays for x in (ord(a.dtype.kind), a.itemsize, len(a)))], dtype=np.int64).tobytes()
+    body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.compress(head + body, 1)
+
+
+def _uncrush(blob: bytes) -> list[np.ndarray]:
+    raw = zstandard.decompress(blob)
+    count = int(np.frombuffer(raw, np.int64, 1)[0])
+    shape, at, out = np.frombuffer(raw, np.int64, 3 * count, 8).tolist(), 8 + 24 * count, []
+    for i in range(count):
+        kind, size, n = shape[3 * i : 3 * i + 3]
+        planes = np.frombuffer(raw, np.uint8, size * n, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(f"{chr(kind)}{size}"))
+        at += size * n
+    return out
 
 
-def _uncrush(blob: bytes) -> dict[str, np.ndarray]:
-    found = np.load(io.BytesIO(zstandard.decompress(blob)))
-    out = {}
-    for key in found.files:
-        name, kind = key.split("~")
-        out[name] = np.ascontiguousarray(found[key].T).reshape(-1).view(np.dtype(kind))
-    return out
+def _least(x: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the smallest type that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
+
+
+def _deal(by: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of the items by shard, and where each shard's part begins."""
+    order = np.argsort(by, kind="stable")
+    return order, np.searchsorted(by[order], np.arange(shards + 1))
+
 
+def _places(order: np.ndarray) -> np.ndarray:
+    back = np.empty(len(order), dtype=np.int64)
+    back[order] = np.arange(len(order))
+    return back
 
-def tokenize(docs: DataFrame, train: Column) -> DataFrame:
-    """Blocks of whole texts: block, ids, train, lengths, words, keys, counts.
 
-    ``words`` are positions in ``keys``, the hashes of the block's distinct words;
-    ``counts`` are their occurrences in training texts. Each text ends with ``END``.
+def tokenize(docs: DataFrame, train: Column, shards: int) -> DataFrame:
+    """Blocks of whole texts, in rows (block, shard, blob, ids).
+
+    A block's own row has shard -1; its blob holds, per text, whether it trains and
+    its tokens' number, and all tokens as positions in the block's distinct words,
+    which go to their shards with their occurrences in training texts. Each text ends with ``END``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
         for whole in batches:
             for batch in chunks(whole, limit=BLOCK_BYTES):
                 words = Words(batch.column("text").to_pylist())
                 n = words.count + 1
                 keys = np.full(int(n.sum()), END, dtype=np.uint64)
-                keys[np.arange(len(words.starts)) + words.doc] = np.maximum(words.hashes(), 2)
+                keys[np.arange(len(words.starts)) + words.doc] = np.maximum(words.hashes(), np.uint64(2))
                 train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
                 distinct, at = np.unique(keys, return_inverse=True)
-                counts = np.bincount(at[np.repeat(train, n)], minlength=len(distinct))
-                blob = _crush(train=train, n=n, words=at.astype(np.uint32))
-                lists = [pa.array([x.tolist()], pa.list_(pa.int64())) for x in (distinct.view(np.int64), counts)]
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column("id").to_pylist()], pa.list_(pa.int64())), pa.array([blob]), *lists], names=["ids", "blob", "keys", "counts"])
+                times = np.bincount(at[np.repeat(train, n)], minlength=len(distinct))
+                order, cuts = _deal(mix(distinct) % np.uint64(shards), shards)
+                rows = [(-1, _crush(train.view(np.uint8), _least(n), _least(_places(order)[at])))]
+                rows += [(s, _crush(distinct[order[lo:hi]], _least(times[order[lo:hi]]))) for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
+                ids = [batch.column("id").to_pylist()] + [None] * (len(rows) - 1)
+                numbers, blobs = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary()), pa.array(ids, pa.list_(pa.int64()))], names=["block", "shard", "blob", "ids"])
+                block += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"), train.alias("train"))
-    return rows.mapInArrow(run, "ids array<long>, blob binary, keys array<long>, counts array<long>").withColumn("block", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, f"{ROWS}, ids array<long>")
+
 
+def _table(shard: int, rows: list[tuple[int, bytes]]) -> pa.Table:
+    return pa.table({"block": pa.array([b for b, _ in rows], pa.int64()), "shard": pa.array([shard] * len(rows), pa.int32()), "blob": pa.array([b for _, b in rows], pa.binary())})
 
-def vocabulary(blocks: DataFrame) -> DataFrame:
-    """(key, c, word): occurrences in training texts, and dense numbers from 1, frequent words first."""
-    seen = blocks.select(F.explode(F.arrays_zip("keys", "counts")).alias("k")).select("k.keys", "k.counts").where("counts > 0")
-    counts = seen.groupBy(F.col("keys").alias("key")).agg(F.sum("counts").alias("c"))
-    ranked = stage(counts.repartitionByRange(F.desc("c"), "key").sortWithinPartitions(F.desc("c"), "key").withColumn("place", F.monotonically_increasing_id()), "ranked")
-    sizes = ranked.groupBy(F.shiftright("place", 33).alias("part")).count().orderBy("part").collect()  # one row a partition
-    before, starts = 1, {}
-    for r in sizes:
-        starts[r.part], before = before, before + r["count"]
-    start = F.element_at(F.create_map(*[F.lit(x) for kv in (starts or {0: 1}).items() for x in kv]), F.shiftright("place", 33))
-    return ranked.select("key", "c", (start + F.col("place").bitwiseAND((1 << 33) - 1)).alias("word"))
 
+def _serve_words(shards: int):
+    """For one shard of the vocabulary: count its words, number them, and answer each block. Block -1 gets the sums."""
+
+    def run(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        asked = [_uncrush(b) for b in table.column("blob").to_pylist()]
+        keys, at = np.unique(np.concatenate([k for k, _ in asked]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([t for _, t in asked])).astype(np.int64)
+        rank = _places(np.argsort(-counts, kind="stable"))
+        number = np.where(counts > 0, rank * shards + shard + 1, 0)
+        out, lo = [(-1, _crush(np.array([counts.sum(), (counts > 0).sum()], dtype=np.int64)))], 0
+        for block, (k, _) in zip(table.column("block").to_pylist(), asked, strict=True):
+            own = at[lo : lo + len(k)]
+            out.append((block, _crush(_least(number[own]), _least(counts[own]))))
+            lo += len(k)
+        return _table(shard, out)
 
-def numbered(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """(block, ids, blob, known): known holds word numbers and counts of the block's keys, 0 for unknown ones."""
-    asked = blocks.select("block", F.posexplode("keys").alias("at", "key")).join(words, "key", "left")
-    rows = asked.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", F.coalesce("word", F.lit(0)).alias("word"), F.coalesce("c", F.lit(0)).alias("c")))).alias("k"))
-    known = rows.select("block", F.col("k.word").alias("numbers"), F.col("k.c").alias("counts"))
-    return blocks.select("block", "ids", "blob").join(known, "block")
+    return run
 
 
 class Block:
     """A block's tokens in order: word, c (0 for unknown words), doc, place in the text, p (log10 so far), and context."""
 
-    def __init__(self, blob: bytes, numbers: np.ndarray, counts: np.ndarray, total: int, types: int):
-        own = _uncrush(blob)
-        self.train, self.n = own["train"], own["n"]
-        self.total, self.types = total, types
-        words = own["words"]
-        self.word, self.c = numbers.astype(np.uint64)[words], counts.astype(np.int64)[words]
+    def __init__(self, blob: bytes, shards: int, total: int, types: int):
+        train, n, self.at = _uncrush(blob)
+        self.train, self.n = train.astype(bool), n.astype(np.int64)
+        self.shards, self.total, self.types, self.order = shards, total, types, 0
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
-        first = np.cumsum(self.n) - self.n
-        self.place = np.arange(len(words)) - first[self.doc]
-        self.p = self.base = np.log10((self.c + 0.5) / (total + 0.5 * (types + 1)))
-        self.order = 1
-        ends = (first + self.n - 1)[self.doc]  # the end's number also opens a text
-        before = np.roll(self.word, 1)
-        self.context = np.where(self.place > 0, before, self.word[ends] if len(ends) else before)
-        self.context_n = np.where(self.place > 0, np.roll(self.c, 1), self.c[ends] if len(ends) else self.c)
-        self.opening = self.word[ends] if len(ends) else self.word
-
-    def asked(self, shards: int) -> dict[str, np.ndarray]:
-        """Distinct n-grams of known words and seen contexts, in order of shard, context and word."""
-        ask = np.flatnonzero((self.word > 0) & (self.context_n > 0))
-        context, word = self.context[ask], self.word[ask]
-        order = np.lexsort((word, context))
-        new = np.r_[True, (np.diff(context[order]) != 0) | (np.diff(word[order]) != 0)][: len(order)]
-        number = np.cumsum(new) - 1
-        at = np.zeros(len(self.word), dtype=np.int64) - 1
-        at[ask[order]] = number
-        one = ask[order[new]]
-        times = np.bincount(number[np.repeat(self.train, self.n)[ask[order]]], minlength=len(one))
-        context, word, context_n = self.context[one], self.word[one], self.context_n[one]
-        hot = context_n > SHARD_TOKENS // 4  # such a context's successors lie in several shards
-        shard = (_spread(np.where(hot, context * np.uint64(0x9E3779B97F4A7C15) + word, context)) % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        back = np.empty(len(by), dtype=np.int64)
-        back[by] = np.arange(len(by))
-        low = np.round(-self.p[one] * 1024).astype(np.uint16)
-        return {"at": np.where(at >= 0, back[at] if len(back) else at, -1), "shard": shard[by], "context": context[by], "word": word[by], "times": times[by], "context_n": context_n[by], "low": low[by]}
-
-    def requests(self, shards: int) -> Iterator[tuple[int, bytes]]:
-        a = self.asked(shards)
-        cuts = np.searchsorted(a["shard"], np.arange(shards + 1))
-        for s in range(shards):
-            part = slice(cuts[s], cuts[s + 1])
-            if part.stop > part.start:
-                context = a["context"][part]
-                runs = np.flatnonzero(np.r_[True, np.diff(context) != 0])
-                yield s, _crush(context=context[runs], lengths=np.diff(np.r_[runs, len(context)]).astype(np.uint32), context_n=a["context_n"][part][runs], word=a["word"][part].astype(np.uint32),
-                                times=a["times"][part].astype(np.uint32), low=a["low"][part])
-
-    def take(self, answers: dict[int, bytes], shards: int) -> None:
-        """Go on to the next order with the shards' answers to ``requests``."""
+        self.place = np.arange(len(self.at)) - (np.cumsum(self.n) - self.n)[self.doc]
+        self.training = np.repeat(self.train, self.n)
+
+    def take(self, answers: dict[int, bytes]) -> None:
+        """Go on to the next order with the shards' answers."""
         self.order += 1
-        a, prior = self.asked(shards), PRIOR[self.order]
-        p, seen = np.zeros(len(a["word"])), np.zeros(len(a["word"]), dtype=np.int64)
-        cuts = np.searchsorted(a["shard"], np.arange(shards + 1))
-        for s, blob in answers.items():
-            got = _uncrush(blob)
-            part = slice(cuts[s], cuts[s + 1])
-            p[part], seen[part] = got["book"][got["code"]], got["seen"]
-        at = a["at"]
-        hit = at >= 0
-        n = np.zeros(len(at), dtype=np.int64)
-        q = np.zeros(len(at))
-        if len(seen):
-            n, q = np.where(hit, seen[at], 0), np.where(hit, p[at], 0.0)
-        backed = self.p + np.log10(prior / (self.context_n + prior))
-        self.p = np.where(n > 0, q, np.where(self.context_n > 0, backed, self.p))
-        # the context of the next order: this token's context's own word and the word before it
-        longer = (np.roll(self.context, 1) << np.uint64(32)) | np.roll(self.word, 1)
-        self.context_n = np.where(self.place > 0, np.roll(n, 1), 0)
-        self.context = np.where(self.place > 0, longer, 0)
-
-
-def _spread(x: np.ndarray) -> np.ndarray:
-    from pairloom.llm.words import mix
-
-    return mix(x)
+        parts = [_uncrush(answers[s]) for s in sorted(answers)]
+        if self.order == 1:
+            word, c = (np.concatenate([p[k] for p in parts]).astype(t)[self.at] for k, t in ((0, np.uint64), (1, np.int64)))
+            self.word, self.c = word, c
+            self.p = self.base = np.log10((c + 0.5) / (self.total + 0.5 * (self.types + 1)))
+            last = (np.cumsum(self.n) - 1)[self.doc]  # the end's number also opens a text
+            self.context = np.where(self.place > 0, np.roll(word, 1), word[last])
+            self.context_n = np.where(self.place > 0, np.roll(c, 1), c[last])
+            self.rank = self.context.astype(np.int64)  # a number of the context below 2 ** 31 or so, in this block
+        else:
+            n, q, hit = np.zeros(len(self.at), dtype=np.int64), np.zeros(len(self.at)), self.at >= 0
+            if parts:
+                n[hit] = np.concatenate([p[1] for p in parts])[self.at[hit]]
+                q[hit] = np.concatenate([p[2][p[0]] for p in parts])[self.at[hit]]
+            prior = PRIOR[self.order]
+            backed = self.p + np.log10(prior / (self.context_n + prior))
+            self.p = np.where(n > 0, q, np.where(self.context_n > 0, backed, self.p))
+            self.context = (np.roll(self.context, 1) << np.uint64(32)) | np.roll(self.word, 1)
+            self.context_n = np.where(self.place > 0, np.roll(n, 1), 0)
+            self.rank = np.roll(self.at, 1)
+        self._ask()
+
+    def _ask(self) -> None:
+        """Distinct n-grams of known words in seen contexts, by shard, context and word; ``at`` is each token's place among them."""
+        ask = np.flatnonzero((self.word > 0) & (self.context_n > 0))
+        keys, first, at = np.unique((self.rank[ask].astype(np.uint64) << np.uint64(32)) | self.word[ask], return_index=True, return_inverse=True)
+        self.times = np.bincount(at[self.training[ask]], minlength=len(keys))
+        self.one = ask[first]
+        context, word = self.context[self.one], self.word[self.one]
+        hot = self.context_n[self.one] > HOT
+        self.deal, self.cuts = _deal(mix(np.where(hot, chain(context, word), context)) % np.uint64(self.shards), self.shards)
+        self.at = np.full(len(self.word), -1, dtype=np.int64)
+        self.at[ask] = _places(self.deal)[at]
+
+    def requests(self) -> Iterator[tuple[int, bytes]]:
+        low = np.round(-self.p[self.one] * 1024).astype(np.uint16)
+        for s, (lo, hi) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
+            if lo < hi:
+                part = self.deal[lo:hi]
+                one = self.one[part]
+                context = self.context[one]
+                runs = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+                yield s, _crush(context[runs], _least(np.diff(np.r_[runs, len(one)])), _least(self.context_n[one[runs]]), _least(self.word[one]), _least(self.times[part]), low[part])
 
 
 def build_trie(context: np.ndarray, word: np.ndarray, times: np.ndarray, context_n: np.ndarray, low: np.ndarray, prior: float) -> bytes:
     """Trie of sorted, distinct n-grams: contexts; first successor of each; successors relative to their context; codes.
 
-    p = (times + prior * p_shorter) / (context_n + prior), rounded to the middle of one of ``LEVELS`` classes of equal size.
+    p = (times + prior * p_shorter) / (context_n + prior), its logarithm rounded to the mean of one of ``LEVELS`` classes of equal width.
     """
     heads = np.flatnonzero(np.r_[True, np.diff(context) != 0][: len(context)])
     owner = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(context)]))
     span = int(word.max()) + 1 if len(word) else 1
     p = np.log10((times + prior * 10.0 ** (low / -1024.0)) / (context_n + prior))
-    edges = np.unique(np.quantile(p, np.linspace(0, 1, LEVELS + 1)[1:-1])) if len(p) else np.zeros(0)
+    edges = np.linspace(p.min(), p.max(), LEVELS + 1)[1:-1] if len(p) else np.zeros(0)
     code = np.searchsorted(edges, p)
     book = np.bincount(code, p, minlength=len(edges) + 1) / np.maximum(1, np.bincount(code, minlength=len(edges) + 1))
     levels = EliasFano.build(context[heads], "context.") | EliasFano.build(owner.astype(np.uint64) * np.uint64(span) + word, "next.")
@@ -209,68 +218,67 @@ def _serve(order: int):
     """For one shard: build its trie from all requests, map it, and answer each block. The trie itself is the row of block -1."""
 
     def run(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
         blocks, blobs = table.column("block").to_pylist(), table.column("blob").to_pylist()
-        parts = [[], [], [], [], []]
+        parts: list[list] = [[] for _ in range(5)]
         for blob in blobs:
-            r = _uncrush(blob)
-            seen = r["times"] > 0
-            full = (np.repeat(r["context"], r["lengths"].astype(np.int64)), r["word"], r["times"], np.repeat(r["context_n"], r["lengths"].astype(np.int64)), r["low"])
-            for part, a in zip(parts, full, strict=True):
+            contexts, lengths, context_n, word, times, low = _uncrush(blob)
+            seen, each = times > 0, lengths.astype(np.int64)
+            for part, a in zip(parts, (np.repeat(contexts, each), word.astype(np.uint32), times.astype(np.uint32), np.repeat(context_n, each), low), strict=True):
                 part.append(a[seen])
         context, word, times, context_n, low = (np.concatenate(p) for p in parts)
         by = np.lexsort((word, context))
-        context, word, times, context_n, low = (a[by] for a in (context, word.astype(np.uint64), times.astype(np.int64), context_n, low))
-        heads = np.flatnonzero(np.r_[True, (np.diff(context) != 0) | (np.diff(word) != 0)][: len(by)])
-        total = np.add.reduceat(times, heads) if len(heads) else times
-        trie = build_trie(context[heads], word[heads], total, context_n[heads], low[heads], PRIOR[order])
+        context, word = context[by], word[by]
+        heads = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])][: len(by)])
+        total = np.add.reduceat(times[by].astype(np.int64), heads) if len(heads) else times
+        trie = build_trie(context[heads], word[heads].astype(np.uint64), total, context_n[by][heads].astype(np.int64), low[by][heads].astype(np.int64), PRIOR[order])
         out = [(-1, trie)]
         with tempfile.TemporaryFile() as file:
             file.write(trie)
             file.flush()
             with mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) as mapped:
-                own = Trie(memoryview(mapped).toreadonly())
+                own = Trie(mapped)
                 code, seen, book = (own.arrays[k] for k in ("code", "seen", "book"))
                 for block, blob in zip(blocks, blobs, strict=True):
-                    r = _uncrush(blob)
-                    at = own.find(r["context"], r["lengths"], r["word"])
+                    contexts, lengths, _, word, _, _ = _uncrush(blob)
+                    at = own.find(contexts, lengths, word)
                     hit = at >= 0
-                    out.append((block, _crush(code=np.where(hit, code[at], 0).astype(np.uint8) if len(code) else np.zeros(len(at), np.uint8), seen=np.where(hit, seen[at], 0).astype(np.uint32) if len(seen) else np.zeros(len(at), np.uint32), book=book.astype(np.float64))))
+                    answer = (np.zeros(len(at), np.uint8), np.zeros(len(at), np.uint32))
+                    answer[0][hit], answer[1][hit] = code[at[hit]], seen[at[hit]]
+                    out.append((block, _crush(answer[0], _least(answer[1]), book)))
                 del own, code, seen, book
-        return pa.table({"block": pa.array([b for b, _ in out], pa.int64()), "shard": pa.array([shard] * len(out), pa.int32()), "blob": pa.array([b for _, b in out], pa.binary())})
+        return _table(table.column("shard")[0].as_py(), out)
 
     return run
 
 
-def _advance(state: DataFrame, answers: list[DataFrame], shards: int, total: int, types: int, last: bool) -> DataFrame:
-    """The blocks' next requests, or their documents' scores, after all answers so far."""
+SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
-    reached = len(answers) + 1
+
+def _advance(blocks: DataFrame, answers: list[DataFrame], shards: int, total: int, types: int, last: bool) -> DataFrame:
+    """The blocks' next requests, or their documents' scores, after all answers so far."""
+    orders = range(1, len(answers) + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows = {k: right.column(k).to_pylist() for k in ("order", "shard", "blob")}
+        rows = list(zip(*(right.column(k).to_pylist() for k in ("order", "shard", "blob")), strict=True))
         out = []
-        for i in range(left.num_rows):
-            block = Block(left.column("blob")[i].as_py(), *(left.column(c)[i].values.to_numpy() for c in ("numbers", "counts")), total, types)
-            for order in range(2, reached + 1):
-                block.take({s: b for o, s, b in zip(rows["order"], rows["shard"], rows["blob"], strict=True) if o == order}, shards)
+        for own in left.to_pylist():
+            block = Block(own["blob"], shards, total, types)
+            for order in orders:
+                block.take({s: b for o, s, b in rows if o == order})
             if not last:
-                out += [(left.column("block")[i].as_py(), s, b) for s, b in block.requests(shards)]
+                out += [(own["block"], s, b) for s, b in block.requests()]
                 continue
-            n = len(block.n)
-            sums = [np.bincount(block.doc, x, minlength=n) for x in (block.c > 0, block.base, block.p)]
-            out += zip(left.column("ids")[i].as_py(), (~block.train).tolist(), block.n.tolist(), sums[0].astype(int).tolist(), sums[1].tolist(), sums[2].tolist(), strict=True)
-        schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())] if last else [("block", pa.int64()), ("shard", pa.int32()), ("blob", pa.binary())])
-        return pa.table([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [[]] * len(schema), schema.types, strict=True)], schema=schema)
-
-    kind = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double" if last else "block long, shard int, blob binary"
-    if not answers:
-        none = pa.table({"order": [], "shard": [], "blob": []})
-        return state.groupBy("block").applyInArrow(lambda left: run(left, none), kind)
-    got = answers[0].withColumn("order", F.lit(2))
-    for k, a in enumerate(answers[1:], 3):
+            sums = [np.bincount(block.doc, x, minlength=len(block.n)) for x in (block.c > 0, block.base, block.p)]
+            out += zip(own["ids"], (~block.train).tolist(), block.n.tolist(), sums[0].astype(int).tolist(), sums[1].tolist(), sums[2].tolist(), strict=True)
+        schema = SCORES if last else pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("blob", pa.binary())])
+        columns = list(zip(*out, strict=True)) or [[]] * len(schema)
+        return pa.table([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
+    got = answers[0].withColumn("order", F.lit(1))
+    for k, a in enumerate(answers[1:], 2):
         got = got.union(a.withColumn("order", F.lit(k)))
-    return state.groupBy("block").cogroup(got.where("block >= 0").groupBy("block")).applyInArrow(run, kind)
+    kind = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double" if last else ROWS
+    return blocks.groupBy("block").cogroup(got.where("block >= 0").groupBy("block")).applyInArrow(run, kind)
 
 
 def score(docs: DataFrame, train: Column, order: int = ORDER) -> tuple[DataFrame, list[DataFrame]]:
@@ -278,21 +286,22 @@ def score(docs: DataFrame, train: Column, order: int = ORDER) -> tuple[DataFrame
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     (log10 of the text's probability). The model is, for each order from 2, a table
-    (shard, trie) in the shared folder. Null and empty texts have one token, the end.
-    Repeated rows are scored, and counted, each. Without training texts all words
-    are unknown. No rows give no rows.
+    (shard, trie) in the shared folder. Orders are 2 or 3. Null and empty texts have
+    one token, the end. Repeated rows are scored, and counted, each. Without training
+    texts all words are unknown. No rows give no rows. Word numbers must stay below 2 ** 32.
     """
-    blocks = stage(tokenize(docs, train), "blocks")
-    words = stage(vocabulary(blocks), "vocabulary")
-    sizes = words.agg(F.sum("c").alias("total"), F.count("*").alias("types")).first()
-    total, types = sizes.total or 0, sizes.types
-    state = stage(numbered(blocks, words), "numbered")
-    shards = max(1, -(-total // SHARD_TOKENS))
-    answers, model = [], []
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    shards = max(1, -(-chars // SHARD_CHARS))
+    tokens = stage(tokenize(docs, train, shards), "tokens")
+    blocks = tokens.where("shard = -1")
+    served = stage(tokens.where("shard >= 0").select("block", "shard", "blob").groupBy("shard").applyInArrow(_serve_words(shards), ROWS), "words")
+    answers, model = [served], []
+    sums = [_uncrush(r.blob)[0] for r in served.where("block = -1").select("blob").collect()]  # two numbers a shard
+    total, types = (int(sum(x[k] for x in sums)) for k in (0, 1))
     for k in range(2, order + 1):
-        asked = stage(_advance(state, answers, shards, total, types, False), "requests")
-        served = stage(asked.groupBy("shard").applyInArrow(_serve(k), "block long, shard int, blob binary"), "answers")
+        asked = _advance(blocks, answers, shards, total, types, False)
+        served = stage(asked.groupBy("shard").applyInArrow(_serve(k), ROWS), "answers")
         answers.append(served)
         model.append(served.where("block = -1").select("shard", F.col("blob").alias("trie")))
-    scored = _advance(state, answers, shards, total, types, True)
+    scored = _advance(blocks, answers, shards, total, types, True)
     return scored.withColumn("train_tokens", F.lit(total).cast("long")), model
