@@ -25,7 +25,7 @@ SAMPLE_ROWS = 10_000  # documents from which common shingles are learned; this o
 COMMON = 200_000  # common shingles at most
 COMMON_FROM = 3
 TILE = 512  # classes a side
-SHORT_WORDS = 32  # 64-bit words of a bitmap at most where it stands beside every prefix shingle
+SHORT_WORDS = 128  # 64-bit words of a bitmap at most where it stands beside every prefix shingle
 FILTER_BITS = 24  # log2 of the bits of the filter that picks the documents to compare; 2 MB
 
 
@@ -57,8 +57,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def bitmap(hashes: np.ndarray) -> bytes:
-    """Bits at the hashes' low ends, at least as many as hashes; the number is a power of two."""
-    width = max(64, 1 << (len(hashes) - 1).bit_length())
+    """Bits at the hashes' low ends, at least four times as many as hashes; the number is a power of two."""
+    width = max(64, 1 << (4 * len(hashes) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(mix(hashes) & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -144,12 +144,14 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
     Texts do not move: documents that a filter of ids may hold are shingled where they lie, and only their sets are shuffled.
     """
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(id_filter(wanted)))
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(id_filter(wanted), bitorder="little"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
+        bits = shared.value
         for whole in batches:
-            for batch in chunks(whole.filter(pa.array(bits[whole.column("at").to_numpy()]))):
+            at = whole.column("at").to_numpy()
+            held = (bits[at >> 3] >> (at & 7) & 1).astype(bool)
+            for batch in chunks(whole.filter(pa.array(held))):
                 yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(shingle_sets(batch.column("text").to_pylist(), size))], names=["id", "s"])
 
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
@@ -217,13 +219,16 @@ def tile_pairs(ids, comp, n, band, side, raw: list[bytes], percent: int) -> tupl
 def tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b) of ``rows(token, id, component, n)``; ``classes`` has the bitmaps.
 
-    A tile has one token and two neighbouring size bands. Large tiles are cut
+    A tile has one token and two neighbouring size bands; of tokens with the same
+    classes (by 128 bits of hash) one is enough. Large tiles are cut
     into blocks, and every pair of blocks is a tile of its own, so no task holds a whole group.
     """
     width = math.log(100 / percent) * 1.0001
     banded = rows.withColumn("size_band", F.floor(F.log("n") / width)).withColumn("tile", F.explode(F.array(F.col("size_band"), F.col("size_band") - 1)))
-    counts = banded.groupBy("token", "tile").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(F.col("size_band") - F.col("tile")).alias("lowest"))
-    counts = counts.where("c0 <> c1 AND lowest = 0").select("token", "tile", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
+    members = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"m{k}") for k in (1, 2)]
+    counts = banded.groupBy("token", "tile").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(F.col("size_band") - F.col("tile")).alias("lowest"), *members)
+    counts = counts.where("c0 <> c1 AND lowest = 0").groupBy("tile", "members", "m1", "m2").agg(F.min("token").alias("token"))
+    counts = counts.select("token", "tile", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
     cut = banded.join(counts, ["token", "tile"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cut = cut.select("token", "tile", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "id", "component", "n",

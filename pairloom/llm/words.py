@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -34,7 +35,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
     """Slices of a batch with about ``limit`` bytes of text each; a longer text is a slice of its own."""
     if not batch.num_rows:
         return
-    sizes = np.array([len(x) if x else 0 for x in batch.column(text).to_pylist()], dtype=np.int64)
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(sizes) // limit
     cuts = np.flatnonzero(np.diff(group)) + 1
     for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(sizes)], strict=True):
