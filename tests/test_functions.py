@@ -38,7 +38,7 @@ def test_nfc_and_casefold_match_python(spark):
     assert evaluate(spark, [None], text.nfc("x")) == [None]
 
 
-@pytest.mark.parametrize("value", ["", "a'b\\n", "日本\u0000\t", "${x}%s"])
+@pytest.mark.parametrize("value", ["", "a'b\\n", "日本\u0000\t", "${x}%s", "😀→x"])
 def test_literals_survive(spark, value):
     assert spark.range(1).selectExpr(f"{lit(value)} AS v").first().v == value
 
