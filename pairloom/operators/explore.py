@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.paths import is_basename_only, root_prefix
+from pairloom.runtime import stage
 
 
 def explore_stats(rows: DataFrame) -> DataFrame:
@@ -37,15 +38,17 @@ def missing_roots(histogram: DataFrame, listing: DataFrame) -> DataFrame:
     cut into pieces of the lengths these roots have, which turns the substring
     test into an equi-join as well: no root is compared with every path.
     """
+    histogram = stage(histogram, "histogram")
     roots = histogram.select("root").distinct().filter(f"NOT {is_basename_only('root')}")
-    segments = listing.selectExpr("explode(split(path, '/')) AS segment").distinct()
-    unmatched = roots.join(segments, F.col("root") == F.col("segment"), "left_anti")
-    # One value per distinct root length, so the array stays small however many roots there are.
-    lengths = unmatched.agg(F.expr("collect_set(char_length(root))")).scalar()
-    cut = """explode(flatten(transform(filter(lengths, n -> n < char_length(segment)),
+    segments = stage(listing.selectExpr("explode(split(path, '/')) AS segment").distinct(), "segments")
+    unmatched = stage(roots.join(segments, F.col("root") == F.col("segment"), "left_anti"), "unmatched")
+    # One number per distinct root length, however many roots there are.
+    lengths = sorted(r[0] for r in unmatched.selectExpr("char_length(root)").distinct().collect())
+    cut = f"""explode(flatten(transform(filter(array({', '.join(map(str, lengths)) or 'CAST(NULL AS INT)'}), n -> n < char_length(segment)),
         n -> transform(sequence(1, char_length(segment) - n + 1), at -> substring(segment, at, n)))))"""
-    pieces = segments.withColumn("lengths", lengths).selectExpr(f"{cut} AS piece").distinct()
-    missing = unmatched.join(pieces, F.col("root") == F.col("piece"), "left_anti")
+    # Pieces that are no root left leave before they are made distinct; the roots are the small side.
+    found = segments.selectExpr(f"{cut} AS piece").join(unmatched, F.col("piece") == F.col("root"), "left_semi").distinct()
+    missing = unmatched.join(found, F.col("root") == F.col("piece"), "left_anti")
     return histogram.join(missing, "root", "left_semi").select("file", "root", "paths")
 
 

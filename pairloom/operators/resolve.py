@@ -19,9 +19,11 @@ only if there is none.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions import text_literal
 from pairloom.functions.paths import base_name, canonical_path, collapse_path, dir_name, path_variants
 from pairloom.functions.text import casefold
 from pairloom.operators.skew import SAMPLE, hot_keys, skew_left_join
+from pairloom.runtime import stage
 
 # Folders tried after the root itself, and the task folders of the last resort.
 SINGLE, MULTI = "Singleturn", "Multiturn"
@@ -80,7 +82,7 @@ def file_index(manifest: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = Tr
     )
 
 
-def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True) -> DataFrame:
+def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True, root: str = "") -> DataFrame:
     """Lookup rows of each distinct reference, ranked in the order of trial."""
 
     def spelled(v: str) -> str:
@@ -91,10 +93,14 @@ def path_lookups(refs: DataFrame, pair_dir: str = PAIR_DIR, sibling: bool = True
     def entry(kind, path, base, places):
         return f"struct({kind} AS kind, {path} AS path, {base} AS base, {places} AS places)"
 
-    as_is = f"struct({canonical_path('ref')} AS path, {canonical_path('ref')} AS bare, '' AS tail)"
+    # What starts with a slash is absolute; below the root it is a relative path that only the root itself may hold.
+    below = text_literal(f"{root.rstrip('/')}/")
+    plain = canonical_path("ref")
+    own = f"IF({str(bool(root)).lower()} AND startswith({plain}, {below}), substring({plain}, char_length({below}) + 1), {plain})"
+    as_is = f"struct({own} AS path, {own} AS bare, '' AS tail)"
     first = f"nth * {PER_SPELLING}"
     entries = [
-        entry(DIRECT, "s.path", first, 4),
+        entry(DIRECT, "s.path", first, "IF(startswith(ref, '/'), 1, 4)"),
         # The repeat without leading dots is not tried next to the pair files.
         f"IF(s.bare <> s.path, {entry(DIRECT, 's.bare', f'{first} + 4', 3)}, NULL)",
     ]
@@ -157,9 +163,12 @@ def resolve_paths(
     pair_dir: str = PAIR_DIR,
     sibling: bool = True,
     locate: bool = True,
+    root: str = "",
 ) -> DataFrame:
     """Resolved path per distinct reference; unresolved references are absent.
 
+    An absolute reference resolves if it lies below ``root``, under its own name only.
+
     Paths in the manifest are canonical and unique, as ``file_manifest`` makes them.
     With ``locate`` the result carries the spelling on disk and the other
     manifest columns; without, only the fact that the reference resolves.
@@ -172,10 +181,11 @@ def resolve_paths(
         manifest = manifest.select("path")
     extra = [c for c in manifest.columns if c != "path"]
     index = file_index(manifest, pair_dir, sibling)
-    some = path_lookups(refs.sample(1 / SAMPLE, seed=0), pair_dir, sibling)
+    # Chosen by hash, so that every evaluation counts the same references, and written once.
+    some = path_lookups(refs.filter(f"pmod(xxhash64(ref), {SAMPLE}) = 0"), pair_dir, sibling, root)
     some = some.groupBy("kind", "key").agg(F.count("*").alias("n"))
-    hot = hot_keys(some, ["kind", "key"], SAMPLE)
-    hits = match_lookups(path_lookups(refs, pair_dir, sibling), index, hot, pair_dir)
+    hot = stage(hot_keys(some, ["kind", "key"], SAMPLE), "hot")
+    hits = match_lookups(path_lookups(refs, pair_dir, sibling, root), index, hot, pair_dir)
     if not locate:
         return hits.select("ref")
     here = ", ".join(["true AS found", *extra])

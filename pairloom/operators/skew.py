@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 # keys, which bounds what is broadcast: 100,000 of them for 13 billion rows.
 HOT_ROWS = 1 << 17
 
-# Hot keys may be found from a sample, as a missed one costs time but no row.
+# Hot keys may be found from one part in so many, as a missed one costs time but no
+# row. The part must be chosen by hash and the keys staged, so that all uses agree.
 SAMPLE = 1024
 
 

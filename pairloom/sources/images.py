@@ -1,6 +1,7 @@
 """Decode checks of image files and archive members, read inside the tasks."""
 
 import io
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -42,7 +43,7 @@ def _png(data: bytes) -> tuple[int, int] | None:
 
 
 def _jpeg(data: bytes) -> tuple[int, int] | None:
-    """Size of a JPEG with a frame header, a scan and an end marker."""
+    """Size of a JPEG with a frame header, a scan and an end marker; nothing is decoded."""
     at, size = 2, None
     while at + 4 <= len(data) and data[at] == 0xFF:
         marker, (length,) = data[at + 1], struct.unpack_from(">H", data, at + 2)
@@ -55,11 +56,15 @@ def _jpeg(data: bytes) -> tuple[int, int] | None:
     return None
 
 
+UNCHECKED = "unchecked"
+_OTHER_FORMATS = (b"BM", b"GIF8", b"RIFF", b"II*\0", b"MM\0*")
+
+
 def image_size(data: bytes) -> tuple[tuple[int, int] | None, str]:
     """Size of a valid image, else None, and how it was checked.
 
-    Without Pillow only PNG is fully unpacked and JPEG is checked by structure;
-    other formats count as not decodable, which the method name shows.
+    Without Pillow only PNG is fully unpacked. A JPEG that is not torn, and
+    other formats, come back as ``unchecked``: they may decode or not.
     """
     try:
         if Image is not None:
@@ -69,7 +74,10 @@ def image_size(data: bytes) -> tuple[tuple[int, int] | None, str]:
         if data.startswith(b"\x89PNG\r\n\x1a\n"):
             return _png(data), "png"
         if data.startswith(b"\xff\xd8"):
-            return _jpeg(data), "jpeg_structure"
+            size = _jpeg(data)
+            return size, UNCHECKED if size else "jpeg_structure"
+        if data.startswith(_OTHER_FORMATS):
+            return None, UNCHECKED
     except Exception:
         return None, "failed"
     return None, "unsupported"
@@ -84,9 +92,9 @@ def _check(root: str):
                 data = reader.read(segments)
                 size, how = image_size(data) if data else (None, "missing")
                 width, height = size or (None, None)
-                rows.append((path, size is not None, width, height, how))
+                rows.append((path, None if how == UNCHECKED else size is not None, width, height, how))
             out = pd.DataFrame(rows, columns=["path", "valid", "width", "height", "checked_by"])
-            yield out.astype({"width": "Int32", "height": "Int32"})
+            yield out.astype({"valid": "boolean", "width": "Int32", "height": "Int32"})
 
     return run
 
@@ -95,6 +103,8 @@ def image_validity(located: DataFrame, root: str = "") -> DataFrame:
     """Does the image at each (path, segments) decode, and how large is it?
 
     Bytes are read and dropped inside the task; only the verdict leaves it.
+    ``valid`` is null where nobody could decode the format; ``decode_unchecked``
+    settles plain files among these.
     """
     return located.select("path", "segments").mapInPandas(_check(root), CHECKED)
 
@@ -113,12 +123,16 @@ def scan_image_bytes(located: DataFrame, root: str = "") -> DataFrame:
     return located.select("path", "segments").mapInPandas(_read(root), "path string, content binary")
 
 
-def decode_folder(spark: SparkSession, folder: str) -> DataFrame:
+# Files that are read as images where a folder also holds archives and tables.
+IMAGE_NAMES = "*.{jpg,JPG,jpeg,JPEG,bmp,BMP,gif,GIF,webp,WEBP,tif,TIF,tiff,TIFF}"
+
+
+def decode_folder(spark: SparkSession, folder: str, names: str = "*") -> DataFrame:
     """Decode check of a plain folder by Spark's own image source, all on the JVM.
 
     The source hides empty files and names that start with ``_`` or ``.``.
     """
-    image = spark.read.format("image").option("recursiveFileLookup", True).load(folder)
+    image = spark.read.format("image").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(folder)
     path = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
     ok = F.col("image.height") > 0
     return image.select(
@@ -130,6 +144,23 @@ def decode_folder(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def decode_unchecked(spark: SparkSession, checked: DataFrame, root: str) -> DataFrame:
+    """``checked`` with the verdict of Spark's own decoder for plain files that are unchecked.
+
+    Members of archives stay unchecked; the decoder reads files only. Without
+    unchecked rows the folder is not read.
+    """
+    open_ = checked.filter("valid IS NULL")
+    if not root or open_.isEmpty():
+        return checked
+    at = F.regexp_replace("path", "^(file:)?/+", "/")
+    base = "/" + re.sub("^(file:)?/+", "", root).rstrip("/") + "/" if "://" not in root else root.rstrip("/") + "/"
+    own = decode_folder(spark, root, IMAGE_NAMES).select(at.alias("full"), F.struct("valid", "width", "height", "checked_by").alias("d"))
+    own = own.filter(F.startswith("full", F.lit(base))).select(F.expr(f"substring(full, {len(base) + 1})").alias("path"), "d")
+    settled = checked.join(own, "path", "left").withColumn("use", F.col("valid").isNull() & F.col("d").isNotNull())
+    return settled.select("path", *[F.when(F.col("use"), F.col(f"d.{c}")).otherwise(F.col(c)).alias(c) for c in ("valid", "width", "height", "checked_by")])
+
+
 def image_fit(width: str, height: str, max_side: int = MAX_SIDE) -> tuple[str, str]:
     """Size after shrinking the longest edge to ``max_side``; 0 or less switches it off.
 

@@ -1,6 +1,7 @@
 """Tar shards as a Spark data source writer."""
 
 import io
+import json
 import tarfile
 import uuid
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from pairloom.runtime import new_folder
 from pairloom.sources.files import SegmentReader, open_fs
 from pairloom.sources.images import MAX_SIDE, to_jpeg
 from pairloom.sources.listing import list_tree
@@ -22,9 +24,13 @@ TEXT_SUFFIX = "txt"
 JPEG_QUALITY = 95
 
 
+REPORT = "shard_name string, samples long, state string"
+WRITTEN, LEFT_ALONE = "written", "skipped"
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    shards: int
+    shards: list[tuple[str, int, str]]
 
 
 class TarShardWriter(DataSourceWriter):
@@ -33,6 +39,7 @@ class TarShardWriter(DataSourceWriter):
     A shard is written under a temporary name and then renamed, and one that
     exists is left alone unless ``overwrite`` is set. The same rows give the
     same bytes, so it does not matter which attempt of a task wrote a shard.
+    What every task did goes into the file ``report``, one line a shard.
     """
 
     def __init__(self, options: dict) -> None:
@@ -42,21 +49,25 @@ class TarShardWriter(DataSourceWriter):
         self.reencode = options.get("reencode", "false") == "true"
         self.quality = int(options.get("quality", JPEG_QUALITY))
         self.max_side = int(options.get("maxside", MAX_SIDE))
+        self.report = options.get("report", "")
+        self.job = uuid.uuid4().hex
 
     def write(self, rows: Iterator[Row]) -> Written:
-        reader, shards = SegmentReader(self.root), 0
+        reader, shards = SegmentReader(self.root), []
         for name, samples in groupby(rows, lambda r: r.shard_name):
             files, path = open_fs(f"{self.out}/{name}")
             if not self.overwrite and files.get_file_info(path).type == fs.FileType.File:
+                shards.append((name, sum(1 for _ in samples), LEFT_ALONE))
                 continue
             folder, _, base = path.rpartition("/")
             files.create_dir(folder, recursive=True)
-            part = f"{folder}/.{base}.{uuid.uuid4().hex}"
+            part, count = f"{folder}/.{base}.{self.job}.{uuid.uuid4().hex}", 0
             with files.open_output_stream(part) as sink, tarfile.open(fileobj=sink, mode="w|") as tar:
                 for sample in samples:
                     self._add(tar, sample, reader)
+                    count += 1
             files.move(part, path)
-            shards += 1
+            shards.append((name, count, WRITTEN))
         return Written(shards)
 
     def _add(self, tar: tarfile.TarFile, sample: Row, reader: SegmentReader) -> None:
@@ -75,10 +86,25 @@ class TarShardWriter(DataSourceWriter):
             tar.addfile(info, io.BytesIO(data))
 
     def commit(self, messages) -> None:
-        pass
+        if self.report:
+            files, path = open_fs(self.report)
+            files.create_dir(path.rpartition("/")[0], recursive=True)
+            with files.open_output_stream(path) as out:
+                for message in messages:
+                    for shard in message.shards if message else ():
+                        out.write((json.dumps(dict(zip(("shard_name", "samples", "state"), shard))) + "\n").encode())
+        self._remove_parts()
 
     def abort(self, messages) -> None:
-        pass
+        self._remove_parts()
+
+    def _remove_parts(self) -> None:
+        """Remove what failed attempts of this job have left, under its own temporary names."""
+        files, path = open_fs(self.out)
+        found = files.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
+        for info in found:
+            if info.base_name.startswith(".") and f".{self.job}." in info.base_name:
+                files.delete_file(info.path)
 
 
 class TarShards(DataSource):
@@ -99,8 +125,8 @@ def list_shards(spark: SparkSession, out: str) -> DataFrame:
 
 def write_shards(
     samples: DataFrame, out: str, shards: int, shards_per_task: int = 4, root: str = "", **options
-) -> None:
-    """Write every sample into the tar of its shard.
+) -> DataFrame:
+    """Write every sample into the tar of its shard; returns what was written and what left alone, by shard.
 
     Only keys, prompts and byte locations are shuffled; image bytes go straight
     from where they lie into the tar. The number of tasks follows the number of
@@ -108,6 +134,7 @@ def write_shards(
     """
     spark = samples.sparkSession
     spark.dataSource.register(TarShards)
+    report = f"{new_folder(spark, 'report')}/shards.json"
     tasks = max(1, -(-shards // shards_per_task))
     (
         samples.select(
@@ -116,8 +143,9 @@ def write_shards(
         .repartition(tasks, "shard_name")
         .sortWithinPartitions("shard_name", "pair_index")
         .write.format("tar_shards")
-        .options(root=root, **options)
+        .options(root=root, report=report, **options)
         .mode("append")
         .save(out)
     )
+    return spark.read.schema(REPORT).json(report)
 

@@ -42,11 +42,12 @@ CASES = {
     "no_end.png": (GOOD[:-12], None),
     "flipped.png": (GOOD[:45] + bytes([GOOD[45] ^ 1]) + GOOD[46:], None),
     "few_rows.png": (png(7, 5, rows=b"\0" * 10), None),
-    "ok.jpg": (jpeg(640, 480), (640, 480)),
     "no_end.jpg": (jpeg(640, 480, b""), None),
     "text.jpg": (b"not an image", None),
     "empty.png": (b"", None),
 }
+# Whole by their structure, but nobody has decoded them. The first is a JPEG without tables.
+UNDECODED = {"junk.jpg": jpeg(640, 480), "good.bmp": b"", "good.gif": b"", "good.jpg": b"", "torn.gif": b"GIF89a\1"}
 
 
 @pytest.mark.skipif(images.Image is not None, reason="the built-in checks are used without Pillow only")
@@ -65,6 +66,25 @@ def test_checks(spark, tmp_path):
     assert bytes(content["good.png"]) == GOOD and content["empty.png"] is None and content["gone.png"] is None
 
 
+@pytest.mark.skipif(images.Image is not None, reason="the built-in checks are used without Pillow only")
+def test_undecoded_images_are_settled_by_the_image_source(spark, tmp_path):
+    jvm = spark.sparkContext._jvm
+    picture = jvm.java.awt.image.BufferedImage(6, 4, 1)
+    for name, data in UNDECODED.items():
+        (tmp_path / name).write_bytes(data)
+        if not data:
+            jvm.javax.imageio.ImageIO.write(picture, name.rpartition(".")[2], jvm.java.io.File(str(tmp_path / name)))
+    (tmp_path / "good.png").write_bytes(GOOD)
+    (tmp_path / "pack.tar").write_bytes(b"x" * 100)
+    located = spark.createDataFrame([(n,) for n in [*UNDECODED, "good.png"]], "path string").selectExpr("path", f"{whole_file('path')} AS segments")
+    checked = images.image_validity(located, str(tmp_path))
+    first = {r.path: (r.valid, r.checked_by) for r in checked.collect()}
+    assert first == dict.fromkeys(UNDECODED, (None, "unchecked")) | {"good.png": (True, "png")}
+    got = {r.path: (r.valid, r.checked_by) for r in images.decode_unchecked(spark, checked, str(tmp_path)).collect()}
+    good = dict.fromkeys(["good.bmp", "good.gif", "good.jpg"], (True, "jvm")) | {"good.png": (True, "png")}
+    assert got == good | dict.fromkeys(["junk.jpg", "torn.gif"], (False, "jvm"))
+
+
 def test_image_source_agrees_on_png(spark, tmp_path):
     for name in ("good.png", "gray name.png", "text.jpg", "empty.png"):
         (tmp_path / name).write_bytes(CASES[name][0])

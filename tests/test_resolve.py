@@ -6,7 +6,10 @@ import re
 import unicodedata
 
 import pytest
+from pyspark.sql import functions as F
 
+from pairloom.operators import resolve as res
+from pairloom.operators import skew
 from pairloom.operators.resolve import file_manifest, resolve_paths
 
 PLACES = ["", "Singleturn", "Multiturn", "Parquet", "", "Singleturn", "Multiturn"]
@@ -90,3 +93,21 @@ def test_exact_spelling_wins_among_many(spark):
     files = [f"d/{n}" for n in ("A.png", "a.PNG", "a.Png", "a.png")]
     got = resolve(spark, ["d/a.Png", "d/a.pNg"], files)
     assert got == {"d/a.Png": "d/a.Png", "d/a.pNg": "d/A.png"}
+
+
+def test_absolute_references_below_the_root(spark):
+    files = spark.createDataFrame([("a/B.png", 1), ("Singleturn/a/c.png", 2)], "path string, size long")
+    refs = spark.createDataFrame([("/data/set/a/b.png",), ("/data/set/a/c.png",), ("/data/sets/a/b.png",), ("/data/set//a/./B.png",), ("a/c.png",)], "ref string")
+    found = {r.ref: r.path for r in res.resolve_paths(refs, files, root="/data/set").collect()}
+    assert found == {"/data/set/a/b.png": "a/B.png", "/data/set//a/./B.png": "a/B.png", "a/c.png": "Singleturn/a/c.png"}
+    assert {r.ref for r in res.resolve_paths(refs, files).collect()} == {"a/c.png"}
+
+
+def test_hot_lookup_keys_lose_nothing(spark, monkeypatch):
+    """References are not staged, and their plan gives another order at every evaluation."""
+    monkeypatch.setattr(res, "SAMPLE", 4)
+    monkeypatch.setattr(skew, "HOT_ROWS", 16)
+    files = spark.createDataFrame([(f"Singleturn/results_a/t{i}/x.png", 1) for i in range(5)], "path string, size long")
+    refs = spark.range(4000).selectExpr("concat('results_', id, '/t', id % 5, '/x.png') AS ref").orderBy(F.rand())
+    assert res.resolve_paths(refs, files).count() == 4000
+    assert res.resolve_paths(refs, files, locate=False).count() == 4000
