@@ -152,7 +152,8 @@ BUILT = f"""{AUDIT}, built AS (SELECT a.file, a.row_index, a.turn_pos, a.prompt,
    sha256(concat(replace(file, '.parquet', ''), chr(0), pair_index, chr(0), prompt))[1:20]) AS key FROM kept)"""
 
 _COUNTS = """count(b.file) AS pairs_emitted, count(*) FILTER (status = 'kept') AS kept,
- count(*) FILTER (status = 'missing_file') AS missing_file, count(*) FILTER (status = 'bad_image') AS bad_image"""
+ count(*) FILTER (status = 'missing_file') AS missing_file, count(*) FILTER (status = 'bad_image') AS bad_image,
+ count(*) FILTER (status = 'unchecked') AS unchecked"""
 
 VERDICTS = f"""{BUILT}, build AS (SELECT file, count(*) FILTER (status = 'kept') AS kept FROM built GROUP BY file),
  verdicts AS (SELECT a.file, a.strict_pairs, CASE WHEN a.file LIKE '%7.parquet' THEN 'unknown_layout' WHEN strict_pairs = 0 THEN 'no_strict_pairs'
@@ -281,8 +282,13 @@ def statements() -> dict[str, str]:
         "build_stats": f"""WITH {BUILT} SELECT l.file, count(*) AS rows, {_COUNTS} FROM lists l
             LEFT JOIN built b ON b.file = l.file AND b.row_index = l.row_index GROUP BY l.file""",
         "slice_gate": f"WITH {VERDICTS} SELECT file, CASE WHEN reason IS NULL THEN 'SUCCESS' ELSE 'SKIPPED' END AS verdict, reason FROM verdicts",
-        "run_summary": f"""WITH {VERDICTS} SELECT count(*) FILTER (reason IS NULL) AS success,
-            count(*) FILTER (reason IS NOT NULL) AS skipped, CAST(0 AS BIGINT) AS failed FROM verdicts""",
+        "run_summary": f"""WITH {VERDICTS}, parts AS (SELECT l_suppkey, l_orderkey, l_linenumber AS idx
+              FROM lineitem WHERE l_returnflag <> 'R'),
+            torn AS (SELECT l_suppkey, l_orderkey FROM parts GROUP BY ALL HAVING max(idx) - min(idx) + 1 <> count(*) OR count(*) <> count(DISTINCT idx)),
+            failures AS (SELECT DISTINCT file FROM (SELECT DISTINCT file, regexp_extract(file, '([0-9]+)[.]parquet$', 1) AS n FROM lists) f
+              JOIN torn ON CAST(l_suppkey AS VARCHAR) = n AND starts_with(CAST(l_orderkey AS VARCHAR), n) WHERE n <> '')
+            SELECT count(*) FILTER (reason IS NULL AND NOT f) AS success, count(*) FILTER (reason IS NOT NULL AND NOT f) AS skipped,
+              count(*) FILTER (f) AS failed FROM (SELECT reason, file IN (SELECT file FROM failures) AS f FROM verdicts)""",
         "pair_index": f"WITH {BUILT} SELECT file, row_index, turn_pos, pair_index FROM kept",
         "pair_index_per_file": f"""WITH {BUILT} SELECT file, row_index, turn_pos,
             row_number() OVER (PARTITION BY file ORDER BY row_index, turn_pos) - 1 AS pair_index FROM kept""",
@@ -319,10 +325,11 @@ def statements() -> dict[str, str]:
             FROM samples GROUP BY shard_name""",
         "slice_archives": f"""WITH {ON_DISK} SELECT 'add_part0' AS stem, path FROM manifest WHERE path GLOB 'Singleturn/results_add/*/original.png'
             UNION ALL SELECT 'hybrid_part2', path FROM manifest WHERE lower(path) GLOB 'singleturn/results_hybrid*/d?/*.png'""",
-        "ingest_slices": f"""WITH {AUDIT}, v AS (SELECT file, strict_pairs, CASE WHEN strict_pairs = 0 THEN 'no_strict_pairs'
+        "ingest_slices": f"""WITH {BUILT}, v AS (SELECT file, strict_pairs, CASE WHEN strict_pairs = 0 THEN 'no_strict_pairs'
               WHEN resolve_rate < 0.8 THEN 'low_resolve_rate' END AS reason FROM audit_files),
-            s AS (SELECT file, count(*) AS samples FROM audited WHERE input_found IS NOT NULL AND output_found IS NOT NULL GROUP BY file)
+            s AS (SELECT file, count(*) AS samples FROM kept GROUP BY file),
+            g AS (SELECT file, strict_pairs, samples, coalesce(reason, CASE WHEN samples IS NULL THEN 'nothing_kept' END) AS reason FROM v LEFT JOIN s USING (file))
             SELECT file, strict_pairs, CASE WHEN reason IS NULL THEN 'SUCCESS' ELSE 'SKIPPED' END AS verdict, reason,
               CASE WHEN reason IS NULL THEN samples END AS samples, CASE WHEN reason IS NULL THEN samples - 1 END AS last_index
-            FROM v LEFT JOIN s USING (file)""",
+            FROM g""",
     }

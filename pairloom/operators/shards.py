@@ -16,24 +16,27 @@ BATCH_ROWS = 256
 BLOCK_ROWS = 1 << 20
 ORDER = ["file", "part", "row_index", "turn_pos"]
 
-KEPT, MISSING, BAD = "kept", "missing_file", "bad_image"
+KEPT, MISSING, BAD, UNCHECKED = "kept", "missing_file", "bad_image", "unchecked"
 
 
 def build_status(pairs: DataFrame) -> DataFrame:
-    """First reason, in order, that keeps a pair out: no file, no bytes, no image.
+    """First reason, in order, that keeps a pair out: no file, no bytes, no image, no verdict on the image.
 
-    Needs the size and validity of both sides, null where a file is missing.
+    Needs the size and validity of both sides; validity is null where a file
+    is missing or nobody could decode it.
     """
     sides = ("input", "output")
     usable = " AND ".join(f"coalesce({s}_size, 0) > 0" for s in sides)
-    valid = " AND ".join(f"coalesce({s}_valid, false)" for s in sides)
-    status = f"CASE WHEN NOT ({usable}) THEN '{MISSING}' WHEN NOT ({valid}) THEN '{BAD}' ELSE '{KEPT}' END"
+    valid = " AND ".join(f"coalesce({s}_valid, true)" for s in sides)
+    judged = " AND ".join(f"{s}_valid IS NOT NULL" for s in sides)
+    status = f"""CASE WHEN NOT ({usable}) THEN '{MISSING}' WHEN NOT ({valid}) THEN '{BAD}'
+        WHEN NOT ({judged}) THEN '{UNCHECKED}' ELSE '{KEPT}' END"""
     return pairs.selectExpr("*", f"{status} AS status")
 
 
 def build_stats(rows: DataFrame, built: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """Per file: rows, pairs, kept, missing and bad. Unknown layouts get a note."""
-    statuses = (KEPT, MISSING, BAD)
+    """Per file: rows, pairs, kept, missing, bad and unchecked. Unknown layouts get a note."""
+    statuses = (KEPT, MISSING, BAD, UNCHECKED)
     counts = built.groupBy("file").agg(
         F.count("*").alias("pairs_emitted"),
         *[F.expr(f"count_if(status = '{s}')").alias(s) for s in statuses],
@@ -42,7 +45,7 @@ def build_stats(rows: DataFrame, built: DataFrame, files: DataFrame | None = Non
     note = "CAST(NULL AS STRING)"
     if files is not None:
         stats = files.select("file", "layout").join(stats, "file", "left")
-        note = "IF(layout = 'unknown', 'skipped_unknown_layout', NULL)"
+        note = "IF(layout = 'unknown', 'skipped_unknown_schema', NULL)"
     numbers = [f"coalesce({c}, 0) AS {c}" for c in ("rows", "pairs_emitted", *statuses)]
     return stats.selectExpr("file", *numbers, f"{note} AS note")
 
@@ -111,22 +114,34 @@ def limited_stats(
     max_shards: int,
     samples_per_shard: int = SAMPLES_PER_SHARD,
     batch_rows: int = BATCH_ROWS,
+    per_file: bool = False,
 ) -> DataFrame:
     """Build counts of the part that is read before the shard limit stops the run.
 
     The run stops at the pair that fills the last shard. Its file counts the
     rows of the batch in hand, later files do not appear. Without enough pairs
-    nothing stops and all counts are reported.
+    nothing stops and all counts are reported. With ``per_file`` every file is
+    a run of its own.
     """
     at = f"struct({', '.join(ORDER)})"
     last = indexed.filter(F.col("pair_index") == max_shards * samples_per_shard - 1)
-    # One row or none: the number is dense and unique.
-    stop = last.agg(F.expr(f"max({at})")).scalar()
-    seen = rows.select("file", "part", "row_index").withColumn("stop", stop)
+    if per_file:
+        stops = last.selectExpr("file", f"{at} AS stop")
+
+        def stopped(df: DataFrame) -> DataFrame:
+            return df.join(stops, "file", "left")
+    else:
+        # One row or none: the number is dense and unique.
+        stop = last.agg(F.expr(f"max({at})")).scalar()
+
+        def stopped(df: DataFrame) -> DataFrame:
+            return df.withColumn("stop", stop)
+
+    seen = stopped(rows.select("file", "part", "row_index"))
     same_batch = f"""struct(file, part) = struct(stop.file, stop.part)
         AND row_index div {batch_rows} <= stop.row_index div {batch_rows}"""
     seen = seen.filter(
         f"stop IS NULL OR struct(file, part) < struct(stop.file, stop.part) OR ({same_batch})"
     )
-    done = built.select(*ORDER, "status").withColumn("stop", stop).filter(f"stop IS NULL OR {at} <= stop")
+    done = stopped(built.select(*ORDER, "status")).filter(f"stop IS NULL OR {at} <= stop")
     return build_stats(seen, done)

@@ -24,6 +24,7 @@ class PathSettings:
 
     ``subdirs`` maps a stem to the folder of its bare file names; the key ``*``
     is the default. ``hybrid_stems`` get the hybrid rename explicitly.
+    ``stem_rules`` are a stem's own substitutions, after the common ``rules``.
     """
 
     rules: Sequence[tuple[str, str]] = ()
@@ -31,6 +32,7 @@ class PathSettings:
     hybrid_stems: Sequence[str] = ()
     auto_hybrid: bool = True
     pair_dir: str = "Parquet"
+    stem_rules: Mapping[str, Sequence[tuple[str, str]]] = field(default_factory=dict)
 
     def subdir(self, stem: str) -> str:
         """Expression for the folder of a slice's bare file names."""
@@ -64,7 +66,10 @@ def rewrite_path(x: str, stem: str, settings: PathSettings) -> str:
     path = strip(prepend_subdir(x, settings.subdir(stem)))
     renamed = substitute_paths("r", [HYBRID_RULE])
     path = let(path, "r", lambda r: f"IF({settings.hybrid(stem)}, {renamed}, {r})")
-    return let(substitute_paths(path, settings.rules), "done", null_path)
+    path = substitute_paths(path, settings.rules)
+    for own, rules in settings.stem_rules.items():
+        path = let(path, "r", lambda r, own=own, rules=rules: f"IF({stem} = {text_literal(own)}, {substitute_paths('r', rules)}, {r})")
+    return let(path, "done", null_path)
 
 
 def rewrite_pairs(pairs: DataFrame, settings: PathSettings) -> DataFrame:
@@ -80,17 +85,24 @@ def slice_gate(
     min_rate: float = 1.0,
     allow_zero_pairs: bool = False,
     allow_empty: bool = False,
+    allow_unchecked: bool = False,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """Verdict per slice from its audit and, once built, its build counts.
 
     ``audit`` needs file, layout, strict_pairs, broken_pairs and resolve_rate;
-    ``build`` needs file and kept. Both hold one row per pair file.
+    ``build`` needs file and kept. Both hold one row per pair file. ``failures``
+    (file, reason) are slices that could not be run, with or without a pair file.
     """
     gate = audit
+    if failures is not None:
+        first = failures.groupBy("file").agg(F.min("reason").alias("failure"))
+        gate = gate.join(first, "file", "full")
     if build is not None:
-        gate = gate.join(build.select("file", "kept"), "file", "left")
+        unchecked = F.col("unchecked") if "unchecked" in build.columns else F.lit(0)
+        gate = gate.join(build.select("file", "kept", unchecked.alias("_unchecked")), "file", "left")
     else:
-        gate = gate.withColumn("kept", F.lit(None).cast("bigint"))
+        gate = gate.withColumn("kept", F.lit(None).cast("bigint")).withColumn("_unchecked", F.lit(0))
     none = F.col("strict_pairs") == 0
     low = F.coalesce(F.col("resolve_rate"), F.lit(-1.0)) < min_rate
     reason = F.when(F.col("layout") == "unknown", "unknown_layout")
@@ -99,9 +111,26 @@ def slice_gate(
     reason = reason.when(~none & low, "low_resolve_rate")
     if not allow_empty:
         reason = reason.when(F.col("kept") == 0, "nothing_kept")
-    return gate.withColumn("reason", reason).withColumn(
-        "verdict", F.when(F.col("reason").isNull(), SUCCESS).otherwise(SKIPPED)
-    )
+    if not allow_unchecked:
+        reason = reason.when(F.col("_unchecked") > 0, "unchecked_images")
+    verdict = F.when(F.col("reason").isNull(), SUCCESS).otherwise(SKIPPED)
+    if failures is not None:
+        reason = F.coalesce("failure", reason)
+        verdict = F.when(F.col("failure").isNotNull(), FAILED).otherwise(verdict)
+    return gate.withColumn("reason", reason).withColumn("verdict", verdict).drop("failure", "_unchecked")
+
+
+def slice_failures(needed: DataFrame, splits: DataFrame, present: DataFrame | None = None) -> DataFrame:
+    """(file, reason) of slices whose pair file is missing or whose split archive is incomplete.
+
+    ``needed`` has file and archive, ``splits`` is ``check_split_parts``, ``present`` the pair files there are.
+    """
+    torn = splits.filter("NOT complete").select(F.concat("dir", "base").alias("archive"))
+    found = needed.join(torn, "archive", "left_semi").selectExpr("file", "'incomplete_archive' AS reason").distinct()
+    if present is not None:
+        gone = needed.select("file").distinct().join(present.select("file"), "file", "left_anti")
+        found = found.unionByName(gone.selectExpr("file", "'missing_pair_file' AS reason"))
+    return found
 
 
 def run_summary(verdicts: DataFrame) -> DataFrame:

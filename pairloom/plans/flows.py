@@ -12,6 +12,7 @@ from pairloom.operators.pairs import emit_pairs
 from pairloom.operators.resolve import reference_paths, resolve_pairs, resolve_paths
 from pairloom.operators.shards import (
     KEPT,
+    ORDER,
     SAMPLES_PER_SHARD,
     assign_shards,
     build_stats,
@@ -22,11 +23,11 @@ from pairloom.operators.shards import (
     shard_sizes,
     skip_existing,
 )
-from pairloom.operators.slices import PathSettings, rewrite_pairs, slice_gate
+from pairloom.operators.slices import SUCCESS, PathSettings, rewrite_pairs, slice_gate
 from pairloom.operators.verify import first_keys, verify_shards
 from pairloom.runtime import spread, stage
 from pairloom.sources.archives import index_members, list_archives
-from pairloom.sources.images import image_size, image_validity
+from pairloom.sources.images import UNCHECKED, decode_unchecked, image_size, image_validity
 from pairloom.sources.listing import list_tree
 from pairloom.sources.tar_sink import list_shards, write_shards
 
@@ -62,33 +63,46 @@ def check_references(refs: DataFrame, manifest: DataFrame, settings: PathSetting
     The manifest needs path, size and segments. Each file is decoded once,
     however many pairs name it.
     """
-    known = resolve_paths(refs, manifest, settings.pair_dir)
+    known = resolve_paths(refs, manifest, settings.pair_dir, root=root)
     known = stage(known.select("ref", "path", "size", "segments"), "resolved")
     files = known.filter("size > 0").groupBy("path").agg(
         F.first("segments").alias("segments"), F.max("size").alias("size")
     )
-    checked = image_validity(spread(files, "size", "path"), root)
-    checked = checked.select("path", "valid", "width", "height")
+    checked = stage(image_validity(spread(files, "size", "path"), root), "checked")
+    checked = decode_unchecked(manifest.sparkSession, checked, root).select("path", "valid", "width", "height")
     return known.join(checked, "path", "left").drop("path")
 
 
 def build_pairs(
     rows: DataFrame, manifest: DataFrame, settings: PathSettings = PathSettings(), root: str = ""
 ) -> DataFrame:
-    """Every strict pair with its build status and the location of both images."""
-    pairs = rewrite_pairs(emit_pairs(rows), settings)
-    slim = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
-    refs = stage(reference_paths(slim), "references")
+    """Every strict pair with its build status and the location of both images, without prompts."""
+    pairs = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
+    refs = stage(reference_paths(pairs), "references")
     return build_status(resolve_pairs(pairs, check_references(refs, manifest, settings, root), refs))
 
 
+def with_prompts(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs with their prompts, which no step before needs."""
+    return pairs.join(emit_pairs(rows).select(*ORDER, "prompt"), ORDER)
+
+
 @dataclass
 class BuildResult:
+    """``written`` has a row per shard, its samples and whether it was written or left alone."""
+
     stats: DataFrame
     samples: DataFrame
     sizes: DataFrame
     written: DataFrame
 
+    def totals(self) -> DataFrame:
+        """Kept pairs, and shards and samples written and skipped."""
+        counts = [f"count_if(state = '{s}') AS shards_{s}" for s in ("written", "skipped")]
+        counts += [f"coalesce(sum(IF(state = '{s}', samples, 0)), 0) AS samples_{s}" for s in ("written", "skipped")]
+        kept = self.stats.agg(F.expr("coalesce(sum(kept), 0)")).scalar()
+        return self.written.selectExpr(*counts).withColumn("kept", kept)
+
 
 def build(
     rows: DataFrame,
@@ -113,16 +127,70 @@ def build(
     kept = built.filter(F.col("status") == KEPT)
     numbered = pair_index(kept, per_file, staged=False)
     stats = build_stats(rows, built, layouts)
-    if max_shards and not per_file:
-        stats = limited_stats(rows, built, numbered, max_shards, samples_per_shard)
-    samples = assign_shards(numbered, samples_per_shard, prefix, per_file)
+    if max_shards:
+        stats = limited_stats(rows, built, numbered, max_shards, samples_per_shard, per_file=per_file)
+    samples = assign_shards(with_prompts(numbered, rows), samples_per_shard, prefix, per_file)
     samples = limit_shards(samples, max_shards)
     if skip_written:
         samples = skip_existing(samples, list_shards(spark, out))
     samples = stage(samples, "samples")
     sizes = shard_sizes(samples)
-    write_shards(samples, out, sizes.count(), root=root, **write_options)
-    return BuildResult(stats, samples, sizes, sizes.select("shard_name", "samples"))
+    written = write_shards(samples, out, sizes.count(), root=root, **write_options)
+    return BuildResult(stats, samples, sizes, written)
+
+
+@dataclass
+class GatedRun:
+    """``verdicts`` has a row per slice; ``built`` holds only slices that passed the audit, each numbered for itself."""
+
+    audit: dict[str, DataFrame]
+    verdicts: DataFrame
+    stats: DataFrame
+    samples: DataFrame
+    built: BuildResult | None = None
+
+
+def run_slices(
+    rows: DataFrame,
+    layouts: DataFrame,
+    manifest: DataFrame,
+    settings: PathSettings = PathSettings(),
+    root: str = "",
+    out: str | None = None,
+    samples_per_shard: int = SAMPLES_PER_SHARD,
+    failures: DataFrame | None = None,
+    min_rate: float = 1.0,
+    allow_zero_pairs: bool = False,
+    allow_empty: bool = False,
+    allow_unchecked: bool = False,
+    **write_options,
+) -> GatedRun:
+    """Audit, gate, build of the slices that passed, second gate on what was kept.
+
+    A slice is one pair file with all its parts; its verdict comes from counts
+    over all of them. Images of other slices are neither read nor written. With
+    ``out`` the shards are written, else only samples are made.
+    """
+    limits = {"min_rate": min_rate, "allow_zero_pairs": allow_zero_pairs, "allow_empty": allow_empty, "allow_unchecked": allow_unchecked, "failures": failures}
+    sections = audit(rows, layouts, manifest, settings)
+    audited = stage(sections["files"], "audit")
+    first = slice_gate(audited, **limits)
+    passed = stage(first.filter(F.col("verdict") == SUCCESS).select("file"), "passed")
+    chosen = rows.join(passed, "file", "left_semi")
+    if out is not None:
+        built = build(chosen, manifest, out, settings, None, root, samples_per_shard, per_file=True, **write_options)
+        stats, samples = stage(built.stats, "stats"), built.samples
+    else:
+        built, pairs = None, stage(build_pairs(chosen, manifest, settings, root), "built")
+        stats = stage(build_stats(chosen, pairs), "stats")
+        numbered = pair_index(pairs.filter(F.col("status") == KEPT), per_file=True, staged=False)
+        samples = assign_shards(with_prompts(numbered, chosen), samples_per_shard, per_file=True)
+    return GatedRun(sections | {"files": audited}, slice_gate(audited, stats, **limits), stats, samples, built)
+
+
+def _looks_whole(data: bytes) -> bool:
+    size, how = image_size(data)
+    return size is not None or how == UNCHECKED
 
 
 def _decodes(batches):
@@ -137,7 +205,7 @@ def _decodes(batches):
             data = reader.read(segments)
             try:
                 good = data is not None and (
-                    data.decode("utf-8") is not None if suffix == "txt" else image_size(data)[0] is not None
+                    data.decode("utf-8") is not None if suffix == "txt" else _looks_whole(data)
                 )
             except UnicodeDecodeError:
                 good = False

@@ -347,17 +347,27 @@ def slice_gate(spark: SparkSession, sf: str) -> DataFrame:
     return _verdicts(spark, sf).select("file", "verdict", "reason")
 
 
-def _verdicts(spark: SparkSession, sf: str) -> DataFrame:
-    audit = audit_stats(*_audited(spark, sf)).withColumn(
+def _verdicts(spark: SparkSession, sf: str, failures: DataFrame | None = None) -> DataFrame:
+    rows = src.list_rows(spark, sf)
+    # Resolved once: a file that has a size exists.
+    built = stage(_built(spark, sf), "built")
+    audited = built.selectExpr("file", "input_size IS NOT NULL AS input_ok", "output_size IS NOT NULL AS output_ok")
+    audit = audit_stats(rows, audited).withColumn(
         "layout", F.when(F.col("file").endswith("7.parquet"), "unknown").otherwise("lists")
     )
-    build = shards.build_stats(src.list_rows(spark, sf), _built(spark, sf))
-    return slices.slice_gate(audit, build, min_rate=MIN_RATE)
+    build = shards.build_stats(rows, built)
+    return slices.slice_gate(audit, build, min_rate=MIN_RATE, failures=failures)
 
 
 @query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return slices.run_summary(_verdicts(spark, sf))
+    """Slices whose archives, those of the supplier and orders of their number, have gaps count as failed."""
+    splits = archives.check_split_parts(archives.split_parts(src.split_listing(spark, sf)))
+    files = src.list_rows(spark, sf).select("file").distinct()
+    numbered = files.selectExpr("file", "regexp_extract(file, '([0-9]+)[.]parquet$', 1) AS number").filter("number <> ''")
+    owned = splits.selectExpr("concat(dir, base) AS archive", "base", "regexp_extract(dir, 's([0-9]+)/$', 1) AS number")
+    needed = numbered.join(owned, "number").filter("startswith(base, concat('a', number))").select("file", "archive")
+    return slices.run_summary(_verdicts(spark, sf, slices.slice_failures(needed, splits, files)))
 
 
 # Numbers and shards
@@ -483,6 +493,8 @@ def ingest_slices_(spark: SparkSession, sf: str) -> DataFrame:
         new_folder(spark, "offsets"),
         settings=src.SETTINGS,
         min_rate=MIN_RATE,
+        files_per_batch=3,
+        root=src.image_tree(spark, sf),
     )
     stream.awaitTermination()
     verdicts = spark.read.parquet(f"{out}/verdicts").select("file", "strict_pairs", "verdict", "reason")

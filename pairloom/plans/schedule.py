@@ -8,60 +8,60 @@ from pyspark.sql import functions as F
 from pairloom.operators.slices import PathSettings
 from pairloom.sources.listing import match_globs
 
-# Stem, archive, folder of bare file names.
-SLICES = """
-action_part1            action_part1                          Singleturn/part1
-action_part2            action_part2                          Singleturn/part2
-action_part3            action_part3                          Singleturn/part3
-action_part4            action_part4                          Singleturn/part4
-add_part0               results_add_laion_part0
-add_part1               results_add_laion_part1
-add_part4               results_add_laion_part4
-add_part5               results_add_laion_part5
-adjust_canny_part0      results_adjust_canny_laion_part0
-adjust_canny_part2      results_adjust_canny_laion_part2
-adjust_canny_part3      results_adjust_canny_laion_part3
-adjust_canny_part4      results_adjust_canny_laion_part4
-background_part0        results_background_laion_part0
-background_part2        results_background_laion_part2
-background_part3        results_background_laion_part3
-background_part5        results_background_laion_part5
-background_part7        results_background_laion_part7
-hybrid_part0            results_hybrid_part0
-hybrid_part2            results_hybrid_part2
-hybrid_part6            results_hybrid_part6
-reference_extract_part1 results_extract_and_visualedit_part1
-reference_extract_part7 results_extract_and_visualedit_part7
-remove_part0            results_remove_part0
-remove_part1            results_remove_laion_part1
-remove_part4            results_remove_laion_part4
-remove_part5            results_remove_laion_part5
-replace_part0           results_replace_part0
-replace_part1           results_replace_laion_part1
-replace_part4           results_replace_laion_part4
-replace_part5           results_replace_laion_part5
-style_transfer          results_style_transfer
-style_transfer_part0    results_style_transfer_part0
-"""
-GLOB = "Singleturn/{}.tar.split.*"
-
-
 @dataclass(frozen=True)
 class Slice:
+    """A pair file, the archives it needs, and its path settings; ``rules`` are its own substitutions."""
+
     stem: str
     pattern: str
     image_subdir: str = ""
+    fix_hybrid: bool = False
+    rules: tuple[tuple[str, str], ...] = ()
 
 
 def standard_slices() -> list[Slice]:
-    rows = [line.split() for line in SLICES.split("\n") if line]
-    return [Slice(r[0], GLOB.format(r[1]), *r[2:]) for r in rows]
+    # Fixed values.
+    return [
+        Slice("action_part1", "Singleturn/action_part1.tar.split.*", image_subdir="Singleturn/part1"),
+        Slice("action_part2", "Singleturn/action_part2.tar.split.*", image_subdir="Singleturn/part2"),
+        Slice("action_part3", "Singleturn/action_part3.tar.split.*", image_subdir="Singleturn/part3"),
+        Slice("action_part4", "Singleturn/action_part4.tar.split.*", image_subdir="Singleturn/part4"),
+        Slice("add_part0", "Singleturn/results_add_laion_part0.tar.split.*"),
+        Slice("add_part1", "Singleturn/results_add_laion_part1.tar.split.*"),
+        Slice("add_part4", "Singleturn/results_add_laion_part4.tar.split.*"),
+        Slice("add_part5", "Singleturn/results_add_laion_part5.tar.split.*"),
+        Slice("adjust_canny_part0", "Singleturn/results_adjust_canny_laion_part0.tar.split.*"),
+        Slice("adjust_canny_part2", "Singleturn/results_adjust_canny_laion_part2.tar.split.*"),
+        Slice("adjust_canny_part3", "Singleturn/results_adjust_canny_laion_part3.tar.split.*"),
+        Slice("adjust_canny_part4", "Singleturn/results_adjust_canny_laion_part4.tar.split.*"),
+        Slice("background_part0", "Singleturn/results_background_laion_part0.tar.split.*"),
+        Slice("background_part2", "Singleturn/results_background_laion_part2.tar.split.*"),
+        Slice("background_part3", "Singleturn/results_background_laion_part3.tar.split.*"),
+        Slice("background_part5", "Singleturn/results_background_laion_part5.tar.split.*"),
+        Slice("background_part7", "Singleturn/results_background_laion_part7.tar.split.*"),
+        Slice("hybrid_part0", "Singleturn/results_hybrid_part0.tar.split.*", fix_hybrid=True),
+        Slice("hybrid_part2", "Singleturn/results_hybrid_part2.tar.split.*", fix_hybrid=True),
+        Slice("hybrid_part6", "Singleturn/results_hybrid_part6.tar.split.*", fix_hybrid=True),
+        Slice("reference_extract_part1", "Singleturn/results_extract_and_visualedit_part1.tar.split.*"),
+        Slice("reference_extract_part7", "Singleturn/results_extract_and_visualedit_part7.tar.split.*"),
+        Slice("remove_part0", "Singleturn/results_remove_part0.tar.split.*"),
+        Slice("remove_part1", "Singleturn/results_remove_laion_part1.tar.split.*"),
+        Slice("remove_part4", "Singleturn/results_remove_laion_part4.tar.split.*"),
+        Slice("remove_part5", "Singleturn/results_remove_laion_part5.tar.split.*"),
+        Slice("replace_part0", "Singleturn/results_replace_part0.tar.split.*"),
+        Slice("replace_part1", "Singleturn/results_replace_laion_part1.tar.split.*"),
+        Slice("replace_part4", "Singleturn/results_replace_laion_part4.tar.split.*"),
+        Slice("replace_part5", "Singleturn/results_replace_laion_part5.tar.split.*"),
+        Slice("style_transfer", "Singleturn/results_style_transfer.tar.split.*"),
+        Slice("style_transfer_part0", "Singleturn/results_style_transfer_part0.tar.split.*"),
+    ]
 
 
 def path_settings(slices: list[Slice]) -> PathSettings:
     return PathSettings(
         subdirs={s.stem: s.image_subdir for s in slices if s.image_subdir},
-        hybrid_stems=tuple(s.stem for s in slices if s.stem.startswith("hybrid_")),
+        hybrid_stems=tuple(s.stem for s in slices if s.fix_hybrid),
+        stem_rules={s.stem: s.rules for s in slices if s.rules},
     )
 
 

@@ -1,4 +1,4 @@
-"""Incremental slices: new pair files are audited, gated and appended once."""
+"""Incremental slices: new pair files land once, then whole slices are gated and published."""
 
 from collections.abc import Callable
 
@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from pairloom.operators.audit import audit_stats, audited_pairs
-from pairloom.operators.pairs import emit_pairs, read_rows
-from pairloom.operators.shards import SAMPLES_PER_SHARD, assign_shards, pair_index
-from pairloom.operators.slices import SUCCESS, PathSettings, slice_gate
+from pairloom.operators.pairs import read_rows
+from pairloom.operators.shards import SAMPLES_PER_SHARD
+from pairloom.operators.slices import PathSettings
+from pairloom.plans.flows import run_slices
 from pairloom.runtime import stage
+from pairloom.sources.files import open_fs
+from pairloom.sources.listing import whole_file
 from pairloom.sources.pair_files import file_keys
 
 
@@ -28,13 +30,15 @@ def ingest_slices(
     samples_per_shard: int = SAMPLES_PER_SHARD,
     min_rate: float = 1.0,
     files_per_batch: int = 1000,
+    root: str = "",
 ) -> StreamingQuery:
-    """Process all pair files in ``folder`` that no earlier run has finished.
+    """Land all pair files in ``folder`` that no earlier run has finished, then publish their slices.
 
-    Every file is a slice with numbers of its own, so batches never renumber
-    each other, in whatever order files arrive; part files of one slice that
-    come later go on where the earlier ones stopped. A batch writes into
-    folders named after its number; if it is repeated, it replaces what it wrote.
+    The stream only lands rows, so ``files_per_batch`` sets its pace and nothing
+    else. Verdict and numbers of a slice come from all its parts, landed now or
+    before, as in ``run_slices``. A batch that is repeated replaces what it
+    landed; slices that were landed but not published are published by the next run.
+    Returns the finished query.
     """
     source = (
         spark.readStream.schema(schema)
@@ -45,34 +49,48 @@ def ingest_slices(
     )
     rows = read_rows(source, layout, *columns, file_keys())
 
-    def run(batch: DataFrame, number: int) -> None:
-        batch = stage(batch, "batch")
-        audited = stage(audited_pairs(batch, manifest(), settings), "audited")
-        stats = audit_stats(batch, audited).withColumn("layout", F.lit(layout))
-        verdicts = stage(slice_gate(stats, min_rate=min_rate), "verdicts")
-        passed = verdicts.filter(F.col("verdict") == SUCCESS).select("file")
-        resolved = audited.filter("input_ok and output_ok").select("file", "part", "row_index", "turn_pos")
-        pairs = emit_pairs(batch).join(resolved, ["file", "part", "row_index", "turn_pos"], "left_semi")
-        pairs = pairs.join(passed, "file", "left_semi")
-        numbered = pair_index(pairs, per_file=True)
-        if number > 0:
-            earlier = spark.read.parquet(f"{out}/counts").filter(F.col("batch") < number)
-            earlier = earlier.groupBy("file").agg(F.sum("kept").alias("before"))
-            numbered = (
-                numbered.join(earlier, "file", "left")
-                .withColumn("pair_index", F.col("pair_index") + F.coalesce("before", F.lit(0)))
-                .drop("before")
-            )
-        samples = assign_shards(numbered, samples_per_shard, per_file=True)
-        samples.write.mode("overwrite").parquet(f"{out}/samples/batch={number}")
-        done = spark.read.parquet(f"{out}/samples/batch={number}")
-        counts = done.groupBy("file").agg(F.count("*").alias("kept"))
-        counts.write.mode("overwrite").parquet(f"{out}/counts/batch={number}")
-        verdicts.write.mode("overwrite").parquet(f"{out}/verdicts/batch={number}")
+    def land(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
-    return (
-        rows.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    query = rows.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    publish(spark, out, layout, manifest, settings, samples_per_shard, min_rate, root)
+    return query
+
+
+def publish(
+    spark: SparkSession,
+    out: str,
+    layout: str,
+    manifest: Callable[[], DataFrame],
+    settings: PathSettings,
+    samples_per_shard: int,
+    min_rate: float,
+    root: str,
+) -> None:
+    """Gate and build all slices with rows that landed since the last publication."""
+    if not _exists(f"{out}/rows"):
+        return
+    landed = spark.read.parquet(f"{out}/rows")
+    batches = landed.select("batch").distinct()
+    if _exists(f"{out}/published"):
+        batches = batches.join(spark.read.parquet(f"{out}/published"), "batch", "left_anti")
+    batches = stage(batches, "batches")
+    if batches.isEmpty():
+        return
+    files = stage(landed.join(F.broadcast(batches), "batch", "left_semi").select("file").distinct(), "files")
+    rows = landed.drop("batch").join(files, "file", "left_semi")
+    found = manifest()
+    if "segments" not in found.columns:
+        found = found.selectExpr("*", f"{whole_file('path')} AS segments")
+    ran = run_slices(rows, files.withColumn("layout", F.lit(layout)), found, settings, root, samples_per_shard=samples_per_shard, min_rate=min_rate)
+    for name, fresh in (("samples", ran.samples), ("verdicts", ran.verdicts)):
+        if _exists(f"{out}/{name}"):
+            fresh = fresh.unionByName(spark.read.parquet(f"{out}/{name}").join(files, "file", "left_anti"))
+        stage(fresh, name).write.mode("overwrite").parquet(f"{out}/{name}")
+    batches.write.mode("append").parquet(f"{out}/published")
+
+
+def _exists(path: str) -> bool:
+    files, inner = open_fs(path)
+    return files.get_file_info(inner).type.name == "Directory"

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import json
+import shutil
 import tarfile
 from pathlib import Path
 from types import SimpleNamespace
@@ -19,7 +20,7 @@ from pairloom.runtime import new_folder, shared_dir, stage
 from pairloom.sources import archives
 from pairloom.sources import pair_files as pf
 from pairloom.sources.listing import list_tree, match_globs, whole_file
-from pairloom.sources.tar_sink import list_shards
+from pairloom.sources.tar_sink import list_shards, write_shards
 from pairloom.streaming.ingest import ingest_slices
 
 PAIRS = {
@@ -215,7 +216,7 @@ def test_stream_takes_each_file_once(spark, root, tmp_path):
         schema = spark.read.parquet(str(folder / "Parquet")).schema
         ingest_slices(
             spark, str(folder / "Parquet"), schema, "lists", lambda: manifest, out, str(tmp_path / "offsets"),
-            samples_per_shard=5, min_rate=0.9, files_per_batch=per_batch,
+            samples_per_shard=5, min_rate=0.9, files_per_batch=per_batch, root=str(root),
         ).awaitTermination()
         verdicts = sorted((r.file, r.verdict) for r in spark.read.parquet(f"{out}/verdicts").collect())
         samples = spark.read.parquet(f"{out}/samples")
@@ -228,25 +229,84 @@ def test_stream_takes_each_file_once(spark, root, tmp_path):
     write_pairs(folder, "gone", "results_gone", 3)
     verdicts, samples = run(per_batch=1)
     assert verdicts == [("add_part0.parquet", "SUCCESS"), ("gone.parquet", "SKIPPED"), ("hybrid_part1.parquet", "SUCCESS")]
-    assert samples == sorted(first + [(f"add_part0/shard-{i // 5:05d}.tar", i) for i in range(24)])
+    # The truncated and the empty image are no samples.
+    assert samples == sorted(first + [(f"add_part0/shard-{i // 5:05d}.tar", i) for i in range(22)])
 
 
-def test_part_files_of_one_slice_in_several_batches(spark, root, tmp_path):
+@pytest.mark.parametrize("per_batch", [1, 2, 1000])
+def test_part_files_of_one_slice_in_several_batches(spark, root, tmp_path, per_batch):
+    """Verdict and samples come from the whole slice, however many parts a batch takes, and equal the batch flow's."""
     out, folder = str(tmp_path / "out"), tmp_path / "in"
-    write_pairs(folder, "whole", "results_compose_x", 12)
-    whole = pq.read_table(folder / "Parquet" / "whole.parquet")
-    parts = folder / "Sliced" / "hybrid_part1.parquet"
-    parts.mkdir(parents=True)
-    for i in (0, 1, 2):
-        pq.write_table(whole.slice(4 * i, 4), parts / f"part-{i}.parquet")
-    schema = spark.read.parquet(str(parts)).schema
+    for stem, names in {"hybrid_part1": ["whole"], "broken": ["whole", "gone"]}.items():
+        write_pairs(folder, "whole", "results_compose_x", 12)
+        write_pairs(folder, "gone", "results_gone", 12)
+        parts = folder / "Sliced" / f"{stem}.parquet"
+        parts.mkdir(parents=True)
+        for k, name in enumerate(names):
+            whole = pq.read_table(folder / "Parquet" / f"{name}.parquet")
+            for i in (0, 1, 2):
+                pq.write_table(whole.slice(4 * i, 4), parts / f"part-{3 * k + i}.parquet")
+    schema = spark.read.parquet(str(folder / "Sliced" / "broken.parquet")).schema
+    manifest = tree_manifest(spark, root)
+    settings = PathSettings(rules=[("results_compose", "results_hybrid")])
     ingest_slices(
-        spark, str(folder / "Sliced"), schema, "lists", lambda: tree_manifest(spark, root).select("path", "size"),
-        out, str(tmp_path / "offsets"), files_per_batch=1,
+        spark, str(folder / "Sliced"), schema, "lists", lambda: manifest, out, str(tmp_path / "offsets"),
+        settings=settings, min_rate=0.8, files_per_batch=per_batch, root=str(root),
     ).awaitTermination()
-    samples = spark.read.parquet(f"{out}/samples").collect()
-    assert len({r.batch for r in samples}) == 3
-    assert sorted(r.pair_index for r in samples) == list(range(12))
+    verdicts = {r.file: (r.verdict, r.reason, r.strict_pairs) for r in spark.read.parquet(f"{out}/verdicts").collect()}
+    assert verdicts == {"hybrid_part1.parquet": ("SUCCESS", None, 12), "broken.parquet": ("SKIPPED", "low_resolve_rate", 24)}
+    samples = spark.read.parquet(f"{out}/samples").select("file", "part", "row_index", "pair_index", "key", "prompt").collect()
+    assert {r.file for r in samples} == {"hybrid_part1.parquet"} and sorted(r.pair_index for r in samples) == list(range(len(samples)))
+    rows = spark.read.parquet(f"{out}/rows").drop("batch")
+    layouts = rows.select("file").distinct().selectExpr("file", "'lists' AS layout")
+    ran = flows.run_slices(rows, layouts, manifest, settings, str(root), min_rate=0.8)
+    assert sorted(samples) == sorted(ran.samples.select("file", "part", "row_index", "pair_index", "key", "prompt").collect())
+
+
+def test_gated_run_writes_passed_slices_only(spark, root, tmp_path):
+    rows, layouts = scan(spark, root)
+    out = str(tmp_path / "shards")
+    failures = spark.createDataFrame([("lost.parquet", "missing_pair_file")], "file string, reason string")
+    ran = flows.run_slices(rows, layouts, tree_manifest(spark, root), root=str(root), out=out, samples_per_shard=5, failures=failures, min_rate=1.0)
+    verdicts = {r.file: r.verdict for r in ran.verdicts.collect()}
+    assert verdicts["lost.parquet"] == "FAILED" and "SKIPPED" in verdicts.values() and "SUCCESS" in verdicts.values()
+    passed = {f.removesuffix(".parquet") for f, v in verdicts.items() if v == "SUCCESS"}
+    assert {Path(p).parts[0] for p in read_tars(out)} == passed
+    assert {r.state for r in ran.built.written.collect()} == {"written"}
+    totals = ran.built.totals().first()
+    assert totals.samples_written == totals.kept == ran.samples.count() and totals.samples_skipped == 0
+    again = flows.run_slices(rows, layouts, tree_manifest(spark, root), root=str(root), out=out, samples_per_shard=5, min_rate=1.0)
+    assert {r.state for r in again.built.written.collect()} == {"skipped"}
+    assert again.built.totals().first().samples_written == 0
+    assert not [p for p in Path(out).rglob(".*") if ".tar." in p.name]
+
+
+def test_failed_shards_leave_no_parts(spark, root, tmp_path):
+    rows, _ = scan(spark, root)
+    gone = tree_manifest(spark, root).selectExpr("path", "size", f"{whole_file('path')} AS segments")
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy)
+    built = flows.build(rows, gone, str(tmp_path / "first"), root=str(copy), samples_per_shard=5)
+    next(iter(sorted(copy.rglob("edited.png")))).unlink()
+    with pytest.raises(Exception, match="can no longer be read"):
+        write_shards(built.samples, str(tmp_path / "second"), built.sizes.count(), root=str(copy))
+    assert not [p for p in (tmp_path / "second").rglob(".*") if ".tar." in p.name and not p.name.endswith(".crc")]
+
+
+def test_shard_limit_per_file(spark, root, tmp_path):
+    rows, _ = scan(spark, root)
+    built = flows.build(rows, tree_manifest(spark, root), str(tmp_path / "x"), root=str(root), samples_per_shard=5, per_file=True, max_shards=1)
+    kept = {r.file: r.kept for r in built.stats.collect()}
+    assert kept == {f: n for f, n in built.samples.groupBy("file").count().collect()} | {f: n for f, n in kept.items() if n == 0}
+    assert all(n <= 5 for n in kept.values())
+
+
+def test_no_prompt_before_the_numbers(spark, root):
+    rows, _ = scan(spark, root)
+    pairs = flows.build_pairs(rows, tree_manifest(spark, root), root=str(root))
+    assert "prompt" not in pairs.columns
+    scans = [x for x in pairs._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in x and "input_images" in x]
+    assert scans and not [x for x in scans if "prompt" in x.rpartition("ReadSchema")[2]]
 
 
 def test_standard_slices(spark):

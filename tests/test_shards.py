@@ -52,7 +52,7 @@ def test_statuses(spark):
     rows = [(1, True, 1, True), (None, None, 1, True), (0, None, 1, True), (1, False, 1, True), (1, True, 1, None), (0, None, 1, False)]
     df = spark.createDataFrame(rows, "input_size long, input_valid boolean, output_size long, output_valid boolean")
     got = [r.status for r in shards.build_status(df).collect()]
-    assert got == ["kept", "missing_file", "missing_file", "bad_image", "bad_image", "missing_file"]
+    assert got == ["kept", "missing_file", "missing_file", "bad_image", "unchecked", "missing_file"]
 
 
 def test_limited_stats(spark):
