@@ -33,6 +33,7 @@ from pairloom.sources.tar_sink import list_shards, write_shards
 
 SIDES = ("input", "output")
 DECODED_PER_SHARD = 3
+MEMBERS_PER_TASK = 200
 
 
 def explore(rows: DataFrame, layouts: DataFrame, listing: DataFrame) -> dict[str, DataFrame]:
@@ -219,7 +220,10 @@ def verify_decode(members: DataFrame, per_shard: int = DECODED_PER_SHARD) -> Dat
     ``members`` has shard_name, member and segments.
     """
     chosen = first_keys(members, per_shard).select("shard_name", "member", "suffix", "segments")
-    checked = chosen.mapInPandas(_decodes, "shard_name string, member string, readable boolean")
+    # Reading is the work here, and the rows are short.
+    chosen = stage(chosen, "chosen")
+    tasks = max(1, chosen.count() // MEMBERS_PER_TASK)
+    checked = chosen.repartitionByRange(tasks, "shard_name", "member").mapInPandas(_decodes, "shard_name string, member string, readable boolean")
     return checked.groupBy("shard_name").agg(
         F.count("*").alias("members_read"), F.count_if(~F.col("readable")).alias("unreadable")
     )
@@ -227,8 +231,7 @@ def verify_decode(members: DataFrame, per_shard: int = DECODED_PER_SHARD) -> Dat
 
 def shard_members(spark: SparkSession, out: str) -> DataFrame:
     """Member index of the shards below ``out``."""
-    archives = list_archives(list_tree(spark, out))
-    index = index_members(archives, out)
+    index = index_members(stage(list_archives(list_tree(spark, out)), "archives"), out)
     return index.selectExpr("archive AS shard_name", "member", "size", "segments", "state")
 
 

@@ -1,7 +1,9 @@
 """Tar archives, whole or split into parts, as tables of members.
 
-A member is described by where its bytes lie, so archives are never unpacked:
-later steps read the byte ranges they need. One archive is indexed by many
+A member is described by where its bytes lie, so plain archives are never
+unpacked: later steps read the byte ranges they need. Compressed ones have no
+such ranges and are decompressed, once and front to back, into plain archives in
+the shared folder. One archive is indexed by many
 tasks. Each walks the headers that start in its byte range, beginning at the
 first header it can find there. A file inside the archive may look like a
 header, so neighbours are compared afterwards: a walk must end exactly where
@@ -9,8 +11,14 @@ the next one began. Archives that fail this test, and compressed ones, are
 walked again from the start by one task.
 """
 
+import bz2
+import gzip
 import io
+import lzma
+import shutil
 import tarfile
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,7 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairloom.functions.paths import base_name, canonical_path, dir_name
-from pairloom.runtime import spread, stage
+from pairloom.runtime import new_folder, spread, stage
 from pairloom.sources.files import SEGMENTS, SegmentReader, batches_of, join_path, open_fs
 
 # Fixed value: end of the name of one part of a split archive.
@@ -30,7 +38,10 @@ RANGES_PER_TASK = 4
 RANGE_BYTES = 256 << 20
 # Room before a range in which the headers of a long member name may start.
 LOOK_BACK = 64 << 10
+# Headers are read with some of what follows, so that small members need no request each.
+READ_AHEAD = 32 << 10
 COMPRESSED = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00")
+OPENERS = dict(zip(COMPRESSED, (gzip.open, bz2.open, lzma.open)))
 
 PARTS = "array<struct<idx:decimal(38,0),path:string,size:bigint>>"
 MEMBER = f"archive string, whole boolean, member string, size long, segments {SEGMENTS}, range_no long, start long, next long, state string"
@@ -139,12 +150,12 @@ class _Joined(io.RawIOBase):
         return len(data)
 
 
-def _first_header(f: _Joined, at: int) -> int | None:
-    """Offset of the first block at or after ``at`` that is a valid tar header."""
+def _first_header(f: _Joined, at: int, end: int) -> int | None:
+    """Offset of the first block from ``at`` up to ``end`` that is a valid tar header."""
     at = -(-at // BLOCK) * BLOCK
-    while at < f.size:
+    while at < end:
         f.seek(at)
-        data = f.read(BLOCK << 11)
+        data = f.read(min(BLOCK << 11, -(-(end - at) // BLOCK) * BLOCK))
         for i in range(0, len(data) - BLOCK + 1, BLOCK):
             if data[i + 257 : i + 262] == b"ustar":
                 try:
@@ -158,11 +169,12 @@ def _first_header(f: _Joined, at: int) -> int | None:
 
 def _walk(f: _Joined, lo: int, hi: int) -> Iterator[tuple[tarfile.TarInfo | None, int | None]]:
     """Members whose headers start in [lo, hi), each with the offset of the next member."""
-    first = 0 if lo == 0 else _first_header(f, max(0, lo - LOOK_BACK))
+    first = 0 if lo == 0 else _first_header(f, max(0, lo - LOOK_BACK), hi)
     if first is None:
         return
-    f.seek(first)
-    with tarfile.TarFile(fileobj=f, mode="r") as tar:
+    ahead = io.BufferedReader(f, READ_AHEAD)
+    ahead.seek(first)
+    with tarfile.TarFile(fileobj=ahead, mode="r") as tar:
         member = tar.next()
         while member is not None and member.offset < hi:
             tar.members.clear()
@@ -258,6 +270,54 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
     return kept.selectExpr("archive", "whole", path, "member", "size", "segments", "start AS offset", "state")
 
 
+def _decompress(root: str, folder: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for task in batch.to_dict("records"):
+                source = io.BufferedReader(_Joined(root, task["parts"]), 4 << 20)
+                opener = next(o for magic, o in OPENERS.items() if source.peek(6).startswith(magic))
+                path = f"{folder}/{uuid.uuid4().hex}.tar"
+                files, inner = open_fs(path)
+                try:
+                    with files.open_output_stream(inner) as out, opener(source) as plain:
+                        shutil.copyfileobj(plain, out, 4 << 20)
+                    rows.append((task["archive"], task["whole"], path, files.get_file_info(inner).size))
+                except (OSError, EOFError, zlib.error, lzma.LZMAError):
+                    files.delete_file(inner)
+                    rows.append((task["archive"], task["whole"], None, 0))
+            yield pd.DataFrame(rows, columns=["archive", "whole", "path", "size"])
+
+    return run
+
+
+def index_archives(archives: DataFrame, root: str = "", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """``index_members`` with the members of compressed archives, whose bytes lie in plain copies.
+
+    Archives are decompressed one a task; a copy that a lost task has left is
+    never named. Members keep the paths they have in the archive.
+    """
+    spark = archives.sparkSession
+    archives = stage(archives, "archives")
+    index = index_members(archives, root, range_bytes)
+    packed = stage(archives.join(index.filter("state = 'compressed'").select("archive"), "archive", "left_semi"), "packed")
+    count = packed.count()
+    if not count:
+        return index
+    folder = new_folder(spark, "unpacked")
+    files, inner = open_fs(folder)
+    files.create_dir(inner, recursive=True)
+    folder = inner if folder.startswith("file:") else folder
+    plain = packed.repartitionByRange(count, "archive").mapInPandas(_decompress(root, folder), "archive string, whole boolean, path string, size long")
+    plain = stage(plain, "unpacked-index")
+    copies = plain.filter("path IS NOT NULL").select(
+        "archive", "whole", F.array(F.struct(F.lit(0).alias("idx"), "path", "size")).cast(PARTS).alias("parts")
+    )
+    torn = index.filter("state = 'compressed'").join(plain.filter("path IS NULL").select("archive"), "archive", "left_semi")
+    torn = torn.withColumn("state", F.lit("unreadable"))
+    return index.filter("state <> 'compressed'").unionByName(index_members(copies, "", range_bytes)).unionByName(torn)
+
+
 MEMBER_BYTES = ["archive", "member", "size", "payload"]
 
 
@@ -284,9 +344,10 @@ def _unpack(root: str):
 def scan_compressed(archives: DataFrame, index: DataFrame, root: str = "") -> DataFrame:
     """Members and bytes of compressed archives; each can only be read front to back."""
     packed = index.filter("state = 'compressed'").select("archive")
-    return archives.join(packed, "archive", "left_semi").mapInPandas(
-        _unpack(root), "archive string, member string, size long, payload binary"
-    )
+    packed = stage(archives.join(packed, "archive", "left_semi"), "packed")
+    # One archive is a lot of reading behind a short row.
+    spread_out = packed.repartitionByRange(max(1, packed.count()), "archive")
+    return spread_out.mapInPandas(_unpack(root), "archive string, member string, size long, payload binary")
 
 
 def _payload(root: str):
@@ -304,7 +365,8 @@ def _payload(root: str):
 
 def scan_tar_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Archive, member, size and bytes of every regular member."""
-    index = index_members(archives, root, range_bytes)
+    archives = stage(archives, "archives")
+    index = stage(index_members(archives, root, range_bytes), "index")
     files = spread(index.filter("state = 'file'"), "size", "archive", "offset")
     schema = "archive string, member string, size long, payload binary"
     read = files.select("archive", "member", "size", "segments").mapInPandas(_payload(root), schema)

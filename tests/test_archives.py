@@ -132,3 +132,24 @@ def test_last_unpacked_member_wins(spark, tmp_path):
     found = archives.list_archives(list_tree(spark, str(tmp_path)))
     manifest = archives.archive_manifest(archives.index_members(found, str(tmp_path)))
     assert sorted((r.path, r["size"]) for r in manifest.collect()) == [("w", 4), ("x", 2), ("y", 3)]
+
+
+def test_large_members_are_not_searched(spark, tmp_path, monkeypatch):
+    """Ranges inside one large member read little more than themselves."""
+    data = make_tar([("a.txt", b"x"), ("large.bin", bytes(random.Random(1).randbytes(8 << 20))), ("z.txt", b"y")])
+    (tmp_path / "one.tar").write_bytes(data)
+    parts = [{"idx": 0, "path": "one.tar", "size": len(data)}]
+    read, found = [], []
+    whole_read = archives._Joined.read
+
+    def counted(self, size=-1):
+        got = whole_read(self, size)
+        read.append(len(got))
+        return got
+
+    monkeypatch.setattr(archives._Joined, "read", counted)
+    for lo in range(0, len(data), 1 << 18):
+        f = archives._Joined(str(tmp_path), parts)
+        found += [m.name for m, _ in archives._walk(f, lo, min(lo + (1 << 18), len(data)))]
+    assert found == ["a.txt", "large.bin", "z.txt"]
+    assert sum(read) <= 2 * len(data)

@@ -1,8 +1,11 @@
 """Whole runs over small trees: build, verify, resume, slices and the stream."""
 
+import bz2
+import gzip
 import hashlib
 import io
 import json
+import lzma
 import shutil
 import tarfile
 from pathlib import Path
@@ -301,6 +304,29 @@ def test_shard_limit_per_file(spark, root, tmp_path):
     assert all(n <= 5 for n in kept.values())
 
 
+def test_compressed_archives_give_the_same_pairs(spark, root, packed, tmp_path):
+    """The same archives plain, and as gzip, bzip2 and xz; a torn one is told apart."""
+    rows, _ = scan(spark, root)
+    want = None
+    for mode in ("", "gz", "bz2", "xz"):
+        folder = tmp_path / f"in{mode}"
+        (folder / "Singleturn").mkdir(parents=True)
+        for part in sorted((packed / "Singleturn").iterdir()):
+            data = part.read_bytes()
+            if mode and part.suffix == ".tar":
+                data = {"gz": gzip, "bz2": bz2, "xz": lzma}[mode].compress(data)
+            (folder / "Singleturn" / part.name).write_bytes(data)
+        if mode == "gz":
+            (folder / "Singleturn" / "torn.tar").write_bytes(gzip.compress(b"x" * 10_000)[:-20])
+        index = archives.index_archives(archives.list_archives(list_tree(spark, str(folder))), str(folder), 4096)
+        assert index.filter("state = 'unreadable'").count() == (mode == "gz")
+        out = str(tmp_path / f"out{mode}")
+        flows.build(rows, archives.archive_manifest(index), out, root=str(folder), samples_per_shard=5)
+        found = read_tars(out)
+        want = want or found
+        assert found == want and found
+
+
 def test_no_prompt_before_the_numbers(spark, root):
     rows, _ = scan(spark, root)
     pairs = flows.build_pairs(rows, tree_manifest(spark, root), root=str(root))
