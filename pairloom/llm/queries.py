@@ -105,3 +105,19 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf)
+
+
+ORACLES["op5_jaccard_tiles"] = r"""
+WITH RECURSIVE words AS (
+ SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lists AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END AS s FROM words),
+shingles AS (SELECT DISTINCT doc_id, unnest(s) AS s FROM lists),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT b, m FROM reached JOIN edges ON a = d)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT d AS doc_id, min(m) AS component_id FROM reached GROUP BY d) USING (doc_id)
+"""
