@@ -4,13 +4,13 @@ Every task packs its own pieces best-fit; nearly full bins are final. Underfull
 bins become items of the next round, which fewer tasks pack, and so on up a tree.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.words import chunks
@@ -139,11 +139,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, full: float = FULL) -> Dat
     return placed.select("doc_id", "piece", "nr", F.col("bin").alias("sequence_id"), "offset")
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY, keep: Sequence[Column | str] = ("ids",)) -> DataFrame:
     """Pieces with their ids and place: doc_id, piece, start, length, ids, sequence_id, offset.
 
+    ``keep`` may name what is wanted of the ids instead; it is computed where a
+    text is tokenized, so that ids nobody wants are neither written nor shuffled.
+
     Rows that repeat a doc_id are packed as documents of their own. No rows give
     no rows; null and empty texts are one end id; other columns are ignored.
     """
-    pieces = stage(tokenize(docs, ranks_path, capacity).withColumn("nr", F.monotonically_increasing_id()), "pieces")
+    pieces = tokenize(docs, ranks_path, capacity).withColumn("nr", F.monotonically_increasing_id())
+    pieces = stage(pieces.select("nr", "doc_id", "piece", "start", "length", *keep), "pieces")
     return pieces.join(pack(pieces, capacity).drop("doc_id", "piece"), "nr")

@@ -59,8 +59,8 @@ def op5_jaccard_tiles(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    placed = packing.pack_documents(docs, RANKS)
-    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    placed = packing.pack_documents(docs, RANKS, keep=[F.crc32("ids").alias("ids_crc32")])
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @query
