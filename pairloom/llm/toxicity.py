@@ -1,7 +1,10 @@
 """Toxicity from two class-conditional Kneser-Ney bigram models that share their backoff counts.
 
-Both classes back off to one distribution, the number of different words that
-precede a word in either class, so a rare expression says little about the class.
+A pair counts as often as it occurs in a class. What the discount takes from a
+pair that either class holds is shared by both classes, as their words' own
+probabilities are to each other, so a rare pair says little about the class. Words
+back off to the number of different words before them in the class, and then, in
+both classes, to the number of different words that precede a word in either.
 """
 
 from collections.abc import Iterator
@@ -16,15 +19,13 @@ from pairloom.llm.words import Words, chain, chunks
 from pairloom.runtime import stage
 
 ROWS = 20_000  # labelled rows a class for the counts, and as many in all for the calibration
-ENTRIES = 1_000_000  # n-grams of the model; beyond, the rarest back off as well
-RARE = 3  # words with no more continuations in either class back off entirely
-RARE_PAIRS = 20  # and pairs of words
-DISCOUNT = 1.5  # taken from the others
+DISCOUNT = 1.5  # taken from every count; it takes all of what was seen once
 WINDOW = 32  # words
 EVIDENCE = 1.5  # log ratio from which a word speaks for itself; weaker ones mostly tell how languages and topics are mixed in the classes
-SCALES = (5, 50, 10)  # bring the features of ordinary and toxic texts to about 0 to 5
+SCALES = (5, 50, 10) * 2  # bring the features of ordinary and toxic texts to about 0 to 5
 LIMIT = 10
 RATIOS = ["mean_ratio", "telling_ratio", "window_ratio"]
+FEATURES = [*RATIOS, *(f"word_{r}" for r in RATIOS)]  # by both orders of the model, and by words alone
 
 
 @dataclass
@@ -39,32 +40,33 @@ class Model:
     extra: np.ndarray
     weights: np.ndarray | None = None
 
-    def ratios(self, hashes: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """log p(word | previous word, toxic) - log p(... , ordinary) of each word."""
+    def ratios(self, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log p(word | previous word, toxic) - log p(... , ordinary) of each word, and the same without the previous word."""
         at, known = _find(self.words, hashes)
         p = np.where(known[:, None], self.p[at], self.unknown)
+        alone = np.log(p[:, 0]) - np.log(p[:, 1])
         same = np.r_[False, doc[1:] == doc[:-1]][: len(doc)]
         before = np.roll(hashes, 1)
         u, u_known = np.roll(at, 1), np.roll(known, 1) & same
         p = p * np.where(u_known[:, None], self.backoff[u], 1.0)
         pair, found = _find(self.pairs, chain(before, hashes))
         p = p + np.where((found & u_known)[:, None], self.extra[pair], 0.0)
-        return np.log(p[:, 0]) - np.log(p[:, 1])
+        return np.log(p[:, 0]) - np.log(p[:, 1]), alone
 
     def features(self, texts: list) -> np.ndarray:
-        """Per text: the mean log ratio a word, the same of telling words alone, and the largest mean of these in a window; 0 without words."""
+        """``FEATURES`` per text: the mean log ratio a word, the same of telling words alone, and the largest mean of these in a window; 0 without words."""
         words = Words(texts)
-        out = np.zeros((len(texts), 3))
+        out = np.zeros((len(texts), len(FEATURES)))
         if not len(words.starts):
             return out
-        ratios = self.ratios(words.hashes(), words.doc)
         first, n = words.first[:-1], words.count
         some = n > 0
-        all_words, telling = (np.r_[0.0, np.cumsum(r)] for r in (ratios, np.where(np.abs(ratios) >= EVIDENCE, ratios, 0.0)))
-        for k, total in enumerate((all_words, telling)):
-            out[some, k] = (total[first + n] - total[first])[some] / n[some]
         ends = np.minimum(np.arange(len(words.starts)) + WINDOW, (first + n)[words.doc])
-        out[some, 2] = np.maximum.reduceat((telling[ends] - telling[:-1]) / WINDOW, first[some])
+        for i, ratios in enumerate(self.ratios(words.hashes(), words.doc)):
+            all_words, telling = (np.r_[0.0, np.cumsum(r)] for r in (ratios, np.where(np.abs(ratios) >= EVIDENCE, ratios, 0.0)))
+            for k, total in enumerate((all_words, telling)):
+                out[some, 3 * i + k] = (total[first + n] - total[first])[some] / n[some]
+            out[some, 3 * i + 2] = np.maximum.reduceat((telling[ends] - telling[:-1]) / WINDOW, first[some])
         return out
 
     def scores(self, features: np.ndarray) -> np.ndarray:
@@ -85,10 +87,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def count_pairs(labelled: DataFrame) -> DataFrame:
-    """(toxic, u, w, n): n different words come before the words u, w (hashes; 0 before the first word).
-
-    Copies of a text or of a passage count once, as continuations always do.
-    """
+    """(toxic, u, w, n): the words u, w follow each other n times (hashes; u is 0 before the first word)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -96,12 +95,13 @@ def count_pairs(labelled: DataFrame) -> DataFrame:
                 words, labels = Words(batch.column("text").to_pylist()), batch.column("toxic").to_numpy()
                 w = words.hashes()
                 place = np.arange(len(w)) - words.first[words.doc]
-                t, u = (np.where(place >= k, np.roll(w, k), 0).astype(np.uint64) for k in (2, 1))
-                rows = pa.table({"toxic": pa.array(labels[words.doc], pa.int32()), "t": _signed(t), "u": _signed(u), "w": _signed(w)})
-                yield from rows.group_by(["toxic", "t", "u", "w"]).aggregate([]).combine_chunks().to_batches(100_000)
+                u = np.where(place >= 1, np.roll(w, 1), 0).astype(np.uint64)
+                rows = pa.table({"toxic": pa.array(labels[words.doc], pa.int32()), "u": _signed(u), "w": _signed(w)})
+                counted = rows.group_by(["toxic", "u", "w"]).aggregate([([], "count_all")]).rename_columns({"count_all": "n"})
+                yield from counted.select(["toxic", "u", "w", "n"]).combine_chunks().to_batches(100_000)
 
-    found = labelled.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(run, "toxic int, t long, u long, w long")
-    return found.distinct().groupBy("toxic", "u", "w").agg(F.count("*").alias("n"))
+    found = labelled.select(F.col("text").cast("string"), F.col("toxic").cast("int")).mapInArrow(run, "toxic int, u long, w long, n long")
+    return found.groupBy("toxic", "u", "w").agg(F.sum("n").alias("n"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, calibrate: Column) -> Model | None:
@@ -125,10 +125,10 @@ def learn(docs: DataFrame, labels: DataFrame, calibrate: Column) -> Model | None
     model = _smooth(pairs)
     if model is None:
         return None
-    model.weights = np.array([0.0, 1.0, 0.0, -1.0])
-    found = score(sample.where("calibrate"), model, ["toxic"]).select(*RATIOS, "toxic").toPandas()
+    model.weights = np.array([0.0, 1.0, 0.0, 0.0, 0.0, 0.0, -1.0])
+    found = score(sample.where("calibrate"), model, ["toxic"]).select(*FEATURES, "toxic").toPandas()
     if found.toxic.nunique() == 2:
-        model.weights = _logistic(found[RATIOS].to_numpy(), found.toxic.to_numpy())
+        model.weights = _logistic(found[FEATURES].to_numpy(), found.toxic.to_numpy())
     return model
 
 
@@ -136,16 +136,12 @@ def _smooth(pairs: DataFrame) -> Model | None:
     by_class = [F.sum(F.when(F.col("toxic") == c, F.col("n"))).alias(f"n{c}") for c in (1, 0)]
     wide = pairs.groupBy("u", "w").agg(*by_class).fillna(0)
     types = [F.count(F.when(F.col("toxic") == c, 1)).alias(f"n{c}") for c in (1, 0)]
-    words = pairs.groupBy("w").agg(*types, F.countDistinct("u").alias("before"))
-    kept = F.greatest("n1", "n0")
+    words = pairs.groupBy("w").agg(*types, F.countDistinct("u").alias("before"), F.sum("n").alias("seen"))
     totals = words.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.sum("before").alias("before"), F.count("*").alias("types")).first()
     if not totals.n1 or not totals.n0:
         return None
-    rare, rare_pairs = RARE, RARE_PAIRS
-    while (size := words.where(kept > rare).count() + wide.where(kept > rare_pairs).count()) > ENTRIES:
-        rare, rare_pairs = rare * size // ENTRIES + 1, rare_pairs * size // ENTRIES + 1
-    uni = words.where(kept > rare).toPandas()
-    bi = wide.where((kept > rare_pairs) & (F.col("u") != 0)).toPandas()
+    uni = words.where("seen > 1").drop("seen").toPandas()
+    bi = wide.where((F.greatest("n1", "n0") > DISCOUNT) & (F.col("u") != 0)).toPandas()
     if uni.empty:
         return None
     n, big = uni[["n1", "n0"]].to_numpy(float), np.array([totals.n1, totals.n0], dtype=float)
@@ -162,12 +158,17 @@ def _smooth(pairs: DataFrame) -> Model | None:
     used = np.zeros_like(p)
     np.add.at(used, at, taken)
     follow = pairs.groupBy("u").agg(*by_class).fillna(0)  # all that follows a word
-    follow = follow.join(words.where(kept > rare).select(F.col("w").alias("u")), "u").toPandas().set_index("u")
+    follow = follow.join(words.where("seen > 1").select(F.col("w").alias("u")), "u").toPandas().set_index("u")
     n = follow.reindex(keys.view(np.int64))[["n1", "n0"]].fillna(0).to_numpy(float)
-    extra = taken / np.maximum(n[at], 1)
+    own = p[_find(keys, bi.w.to_numpy().view(np.uint64))[0]]
+    shared = DISCOUNT * own / own.sum(1, keepdims=True)
+    lent = np.zeros_like(p)
+    np.add.at(lent, at, shared)
+    size = n + DISCOUNT * np.bincount(at, minlength=len(p))[:, None]  # with DISCOUNT for each pair that either class holds
+    extra = (taken + shared) / size[at]
     hashes = chain(u, bi.w.to_numpy().view(np.uint64))
     by = np.argsort(hashes)
-    backoff = 1 - used / np.maximum(n, 1)
+    backoff = 1 - (used + lent) / np.maximum(size, 1)
     if not len(by):
         hashes, extra, by = np.zeros(1, np.uint64), np.zeros((1, 2)), np.array([0])
     return Model(keys, p, np.maximum(backoff, 1e-6), 0.5 / (totals.before + 0.5 * (totals.types + 1)), hashes[by], extra[by])
@@ -187,7 +188,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 30, ridge: float = 1e-3
 
 
 def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """``keep`` columns, ``RATIOS`` and score (0 to 1) of each whole text.
+    """``keep`` columns, ``FEATURES`` and score (0 to 1) of each whole text.
 
     Null and empty texts have ratios of 0; without a model every score is 0.
     Repeated rows stay, extra columns go.
@@ -199,10 +200,10 @@ def score(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
         for whole in batches:
             for batch in chunks(whole, "__text"):
                 texts = batch.column("__text").to_pylist()
-                x = own.features(texts) if own else np.zeros((len(texts), 3))
+                x = own.features(texts) if own else np.zeros((len(texts), len(FEATURES)))
                 y = own.scores(x) if own else np.zeros(len(texts))
-                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(c) for c in (*x.T.copy(), y))], names=[*keep, *RATIOS, "score"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))), *(pa.array(c) for c in (*x.T.copy(), y))], names=[*keep, *FEATURES, "score"])
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{schema}, {', '.join(f'{c} double' for c in RATIOS)}, score double")
+    return rows.mapInArrow(run, f"{schema}, {', '.join(f'{c} double' for c in FEATURES)}, score double")

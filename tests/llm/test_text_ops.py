@@ -122,6 +122,22 @@ def test_toxicity(spark):
     assert [r.score for r in toxicity.score(odd, None, ["doc_id"]).collect()] == [0.0] * 4
 
 
+def test_toxic_phrase_after_one_word(spark):
+    """Only the order of common words tells; the phrase always follows the same word."""
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(300):
+        words = [w for w in rng.choice([f"w{k}" for k in range(200)], 60)]
+        both = "zip zap zop" if i % 2 else "zip zop zap"
+        rows.append((i, " ".join([*words[:20], *f"zip {both} zip".split(), *words[20:]]), i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    pairs = {(r.toxic, r.n) for r in toxicity.count_pairs(docs.where("doc_id < 100")).collect() if r.n >= 50}
+    assert pairs == {(0, 50), (1, 50)}
+    model = toxicity.learn(docs.drop("toxic"), docs.where("doc_id < 200").select("doc_id", "toxic"), F.col("doc_id") % 5 == 1)
+    got = toxicity.score(docs.where("doc_id >= 200"), model, ["toxic"]).toPandas()
+    assert ((got.score >= 0.5) == (got.toxic == 1)).all()
+
+
 def test_toxicity_query(spark, sf):
     got = queries.op10_kneser_ney_toxicity(spark, sf).toPandas()
     assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
