@@ -217,15 +217,15 @@ def tile_pairs(ids, comp, n, band, side, raw: list[bytes], percent: int) -> tupl
 
 
 def tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of ``rows(token, id, component, n)``; ``classes`` has the bitmaps.
+    """Candidate pairs (a, b) of ``rows(token, id, set, component, n)``; ``classes`` has the bitmaps.
 
     A tile has one token and two neighbouring size bands; of tokens with the same
-    classes (by 128 bits of hash) one is enough. Large tiles are cut
+    classes (by 128 bits of hash; each class must be there once, or its hashes cancel out) one is enough. Large tiles are cut
     into blocks, and every pair of blocks is a tile of its own, so no task holds a whole group.
     """
     width = math.log(100 / percent) * 1.0001
     banded = rows.withColumn("size_band", F.floor(F.log("n") / width)).withColumn("tile", F.explode(F.array(F.col("size_band"), F.col("size_band") - 1)))
-    members = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"m{k}") for k in (1, 2)]
+    members = [F.bit_xor(F.xxhash64("id", "set", F.lit(k))).alias(f"m{k}") for k in (1, 2)]
     counts = banded.groupBy("token", "tile").agg(F.count("*").alias("members"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.min(F.col("size_band") - F.col("tile")).alias("lowest"), *members)
     counts = counts.where("c0 <> c1 AND lowest = 0").groupBy("tile", "members", "m1", "m2").agg(F.min("token").alias("token"))
     counts = counts.select("token", "tile", F.ceil(F.col("members") / TILE).cast("int").alias("blocks"))
@@ -282,12 +282,13 @@ def similar_components(docs: DataFrame, size: int = SIZE, percent: int = PERCENT
     component's name while another document can give one.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = stage(signatures(docs, common_shingles(docs, size), size, percent), "signed")
+    signed = stage(signatures(docs, common_shingles(docs, size), size, percent).withColumn("nr", F.monotonically_increasing_id()), "signed")
     some = signed.where("n > 0")
     classes = some.groupBy("h1", "h2").agg(F.min("doc_id").alias("id"))
-    one = some.select(F.col("doc_id").alias("id"), "n", "prefix", "bits", "short").join(classes.select("id"), "id", "left_semi")
-    one = stage(one, "classes")
-    tokens = one.select(F.explode("prefix").alias("token"), "id", "n")
+    nodes = some.groupBy("doc_id", "h1", "h2").agg(F.min("nr").alias("nr")).join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    one = some.join(nodes.select("nr"), "nr", "left_semi")  # each set of a doc_id once, however often it is there
+    one = stage(one.select(F.col("doc_id").alias("id"), F.col("h1").alias("set"), "n", "prefix", "bits", "short"), "classes")
+    tokens = one.select(F.explode("prefix").alias("token"), "id", "set", "n")
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     shared = stage(tokens.join(shared, "token"), "shared")
 

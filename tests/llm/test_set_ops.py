@@ -134,6 +134,23 @@ def test_similar_components_of_many_near_copies(spark, monkeypatch):
     check_components(spark, rows)
 
 
+def test_similar_components_of_repeated_rows(spark, monkeypatch):
+    """Every row twice, and similar pairs on both sides of a size band that share a tile and are no hubs of one another."""
+    seen = []
+    whole = jaccard.tiles
+    monkeypatch.setattr(jaccard, "tiles", lambda rows, *a: seen.append(rows.groupBy("token", "id", "set").count().where("count > 1").count()) or whole(rows, *a))
+    edge = math.ceil((100 / 85) ** 30)  # shingles from which a band starts
+    rows = []
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(edge + 8)]
+        rows += [(10 * g + 1, " ".join(words)), (10 * g + 2, " ".join(words[: edge - 2]))]
+    docs = spark.createDataFrame(rows * 2, DOCS)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.similar_components(docs).collect()]
+    want = brute_components(rows)
+    assert sorted(got) == sorted((d, n, c) for d, (n, c) in want.items() for _ in range(2))
+    assert len({c for _, c in want.values()}) == 6 and seen == [0]
+
+
 def test_components_of_a_graph(spark):
     rng = np.random.default_rng(3)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 60, (40, 2))] + [(100 + i, 101 + i) for i in range(20)] + [(200, 200 + i) for i in range(1, 30)]
