@@ -11,14 +11,15 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.words import chunks
 
 DICTIONARY_BYTES = 128_000
 SAMPLE_ROWS = 400  # labelled rows a language that are read for its dictionary
-EXCERPT_CHARS = 4096  # of each of these rows
+EXCERPT_CHARS = 4096  # letters of each of these rows, from places all over it
+PLACES = 8
 PIECE_CHARS = 1000
 SHORT_BYTES = 256
 MARGIN = 0.005  # of the second smallest size; a narrower win is rejected
@@ -32,17 +33,28 @@ def letters(text: str) -> str:
     return " ".join(_LETTERS.findall(text.lower()))
 
 
+def _excerpt() -> Column:
+    """The letters of ``text``, or of a long one pieces from its beginning to its end."""
+    clean, each = F.regexp_replace("text", "[^\\p{L}]+", " "), EXCERPT_CHARS // PLACES
+    steps = [F.floor((F.length(clean) - each) * (i / (PLACES - 1))).cast("int") + 1 for i in range(PLACES)]
+    return F.when(F.length(clean) <= EXCERPT_CHARS, clean).otherwise(F.concat_ws(" ", *[F.substring(clean, at, F.lit(each)) for at in steps]))
+
+
 def learn(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> dict[str, bytes]:
-    """Dictionaries from ``text`` and ``lang``: about ``rows`` rows a language, by hash of the text, so that no source or task is preferred.
+    """Dictionaries from ``text`` and ``lang``: ``rows`` different texts a language, those with the smallest hashes, so that no source or task is preferred.
 
     Rows without text or language teach nothing; no rows give no dictionaries.
     """
-    use = labelled.select("lang", F.substring("text", 1, EXCERPT_CHARS).alias("text"), F.xxhash64("text", F.lit(3)).alias("h")).where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    counts = {r.lang: r["count"] for r in use.groupBy("lang").count().collect()}
-    if not counts:
-        return {}
-    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, rows / n))]), F.col("lang"))
-    sample = use.where(F.shiftrightunsigned("h", 11) / float(1 << 53) < share).distinct().collect()
+    use = labelled.select("lang", "text", F.shiftrightunsigned(F.xxhash64("text", F.lit(3)), 1).alias("h")).where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    counts = {r.lang: r.n for r in use.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    sample, top = [], {lang: 1.5 * rows / max(1, n) for lang, n in counts.items()}  # a little more than wanted
+    while top:
+        limits = F.create_map(*[F.lit(x) for lang, share in top.items() for x in (lang, min((1 << 63) - 1, int(share * (1 << 63))))])
+        got = use.where(F.col("h") <= F.element_at(limits, F.col("lang"))).select("lang", "h", _excerpt().alias("text")).distinct().collect()
+        by = {lang: list(group) for lang, group in groupby(sorted(got, key=lambda r: (r.lang, r.h, r.text)), key=lambda r: r.lang)}
+        done = [lang for lang, share in top.items() if share >= 1 or len(by.get(lang, [])) >= rows]
+        sample += [r for lang in done for r in by.get(lang, [])[:rows]]
+        top = {lang: 4 * share for lang, share in top.items() if lang not in done}
     found = {}
     for lang, group in groupby(sorted(sample, key=lambda r: (r.lang, r.h, r.text)), key=lambda r: r.lang):
         found[lang] = "\n".join(letters(r.text) for r in group).encode()[:DICTIONARY_BYTES]

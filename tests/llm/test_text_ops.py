@@ -57,6 +57,21 @@ def test_language_edges(spark):
     assert tie.lang_pred == "a" and tie.rejected and tie.margin == 0
 
 
+def test_language_learns_from_distinct_texts(spark):
+    """Copies take no places, and letters teach wherever they stand."""
+    few = [(f"le chat numero {'abc'[k]} dort sur la chaise ", "fr") for k in range(3)]
+    many = [("the one text that is everywhere ", "en")] * 3000 + [(f"the tree and house {'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10]} ", "en") for i in range(100)]
+    numbers = [("12 34 " * 2000 + "das haus und der baum " + "56 78 " * 2000, "de")]
+    rows = [(i, t, lang, "s", None) for i, (t, lang) in enumerate(few * 1000 + many + numbers)]
+    model = language.learn(spark.createDataFrame(rows, SCHEMA), rows=20)
+    assert sorted(model) == ["de", "en", "fr"]
+    assert len(model["fr"].split(b"\n")) == 3 and len(model["en"].split(b"\n")) == 20
+    assert model["de"].strip() == b"das haus und der baum"
+    long = spark.createDataFrame([(0, "".join(f"{chr(97 + k)}" * 2000 for k in range(20)), "en", "s", None)], SCHEMA)
+    (taught,) = language.learn(long).values()
+    assert len(taught) <= 4096 + 8 and {b"a"[0], b"t"[0]} < set(taught) and len(set(taught)) >= 8
+
+
 def brute_spans(text):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     found = [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 8]
