@@ -236,3 +236,19 @@ def test_decontamination(spark, sf, documents):
     assert decontaminate.matches(docs, item_rows.limit(0)).count() == 0 == decontaminate.matches(docs.limit(0), item_rows).count()
     answered = item_rows.limit(1).selectExpr("item_id", "text", "'missing' AS answer")
     assert decontaminate.matches(docs, answered).count() == 0
+
+
+def test_decontamination_of_long_items(spark):
+    """Verbatim and rephrased items of 500 and 2000 words; the rarest words are spread over them."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(6000)]
+    sizes = [500, 500, 2000, 2000, 40]
+    bench = [" ".join(rng.choice(words, n)) for n in sizes]
+    filler = [" ".join(rng.choice(words, 400)) for _ in range(40)]
+    changed = [" ".join(w if k % 6 else f"other{k}" for k, w in enumerate(b.split())) for b in bench]
+    docs = docs_of(spark, [*filler, *(f"{filler[i]} {t} {filler[i + 10]}" for t in (*bench, *changed) for i in (0,)), " ".join(bench[2].split()[:800])])
+    items = spark.createDataFrame(list(enumerate(bench)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.matches(docs, items).collect()}
+    assert sorted(got) == [(40 + i, i % 5) for i in range(10)]
+    assert all(got[40 + i, i].common == 1 for i in range(5))
+    assert all(0.75 < got[45 + i, i].common < 1 for i in range(5))
