@@ -5,7 +5,7 @@ returns a DataFrame, which is written as Parquet and read again as the next one'
 ``docs``. All but the last return the columns of ``documents``.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm import decontaminate, jaccard, language, packing, queries, secret_scan
@@ -22,17 +22,30 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def row_key() -> Column:
+    """64 bits that only rows with the same doc_id and text share."""
+    return F.xxhash64("doc_id", "text")
+
+
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents, the one with the smallest doc_id; rows that repeat it stay as one."""
-    groups = jaccard.similar_components(docs)
-    first = groups.where("component_id = doc_id OR doc_id IS NULL AND component_id IS NULL").select("doc_id").distinct()
-    return docs.join(first, docs.doc_id.eqNullSafe(first.doc_id), "left_semi").dropDuplicates(["doc_id"])
+    """Of each group of similar documents, the one with the smallest doc_id; rows that repeat it stay as one.
+
+    Different texts under one doc_id, or under none, are documents of their own.
+    """
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    key = F.coalesce(F.col("doc_id").cast("long"), row_key()) if repeated.isEmpty() else row_key()  # plain numbers are smaller on disk
+    name = next(n for n in ("key", "_key", "__key") if n not in docs.columns)
+    keyed = docs.withColumn(name, key)
+    groups = jaccard.similar_components(keyed.select(F.col(name).alias("doc_id"), "text")).selectExpr(f"doc_id AS {name}", "component_id").distinct()
+    first = groups.join(keyed.select(name, "doc_id").distinct(), name).groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", name)).alias("first"))
+    return keyed.join(first.select(f"first.{name}"), name, "left_semi").dropDuplicates([name]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    found = decontaminate.matches(docs, queries.table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(row_key().alias("doc_id"), "text")
+    found = decontaminate.matches(keyed, queries.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("held")).distinct()
+    return docs.join(found, row_key() == F.col("held"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -304,3 +304,20 @@ def test_pipeline(spark, sf, documents):
     for rows in (odd, odd.limit(0)):
         for _, step in corpus_pipeline.STAGES:
             step(spark, rows, sf).count()
+
+
+def test_pipeline_rows_without_or_with_repeated_ids(spark, sf, documents):
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 60").orderBy("item_id").first().text
+    texts = [" ".join(f"{c}{i}" for i in range(50)) for c in "abcdefg"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1] + " z"), (None, f"{texts[2]} {item} {texts[2]}"), (4, texts[3]), (4, texts[4]), (5, texts[5]), (6, texts[5]), (8, texts[6])]
+    steps = dict(corpus_pipeline.STAGES)
+    for again, without in ((1, False), (2, False), (1, True)):
+        used = [r for r in rows if not without or r[0] != 4] * again  # without repeated ids, plain ones are the keys
+        docs = corpus_pipeline.stage(spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in used], documents.schema), "test")
+        one = corpus_pipeline.stage(steps["n-gram Jaccard join"](spark, docs, sf), "test")
+        got = [(r.doc_id, r.text) for r in one.collect()]
+        left = [r for r in rows if r[0] != 6 and (not without or r[0] != 4)]
+        assert one.columns == documents.columns and len(got) == len(set(got)) == len(left) - 1
+        assert set(got) | {rows[1], rows[2]} == set(left) and len(set(got) & {rows[1], rows[2]}) == 1
+        clean = [(r.doc_id, r.text) for r in steps["benchmark decontamination"](spark, one, sf).collect()]
+        assert sorted(clean, key=str) == sorted([r for r in got if item not in r[1]], key=str) and len(clean) == len(got) - 1
