@@ -252,3 +252,14 @@ def test_decontamination_of_long_items(spark):
     assert sorted(got) == [(40 + i, i % 5) for i in range(10)]
     assert all(got[40 + i, i].common == 1 for i in range(5))
     assert all(0.75 < got[45 + i, i].common < 1 for i in range(5))
+
+
+def test_answers_with_words_of_their_own(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(2000)]
+    bench = [" ".join(rng.choice(words, 30)) for _ in range(4)]
+    filler = [" ".join(rng.choice(words, 200)) for _ in range(30)]
+    docs = docs_of(spark, [*filler, f"{filler[0]} {bench[0]} forty two {filler[1]}", f"{filler[2]} {bench[1]} {filler[3]}", f"{filler[4]} {bench[2]} {filler[5]}"])
+    items = [(0, bench[0], "forty two"), (1, bench[1], "seven miles"), (2, bench[2], None), (3, bench[3], "")]
+    found = decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(30, 0), (32, 2)]
