@@ -26,6 +26,7 @@ _CUT = re.compile(r"<[a-zA-Z/!?]")
 # Element names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set("script style noscript template textarea title svg math iframe object audio video canvas select button datalist".split())
+RAW = {"script", "style", "title", "textarea"}  # hold no tags, and go on to the end of the page without an end tag
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label map mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "body": {"head"}}
@@ -49,7 +50,7 @@ class Page:
         self.pieces: list[tuple[int, str]] = []
         self.links = [0]
         self._open, self._inside_link = [0], 0
-        at, n = 0, len(html)
+        at, n, ends = 0, len(html), {}
         for m in iter(lambda: _TAG.search(html, at), None):
             self._text(html[at : m.start()])
             at = m.end()
@@ -59,8 +60,16 @@ class Page:
             if m[1] or m[4]:
                 self._end(name)
             elif name in HIDDEN:
-                end = re.compile(rf"</{name}\s*[^>]*>", re.I).search(html, at)
-                at = end.end() if end else n
+                closed = name not in RAW and m[0].endswith("/>")
+                if not closed and name not in ends:  # no end tag is looked for twice
+                    ends[name] = re.compile(rf"</{name}(?![\w:-])[^>]*>", re.I)
+                end = ends[name].search(html, at) if not closed and ends[name] else None
+                if end:
+                    at = end.end()
+                elif name in RAW:
+                    at = n
+                elif not closed:
+                    ends[name] = None
                 self._text(" ")
             else:
                 self._start(name, m[3] or m[6] or "")

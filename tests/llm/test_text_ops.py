@@ -263,3 +263,13 @@ def test_answers_with_words_of_their_own(spark):
     items = [(0, bench[0], "forty two"), (1, bench[1], "seven miles"), (2, bench[2], None), (3, bench[3], "")]
     found = decontaminate.matches(docs, spark.createDataFrame(items, "item_id long, text string, answer string")).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == [(30, 0), (32, 2)]
+
+
+def test_hidden_elements_without_end_tags():
+    text = lambda html: " ".join("".join(piece for _, piece in html_tree.Page(html).pieces).split())
+    for name in sorted(html_tree.HIDDEN - html_tree.RAW):
+        assert text(f"<p>one</p> <{name} class=x> <p>two</p> <{name}> three") == "one two three"
+        assert text(f"<p>one</p> <{name} class='x'/> two <{name}>gone</{name}> three") == "one two three"
+        assert text(f"one <{name}>gone</{name}> two <{name}> three") == "one two three"
+    for name in sorted(html_tree.RAW):
+        assert text(f"one <{name}> gone <p>gone") == "one"
