@@ -1,10 +1,12 @@
-"""The ten operators over whole tables, and the pipeline."""
+"""The thirteen operators over whole tables, and the pipeline."""
+
+import zlib
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, hamming, html_tree, jaccard, language, lm_trie, packing, resharding, secret_scan, toxicity
+from pairloom.llm import decontaminate, hamming, html_tree, jaccard, language, lm_trie, packing, resharding, runs, secret_scan, stable_tree, toxicity
 from pairloom.runtime import stage
 
 QUERIES: dict = {}
@@ -100,6 +102,34 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS INT) AS predicted", *toxicity.RATIOS)
 
 
+@query
+def op11_stable_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Queries: every vector whose id is divisible by 50; the vector itself is no neighbour."""
+    vectors = table(spark, sf, "embeddings")
+    return stable_tree.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def with_loop(row: dict, words: list) -> list:
+    """Every tenth document's words go round in a loop from some place on, as its id's checksum says; a null id stays as it is."""
+    h = zlib.crc32(str(row["doc_id"]).encode())
+    if row["doc_id"] is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query
+def op12_lyndon_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf, "documents"), ["doc_id"], edit=with_loop)
+    longest = F.expr("array_min(transform(runs, r -> struct(-r.length AS shorter, r.start AS start, r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    digests = [F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")]
+    told = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("r"), *digests)
+    return told.selectExpr("doc_id", "n_runs", "r.start", "-r.shorter AS length", "r.period", "1000 * -r.shorter div r.period AS exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
