@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.llm import decontaminate, hamming, html_tree, jaccard, language, lm_trie, packing, resharding, runs, secret_scan, stable_tree, toxicity
+from pairloom.llm import collocations, decontaminate, hamming, html_tree, jaccard, language, lm_trie, packing, resharding, runs, secret_scan, stable_tree, toxicity
 from pairloom.runtime import stage
 
 QUERIES: dict = {}
@@ -130,6 +130,11 @@ def op12_lyndon_runs(spark: SparkSession, sf: str) -> DataFrame:
     return told.selectExpr("doc_id", "n_runs", "r.start", "-r.shorter AS length", "r.period", "1000 * -r.shorter div r.period AS exponent_milli", "runs_sha256", "collapsed_sha256")
 
 
+@query
+def op13_son_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline
@@ -151,3 +156,24 @@ reached AS (SELECT doc_id AS d, doc_id AS m FROM documents UNION SELECT b, m FRO
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM documents LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT d AS doc_id, min(m) AS component_id FROM reached GROUP BY d) USING (doc_id)
 """
+
+ORACLES["op13_son_collocations"] = r"""
+WITH pieces AS (
+ SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+phrases AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+ FROM lists, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+counts AS (SELECT lang, phrase, any_value(k) AS k, count(*) AS f FROM phrases GROUP BY lang, phrase HAVING count(*) >= 30),
+sizes AS (SELECT lang, count(*) AS n FROM phrases WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+cuts AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM candidates),
+scores AS (SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (x.f + y.f) AS BIGINT) AS score
+ FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.cut], ' ')
+ JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1:c.k], ' ')),
+weakest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+parts AS (SELECT lang, a, w, k, part, unnest(range(1, k - part + 2)) AS i FROM candidates, (SELECT unnest([2, 3]) AS part) WHERE part < k),
+around AS (SELECT lang, array_to_string(w[i:i + part - 1], ' ') AS phrase, max(a) AS longer FROM parts GROUP BY ALL),
+ranked AS (SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+ FROM weakest LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
