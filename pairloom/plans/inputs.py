@@ -5,6 +5,8 @@ two files, each conversation one multi-turn row, each page one plain-path row.
 Missing files are listed under an unfinished download's name.
 """
 
+import struct
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -185,10 +187,45 @@ def shard_members(samples: DataFrame) -> DataFrame:
     )
 
 
-def _write_images(root: str):
-    import struct
-    import zlib
+# The standard code of brightness levels, by code length and in order of the codes.
+LEVEL_COUNTS = bytes([0, 1, 5, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0])
+LEVEL_SIZES = bytes(range(12))
+
+
+def gray_jpeg(width: int, height: int, levels: bytes, interval: int = 0) -> bytes:
+    """A gray JPEG whose blocks of 8 x 8 pixels are even, with the brightness that ``levels`` says by turns."""
+    codes, code, at = {}, 0, 0
+    for length, count in enumerate(LEVEL_COUNTS, 1):
+        for _ in range(count):
+            codes[LEVEL_SIZES[at]] = (code, length)
+            code, at = code + 1, at + 1
+        code <<= 1
+    blocks = -(-width // 8) * -(-height // 8)
+    scan = bytearray()
+    for first in range(0, blocks, interval or blocks):
+        bits, n, before = 0, 0, 0
+        for i in range(first, min(blocks, first + (interval or blocks))):
+            level = levels[i % len(levels)] - 128 if levels else 0
+            step, before = level - before, level
+            size = abs(step).bit_length()
+            prefix, length = codes[size]
+            low = step if step > 0 else step + (1 << size) - 1
+            bits = (bits << length | prefix) << size | low
+            bits, n = bits << 1, n + length + size + 1  # one bit ends the block
+        pad = -n % 8
+        data = (bits << pad | (1 << pad) - 1).to_bytes((n + pad) // 8, "big").replace(b"\xff", b"\xff\0")
+        scan += data if not first else bytes([0xFF, 0xD0 + (first // interval - 1) % 8]) + data
+
+    def segment(marker: int, body: bytes) -> bytes:
+        return struct.pack(">BBH", 0xFF, marker, len(body) + 2) + body
+
+    head = segment(0xDB, b"\0" + b"\x08" * 64) + segment(0xC0, struct.pack(">BHHB", 8, height, width, 1) + b"\x01\x11\0")
+    head += segment(0xC4, b"\0" + LEVEL_COUNTS + LEVEL_SIZES) + segment(0xC4, b"\x10" + bytes([1] + [0] * 15) + b"\0")
+    head += segment(0xDD, struct.pack(">H", interval)) if interval else b""
+    return b"\xff\xd8" + head + segment(0xDA, b"\x01\x01\0\0\x3f\0") + bytes(scan) + b"\xff\xd9"
+
 
+def _write_images(root: str):
     def chunk(kind: bytes, body: bytes) -> bytes:
         return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
 

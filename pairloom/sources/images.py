@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.sources import jpeg
 from pairloom.sources.files import SegmentReader, batches_of
 
 try:
@@ -42,20 +43,6 @@ def _png(data: bytes) -> tuple[int, int] | None:
     return None
 
 
-def _jpeg(data: bytes) -> tuple[int, int] | None:
-    """Size of a JPEG with a frame header, a scan and an end marker; nothing is decoded."""
-    at, size = 2, None
-    while at + 4 <= len(data) and data[at] == 0xFF:
-        marker, (length,) = data[at + 1], struct.unpack_from(">H", data, at + 2)
-        if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-            height, width = struct.unpack_from(">HH", data, at + 5)
-            size = (width, height)
-        if marker == 0xDA:
-            return size if data.find(b"\xff\xd9", at) > 0 else None
-        at += 2 + length
-    return None
-
-
 UNCHECKED = "unchecked"
 _OTHER_FORMATS = (b"BM", b"GIF8", b"RIFF", b"II*\0", b"MM\0*")
 
@@ -63,8 +50,9 @@ _OTHER_FORMATS = (b"BM", b"GIF8", b"RIFF", b"II*\0", b"MM\0*")
 def image_size(data: bytes) -> tuple[tuple[int, int] | None, str]:
     """Size of a valid image, else None, and how it was checked.
 
-    Without Pillow only PNG is fully unpacked. A JPEG that is not torn, and
-    other formats, come back as ``unchecked``: they may decode or not.
+    Without Pillow PNGs are fully unpacked, and the scans of JPEGs walked to
+    their last block. Arithmetic, lossless and hierarchical JPEGs, and other
+    formats, come back as ``unchecked``: they may decode or not.
     """
     try:
         if Image is not None:
@@ -74,8 +62,12 @@ def image_size(data: bytes) -> tuple[tuple[int, int] | None, str]:
         if data.startswith(b"\x89PNG\r\n\x1a\n"):
             return _png(data), "png"
         if data.startswith(b"\xff\xd8"):
-            size = _jpeg(data)
-            return size, UNCHECKED if size else "jpeg_structure"
+            try:
+                return jpeg.walk(data), "jpeg"
+            except jpeg.Broken:
+                return None, "jpeg"
+            except jpeg.NotWalked:
+                return None, UNCHECKED
         if data.startswith(_OTHER_FORMATS):
             return None, UNCHECKED
     except Exception:
