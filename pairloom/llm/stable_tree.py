@@ -29,7 +29,7 @@ CELL = 4096  # vectors aimed at in a cell, and at most about so many in one of i
 LEAF = 64
 QUERIES = 2048  # queries that a task compares with a block at once
 GROWTH = 8
-VERIFIED = 64  # candidates verified between two tests
+VERIFIED = 64  # candidates verified before the first test, and twice as many before each later one
 
 
 def chi_square(x: float, dimensions: int) -> float:
@@ -116,41 +116,36 @@ def search(unit: np.ndarray, ids: list, queries: list[tuple], k: int, factor: fl
     asked = np.array([q[2] for q in queries])
     projected = project(asked, dimensions)
     boxes = box_distance(projected, low, high)
-    copies = np.array([len(i) for i in ids])
+    sizes = np.array([len(p) for p in parts])
     for row, (number, own, vector, bound) in enumerate(queries):
+        found: list[tuple] = []  # (-cosine, id)
         leaves = np.argsort(boxes[row], kind="stable")
         reach = boxes[row][leaves]
-        found: list[tuple] = []  # (-cosine, id)
-        pending, distance, nearest = np.zeros(0, np.int64), np.zeros(0), 0
-        while nearest < len(leaves) or len(pending):
-            edge = reach[nearest] if nearest < len(leaves) else np.inf
-            ready = int(np.searchsorted(distance, edge, side="right"))  # nothing in a leaf to come is nearer
-            if not ready:
-                if edge > bound * factor:
-                    break
-                more = parts[leaves[nearest]]
-                nearest += 1
-                pending = np.r_[pending, more]
-                distance = np.r_[distance, ((points[more] - projected[row]) ** 2).sum(axis=1)]
-                order = np.argsort(distance, kind="stable")
-                pending, distance = pending[order], distance[order]
-                continue
-            ready = min(ready, VERIFIED)
-            if distance[0] > bound * factor:
-                break
-            near = pending[:ready]
-            cosine = (unit[near] * vector).sum(axis=1)
-            pending, distance = pending[ready:], distance[ready:]
-            if len(found) >= k:
-                near, cosine = near[cosine >= -found[k - 1][0]], cosine[cosine >= -found[k - 1][0]]
-            elif (order := np.argsort(-cosine, kind="stable"))[k + 1 :].size and copies[near].min() > 0:
-                worst = cosine[order[k]]  # the query itself may be among the first
-                near, cosine = near[cosine >= worst], cosine[cosine >= worst]
-            fresh = [(-c, i) for e, c in zip(near.tolist(), cosine.tolist(), strict=True) for i in ids[e] if i != own]
-            if fresh:
-                found = sorted(found + fresh)[:k]
+        first, step = 0, VERIFIED
+        while first < len(leaves) and reach[first] <= bound * factor:
+            # the next leaves, enough for a step, with their points in order; the test is made again and again on the way
+            last = min(first + int(np.searchsorted(np.cumsum(sizes[leaves[first:]]), step)) + 1, len(leaves))
+            last = min(last, int(np.searchsorted(reach, bound * factor, side="right")))
+            near = np.concatenate([parts[i] for i in leaves[first:last]])
+            distance = ((points[near] - projected[row]) ** 2).sum(axis=1)
+            near = near[np.argsort(distance, kind="stable")]
+            distance.sort()
+            first, done = last, 0
+            while done < len(near) and distance[done] <= bound * factor:
+                some = near[done : done + step]
+                done += len(some)
+                step *= 2
+                cosine = (unit[some] * vector).sum(axis=1)
                 if len(found) >= k:
-                    bound = min(bound, max(0.0, 2 + 2 * found[k - 1][0]) + 1e-12)
+                    some, cosine = some[cosine >= -found[k - 1][0]], cosine[cosine >= -found[k - 1][0]]
+                elif len(some) > k + 1:
+                    worst = -np.partition(-cosine, k)[k]  # the query itself may be among the first
+                    some, cosine = some[cosine >= worst], cosine[cosine >= worst]
+                fresh = [(-c, i) for e, c in zip(some.tolist(), cosine.tolist(), strict=True) for i in ids[e] if i != own]
+                if fresh:
+                    found = sorted(found + fresh)[:k]
+                    if len(found) >= k:
+                        bound = min(bound, max(0.0, 2 + 2 * found[k - 1][0]) + 1e-12)
         for minus, i in found:
             yield number, i, -minus
 
