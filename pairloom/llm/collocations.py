@@ -65,26 +65,34 @@ class Shard:
 
     def close(self) -> None:
         """Joins the parts; a phrase's hash begins with its language's."""
-        self.hashes = np.concatenate([p[0] for p in self.parts])
-        self.joined = np.concatenate([p[1] for p in self.parts])
         self.places = [p[2] for p in self.parts]
         self.first = np.cumsum([0, *(len(p[0]) for p in self.parts)])
-        self.parts = []
+        self.hashes, self.joined = np.empty(self.size, np.uint64), np.empty(self.size, bool)
+        for at in reversed(range(len(self.parts))):  # so that what is copied is free at once
+            hashes, joined, _ = self.parts.pop()
+            self.hashes[self.first[at] : self.first[at + 1]] = hashes
+            self.joined[self.first[at] : self.first[at + 1]] = joined
         salt = np.frombuffer(self.lang.encode() + b"\0" * (-len(self.lang.encode()) % 8), np.uint64)
-        self.salt = np.uint64(len(self.lang) + 1)
+        self.salt = np.array([len(self.lang) + 1], np.uint64)
         for x in salt:
-            self.salt = chain(np.array([self.salt]), np.array([x]))[0]
+            self.salt = chain(self.salt, x)
 
-    def words(self) -> np.ndarray:
-        return chain(np.full(1, self.salt), self.hashes)
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and keys of all words."""
+        keys = np.empty(self.size, np.uint64)
+        for lo in range(0, self.size, ROWS):
+            keys[lo : lo + ROWS] = chain(self.salt, self.hashes[lo : lo + ROWS])
+        return np.arange(self.size, dtype=np.int32), keys
 
     def longer(self, at: np.ndarray, keys: np.ndarray, length: int, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and keys of phrases one word longer than ``length``, where the phrase at ``at`` and the one after it are both ``held``."""
-        good = np.zeros(len(self.hashes) + 1, bool)
+        good = np.zeros(self.size + 1, bool)
         good[at[held]] = True
-        some = held & good[at + 1] & self.joined[at + length - 1]
-        at = at[some]
-        return at, chain(keys[some], self.hashes[at + length])
+        some = np.flatnonzero(held & good[at + 1] & self.joined[at + (length - 1)]).astype(np.int32)
+        at, out = at[some], np.empty(len(some), np.uint64)
+        for lo in range(0, len(some), ROWS):
+            out[lo : lo + ROWS] = chain(keys[some[lo : lo + ROWS]], self.hashes[at[lo : lo + ROWS] + length])
+        return at, out
 
     def phrase(self, at: int, length: int) -> str:
         part = int(np.searchsorted(self.first, at, side="right")) - 1
@@ -126,8 +134,23 @@ def key_filter(keys: DataFrame) -> Broadcast:
 
 
 def held(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(8 * len(table) - 1)
-    return table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+    out = np.empty(len(keys), bool)
+    for lo in range(0, len(keys), ROWS):
+        at = keys[lo : lo + ROWS] & np.uint64(8 * len(table) - 1)
+        out[lo : lo + ROWS] = table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+    return out
+
+
+def often(keys: np.ndarray, least: int) -> np.ndarray:
+    """The different keys that are there ``least`` times."""
+    keys = np.sort(keys)
+    n = len(keys) - least + 1  # a key that is there so often has its first place below n
+    if n < 1:
+        return keys[:0]
+    first = np.r_[True, keys[1:n] != keys[: n - 1]]
+    if least > 1:
+        first &= keys[least - 1 :] == keys[:n]
+    return keys[:n][first]
 
 
 def _local(keys: np.ndarray) -> np.ndarray:
@@ -153,7 +176,7 @@ def word_counts(texts: DataFrame, limit: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, limit=limit):
-            keys, n = np.unique(shard.words(), return_counts=True)
+            keys, n = np.unique(shard.words()[1], return_counts=True)
             for rows in _rows(key=_signed(keys), n=n):
                 yield pa.RecordBatch.from_arrays([pa.array([shard.lang] * rows.num_rows, pa.string()), *rows.columns], names=["lang", "key", "n"])
 
@@ -173,12 +196,11 @@ def mine(texts: DataFrame, totals: dict[str, int], words: Broadcast, support: in
             if total < support:
                 continue
             least = -(-support * shard.size // total)
-            at, keys = np.arange(len(shard.hashes)), shard.words()
+            at, keys = shard.words()
             good = held(keys, words.value)
             for length in range(1, longest):
                 at, keys = shard.longer(at, keys, length, good)
-                found, n = np.unique(keys, return_counts=True)
-                found = found[n >= least]
+                found = often(keys, least)
                 yield from _rows(key=_signed(found))
                 if length + 1 < longest:
                     good = held(keys, _local(found))
@@ -191,7 +213,7 @@ def count(texts: DataFrame, candidates: Broadcast, longest: int, limit: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, limit=limit):
-            at, keys = np.arange(len(shard.hashes)), shard.words()
+            at, keys = shard.words()
             good = np.ones(len(at), bool)
             for length in range(1, longest):
                 at, keys = shard.longer(at, keys, length, good)
@@ -207,7 +229,7 @@ def tell(texts: DataFrame, words: Broadcast, phrases: Broadcast, longest: int, l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in shards(batches, told=True, limit=limit):
-            at, keys = np.arange(len(shard.hashes)), shard.words()
+            at, keys = shard.words()
             for length in range(1, longest + 1):
                 if length > 1:
                     at, keys = shard.longer(at, keys, length - 1, good)
@@ -228,20 +250,21 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     Texts may be null or empty; a null lang is ``und``. Rows that repeat count as often.
     """
     texts = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    words = stage(word_counts(texts, shard_words).groupBy("lang", "key").agg(F.sum("n").alias("n")), "words")
+    words = stage(word_counts(texts, shard_words).repartition("lang", "key").groupBy("lang", "key").agg(F.sum("n").alias("n")), "words")
     sizes = stage(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
     totals = {r.lang: r.n for r in sizes.where(F.col("n") >= support).collect()}  # one row a language
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-sum(totals.values()) // shard_words))
     texts = texts.coalesce(tasks)  # larger shards ask for more
-    often = key_filter(words.where(F.col("n") >= support).select("key"))
-    candidates = stage(mine(texts, totals, often, support, longest, shard_words).distinct(), "candidates")
+    common = key_filter(words.where(F.col("n") >= support).select("key"))
+    # a shard's rows differ already: they are dealt out as they are, without a table of them in each task
+    candidates = stage(mine(texts, totals, common, support, longest, shard_words).repartition("key").distinct(), "candidates")
     possible = key_filter(candidates)
-    found = stage(count(texts, possible, longest, shard_words).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("key"), "found")
+    found = stage(count(texts, possible, longest, shard_words).repartition("key").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("key"), "found")
     possible.destroy()
     certain = key_filter(found)
-    phrases = tell(texts, often, certain, longest, shard_words).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    phrases = tell(texts, common, certain, longest, shard_words).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
     phrases = stage(phrases, "phrases")
-    often.destroy()
+    common.destroy()
     certain.destroy()
     return phrases, sizes
 
