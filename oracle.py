@@ -293,12 +293,12 @@ def statements() -> dict[str, str]:
         "pair_index_per_file": f"""WITH {BUILT} SELECT file, row_index, turn_pos,
             row_number() OVER (PARTITION BY file ORDER BY row_index, turn_pos) - 1 AS pair_index FROM kept""",
         "assign_shards": f"WITH {BUILT} SELECT key, pair_index, shard_id, shard_name FROM samples",
-        "limit_shards": f"""WITH {BUILT}, stop AS (SELECT file AS sf, row_index AS sr, turn_pos AS st FROM kept WHERE pair_index = 299),
+        **dict.fromkeys(("limit_shards", "build_first_shards"), f"""WITH {BUILT}, stop AS (SELECT file AS sf, row_index AS sr, turn_pos AS st FROM kept WHERE pair_index = 299),
             r AS (SELECT l.file, l.row_index FROM lists l, stop WHERE l.file < sf OR (l.file = sf AND l.row_index // 256 <= sr // 256)
               UNION ALL SELECT l.file, l.row_index FROM lists l WHERE NOT EXISTS (FROM stop)),
             b AS (SELECT built.* FROM built, stop WHERE (file, row_index, turn_pos) <= (sf, sr, st)
               UNION ALL SELECT * FROM built WHERE NOT EXISTS (FROM stop))
-            SELECT r.file, count(*) AS rows, {_COUNTS} FROM r LEFT JOIN b ON b.file = r.file AND b.row_index = r.row_index GROUP BY r.file""",
+            SELECT r.file, count(*) AS rows, {_COUNTS} FROM r LEFT JOIN b ON b.file = r.file AND b.row_index = r.row_index GROUP BY r.file"""),
         "skip_existing": f"""WITH {BUILT} SELECT key, shard_name FROM samples WHERE shard_name NOT IN
             (SELECT printf('shard-%05d.tar', o_orderkey * 2 + 1) FROM orders)""",
         "verify_shards": f"""WITH {BUILT}, m AS ({members}), s AS (SELECT shard_name, regexp_extract(member, '^(.*)\\.([^.]*)$', 1) AS key,
@@ -319,9 +319,13 @@ def statements() -> dict[str, str]:
         "image_fit": f"""WITH {ON_DISK} SELECT path, CAST(CASE WHEN {_LONG} <= 2048 THEN width WHEN width >= height THEN 2048 ELSE {_NEAR} END AS INT) AS width,
             CAST(CASE WHEN {_LONG} <= 2048 THEN height WHEN width >= height THEN {_NEAR} ELSE 2048 END AS INT) AS height
             FROM manifest WHERE size > 0 AND valid""",
+        "image_validity_archived": """WITH d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+            s AS (SELECT doc_id, greatest(1, CAST(ceil(sqrt(n)) AS BIGINT)) AS w, n, doc_id % 7 <> 0 AND doc_id % 11 <> 0 AS ok FROM d)
+            SELECT doc_id, ok AS valid, CASE WHEN ok THEN CAST(8 * w AS INT) END AS width,
+             CASE WHEN ok THEN CAST(8 * greatest(1, ceil(n / w)) AS INT) END AS height, 'jpeg' AS checked_by FROM s""",
         "write_shards": f"""WITH {BUILT} SELECT shard_name, CAST(row_number() OVER (PARTITION BY shard_name ORDER BY pair_index, i) AS INT) AS nth,
             concat(key, '.', s) AS member FROM samples, (VALUES (0, 'jpg'), (1, 'jpg2'), (2, 'txt')) v(i, s)""",
-        "verify_decode": f"""WITH {BUILT} SELECT shard_name, 3 * least(count(*), 3) AS members_read, CAST(0 AS BIGINT) AS unreadable
+        "verify_decode": f"""WITH {BUILT} SELECT shard_name, 3 * least(count(*), 3) AS members_read, CAST(0 AS BIGINT) AS unreadable, CAST(0 AS BIGINT) AS unchecked
             FROM samples GROUP BY shard_name""",
         "slice_archives": f"""WITH {ON_DISK} SELECT 'add_part0' AS stem, path FROM manifest WHERE path GLOB 'Singleturn/results_add/*/original.png'
             UNION ALL SELECT 'hybrid_part2', path FROM manifest WHERE lower(path) GLOB 'singleturn/results_hybrid*/d?/*.png'""",

@@ -1,8 +1,11 @@
 """Explore, audit and build flows over whole datasets."""
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pairloom.functions.naming import stem_of
@@ -11,6 +14,7 @@ from pairloom.operators.explore import explore_stats, explore_totals, missing_ro
 from pairloom.operators.pairs import emit_pairs
 from pairloom.operators.resolve import reference_paths, resolve_pairs, resolve_paths
 from pairloom.operators.shards import (
+    BATCH_ROWS,
     KEPT,
     ORDER,
     SAMPLES_PER_SHARD,
@@ -34,6 +38,7 @@ from pairloom.sources.tar_sink import list_shards, write_shards
 SIDES = ("input", "output")
 DECODED_PER_SHARD = 3
 MEMBERS_PER_TASK = 200
+FIRST_SHARE = 1.25
 
 
 def explore(rows: DataFrame, layouts: DataFrame, listing: DataFrame) -> dict[str, DataFrame]:
@@ -83,6 +88,43 @@ def build_pairs(
     return build_status(resolve_pairs(pairs, check_references(refs, manifest, settings, root), refs))
 
 
+def first_pairs(
+    rows: DataFrame, manifest: DataFrame, settings: PathSettings, root: str, enough: int, per_file: bool = False
+) -> DataFrame:
+    """``build_pairs`` of as many rows from the front as it takes to keep ``enough`` pairs; of all rows if they never do.
+
+    Rows are taken in batches of ``BATCH_ROWS``, in order. The first round takes batches that emit ``FIRST_SHARE`` times
+    ``enough`` pairs, each later round as many again as all before it, so at most about twice what is needed is
+    resolved and decoded. With ``per_file`` every file is a run of its own, and only those still short go on.
+    """
+    unit = ["file", "part", "batch"]
+    batch = F.expr(f"row_index div {BATCH_ROWS}").alias("batch")
+    counts = emit_pairs(rows, prompts=False).groupBy("file", "part", batch).agg(F.count("*").alias("n"))
+    counts = stage(counts, "batches")
+    before = W.partitionBy("file").orderBy("part", "batch").rowsBetween(W.unboundedPreceding, -1)
+    order = counts.select(*unit, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    if not per_file:
+        # One row per pair file, as in pair_index.
+        files = counts.groupBy("file").agg(F.sum("n").alias("n"))
+        earlier = files.select("file", F.coalesce(F.sum("n").over(W.orderBy("file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+        order = order.join(earlier, "file").select(*unit, (F.col("before") + F.col("earlier")).alias("before"))
+    order = stage(order.select(F.col("file").alias("run") if per_file else F.lit("").alias("run"), *unit, "before"), "order")
+    low, high = 0, math.ceil(FIRST_SHARE * enough)
+    built, open_ = [], order.select("run").distinct()
+    while True:
+        left = order.filter(F.col("before") >= low).join(open_, "run", "left_semi")
+        if built and left.isEmpty():
+            break
+        taken = left.filter(F.col("before") < high).select(*unit)
+        chosen = rows.select("*", batch).join(taken, unit, "left_semi").drop("batch")
+        built.append(stage(build_pairs(chosen, manifest, settings, root), "built"))
+        kept = reduce(DataFrame.unionByName, built).filter(F.col("status") == KEPT)
+        done = kept.groupBy((F.col("file") if per_file else F.lit("")).alias("run")).count().filter(F.col("count") >= enough)
+        open_ = stage(order.select("run").distinct().join(done, "run", "left_anti"), "open")
+        low, high = high, 2 * high
+    return reduce(DataFrame.unionByName, built)
+
+
 def with_prompts(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs with their prompts, which no step before needs."""
     return pairs.join(emit_pairs(rows).select(*ORDER, "prompt"), ORDER)
@@ -122,9 +164,13 @@ def build(
     """Status, numbers, keys and shards of all pairs; shards are written to ``out``.
 
     With ``per_file`` every pair file is a slice with its own folder and numbers.
+    With ``max_shards`` resolving and decoding stop soon after so many shards are full.
     """
     spark = rows.sparkSession
-    built = stage(build_pairs(rows, manifest, settings, root), "built")
+    if max_shards:
+        built = first_pairs(rows, manifest, settings, root, max_shards * samples_per_shard, per_file)
+    else:
+        built = stage(build_pairs(rows, manifest, settings, root), "built")
     kept = built.filter(F.col("status") == KEPT)
     numbered = pair_index(kept, per_file, staged=False)
     stats = build_stats(rows, built, layouts)
@@ -189,9 +235,18 @@ def run_slices(
     return GatedRun(sections | {"files": audited}, slice_gate(audited, stats, **limits), stats, samples, built)
 
 
-def _looks_whole(data: bytes) -> bool:
-    size, how = image_size(data)
-    return size is not None or how == UNCHECKED
+def _readable(data: bytes | None, suffix: str) -> bool | None:
+    """Whether a member can be read; None where nobody could decode its format."""
+    if data is None:
+        return False
+    if suffix != "txt":
+        size, how = image_size(data)
+        return None if how == UNCHECKED else size is not None
+    try:
+        data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return True
 
 
 def _decodes(batches):
@@ -201,21 +256,12 @@ def _decodes(batches):
 
     reader = SegmentReader("")
     for batch in batches:
-        ok = []
-        for suffix, segments in zip(batch.suffix, batch.segments):
-            data = reader.read(segments)
-            try:
-                good = data is not None and (
-                    data.decode("utf-8") is not None if suffix == "txt" else _looks_whole(data)
-                )
-            except UnicodeDecodeError:
-                good = False
-            ok.append(good)
-        yield pd.DataFrame({"shard_name": batch.shard_name, "member": batch.member, "readable": ok})
+        ok = [_readable(reader.read(segments), suffix) for suffix, segments in zip(batch.suffix, batch.segments)]
+        yield pd.DataFrame({"shard_name": batch.shard_name, "member": batch.member, "readable": pd.array(ok, "boolean")})
 
 
 def verify_decode(members: DataFrame, per_shard: int = DECODED_PER_SHARD) -> DataFrame:
-    """Per shard: members of its first keys, and how many of them can be read.
+    """Per shard: members of its first keys, how many of them cannot be read, and how many nobody could decode.
 
     ``members`` has shard_name, member and segments.
     """
@@ -225,7 +271,9 @@ def verify_decode(members: DataFrame, per_shard: int = DECODED_PER_SHARD) -> Dat
     tasks = max(1, chosen.count() // MEMBERS_PER_TASK)
     checked = chosen.repartitionByRange(tasks, "shard_name", "member").mapInPandas(_decodes, "shard_name string, member string, readable boolean")
     return checked.groupBy("shard_name").agg(
-        F.count("*").alias("members_read"), F.count_if(~F.col("readable")).alias("unreadable")
+        F.count("*").alias("members_read"),
+        F.count_if(~F.col("readable")).alias("unreadable"),
+        F.count_if(F.col("readable").isNull()).alias("unchecked"),
     )
 
 

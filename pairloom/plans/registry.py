@@ -407,6 +407,16 @@ def limit_shards(spark: SparkSession, sf: str) -> DataFrame:
     return shards.limited_stats(src.list_rows(spark, sf), built, numbered, 3, SHARD).drop("note")
 
 
+@query
+def build_first_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counts by a build that stops: images are decoded only as far as three shards need them."""
+    rows, manifest = src.list_rows(spark, sf), src.located_manifest(src.files_on_disk(spark, sf))
+    root, enough = src.image_tree(spark, sf), 3 * SHARD
+    built = flows.first_pairs(rows, manifest, src.SETTINGS, root, enough)
+    numbered = shards.pair_index(built.filter(F.col("status") == shards.KEPT), staged=False)
+    return shards.limited_stats(rows, built, numbered, 3, SHARD).drop("note")
+
+
 @query
 def skip_existing(spark: SparkSession, sf: str) -> DataFrame:
     samples = _samples(spark, sf)
@@ -440,6 +450,15 @@ def image_validity_jvm(spark: SparkSession, sf: str) -> DataFrame:
     return found.withColumn("path", F.regexp_replace("path", "^.*/(?=Singleturn/)", "")).drop("checked_by")
 
 
+@query
+def image_validity_archived(spark: SparkSession, sf: str) -> DataFrame:
+    """JPEGs inside tars: no file to read for the image source, so their scans are walked."""
+    root = src.picture_archives(spark, sf)
+    index = archives.index_archives(archives.list_archives(list_tree(spark, root)), root)
+    checked = images.image_validity(archives.archive_manifest(index), root)
+    return checked.select(F.regexp_extract("path", "([0-9]+)[.]jpg$", 1).cast("long").alias("doc_id"), "valid", "width", "height", "checked_by")
+
+
 @query
 def image_fit(spark: SparkSession, sf: str) -> DataFrame:
     checked = QUERIES["image_validity"](spark, sf).filter("valid")

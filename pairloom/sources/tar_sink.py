@@ -38,7 +38,9 @@ class TarShardWriter(DataSourceWriter):
 
     A shard is written under a temporary name and then renamed, and one that
     exists is left alone unless ``overwrite`` is set. The same rows give the
-    same bytes, so it does not matter which attempt of a task wrote a shard.
+    same bytes, so it does not matter which attempt of a task wrote a shard. Before
+    the renaming a hidden mark of the job is left beside it, by which a later attempt
+    knows the job's own shards; the marks go when the job ends.
     What every task did goes into the file ``report``, one line a shard.
     """
 
@@ -56,16 +58,20 @@ class TarShardWriter(DataSourceWriter):
         reader, shards = SegmentReader(self.root), []
         for name, samples in groupby(rows, lambda r: r.shard_name):
             files, path = open_fs(f"{self.out}/{name}")
+            folder, _, base = path.rpartition("/")
+            mark = f"{folder}/.{base}.{self.job}.done"
             if not self.overwrite and files.get_file_info(path).type == fs.FileType.File:
-                shards.append((name, sum(1 for _ in samples), LEFT_ALONE))
+                own = files.get_file_info(mark).type == fs.FileType.File
+                shards.append((name, sum(1 for _ in samples), WRITTEN if own else LEFT_ALONE))
                 continue
-            folder, _, base = path.rpartition("/")
             files.create_dir(folder, recursive=True)
             part, count = f"{folder}/.{base}.{self.job}.{uuid.uuid4().hex}", 0
             with files.open_output_stream(part) as sink, tarfile.open(fileobj=sink, mode="w|") as tar:
                 for sample in samples:
                     self._add(tar, sample, reader)
                     count += 1
+            with files.open_output_stream(mark):
+                pass
             files.move(part, path)
             shards.append((name, count, WRITTEN))
         return Written(shards)
@@ -99,7 +105,7 @@ class TarShardWriter(DataSourceWriter):
         self._remove_parts()
 
     def _remove_parts(self) -> None:
-        """Remove what failed attempts of this job have left, under its own temporary names."""
+        """Remove marks of this job and what its failed attempts have left, under its own temporary names."""
         files, path = open_fs(self.out)
         found = files.get_file_info(fs.FileSelector(path, recursive=True, allow_not_found=True))
         for info in found:

@@ -6,6 +6,7 @@ import hashlib
 import io
 import json
 import lzma
+import pickle
 import shutil
 import tarfile
 from pathlib import Path
@@ -23,7 +24,7 @@ from pairloom.runtime import new_folder, shared_dir, stage
 from pairloom.sources import archives
 from pairloom.sources import pair_files as pf
 from pairloom.sources.listing import list_tree, match_globs, whole_file
-from pairloom.sources.tar_sink import list_shards, write_shards
+from pairloom.sources.tar_sink import TarShardWriter, list_shards, write_shards
 from pairloom.streaming.ingest import ingest_slices
 
 PAIRS = {
@@ -304,6 +305,44 @@ def test_shard_limit_per_file(spark, root, tmp_path):
     assert all(n <= 5 for n in kept.values())
 
 
+@pytest.mark.parametrize("per_file", [False, True])
+def test_a_shard_limit_ends_decoding(spark, root, tmp_path, monkeypatch, per_file):
+    """Images read follow the shards asked for, and the counts are those of a build that reads everything."""
+    rows, layouts = scan(spark, root)
+    manifest, read, check = tree_manifest(spark, root), [], flows.image_validity
+
+    def counted(located, folder=""):
+        read.append(located.count())
+        return check(located, folder)
+
+    monkeypatch.setattr(flows, "image_validity", counted)
+    monkeypatch.setattr(flows, "BATCH_ROWS", 2)
+    whole = stage(flows.build_pairs(rows, manifest, root=str(root)), "whole")
+    numbered = flows.pair_index(whole.filter("status = 'kept'"), per_file)
+    everything = read.pop()
+    for n, size in ((1, 4), (2, 4), (3, 5), (1, 20), (9, 10)):
+        want = flows.limited_stats(rows, whole, numbered, n, size, per_file=per_file)
+        got = flows.build(rows, manifest, str(tmp_path / f"{n}-{size}"), root=str(root), samples_per_shard=size, per_file=per_file, max_shards=n)
+        assert sorted(got.stats.collect()) == sorted(want.collect()), (n, size)
+        keys = sorted(r.key for r in got.samples.collect())
+        assert keys == sorted(r.key for r in flows.assign_shards(flows.with_prompts(numbered, rows), size, "", per_file).filter(f"shard_id < {n}").collect())
+        runs = 2 if per_file else 1
+        assert sum(read) <= min(everything, 2 * runs * (2.5 * n * size + 2)), (n, size, read)
+        read.clear()
+
+
+def test_a_repeated_task_knows_its_own_shards(spark, root, tmp_path):
+    rows, _ = scan(spark, root)
+    built = flows.build(rows, tree_manifest(spark, root), str(tmp_path / "a"), root=str(root), samples_per_shard=100)
+    samples = built.samples.orderBy("pair_index").collect()
+    options = {"path": str(tmp_path / "b"), "root": str(root)}
+    job, other = TarShardWriter(options), TarShardWriter(options)
+    attempts = [job.write(iter(samples)), pickle.loads(pickle.dumps(job)).write(iter(samples)), other.write(iter(samples))]
+    assert [[s[1:] for s in a.shards] for a in attempts] == [[(len(samples), state)] for state in ("written", "written", "skipped")]
+    job.commit(attempts[:1])
+    assert [p.name for p in (tmp_path / "b").iterdir()] == ["shard-00000.tar"]
+
+
 def test_compressed_archives_give_the_same_pairs(spark, root, packed, tmp_path):
     """The same archives plain, and as gzip, bzip2 and xz; a torn one is told apart."""
     rows, _ = scan(spark, root)
