@@ -17,7 +17,7 @@ from pairloom.plans.schedule import slice_archives as archives_of
 from pairloom.runtime import new_folder, stage
 from pairloom.sources import archives, images, pair_files
 from pairloom.sources.listing import list_tree, match_globs
-from pairloom.streaming.ingest import ingest_slices
+from pairloom.streaming.ingest import ingest_slices, published
 
 QUERIES: dict = {}
 
@@ -516,8 +516,8 @@ def ingest_slices_(spark: SparkSession, sf: str) -> DataFrame:
         root=src.image_tree(spark, sf),
     )
     stream.awaitTermination()
-    verdicts = spark.read.parquet(f"{out}/verdicts").select("file", "strict_pairs", "verdict", "reason")
-    samples = spark.read.parquet(f"{out}/samples").groupBy("file").agg(
+    verdicts = published(spark, out, "verdicts").select("file", "strict_pairs", "verdict", "reason")
+    samples = published(spark, out, "samples").groupBy("file").agg(
         F.count("*").alias("samples"), F.max("pair_index").alias("last_index")
     )
     return verdicts.join(samples, "file", "left")

@@ -12,9 +12,9 @@ from pairloom.operators.shards import SAMPLES_PER_SHARD
 from pairloom.operators.slices import PathSettings
 from pairloom.plans.flows import run_slices
 from pairloom.runtime import stage
-from pairloom.sources.files import open_fs
 from pairloom.sources.listing import whole_file
 from pairloom.sources.pair_files import file_keys
+from pairloom.streaming.snapshots import VERDICTS, Snapshots, exists
 
 
 def ingest_slices(
@@ -68,13 +68,17 @@ def publish(
     min_rate: float,
     root: str,
 ) -> None:
-    """Gate and build all slices with rows that landed since the last publication."""
-    if not _exists(f"{out}/rows"):
+    """Gate and build all slices with rows that landed since the last publication.
+
+    The new publication holds these slices only; it counts as a whole or not at all.
+    """
+    if not exists(f"{out}/rows"):
         return
+    log = Snapshots(spark, out)
     landed = spark.read.parquet(f"{out}/rows")
-    batches = landed.select("batch").distinct()
-    if _exists(f"{out}/published"):
-        batches = batches.join(spark.read.parquet(f"{out}/published"), "batch", "left_anti")
+    batches, earlier = landed.select("batch").distinct(), log.history("batches")
+    if earlier is not None:
+        batches = batches.join(earlier, "batch", "left_anti")
     batches = stage(batches, "batches")
     if batches.isEmpty():
         return
@@ -84,13 +88,9 @@ def publish(
     if "segments" not in found.columns:
         found = found.selectExpr("*", f"{whole_file('path')} AS segments")
     ran = run_slices(rows, files.withColumn("layout", F.lit(layout)), found, settings, root, samples_per_shard=samples_per_shard, min_rate=min_rate)
-    for name, fresh in (("samples", ran.samples), ("verdicts", ran.verdicts)):
-        if _exists(f"{out}/{name}"):
-            fresh = fresh.unionByName(spark.read.parquet(f"{out}/{name}").join(files, "file", "left_anti"))
-        stage(fresh, name).write.mode("overwrite").parquet(f"{out}/{name}")
-    batches.write.mode("append").parquet(f"{out}/published")
+    log.publish({"samples": ran.samples, VERDICTS: ran.verdicts, "batches": batches})
 
 
-def _exists(path: str) -> bool:
-    files, inner = open_fs(path)
-    return files.get_file_info(inner).type.name == "Directory"
+def published(spark: SparkSession, out: str, table: str) -> DataFrame | None:
+    """``samples`` or ``verdicts`` of all slices, as last published; None before the first publication."""
+    return Snapshots(spark, out).read(table)

@@ -25,7 +25,8 @@ from pairloom.sources import archives
 from pairloom.sources import pair_files as pf
 from pairloom.sources.listing import list_tree, match_globs, whole_file
 from pairloom.sources.tar_sink import TarShardWriter, list_shards, write_shards
-from pairloom.streaming.ingest import ingest_slices
+from pairloom.streaming.ingest import ingest_slices, published
+from pairloom.streaming.snapshots import Snapshots
 
 PAIRS = {
     # stem: (folder in the pair file, pairs, numbers whose output is missing, bad or empty)
@@ -222,8 +223,8 @@ def test_stream_takes_each_file_once(spark, root, tmp_path):
             spark, str(folder / "Parquet"), schema, "lists", lambda: manifest, out, str(tmp_path / "offsets"),
             samples_per_shard=5, min_rate=0.9, files_per_batch=per_batch, root=str(root),
         ).awaitTermination()
-        verdicts = sorted((r.file, r.verdict) for r in spark.read.parquet(f"{out}/verdicts").collect())
-        samples = spark.read.parquet(f"{out}/samples")
+        verdicts = sorted((r.file, r.verdict) for r in published(spark, out, "verdicts").collect())
+        samples = published(spark, out, "samples")
         return verdicts, sorted((r.shard_name, r.pair_index) for r in samples.collect())
 
     first = [(f"hybrid_part1/shard-{i // 5:05d}.tar", i) for i in range(12)]
@@ -257,9 +258,9 @@ def test_part_files_of_one_slice_in_several_batches(spark, root, tmp_path, per_b
         spark, str(folder / "Sliced"), schema, "lists", lambda: manifest, out, str(tmp_path / "offsets"),
         settings=settings, min_rate=0.8, files_per_batch=per_batch, root=str(root),
     ).awaitTermination()
-    verdicts = {r.file: (r.verdict, r.reason, r.strict_pairs) for r in spark.read.parquet(f"{out}/verdicts").collect()}
+    verdicts = {r.file: (r.verdict, r.reason, r.strict_pairs) for r in published(spark, out, "verdicts").collect()}
     assert verdicts == {"hybrid_part1.parquet": ("SUCCESS", None, 12), "broken.parquet": ("SKIPPED", "low_resolve_rate", 24)}
-    samples = spark.read.parquet(f"{out}/samples").select("file", "part", "row_index", "pair_index", "key", "prompt").collect()
+    samples = published(spark, out, "samples").select("file", "part", "row_index", "pair_index", "key", "prompt").collect()
     assert {r.file for r in samples} == {"hybrid_part1.parquet"} and sorted(r.pair_index for r in samples) == list(range(len(samples)))
     rows = spark.read.parquet(f"{out}/rows").drop("batch")
     layouts = rows.select("file").distinct().selectExpr("file", "'lists' AS layout")
@@ -267,6 +268,52 @@ def test_part_files_of_one_slice_in_several_batches(spark, root, tmp_path, per_b
     assert sorted(samples) == sorted(ran.samples.select("file", "part", "row_index", "pair_index", "key", "prompt").collect())
 
 
+def test_publications_are_whole_and_write_new_slices_only(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    log = Snapshots(spark, out)
+
+    def tables(version, *files):
+        samples = spark.createDataFrame([(f, f"{f}-{version}-{i}") for f in files for i in range(3)], "file string, key string")
+        verdicts = spark.createDataFrame([(f, version) for f in files], "file string, n int")
+        return {"samples": samples.filter("file <> 'empty.parquet'"), "verdicts": verdicts, "batches": spark.createDataFrame([(version,)], "batch int")}
+
+    def held():
+        return {r.file: r.n for r in log.read("verdicts").collect()}, sorted(r.key for r in log.read("samples").collect())
+
+    def bytes_written():
+        return {p: p.stat().st_size for p in Path(out).rglob("*.parquet") if p.is_file()}
+
+    assert log.read("samples") is None and log.history("batches") is None
+    log.publish(tables(1, "a.parquet", "b.parquet", "empty.parquet"))
+    first = ({"a.parquet": 1, "b.parquet": 1, "empty.parquet": 1}, [f"{f}.parquet-1-{i}" for f in "ab" for i in range(3)])
+    assert held() == first
+    old, before = log.read("samples"), bytes_written()
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(Snapshots, "_point", stop)  # all tables are written, the pointer is not
+    with pytest.raises(KeyboardInterrupt):
+        log.publish(tables(2, "b.parquet", "c.parquet"))
+    assert held() == first
+    monkeypatch.undo()
+    torn = tables(2, "b.parquet", "c.parquet")
+    torn["verdicts"] = torn["verdicts"].selectExpr("file", "CAST(raise_error('stopped between two tables') AS INT) AS n")
+    with pytest.raises(Exception, match="between two tables"):
+        log.publish(torn)
+    assert held() == first
+    before = before | bytes_written()
+    log.publish(tables(3, "b.parquet", "c.parquet"))
+    assert held() == ({"a.parquet": 1, "b.parquet": 3, "c.parquet": 3, "empty.parquet": 1}, sorted([f"a.parquet-1-{i}" for i in range(3)] + [f"{f}.parquet-3-{i}" for f in "bc" for i in range(3)]))
+    assert sorted(r.batch for r in log.history("batches").collect()) == [1, 3]
+    after = bytes_written()
+    assert all(after[p] == n for p, n in before.items())  # nothing is written anew
+    assert {p.parent.name for p in after.keys() - before.keys() if "/samples/" in str(p)} == {"file=b.parquet", "file=c.parquet"}
+    assert sorted(r.key for r in old.collect()) == first[1]  # who reads the old one goes on with it
+    with pytest.raises(RuntimeError, match="another writer"):
+        log._point(2, "x")
+
+
 def test_gated_run_writes_passed_slices_only(spark, root, tmp_path):
     rows, layouts = scan(spark, root)
     out = str(tmp_path / "shards")
