@@ -18,6 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.memory import released
 from pairloom.llm.words import Words, chain, chunks
 from pairloom.runtime import stage
 
@@ -180,7 +181,7 @@ def word_counts(texts: DataFrame, limit: int) -> DataFrame:
             for rows in _rows(key=_signed(keys), n=n):
                 yield pa.RecordBatch.from_arrays([pa.array([shard.lang] * rows.num_rows, pa.string()), *rows.columns], names=["lang", "key", "n"])
 
-    return texts.mapInArrow(run, "lang string, key long, n long")
+    return texts.mapInArrow(released(run), "lang string, key long, n long")
 
 
 def mine(texts: DataFrame, totals: dict[str, int], words: Broadcast, support: int, longest: int, limit: int) -> DataFrame:
@@ -205,7 +206,7 @@ def mine(texts: DataFrame, totals: dict[str, int], words: Broadcast, support: in
                 if length + 1 < longest:
                     good = held(keys, _local(found))
 
-    return texts.mapInArrow(run, "key long")
+    return texts.mapInArrow(released(run), "key long")
 
 
 def count(texts: DataFrame, candidates: Broadcast, longest: int, limit: int) -> DataFrame:
@@ -221,7 +222,7 @@ def count(texts: DataFrame, candidates: Broadcast, longest: int, limit: int) ->
                 found, n = np.unique(keys[good], return_counts=True)
                 yield from _rows(key=_signed(found), n=n)
 
-    return texts.mapInArrow(run, "key long, n long")
+    return texts.mapInArrow(released(run), "key long, n long")
 
 
 def tell(texts: DataFrame, words: Broadcast, phrases: Broadcast, longest: int, limit: int) -> DataFrame:
@@ -241,7 +242,7 @@ def tell(texts: DataFrame, words: Broadcast, phrases: Broadcast, longest: int, l
                     columns = [pa.array([shard.lang] * len(said), pa.string()), pa.array(np.full(len(said), length, np.int32)), pa.array(said, pa.string()), pa.array(n[lo : lo + ROWS])]
                     yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "f"])
 
-    return texts.mapInArrow(run, "lang string, size int, phrase string, f long")
+    return texts.mapInArrow(released(run), "lang string, size int, phrase string, f long")
 
 
 def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:

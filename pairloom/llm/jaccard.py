@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.graph import components
+from pairloom.llm.memory import released
 from pairloom.llm.words import Words, chain, chunks, mix
 from pairloom.runtime import stage
 
@@ -91,7 +92,7 @@ def common_shingles(docs: DataFrame, size: int) -> np.ndarray:
                 sets = shingle_sets(batch.column("text").to_pylist(), size)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["shingle"])
 
-    counts = sample.distinct().mapInArrow(run, "shingle long").groupBy("shingle").count().where(F.col("count") >= COMMON_FROM)
+    counts = sample.distinct().mapInArrow(released(run), "shingle long").groupBy("shingle").count().where(F.col("count") >= COMMON_FROM)
     top = counts.orderBy(F.desc("count"), "shingle").limit(COMMON).select("shingle").toPandas()
     return top.shingle.to_numpy(dtype=np.int64).view(np.uint64)
 
@@ -123,7 +124,7 @@ def signatures(docs: DataFrame, common: np.ndarray, size: int, percent: int) ->
                 columns += [_lists(prefixes), pa.array(maps, pa.binary()), pa.array([_short(m) for m in maps], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "h1", "h2", "prefix", "bits", "short"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, prefix array<long>, bits binary, short binary")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, n long, h1 long, h2 long, prefix array<long>, bits binary, short binary")
 
 
 def id_filter(ids: DataFrame) -> np.ndarray:
@@ -156,7 +157,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
 
     named = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text")
     texts = named.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)))
-    sets = stage(texts.mapInArrow(shingle, "id long, s array<long>"), "sets")
+    sets = stage(texts.mapInArrow(released(shingle), "id long, s array<long>"), "sets")
+    shared.destroy()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,7 +173,7 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(good)), batch.column("b").filter(pa.array(good))], names=["a", "b"])
 
     left = pairs.join(sets.selectExpr("id AS b", "s"), "b")
-    return left.join(sets.selectExpr("id AS a", "s AS t"), "a").mapInArrow(compare, "a long, b long").distinct()
+    return left.join(sets.selectExpr("id AS a", "s AS t"), "a").mapInArrow(released(compare), "a long, b long").distinct()
 
 
 def _bound(n: np.ndarray, m: np.ndarray, bits: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
@@ -195,7 +197,7 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             yield batch.filter(pa.array(good)).select(["a", "b"])
 
     left = pairs.join(classes.select(F.col("id").alias("b"), "n", F.col("bits").alias("x")), "b")
-    return left.join(classes.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("y")), "a").mapInArrow(run, "a long, b long")
+    return left.join(classes.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("bits").alias("y")), "a").mapInArrow(released(run), "a long, b long")
 
 
 def tile_pairs(ids, comp, n, band, side, raw: list[bytes], percent: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -260,7 +262,7 @@ def tiles(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         if rest is not None:
             yield pairs(rest, np.zeros(1, dtype=np.int64))
 
-    return cut.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+    return cut.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(released(run), "a long, b long").distinct()
 
 
 def _starts(table: pa.Table, keys: list[str]) -> np.ndarray:

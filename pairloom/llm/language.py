@@ -14,6 +14,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.memory import released
 from pairloom.llm.words import chunks
 
 DICTIONARY_BYTES = 128_000
@@ -109,5 +110,5 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], keep: list[str]) -
 
     rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{schema}, lang_pred string, score double, margin double, rejected boolean")
+    return rows.mapInArrow(released(run), f"{schema}, lang_pred string, score double, margin double, rejected boolean")
 

@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.memory import released
 from pairloom.llm.words import chunks
 from pairloom.runtime import stage
 
@@ -64,7 +65,7 @@ def tokenize(docs: DataFrame, ranks_path: str, capacity: int = CAPACITY) -> Data
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(released(run), PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +104,7 @@ def _pack_round(items: DataFrame, keys: str, level: int, capacity: int) -> DataF
         bins += (level << 56) + (TaskContext.get().partitionId() << 32)
         yield from table.append_column("bin", pa.array(bins)).append_column("offset", pa.array(offsets)).combine_chunks().to_batches(100_000)
 
-    return items.select(*names, "length").mapInArrow(run, f"{keys}, length long, bin long, offset long")
+    return items.select(*names, "length").mapInArrow(released(run), f"{keys}, length long, bin long, offset long")
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, full: float = FULL) -> DataFrame:

@@ -4,20 +4,38 @@ Words are runs of ``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z; a null text has
 """
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
+POWERS = 1 << 20  # kept from one chunk to the next
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
+@lru_cache(maxsize=2)
+def _kept_powers(base: int) -> np.ndarray:
+    return _powers(base, POWERS)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base to the power of 0 to n - 1, in 64 bits."""
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, out=out)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    return _kept_powers(base)[:n] if n <= POWERS else _powers(base, n)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit numbers (the finisher of splitmix64)."""
     x = x.astype(np.uint64)
@@ -63,15 +81,12 @@ class Words:
         n = len(self.data)
         if not n:
             return np.zeros(0, dtype=np.uint64)
-        power = np.full(n + 1, _BASE, dtype=np.uint64)
-        power[0] = 1
-        np.cumprod(power, out=power)
         total = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUES[self.data] * power[:-1], out=total[1:])
-        back = np.full(n + 1, _BASE_INVERSE, dtype=np.uint64)
-        back[0] = 1
-        np.cumprod(back, out=back)
-        return mix((total[self.ends] - total[self.starts]) * back[self.starts])
+        values = total[1:]
+        np.take(_BYTE_VALUES, self.data, out=values, mode="clip")
+        values *= powers(_BASE, n)
+        np.cumsum(values, out=values)
+        return mix((total[self.ends] - total[self.starts]) * powers(_BASE_INVERSE, n)[self.starts])
 
     def word(self, i: int) -> str:
         return self.bytes[self.starts[i] : self.ends[i]].decode(errors="replace")
