@@ -258,6 +258,20 @@ def test_resharding(spark, sf, documents, tmp_path):
     assert resharding.reshard(resharding.with_blocks(odd.limit(0), F.lit(0), 2), [1, 1], 2).count() == 0
 
 
+@pytest.mark.parametrize("ids", ["none", "half under one", "all equal"])
+def test_resharding_spreads_rows_of_one_id(spark, ids):
+    one = {"none": "CAST(NULL AS LONG)", "half under one": "IF(id % 2 = 0, 7, id)", "all equal": "1"}[ids]
+    text = "'the same'" if ids == "all equal" else "repeat('x', CAST(id % 97 AS INT))"
+    docs = spark.range(20_000).selectExpr(f"{one} AS doc_id", f"{text} AS text", "'a' AS nr", "'b' AS before", "'c' AS shard", "'d' AS slot", "'e' AS block", "'f' AS size", "'g' AS old_shard")
+    placed = resharding.reshard(resharding.with_blocks(docs, F.lit(0), 2), [1] * 16, 2)
+    assert {"nr", "before"} <= set(placed.columns) and placed.where("nr = 'a' AND before = 'b'").count() == 20_000
+    rows = placed.select("shard", "slot", "size").toPandas()
+    sizes = rows.groupby("shard")["size"].sum()
+    assert len(sizes) == 16 and sizes.max() - sizes.min() <= 0.02 * sizes.sum() / 16 + 2 * rows["size"].sum() / 1024
+    for _, slots in rows.groupby("shard").slot:
+        assert sorted(slots) == list(range(len(slots)))
+
+
 def test_min_cost_flow():
     rng = np.random.default_rng(9)
     for _ in range(20):
