@@ -14,12 +14,18 @@ from pairloom.runtime import ship_package, stage
 ORACLE_SQL = None  # compression sizes, a Markov model and BPE ids are beyond SQL; tests hold the stages against brute force
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``text`` and all columns under names that no operator gives its own; and these names by column."""
+    names = {c: f"__{i}" for i, c in enumerate(docs.columns)}
+    return docs.select("text", *[F.col(f"`{c}`").alias(n) for c, n in names.items()]), names
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is certain, with that language as ``lang``."""
     model = language.learn(docs.where(queries.fold(4) != 2))
-    found = language.identify(docs, model, [c for c in docs.columns if c != "lang"])
-    kept = found.where("NOT rejected").withColumn("lang", F.col("lang_pred"))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names = set_apart(docs)
+    kept = language.identify(rows, model, list(names.values())).where("NOT rejected")
+    return kept.select(*[F.col("lang_pred" if c == "lang" else n).alias(c) for c, n in names.items()])
 
 
 def row_key() -> Column:
@@ -44,14 +50,17 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     keyed = docs.select(row_key().alias("doc_id"), "text")
-    found = decontaminate.matches(keyed, queries.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("held")).distinct()
-    return docs.join(found, row_key() == F.col("held"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    held = next(n for n in ("held" + "_" * i for i in range(len(docs.columns) + 1)) if n not in docs.columns)
+    found = decontaminate.matches(keyed, queries.table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(held)).distinct()
+    return docs.join(found, row_key() == F.col(held), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets masked and ``n_chars`` counted anew."""
-    masked = secret_scan.redact(docs, secret_scan.learn(docs))
-    return masked.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names = set_apart(docs)
+    masked = secret_scan.redact(rows, secret_scan.learn(docs))
+    counted = F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col(names["n_chars"]))
+    return masked.select(*[{"text": F.col("text"), "n_chars": counted}.get(c, F.col(n)).alias(c) for c, n in names.items()])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
