@@ -320,6 +320,19 @@ def test_pipeline(spark, sf, documents):
             step(spark, rows, sf).count()
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, sf, documents):
+    names = ["score", "margin", "lang_pred", "rejected", "base", "spans", "held", "key", "_key", "component_id", "first", "nr", "bin", "__text", "__0", "terms", "lot"]
+    few = documents.where("doc_id % 3 = 0")
+    docs = corpus_pipeline.stage(few.select("*", *[F.lit(n).alias(n) for n in names]), "test")
+    plain = corpus_pipeline.stage(few, "test")
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs, plain = (corpus_pipeline.stage(step(spark, d, sf), "test") for d in (docs, plain))
+        assert docs.columns == [*documents.columns, *names], name
+        assert sorted(docs.select(*documents.columns).collect(), key=str) == sorted(plain.collect(), key=str), name
+        assert docs.where(" AND ".join(f"`{n}` = '{n}'" for n in names)).count() == docs.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() > 0
+
+
 def test_pipeline_rows_without_or_with_repeated_ids(spark, sf, documents):
     item = spark.read.parquet(f"{sf}/benchmark.parquet").where("length(text) > 60").orderBy("item_id").first().text
     texts = [" ".join(f"{c}{i}" for i in range(50)) for c in "abcdefg"]
