@@ -329,6 +329,8 @@ def statements() -> dict[str, str]:
             FROM samples GROUP BY shard_name""",
         "slice_archives": f"""WITH {ON_DISK} SELECT 'add_part0' AS stem, path FROM manifest WHERE path GLOB 'Singleturn/results_add/*/original.png'
             UNION ALL SELECT 'hybrid_part2', path FROM manifest WHERE lower(path) GLOB 'singleturn/results_hybrid*/d?/*.png'""",
+        "split_arrivals": """SELECT concat('Singleturn/results_c', o_custkey % 7, '/c', o_custkey, '.tar') AS archive, count(*) AS parts,
+            CAST(sum(1 + o_orderkey % 1000) AS BIGINT) AS bytes FROM orders GROUP BY o_custkey HAVING NOT bool_or(o_orderkey % 97 = 5)""",
         "ingest_slices": f"""WITH {BUILT}, v AS (SELECT file, strict_pairs, CASE WHEN strict_pairs = 0 THEN 'no_strict_pairs'
               WHEN resolve_rate < 0.8 THEN 'low_resolve_rate' END AS reason FROM audit_files),
             s AS (SELECT file, count(*) AS samples FROM kept GROUP BY file),

@@ -161,6 +161,16 @@ def split_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive a customer, an order a part; some parts are listed but never come."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        """concat('Singleturn/results_c', o_custkey % 7, '/c', o_custkey, '.tar.split.',
+            row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) AS path""",
+        "CAST(1 + o_orderkey % 1000 AS BIGINT) AS size",
+        "o_orderkey % 97 = 5 AS lost",
+    )
+
+
 def column_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file per document whose columns depend on it; covers all layouts."""
     names = """CASE doc_id % 9

@@ -17,6 +17,7 @@ from pairloom.plans.schedule import slice_archives as archives_of
 from pairloom.runtime import new_folder, stage
 from pairloom.sources import archives, images, pair_files
 from pairloom.sources.listing import list_tree, match_globs
+from pairloom.streaming.arrivals import ingest_archives, landed_archives
 from pairloom.streaming.ingest import ingest_slices, published
 
 QUERIES: dict = {}
@@ -521,3 +522,14 @@ def ingest_slices_(spark: SparkSession, sf: str) -> DataFrame:
         F.count("*").alias("samples"), F.max("pair_index").alias("last_index")
     )
     return verdicts.join(samples, "file", "left")
+
+
+@query
+def split_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives whose parts come in three batches; those that lack a part at the end are not released."""
+    listing, out, there = src.order_parts(spark, sf), new_folder(spark, "archives"), new_folder(spark, "arrivals")
+    listing.filter("NOT lost").select("path", "size").repartition(8, F.xxhash64("path")).write.parquet(there)
+    arrivals = spark.readStream.schema("path string, size long").option("maxFilesPerTrigger", 3).parquet(there)
+    ingest_archives(spark, arrivals, listing.select("path", "size"), out, new_folder(spark, "offsets"))
+    parts = F.expr("aggregate(parts, 0L, (n, p) -> n + p.size)").alias("bytes")
+    return landed_archives(spark, out).select("archive", F.size("parts").cast("long").alias("parts"), parts)
