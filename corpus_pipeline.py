@@ -5,6 +5,8 @@ returns a DataFrame, which is written as Parquet and read again as the next one'
 ``docs``. All but the last return the columns of ``documents``.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,17 +70,26 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return queries.packed(docs)
 
 
+def ready(step: Callable) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The step in a session that has the package and its settings."""
+
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
 STAGES = [
-    ("language ID", keep_identified),
-    ("n-gram Jaccard join", keep_one_of_similar),
-    ("benchmark decontamination", drop_benchmark),
-    ("secret scans", mask_secrets),
-    ("best-fit packing", pack),
+    ("language ID", ready(keep_identified)),
+    ("n-gram Jaccard join", ready(keep_one_of_similar)),
+    ("benchmark decontamination", ready(drop_benchmark)),
+    ("secret scans", ready(mask_secrets)),
+    ("best-fit packing", ready(pack)),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship_package(spark)
     docs = queries.table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name.replace(" ", "-"))

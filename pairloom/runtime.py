@@ -52,9 +52,15 @@ def spread(df: DataFrame, size: str, *keys: str, bytes_per_task: int = 256 << 20
     return df.repartitionByRange(tasks, *keys)
 
 
+# Texts are long: batches for Python workers are bounded by their bytes, on both sides, unless the session says otherwise.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, wherever the driver runs."""
+    """Make this package importable in the Python workers, wherever the driver runs, and their batches small."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES[0], None) is None:
+        spark.conf.set(*BATCH_BYTES)
     if any("pairloom-src" in name for name in context._python_includes):
         return
     here = Path(__file__).resolve().parent
