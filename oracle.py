@@ -256,7 +256,7 @@ def statements() -> dict[str, str]:
         "resolve_casefold": f"""WITH {RESOLVE} SELECT ref, path FROM found WHERE direct
             AND split_part(ref, '/', -1) <> split_part(path, '/', -1)""",
         "resolve_sibling": f"WITH {RESOLVE} SELECT ref, path FROM found WHERE NOT direct",
-        "resolve_paths": f"WITH {RESOLVE} SELECT ref, path, size FROM refs LEFT JOIN found USING (ref) LEFT JOIN manifest USING (path)",
+        **dict.fromkeys(("resolve_paths", "resolve_paths_saved"), f"WITH {RESOLVE} SELECT ref, path, size FROM refs LEFT JOIN found USING (ref) LEFT JOIN manifest USING (path)"),
         "resolve_pairs": f"WITH {RESOLVE} SELECT file, row_index, turn_pos, input_found, output_found FROM audited",
         "missing_roots": f"""WITH {ALL}, {MANIFEST}, {LISTING}, roots AS (SELECT file, split_part(trim(unnest([input_path, output_path]), '/'), '/', 1) AS root FROM all_pairs),
             joined AS (SELECT string_agg(path, chr(10)) AS text FROM listing)

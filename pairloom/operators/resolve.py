@@ -171,16 +171,22 @@ def resolve_paths(
 
     Paths in the manifest are canonical and unique, as ``file_manifest`` makes them.
     With ``locate`` the result carries the spelling on disk and the other
-    manifest columns; without, only the fact that the reference resolves.
+    manifest columns; without, only the fact that the reference resolves. A
+    ``SavedIndex`` in place of the manifest spares its shuffles.
     """
     if "n" not in refs.columns:
         refs = _counted(refs)
     # Reading the count keeps this plan the same as that of the hot references.
     refs = refs.filter("n > 0").select("ref")
-    if not locate:
-        manifest = manifest.select("path")
-    extra = [c for c in manifest.columns if c != "path"]
-    index = file_index(manifest, pair_dir, sibling)
+    extra = [c for c in manifest.columns if c != "path"] if locate else []
+    if isinstance(manifest, DataFrame):
+        index = file_index(manifest.select("path", *extra), pair_dir, sibling)
+    else:
+        if pair_dir != manifest.pair_dir:
+            raise ValueError(f"the index was saved for {manifest.pair_dir!r}")
+        index, manifest = manifest.entries, manifest.files
+        if not sibling:
+            index = index.filter(F.col("kind") == DIRECT)
     # Chosen by hash, so that every evaluation counts the same references, and written once.
     some = path_lookups(refs.filter(f"pmod(xxhash64(ref), {SAMPLE}) = 0"), pair_dir, sibling, root)
     some = some.groupBy("kind", "key").agg(F.count("*").alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import naming, paths
 from pairloom.functions.text import casefold, nfc
-from pairloom.operators import explore, shards, slices, verify
+from pairloom.operators import explore, saved_index, shards, slices, verify
 from pairloom.operators import pairs as pair_ops
 from pairloom.operators import resolve as res
 from pairloom.operators.audit import audit_examples, audit_stats, audited_pairs
@@ -279,6 +279,15 @@ def resolve_paths(spark: SparkSession, sf: str) -> DataFrame:
     return refs.select("ref").join(found.select("ref", "path", "size"), "ref", "left")
 
 
+@query
+def resolve_paths_saved(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over an index that was saved before, joined bucket by bucket."""
+    folder = src.once(spark, sf, "index", lambda f: saved_index.save_index(src.files_on_disk(spark, sf), f, buckets=8))
+    refs = _refs(spark, sf)
+    found = res.resolve_paths(refs, saved_index.open_index(spark, folder))
+    return refs.select("ref").join(found.select("ref", "path", "size"), "ref", "left")
+
+
 @query
 def resolve_pairs(spark: SparkSession, sf: str) -> DataFrame:
     pairs = _pairs(spark, sf)

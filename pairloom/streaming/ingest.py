@@ -85,7 +85,7 @@ def publish(
     files = stage(landed.join(F.broadcast(batches), "batch", "left_semi").select("file").distinct(), "files")
     rows = landed.drop("batch").join(files, "file", "left_semi")
     found = manifest()
-    if "segments" not in found.columns:
+    if "segments" not in found.columns:  # of a SavedIndex they must be part
         found = found.selectExpr("*", f"{whole_file('path')} AS segments")
     ran = run_slices(rows, files.withColumn("layout", F.lit(layout)), found, settings, root, samples_per_shard=samples_per_shard, min_rate=min_rate)
     log.publish({"samples": ran.samples, VERDICTS: ran.verdicts, "batches": batches})
