@@ -1,11 +1,19 @@
 """Exploration report: pair counts, path roots and roots nobody published."""
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import islice
+
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.paths import is_basename_only, root_prefix
 from pairloom.runtime import stage
 
+ROOTS_PER_BLOCK = 100_000
+
 
 def explore_stats(rows: DataFrame) -> DataFrame:
     """Per file: rows, strict pairs, rows without and with several pairs."""
@@ -34,24 +42,48 @@ def missing_roots(histogram: DataFrame, listing: DataFrame) -> DataFrame:
     """Per file: roots that occur nowhere inside the listed paths.
 
     A root holds no slash, so it can only occur inside one path segment. Roots
-    that equal a segment leave by an equi-join. For the rest, the segments are
-    cut into pieces of the lengths these roots have, which turns the substring
-    test into an equi-join as well: no root is compared with every path.
+    that equal a segment leave by an equi-join. For the rest, the distinct segments are
+    read by an automaton that knows all of them, see ``roots_inside``.
     """
     histogram = stage(histogram, "histogram")
     roots = histogram.select("root").distinct().filter(f"NOT {is_basename_only('root')}")
     segments = stage(listing.selectExpr("explode(split(path, '/')) AS segment").distinct(), "segments")
     unmatched = stage(roots.join(segments, F.col("root") == F.col("segment"), "left_anti"), "unmatched")
-    # One number per distinct root length, however many roots there are.
-    lengths = sorted(r[0] for r in unmatched.selectExpr("char_length(root)").distinct().collect())
-    cut = f"""explode(flatten(transform(filter(array({', '.join(map(str, lengths)) or 'CAST(NULL AS INT)'}), n -> n < char_length(segment)),
-        n -> transform(sequence(1, char_length(segment) - n + 1), at -> substring(segment, at, n)))))"""
-    # Pieces that are no root left leave before they are made distinct; the roots are the small side.
-    found = segments.selectExpr(f"{cut} AS piece").join(unmatched, F.col("piece") == F.col("root"), "left_semi").distinct()
-    missing = unmatched.join(found, F.col("root") == F.col("piece"), "left_anti")
+    missing = unmatched.join(roots_inside(unmatched, segments), "root", "left_anti")
     return histogram.join(missing, "root", "left_semi").select("file", "root", "paths")
 
 
+def roots_inside(roots: DataFrame, segments: DataFrame, per_block: int = ROOTS_PER_BLOCK) -> DataFrame:
+    """The ``root`` values that are part of any ``segment``; both hold no slash.
+
+    An Aho-Corasick automaton finds all roots of a block in one pass over the segments, so its memory is bounded by the
+    block. A task sends each root it has seen once; no piece of a segment is made.
+    """
+    spark = roots.sparkSession
+    rows, found = roots.toLocalIterator(), []
+    while block := [r.root for r in islice(rows, per_block)]:
+        words = spark.sparkContext.broadcast(block)
+        found.append(stage(segments.select("segment").mapInArrow(_search(words), "root string").distinct(), "inside"))
+        words.destroy()
+    return reduce(DataFrame.union, found, spark.createDataFrame([], "root string"))
+
+
+def _search(words: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from ahocorasick import Automaton
+
+        automaton, seen = Automaton(), set()
+        for word in words.value:
+            automaton.add_word(word, word)
+        automaton.make_automaton()
+        for batch in batches:
+            text = "/".join(batch.column("segment").drop_null().to_pylist())  # no root goes on over a slash
+            seen.update(word for _, word in automaton.iter(text))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], names=["root"])
+
+    return run
+
+
 def explore_totals(stats: DataFrame, files: DataFrame) -> DataFrame:
     """Files, rows and strict pairs; files of unknown layout count as files only."""
     n_files = files.select("file").distinct().agg(F.count("*")).scalar()
