@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_PAGES = 240  # labelled pages the potentials are learned from
+SAMPLE_BYTES = 256 << 10  # longer pages teach nothing
 ROUNDS = 20
 PULL = 0.02  # towards the prior, an update
 
@@ -231,11 +232,16 @@ class Model:
         return self
 
 
-def learn(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Model:
-    """Potentials from a bounded sample by hash of the html, labelled by the pages' own landmarks; the prior alone if none has any."""
-    count = pages.where("html IS NOT NULL").count()
-    lot = F.shiftrightunsigned(F.xxhash64("html", F.lit(29)), 11) / float(1 << 53)
-    rows = pages.where("html IS NOT NULL").where(lot < min(1.0, 1.5 * sample / max(1, count))).select("html").limit(sample).collect()
+def learn(pages: DataFrame, sample: int = SAMPLE_PAGES, most: int = SAMPLE_BYTES) -> Model:
+    """Potentials from a bounded sample, labelled by the pages' own landmarks; the prior alone if none has any.
+
+    The sample is the ``sample`` different pages of at most ``most`` bytes whose html has the smallest hashes, so neither copies nor
+    the order of rows matter.
+    """
+    usable = pages.select(F.col("html").cast("string").alias("html")).where(F.octet_length("html") <= most)
+    hashed = usable.select("html", F.xxhash64("html", F.lit(29)).alias("h"), F.xxhash64("html", F.lit(31)).alias("g"))
+    chosen = hashed.select("h", "g").distinct().orderBy("h", "g").limit(sample)
+    rows = hashed.join(F.broadcast(chosen), ["h", "g"]).groupBy("h", "g").agg(F.first("html").alias("html")).collect()
     return Model().fit([Page(r.html) for r in sorted(rows, key=lambda r: r.html)])
 
 

@@ -181,6 +181,18 @@ def test_pages(spark, sf):
         assert r.text == " ".join(plain.split()) and r.n_chars == len(r.text)
 
 
+def test_pages_learnt_from_do_not_depend_on_order_or_copies(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "html")
+    few = pages.where("page_id % 20 = 0")
+    one, seven = (html_tree.learn(few.repartition(n), sample=4) for n in (1, 7))
+    assert one.weights == seven.weights and one.pair == seven.pair and one.weights != html_tree.Model().weights
+    copies = few.where("page_id = 0").crossJoin(spark.range(300)).select("page_id", "html")
+    odd = spark.createDataFrame([(None, None), (1, ""), (2, "x" * 300_000)], "page_id long, html string")
+    many = html_tree.learn(few.union(copies).union(odd.where("html IS NULL OR length(html) > 1")), sample=4)
+    assert many.weights == one.weights and many.pair == one.pair
+    assert html_tree.learn(few.limit(0)).weights == html_tree.Model().weights
+
+
 def test_marginals_match_enumeration():
     rng = np.random.default_rng(2)
     for n in (1, 2, 5, 8):
