@@ -211,6 +211,8 @@ def statements() -> dict[str, str]:
             (6, 'mixed_embed_edit', 'input_path', 'output_img', 'text'), (7, 'unknown', NULL, NULL, NULL),
             (8, 'path', 'original_path', 'edited_path', NULL)) x(k, layout, input_col, output_col, text_col) ON k = doc_id % 9""".replace("x.*", "layout, input_col, output_col, text_col"),
         "file_manifest": f"WITH {ON_DISK} SELECT path, size > 0 AS has_bytes FROM manifest",
+        "slice_files": f"""WITH {ON_DISK} SELECT path, size > 0 AS has_bytes FROM manifest
+            WHERE starts_with(path, 'Singleturn/results_add/') OR starts_with(path, 'Singleturn/part1/')""",
         "match_globs": f"""WITH {ON_DISK}, {LISTING}, n AS (SELECT path, {_norm('path')} AS n FROM listing), hits AS (
             {_glob(1, 'Singleturn/results_add/*/original.png', "n GLOB 'Singleturn/results_add/*/original.png'")}
             UNION {_glob(2, './singleturn/RESULTS_hybrid*/d?/*.PNG', "lower(n) GLOB 'singleturn/results_hybrid*/d?/*.png'")}

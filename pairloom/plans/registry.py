@@ -17,6 +17,7 @@ from pairloom.plans.schedule import slice_archives as archives_of
 from pairloom.runtime import new_folder, stage
 from pairloom.sources import archives, images, pair_files
 from pairloom.sources.listing import list_tree, match_globs
+from pairloom.sources.tree_source import tree_files
 from pairloom.streaming.arrivals import ingest_archives, landed_archives
 from pairloom.streaming.ingest import ingest_slices, published
 
@@ -76,6 +77,13 @@ def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return res.file_manifest(tree).select("path", (F.col("size") > 0).alias("has_bytes"))
 
 
+@query
+def slice_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two slices' folders; the listing opens no other folder."""
+    under = ["Singleturn/results_add/", "Singleturn/part1/"]
+    return tree_files(spark, src.image_tree(spark, sf), under, levels=2).select("path", (F.col("size") > 0).alias("has_bytes"))
+
+
 @query
 def match_globs_(spark: SparkSession, sf: str) -> DataFrame:
     return match_globs(src.file_listing(spark, sf), GLOBS)
