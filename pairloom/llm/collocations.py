@@ -1,11 +1,11 @@
 """Collocations by SON partitioning: phrases frequent in a shard at its share of the support, then counted everywhere.
 
-Shards are what a task holds of a language, ``SHARD_WORDS`` at most. A phrase that the corpus has ``support``
-times is, in at least one shard, as frequent as that shard's share of the language's words asks for. So each shard is
-mined completely at its lowered support; the union of what it finds holds every frequent phrase. All
-candidates are then counted in all shards: first by hashes, and what is left by its words, exactly.
+The corpus is cut into ``SHARDS`` shards, however large it is, so a phrase that it has ``support`` times is there at least
+``support / SHARDS`` times in one of them. Shards are mined completely at this support, word by word longer: their tasks send the sums of
+all phrases whose parts are candidates, and what a shard has often enough joins the candidates of that length. A second pass counts all
+candidates in the whole corpus, exactly; a third fetches what the frequent ones say.
 
-Only hashes of candidates, and sums a shard, are shuffled. Filters that travel to the shards are bitmaps of bounded
+Only hashes and sums are shuffled. Filters that travel to the tasks are bitmaps of bounded
 size; what they let through wrongly is counted and falls to the support, so it costs time only.
 """
 
@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +26,8 @@ SUPPORT = 30
 LONGEST = 4
 SHARE = 80  # per cent of its occurrences that a phrase may have inside a longer candidate
 TOP = 2000
-SHARD_WORDS = 8 << 20
+SHARDS = 8
+BLOCK_WORDS = 8 << 20  # words that a task holds and sums up at a time
 FILTER_BITS = 27  # at most 16 MB a filter
 BITS_A_KEY = 32
 ROWS = 100_000
@@ -51,8 +52,8 @@ class Pieces(Words):
         self.joined = np.r_[piece[1:] == piece[:-1], False] if len(piece) else np.zeros(0, bool)
 
 
-class Shard:
-    """Words of one language in a task. Texts are kept only if their words must be told."""
+class Block:
+    """Words of one language that a task holds. Texts are kept only if their words must be told."""
 
     def __init__(self, lang: str, told: bool):
         self.lang, self.told, self.size = lang, told, 0
@@ -95,6 +96,13 @@ class Shard:
             out[lo : lo + ROWS] = chain(keys[some[lo : lo + ROWS]], self.hashes[at[lo : lo + ROWS] + length])
         return at, out
 
+    def keys(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Keys of the phrases of ``length`` words at these places."""
+        out = chain(self.salt, self.hashes[at])
+        for i in range(1, length):
+            out = chain(out, self.hashes[at + i])
+        return out
+
     def phrase(self, at: int, length: int) -> str:
         part = int(np.searchsorted(self.first, at, side="right")) - 1
         data, starts, ends = self.places[part]
@@ -102,24 +110,24 @@ class Shard:
         return b" ".join(data[starts[i] : ends[i]] for i in range(at, at + length)).decode()
 
 
-def shards(batches: Iterator[pa.RecordBatch], limit: int, told: bool = False) -> Iterator[Shard]:
-    """A task's rows (text, lang) as shards of about ``limit`` words over all languages; a longer text is in one."""
-    held: dict[str, Shard] = {}
+def blocks(batches: Iterator[pa.RecordBatch], limit: int, told: bool = False) -> Iterator[Block]:
+    """A task's rows (text, lang) in blocks of about ``limit`` words over all languages; a longer text is in one."""
+    held: dict[str, Block] = {}
     for batch in batches:
         langs = batch.column("lang")
         for lang in pc.unique(langs).to_pylist():
             for part in chunks(batch.filter(pc.equal(langs, lang))):
-                held.setdefault(lang, Shard(lang, told)).add(part.column("text").to_pylist())
+                held.setdefault(lang, Block(lang, told)).add(part.column("text").to_pylist())
                 if sum(s.size for s in held.values()) >= limit:
                     yield from _closed(held)
     yield from _closed(held)
 
 
-def _closed(held: dict[str, Shard]) -> Iterator[Shard]:
+def _closed(held: dict[str, Block]) -> Iterator[Block]:
     while held:
-        shard = held.pop(next(iter(held)))
-        shard.close()
-        yield shard
+        block = held.pop(next(iter(held)))
+        block.close()
+        yield block
 
 
 def key_filter(keys: DataFrame) -> Broadcast:
@@ -142,26 +150,6 @@ def held(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def often(keys: np.ndarray, least: int) -> np.ndarray:
-    """The different keys that are there ``least`` times."""
-    keys = np.sort(keys)
-    n = len(keys) - least + 1  # a key that is there so often has its first place below n
-    if n < 1:
-        return keys[:0]
-    first = np.r_[True, keys[1:n] != keys[: n - 1]]
-    if least > 1:
-        first &= keys[least - 1 :] == keys[:n]
-    return keys[:n][first]
-
-
-def _local(keys: np.ndarray) -> np.ndarray:
-    """A bitmap of a shard's own keys."""
-    bits = min(FILTER_BITS, max(6, (len(keys) * BITS_A_KEY).bit_length()))
-    table = np.zeros(1 << bits, bool)
-    table[(keys & np.uint64((1 << bits) - 1)).astype(np.int64)] = True
-    return np.packbits(table, bitorder="little")
-
-
 def _rows(**columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     n = len(next(iter(columns.values())))
     for lo in range(0, n, ROWS):
@@ -172,105 +160,141 @@ def _signed(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def _counted(keys: np.ndarray, **more: int) -> Iterator[pa.RecordBatch]:
+    found, n = np.unique(keys, return_counts=True)
+    yield from _rows(key=_signed(found), n=n, **{name: np.full(len(found), value, np.int32) for name, value in more.items()})
+
+
 def word_counts(texts: DataFrame, limit: int) -> DataFrame:
-    """(lang, key, n): occurrences of each word in a shard."""
+    """(lang, key, n): occurrences of each word in a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, limit=limit):
-            keys, n = np.unique(shard.words()[1], return_counts=True)
-            for rows in _rows(key=_signed(keys), n=n):
-                yield pa.RecordBatch.from_arrays([pa.array([shard.lang] * rows.num_rows, pa.string()), *rows.columns], names=["lang", "key", "n"])
+        for block in blocks(batches, limit):
+            for rows in _counted(block.words()[1]):
+                yield pa.RecordBatch.from_arrays([pa.array([block.lang] * rows.num_rows, pa.string()), *rows.columns], names=["lang", "key", "n"])
 
     return texts.mapInArrow(released(run), "lang string, key long, n long")
 
 
-def mine(texts: DataFrame, totals: dict[str, int], words: Broadcast, support: int, longest: int, limit: int) -> DataFrame:
-    """(key) of phrases of 2 words or more that are frequent in a shard at its share of ``support``.
+def _climb(block: Block, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places and keys of the phrases of 1, 2 ... words whose shorter parts all pass the filter of their length."""
+    at, keys = block.words()
+    yield at, keys
+    for length, table in enumerate(filters, 1):
+        at, keys = block.longer(at, keys, length, held(keys, table))
+        yield at, keys
+
+
+def mine(texts: DataFrame, filters: list[Broadcast], shards: int, least: int, limit: int) -> DataFrame:
+    """(key) of the phrases, one word longer than there are filters, that a shard has ``least`` times.
 
-    Level by level: a phrase is looked at if the two phrases one word shorter in it are frequent there, too, and a word if
-    the corpus has it often enough (``words``).
+    A shard is every ``shards``-th task's rows; its sums are put together from its blocks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, limit=limit):
-            total = totals.get(shard.lang, 0)
-            if total < support:
-                continue
-            least = -(-support * shard.size // total)
-            at, keys = shard.words()
-            good = held(keys, words.value)
-            for length in range(1, longest):
-                at, keys = shard.longer(at, keys, length, good)
-                found = often(keys, least)
-                yield from _rows(key=_signed(found))
-                if length + 1 < longest:
-                    good = held(keys, _local(found))
-
-    return texts.mapInArrow(released(run), "key long")
-
-
-def count(texts: DataFrame, candidates: Broadcast, longest: int, limit: int) -> DataFrame:
-    """(key, n): occurrences, in a shard, of phrases of 2 words or more that the filter holds."""
+        shard = TaskContext.get().partitionId() % shards
+        for block in blocks(batches, limit):
+            for _, keys in _climb(block, [f.value for f in filters]):
+                pass
+            yield from _counted(keys, shard=shard)
+
+    # a block's rows differ already: they are dealt out as they are, without a table of them in each task
+    sums = texts.mapInArrow(released(run), "key long, n long, shard int").repartition("key").groupBy("key", "shard").agg(F.sum("n").alias("n"))
+    return sums.where(F.col("n") >= least).select("key").distinct()
+
+
+def count(texts: DataFrame, filters: list[Broadcast], limit: int) -> DataFrame:
+    """(key, n, part): occurrences of all candidates of 2 words or more, and the first of the tasks that have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, limit=limit):
-            at, keys = shard.words()
-            good = np.ones(len(at), bool)
-            for length in range(1, longest):
-                at, keys = shard.longer(at, keys, length, good)
-                good = held(keys, candidates.value)  # parts of a candidate are candidates
-                found, n = np.unique(keys[good], return_counts=True)
-                yield from _rows(key=_signed(found), n=n)
+        tables, part = [f.value for f in filters], TaskContext.get().partitionId()
+        for block in blocks(batches, limit):
+            for (_, keys), table in zip(_climb(block, tables[:-1]), tables, strict=True):
+                if table is not tables[0]:
+                    yield from _counted(keys[held(keys, table)], part=part)
 
-    return texts.mapInArrow(released(run), "key long, n long")
+    sums = texts.mapInArrow(released(run), "key long, n long, part int").repartition("key")
+    return sums.groupBy("key").agg(F.sum("n").alias("n"), F.min("part").alias("part"))
 
 
-def tell(texts: DataFrame, words: Broadcast, phrases: Broadcast, longest: int, limit: int) -> DataFrame:
-    """(lang, size, phrase, f): occurrences, in a shard, of words and phrases that the filters hold, by what they say."""
+def _owned(found: DataFrame) -> DataFrame:
+    """(key): a hash of key and part together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in shards(batches, told=True, limit=limit):
-            at, keys = shard.words()
-            for length in range(1, longest + 1):
-                if length > 1:
-                    at, keys = shard.longer(at, keys, length - 1, good)
-                good = held(keys, (words if length == 1 else phrases).value)
-                _, first, n = np.unique(keys[good], return_index=True, return_counts=True)
-                places = at[good][first]
-                for lo in range(0, len(places), ROWS):
-                    said = [shard.phrase(i, length) for i in places[lo : lo + ROWS].tolist()]
-                    columns = [pa.array([shard.lang] * len(said), pa.string()), pa.array(np.full(len(said), length, np.int32)), pa.array(said, pa.string()), pa.array(n[lo : lo + ROWS])]
-                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "size", "phrase", "f"])
+        for batch in batches:
+            keys, part = batch.column("key").to_numpy().view(np.uint64), batch.column("part").to_numpy().astype(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(chain(keys, part)))], names=["key"])
+
+    return found.select("key", "part").mapInArrow(run, "key long")
+
+
+def tell(texts: DataFrame, filters: list[Broadcast], wanted: Broadcast, owned: bool, limit: int) -> DataFrame:
+    """(lang, key, phrase, heads, tails, inner): what phrases say, and the keys of their parts.
+
+    Of phrases whose parts pass ``filters``, those that ``wanted`` holds; by key and task if ``owned``, so that about one task tells each.
+    ``heads`` and ``tails`` are the two parts of each cut; ``inner`` all shorter phrases of 2 words or more.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, part = [f.value for f in filters], np.array([TaskContext.get().partitionId()], np.uint64)
+        for block in blocks(batches, limit, told=True):
+            for size, (at, keys) in enumerate(_climb(block, tables), 1):
+                if size > 1:
+                    keys, first = np.unique(keys, return_index=True)
+                    good = held(chain(keys, part) if owned else keys, wanted.value)
+                    keys, at = keys[good], at[first[good]]
+                    for lo in range(0, len(at), ROWS):
+                        yield _told(block, at[lo : lo + ROWS], keys[lo : lo + ROWS], size)
+
+    return texts.mapInArrow(released(run), "lang string, key long, phrase string, heads array<long>, tails array<long>, inner array<long>")
+
+
+def _told(block: Block, at: np.ndarray, keys: np.ndarray, size: int) -> pa.RecordBatch:
+    heads = [block.keys(at, k) for k in range(1, size)]
+    tails = [block.keys(at + k, size - k) for k in range(1, size)]
+    inner = [block.keys(at + k, m) for m in range(2, size) for k in range(size - m + 1)]
+
+    def lists(columns: list[np.ndarray]) -> pa.Array:
+        values = np.stack(columns, axis=1).ravel() if columns else np.zeros(0, np.uint64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * len(columns)), pa.array(_signed(values)))
 
-    return texts.mapInArrow(released(run), "lang string, size int, phrase string, f long")
+    said = [block.phrase(i, size) for i in at.tolist()]
+    columns = [pa.array([block.lang] * len(said), pa.string()), pa.array(_signed(keys)), pa.array(said, pa.string()), *map(lists, (heads, tails, inner))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "key", "phrase", "heads", "tails", "inner"])
 
 
-def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(lang, size, phrase, f) of all phrases of 1 to ``longest`` words that a language has ``support`` times, and (lang, n), its words.
+def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int = SHARDS, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All phrases that a language has ``support`` times, the counts of their parts, and its number of words.
 
+    (lang, key, phrase, a, heads, tails, inner) of phrases of 2 to ``longest`` words, (key, f) of these and of all words that are
+    there so often, and (lang, n). Keys are 64-bit hashes of language and words.
     Texts may be null or empty; a null lang is ``und``. Rows that repeat count as often.
     """
     texts = docs.select("text", F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
-    words = stage(word_counts(texts, shard_words).repartition("lang", "key").groupBy("lang", "key").agg(F.sum("n").alias("n")), "words")
+    words = stage(word_counts(texts, block_words).repartition("lang", "key").groupBy("lang", "key").agg(F.sum("n").alias("n")), "words")
     sizes = stage(words.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
-    totals = {r.lang: r.n for r in sizes.where(F.col("n") >= support).collect()}  # one row a language
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, -(-sum(totals.values()) // shard_words))
-    texts = texts.coalesce(tasks)  # larger shards ask for more
-    common = key_filter(words.where(F.col("n") >= support).select("key"))
-    # a shard's rows differ already: they are dealt out as they are, without a table of them in each task
-    candidates = stage(mine(texts, totals, common, support, longest, shard_words).repartition("key").distinct(), "candidates")
-    possible = key_filter(candidates)
-    found = stage(count(texts, possible, longest, shard_words).repartition("key").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= support).select("key"), "found")
-    possible.destroy()
-    certain = key_filter(found)
-    phrases = tell(texts, common, certain, longest, shard_words).groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
-    phrases = stage(phrases, "phrases")
-    common.destroy()
-    certain.destroy()
-    return phrases, sizes
-
-
-def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: int = SHARE, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    texts = texts.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-total // block_words)))
+    often = words.where(F.col("n") >= support).select("key", F.col("n").alias("f"))
+    filters = [key_filter(often)]
+    for _ in range(1, longest):
+        filters.append(key_filter(stage(mine(texts, filters, shards, -(-support // shards), block_words), "candidates")))
+    found = stage(count(texts, filters, block_words).where(F.col("n") >= support), "found")
+    owned = key_filter(_owned(found))
+    told = stage(tell(texts, filters[:-1], owned, True, block_words).join(found.select("key"), "key", "left_semi"), "told")
+    missing = stage(found.join(told.select("key"), "key", "left_anti").select("key"), "missing")
+    if not missing.isEmpty():  # tasks were cut in another way than before, as when files have moved
+        rest = key_filter(missing)
+        told = stage(told.unionByName(tell(texts, filters[:-1], rest, False, block_words).join(missing, "key", "left_semi")), "told")
+        rest.destroy()
+    for f in [*filters, owned]:
+        f.destroy()
+    one = told.groupBy("key").agg(F.min(F.struct("lang", "phrase", "heads", "tails", "inner")).alias("p"))
+    phrases = one.join(found.select("key", F.col("n").alias("a")), "key").select("key", "a", "p.*")
+    return stage(phrases, "phrases"), often.union(found.select("key", "n")), sizes
+
+
+def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, share: int = SHARE, top: int = TOP, shards: int = SHARDS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases by score, a, and phrase.
 
     A phrase of 2 to ``longest`` words with a >= ``support`` occurrences is scored by the weakest of its cuts in two:
@@ -280,16 +304,12 @@ def collocations(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST
     ``docs`` has text and lang (null: ``und``) and perhaps other columns. Null and empty texts have no words; rows that
     repeat count as often; no rows give none.
     """
-    phrases, sizes = frequent_phrases(docs, support, longest, shard_words)
-    known = phrases.select("lang", "phrase", "f")
-    split = phrases.where("size > 1").select("lang", "phrase", "size", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))
-    cuts = split.select("lang", "phrase", "a", "size", "w", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("cut"))
-    cuts = cuts.selectExpr("lang", "phrase", "a", "cut", "array_join(slice(w, 1, cut), ' ') AS head", "array_join(slice(w, cut + 1, size - cut), ' ') AS tail")
-    cuts = cuts.join(known.toDF("lang", "head", "l"), ["lang", "head"]).join(known.toDF("lang", "tail", "r"), ["lang", "tail"])
+    phrases, known, sizes = frequent_phrases(docs, support, longest, shards, block_words)
+    cuts = phrases.selectExpr("key", "a", "posexplode(arrays_zip(heads, tails)) AS (cut, c)").selectExpr("key", "a", "cut", "c.heads AS head", "c.tails AS tail")
+    cuts = cuts.join(known.toDF("head", "l"), "head").join(known.toDF("tail", "r"), "tail")
     weakest = F.min(F.expr("struct(CAST(2000000 * CAST(a AS DECIMAL(30, 0)) div (CAST(l AS DECIMAL(30, 0)) + r) AS LONG) AS score, cut, l, r)")).alias("m")
-    scored = cuts.groupBy("lang", "phrase", "a").agg(weakest).select("lang", "phrase", "a", "m.*")
-    inner = split.where("size > 2").selectExpr("lang", "a", "size", "w", "explode(sequence(2, size - 1)) AS part").selectExpr("lang", "a", "w", "part", "explode(sequence(1, size - part + 1)) AS at")
-    around = inner.selectExpr("lang", "array_join(slice(w, at, part), ' ') AS phrase", "a").groupBy("lang", "phrase").agg(F.max("a").alias("longer"))
-    left = scored.join(around, ["lang", "phrase"], "left").where(f"longer IS NULL OR 100 * CAST(longer AS DECIMAL(30, 0)) < {share} * CAST(a AS DECIMAL(30, 0))")
-    ranked = left.selectExpr("*", "row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank").where(F.col("rank") <= top)
+    scored = cuts.groupBy("key").agg(weakest).select("key", "m.*")
+    around = phrases.selectExpr("a", "explode(inner) AS key").groupBy("key").agg(F.max("a").alias("longer"))
+    left = phrases.select("key", "lang", "phrase", "a").join(around, "key", "left").where(f"longer IS NULL OR 100 * CAST(longer AS DECIMAL(30, 0)) < {share} * CAST(a AS DECIMAL(30, 0))")
+    ranked = left.join(scored, "key").selectExpr("*", "row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank").where(F.col("rank") <= top)
     return ranked.join(sizes, "lang").selectExpr("lang", "CAST(rank AS LONG) AS rank", "phrase", "a", "l", "r", "n", "score")

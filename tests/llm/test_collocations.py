@@ -57,11 +57,11 @@ def texts():
     return rows + [(None, "en"), ("", None), (" \t,;", "fr"), ("solo", "it"), ("go " * 500, "en"), ("Go go. " * 40, "xx"), ("Go go. " * 40, "xx")]
 
 
-@pytest.mark.parametrize(("shard_words", "support", "longest"), [(40, 6, 4), (700, 6, 4), (1 << 20, 6, 3), (100, 30, 2)])
-def test_against_all_counts(spark, texts, shard_words, support, longest):
-    """Many small shards, whose own support is 1, and few large ones give the same rows."""
+@pytest.mark.parametrize(("block_words", "shards", "support", "longest"), [(40, 100, 6, 4), (700, 3, 6, 4), (1 << 20, 1, 6, 3), (100, 8, 30, 2)])
+def test_against_all_counts(spark, texts, block_words, shards, support, longest):
+    """Many shards, whose own support is 1, and few, in small blocks and large ones, give the same rows."""
     frame = spark.createDataFrame(texts, ROWS).repartition(7)
-    got = rows_of(col.collocations(frame, support=support, longest=longest, shard_words=shard_words))
+    got = rows_of(col.collocations(frame, support=support, longest=longest, shards=shards, block_words=block_words))
     assert got == brute(texts, support, longest) and len(got) > 20
 
 
@@ -80,14 +80,12 @@ def test_clashing_columns_and_rows_without_words(spark, texts):
     assert rows_of(col.collocations(frame.where("text IS NULL OR text = ''"))) == []
 
 
-def test_local_support_holds_every_frequent_phrase():
-    """Whatever the shards, a phrase with the support is frequent enough in one of them."""
-    rng = np.random.default_rng(2)
-    for _ in range(200):
-        sizes = rng.integers(1, 50, rng.integers(1, 12))
-        total, support = int(sizes.sum()), int(rng.integers(2, 40))
-        least = [-(-support * int(s) // total) for s in sizes]
-        assert sum(x - 1 for x in least) < support
+def test_phrases_are_told_even_if_tasks_are_cut_anew(spark, texts, monkeypatch):
+    """Who tells a phrase is only a matter of time: with all owners wrong the rows are the same."""
+    frame = spark.createDataFrame(texts, ROWS).repartition(7)
+    count = col.count
+    monkeypatch.setattr(col, "count", lambda *a: count(*a).withColumn("part", F.col("part") + 1000))
+    assert rows_of(col.collocations(frame, support=6)) == brute(texts, 6)
 
 
 def test_filter_holds_its_keys(spark):
