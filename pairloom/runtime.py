@@ -3,6 +3,8 @@
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []  # folders that stage() has written, in order
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Staged tables that are made inside are deleted at the end, also after an error.
+
+    Write what is to last before; frames that were made inside can no longer be read.
+    """
+    before = len(_staged)
+    try:
+        yield
+    finally:
+        gone = _staged[before:]
+        del _staged[before:]
+        for folder in gone:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -36,6 +58,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     holds for cached or checkpointed rows.
     """
     path = new_folder(df.sparkSession, label)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -20,7 +20,7 @@ from test_images import png
 
 from pairloom.operators.slices import PathSettings
 from pairloom.plans import flows, schedule
-from pairloom.runtime import new_folder, shared_dir, stage
+from pairloom.runtime import new_folder, scratch, shared_dir, stage
 from pairloom.sources import archives
 from pairloom.sources import pair_files as pf
 from pairloom.sources.listing import list_tree, match_globs, whole_file
@@ -471,6 +471,23 @@ def test_shared_folder_comes_from_the_session(spark):
     assert staged.count() == 5 and shared_dir(spark) in staged.inputFiles()[0]
 
 
+def test_scratch_is_cleared(spark, root, tmp_path):
+    def folders():
+        return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).iterdir()}
+
+    rows, _ = scan(spark, root)
+    kept, before = stage(spark.range(3), "kept"), folders()
+    with scratch(spark):
+        flows.build(rows, tree_manifest(spark, root), str(tmp_path / "out"), root=str(root), samples_per_shard=10)
+        assert len(folders()) > len(before) + 2
+    assert {f.rpartition("-")[0] for f in folders() - before} <= {"report"}
+    assert kept.count() == 3 and read_tars(str(tmp_path / "out")) == expected_shards(10)
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        stage(spark.range(3), "lost")
+        1 / 0
+    assert not [f for f in folders() if f.startswith("lost-")]
+
+
 def test_settings_reach_the_audit(spark, tmp_path):
     paths = pa.array([[["a.png"]], [["old/b.png"]]])
     (tmp_path / "Parquet").mkdir()
