@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, StringStartsWith
 
 from pairloom.sources.listing import list_tree
-from pairloom.sources.tree_source import TreeReader, tree_files
+from pairloom.sources.tree_source import TASKS, TreeReader, tree_files
 
 FILES = ["top.txt", "a/one.tar", "a/b/two.tar", "a/b/c/d/three.tar", "a/bc/four.tar", "other/five.tar", "other/deep/er/six.tar"]
 
@@ -62,3 +62,19 @@ def test_filters_reach_the_source(spark, root):
     everything = tree_files(spark, root).rdd.getNumPartitions()
     some = tree_files(spark, root, ["other/"]).rdd.getNumPartitions()
     assert everything == 4 and some == 2
+
+
+def test_many_folders_share_tasks(spark, tmp_path):
+    """Neither tasks nor the folders opened for the plan grow with the tree."""
+    want = [f"top/d{i}/{name}" for i in range(2 * TASKS + 1) for name in ("a.png", "deep/b.png")]
+    for f in want:
+        (tmp_path / f).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / f).write_bytes(b"x")
+    reader = TreeReader({"path": str(tmp_path), "levels": "3"})
+    opened, list_one = [], reader._list
+    reader._list = lambda folder, recursive=False: opened.append(folder) or list_one(folder, recursive)
+    reader.pushFilters([StringStartsWith(("path",), "top/")])
+    parts = reader.partitions()
+    assert len(parts) == TASKS and opened == ["top"]
+    assert sorted(p for part in parts for batch in reader.read(part) for p in batch.column("path").to_pylist()) == sorted(want)
+    assert tree_files(spark, str(tmp_path), ["top/"], levels=3).count() == len(want)
