@@ -155,3 +155,17 @@ def test_reencoding_calls(monkeypatch):
     images.to_jpeg(b"x", 80, 0)
     assert calls == ["RGB", ("JPEG", 80)]
     assert "PIL" not in sys.modules
+
+
+def test_listing_tasks_do_not_grow_with_folders(spark, tmp_path):
+    for i in range(150):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}" / "x.png").write_bytes(b"no image")
+    before = spark.conf.get(images.LISTING)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    found = images.decode_folder(spark, str(tmp_path))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert found.count() == 150 and spark.conf.get(images.LISTING) == before

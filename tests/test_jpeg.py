@@ -4,6 +4,7 @@ import random
 import re
 import struct
 import tarfile
+import time
 
 import pytest
 
@@ -150,3 +151,38 @@ def test_members_of_archives_get_verdicts(spark, tmp_path):
     manifest = archives.archive_manifest(archives.index_archives(archives.list_archives(list_tree(spark, str(tmp_path))), str(tmp_path)))
     got = {r.path.rpartition("/")[2]: (r.valid, r.width, r.checked_by) for r in images.image_validity(manifest, str(tmp_path)).collect()}
     assert got == {"whole.jpg": (True, 40, "jpeg"), "progressive.jpg": (True, 41, "jpeg"), "cut.jpg": (False, None, "jpeg"), "torn.jpg": (False, None, "jpeg"), "text.jpg": (False, None, "unsupported")}
+
+
+def test_encoder_and_walk_take_time_in_proportion():
+    """Of a long text the encoder of the inputs took the square of its length."""
+
+    def seconds(n):
+        start = time.perf_counter()
+        data = inputs.gray_jpeg(8 * 400, 8 * (n // 400), bytes(range(256)))
+        return time.perf_counter() - start, data
+
+    seconds(4000)
+    short, long = (min((seconds(n) for _ in range(3)), key=lambda x: x[0]) for n in (20_000, 320_000))
+    assert long[0] < 50 * short[0]
+    assert jpeg.walk(long[1]) == (3200, 6400)
+
+
+@pytest.mark.parametrize("interval", [0, 7])
+def test_jumps_over_blocks_change_no_verdict(monkeypatch, interval):
+    whole = inputs.gray_jpeg(90, 70, bytes(range(0, 250, 7)), interval)
+    at = whole.index(b"\xff\xda") + 10
+    torn = [whole[:n] for n in range(at, len(whole))] + [whole[:n] + whole[-2:] for n in range(at, len(whole), 3)]
+    torn += [whole[:i] + bytes([whole[i] ^ 1 << b]) + whole[i + 1 :] for i in range(at, len(whole)) for b in (0, 5)]
+
+    def verdicts():
+        found = []
+        for data in [whole, *torn]:
+            try:
+                found.append(jpeg.walk(data))
+            except jpeg.Broken:
+                found.append(None)
+        return found
+
+    plain = verdicts()  # too few blocks for a table of jumps
+    monkeypatch.setattr(jpeg, "JUMP_BLOCKS", 1)
+    assert verdicts() == plain and plain[0] == (90, 70) and None in plain
