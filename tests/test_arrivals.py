@@ -3,10 +3,12 @@
 import random
 import tarfile
 
+import pandas as pd
 import pytest
 
 from pairloom.sources import archives
 from pairloom.sources.listing import list_tree
+from pairloom.streaming import arrivals
 from pairloom.streaming.arrivals import ingest_archives, landed_archives, whole_archives
 
 LISTED = [(f"d/{a}.tar.split.{i:0{w}d}", 10 + i) for a, n, w in (("one", 1, 1), ("five", 5, 3), ("late", 4, 2)) for i in range(n)]
@@ -69,3 +71,33 @@ def test_state_is_kept_by_archive(spark, tmp_path):
     arrive(spark, tmp_path / "in", LISTED[:1], 0)
     stream = spark.readStream.schema("path string, size long").option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     assert whole_archives(stream, listing).columns == ["archive", "idx", "path", "size"]
+
+
+def test_calls_to_the_store_do_not_grow_with_parts():
+    calls, kept = [], {}
+
+    class Value:
+        def exists(self):
+            calls.append("exists")
+            return "v" in kept
+
+        def get(self):
+            calls.append("get")
+            return kept["v"]
+
+        def update(self, value):
+            calls.append("update")
+            kept["v"] = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    processor = arrivals._gathered()
+    processor.init(Handle())
+    rows = pd.DataFrame({"idx": [str(i) for i in range(500)], "path": [f"p{i}" for i in range(500)], "size": range(500), "wanted": 500})
+    assert list(processor.handleInputRows(("a",), iter([rows[:300]]), None)) == []
+    (out,) = processor.handleInputRows(("a",), iter([rows[200:]]), None)
+    assert sorted(out.path) == sorted(rows.path) and sorted(out["size"]) == list(range(500))
+    assert list(processor.handleInputRows(("a",), iter([rows]), None)) == []
+    assert len(calls) <= 9
