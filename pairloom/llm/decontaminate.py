@@ -22,7 +22,6 @@ STEP = 32  # words; a passage is two steps long and passages overlap by one
 SLICE_WORDS = 100_000  # that are worked on at once
 RANK = 64
 OVERSAMPLE = 8
-SAMPLE_ROWS = 20_000  # documents whose passages fit the latent space; every passage of every document is searched
 ITEM_CHARS = 2_000_000  # characters of benchmark items that are held at once; more are worked off in blocks
 COSINE = 0.15
 COMMON = 0.6  # of an item's words must be a common subsequence
@@ -79,7 +78,7 @@ def blocks(items: DataFrame) -> Iterator[Items]:
 
 
 def as_terms(docs: DataFrame, items: Items) -> DataFrame:
-    """(doc_id, lot, terms), staged: the number of every word of every document, 0 for words that no item has."""
+    """(doc_id, terms), staged: the number of every word of every document, 0 for words that no item has."""
     shared = docs.sparkSession.sparkContext.broadcast(items.keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,11 +89,10 @@ def as_terms(docs: DataFrame, items: Items) -> DataFrame:
                 h = word_hashes(words)
                 at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 terms = np.where(keys[at] == h, at + 1, 0).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lot"), pa.ListArray.from_arrays(pa.array(words.first, pa.int32()), pa.array(terms))], names=["doc_id", "lot", "terms"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(words.first, pa.int32()), pa.array(terms))], names=["doc_id", "terms"])
 
-    lot = F.shiftrightunsigned(F.xxhash64("text", F.lit(19)), 11) / float(1 << 53)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).withColumn("lot", lot)
-    terms = stage(rows.mapInArrow(released(run), "doc_id long, lot double, terms array<int>"), "terms")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    terms = stage(rows.mapInArrow(released(run), "doc_id long, terms array<int>"), "terms")
     shared.destroy()
     return terms
 
@@ -190,16 +188,16 @@ def _summed(parts: DataFrame, shape: tuple[int, int]) -> np.ndarray:
     return out
 
 
-def latent_space(sample: DataFrame, idf: np.ndarray, items: Items, rank: int = RANK) -> np.ndarray:
+def latent_space(docs: DataFrame, idf: np.ndarray, items: Items, rank: int = RANK) -> np.ndarray:
     """Right singular vectors of the TF-IDF matrix of passages, columns by singular value, by a randomised range finder.
 
-    The rows are the sample's passages and the benchmark items, each of length 1. Two products with the
+    The rows are the passages of all documents and the benchmark items, each of length 1. Two products with the
     transposed and the plain matrix are spread over the cluster; the small factorisation is the driver's.
     """
     size, width = len(idf), min(rank + OVERSAMPLE, len(idf))
 
     def product(basis: np.ndarray) -> np.ndarray:
-        shared = sample.sparkSession.sparkContext.broadcast((basis.astype(np.float32), idf.astype(np.float32)))
+        shared = docs.sparkSession.sparkContext.broadcast((basis.astype(np.float32), idf.astype(np.float32)))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             basis, idf = shared.value
@@ -211,7 +209,7 @@ def latent_space(sample: DataFrame, idf: np.ndarray, items: Items, rank: int = R
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
 
         own = [np.concatenate([np.full(len(t), i) for i, t in enumerate(items.terms)]), np.concatenate(items.terms) - 1]
-        total = _summed(sample.select("terms").mapInArrow(released(run), "m binary"), (size, width))
+        total = _summed(docs.select("terms").mapInArrow(released(run), "m binary"), (size, width))
         shared.destroy()
         return total + gram(*own, len(items.terms), basis, idf)
 
@@ -352,8 +350,7 @@ def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
         terms = as_terms(docs, block)
         count, df = document_frequencies(terms, len(block.keys))
         idf = np.log((count + 1) / (df + 1)) + 0.01
-        rows = terms.where("size(terms) > 0").count()
-        space = latent_space(terms.where(F.col("lot") < min(1.0, SAMPLE_ROWS / max(1, rows))), idf, block)
+        space = latent_space(terms, idf, block)
         shared = docs.sparkSession.sparkContext.broadcast(Judge(block, idf, space))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

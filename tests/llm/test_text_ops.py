@@ -285,3 +285,12 @@ def test_hidden_elements_without_end_tags():
         assert text(f"one <{name}>gone</{name}> two <{name}> three") == "one two three"
     for name in sorted(html_tree.RAW):
         assert text(f"one <{name}> gone <p>gone") == "one"
+
+
+def test_latent_space_is_fitted_on_all_documents(spark, monkeypatch):
+    docs = spark.range(20_500).selectExpr("id AS doc_id", "concat('w', id % 50, ' w', id % 7, ' w', id) AS text")
+    items = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9")], "item_id long, text string")
+    seen, fit = [], decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda fitted, *more: seen.append(fitted.count()) or fit(fitted, *more))
+    decontaminate.matches(docs, items).count()
+    assert seen == [20_500]
