@@ -380,7 +380,7 @@ def _verdicts(spark: SparkSession, sf: str, failures: DataFrame | None = None) -
 @query
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     """Slices whose archives, those of the supplier and orders of their number, have gaps count as failed."""
-    splits = archives.check_split_parts(archives.split_parts(src.split_listing(spark, sf)))
+    splits = stage(archives.check_split_parts(archives.split_parts(src.split_listing(spark, sf))), "splits")  # used twice
     files = src.list_rows(spark, sf).select("file").distinct()
     numbered = files.selectExpr("file", "regexp_extract(file, '([0-9]+)[.]parquet$', 1) AS number").filter("number <> ''")
     owned = splits.selectExpr("concat(dir, base) AS archive", "base", "regexp_extract(dir, 's([0-9]+)/$', 1) AS number")
