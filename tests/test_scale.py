@@ -10,7 +10,7 @@ from pairloom.operators import resolve, skew
 from pairloom.operators.audit import audit_examples, audited_pairs
 from pairloom.operators.pairs import emit_pairs
 from pairloom.operators.slices import PathSettings, rewrite_pairs
-from pairloom.plans import inputs
+from pairloom.plans import inputs, registry
 
 
 def plan_of(df):
@@ -94,3 +94,8 @@ def test_numbering_never_windows_over_all_rows(spark, sf):
     plan = plan_of(entry.queries()["pair_index"](spark, sf))
     windows = [w for w in plan.splitlines() if re.search(r"\bWindow \[row_number", w)]
     assert windows and all("[file" in w and "block" in w for w in windows)
+
+
+def test_run_summary_checks_split_parts_once(spark, sf):
+    """Both uses of the checked parts read the staged table, not the lines again."""
+    assert not [f for f in registry.QUERIES["run_summary"](spark, sf).inputFiles() if "lineitem" in f]
