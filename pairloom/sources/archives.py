@@ -34,8 +34,10 @@ from pairloom.sources.files import SEGMENTS, SegmentReader, batches_of, join_pat
 SPLIT_NAME = r"r'[^/]\.tar\.split\.[0-9]+\z'"
 
 BLOCK = 512
-RANGES_PER_TASK = 4
 RANGE_BYTES = 256 << 20
+TASK_BYTES = 4 * RANGE_BYTES
+# What it takes to open a range, in bytes of headers and files walked over.
+OPENING = 2 << 20
 # Room before a range in which the headers of a long member name may start.
 LOOK_BACK = 64 << 10
 # Headers are read with some of what follows, so that small members need no request each.
@@ -238,8 +240,9 @@ def index_members(archives: DataFrame, root: str = "", range_bytes: int = RANGE_
         (F.col("range_no") * range_bytes).alias("lo"),
         F.least((F.col("range_no") + 1) * range_bytes, F.greatest("total", F.lit(1))).alias("hi"),
     )
-    # One range is a lot of reading behind a short row, so tasks are counted by ranges, not by size.
-    width = max(spark.sparkContext.defaultParallelism, ranges.count() // RANGES_PER_TASK)
+    # One range is reading behind a short row, so tasks are counted by the bytes of the ranges, however small these are.
+    work = ranges.agg(F.coalesce(F.sum(F.col("hi") - F.col("lo") + OPENING), F.lit(0))).first()[0]
+    width = max(spark.sparkContext.defaultParallelism, -(-work // TASK_BYTES))
     walked = stage(
         ranges.repartition(width, "archive", "range_no").mapInPandas(_index(root), MEMBER), "members"
     )

@@ -3,9 +3,11 @@
 import io
 import random
 import tarfile
+from pathlib import Path
 
 import pytest
 
+from pairloom.runtime import shared_dir
 from pairloom.sources import archives
 from pairloom.sources.listing import list_tree
 
@@ -153,3 +155,15 @@ def test_large_members_are_not_searched(spark, tmp_path, monkeypatch):
         found += [m.name for m, _ in archives._walk(f, lo, min(lo + (1 << 18), len(data)))]
     assert found == ["a.txt", "large.bin", "z.txt"]
     assert sum(read) <= 2 * len(data)
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """The tasks that walk headers follow the bytes, not the number of ranges."""
+    members = plain_members(3, 300)
+    (tmp_path / "a.tar").write_bytes(make_tar(members))
+    found = archives.list_archives(list_tree(spark, str(tmp_path)))
+    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("members-*"))
+    index = archives.index_members(found, str(tmp_path), range_bytes=4096)
+    (walked,) = set(Path(shared_dir(spark).removeprefix("file:")).glob("members-*")) - before
+    assert len(list(walked.glob("part-*.parquet"))) <= spark.sparkContext.defaultParallelism
+    assert sorted(r.member for r in index.collect()) == sorted(n for n, _ in members)
