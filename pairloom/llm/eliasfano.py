@@ -47,7 +47,8 @@ class EliasFano:
 
     def __init__(self, arrays: dict[str, np.ndarray], prefix: str):
         self.n, self.low_bits = (int(x) for x in arrays[prefix + "shape"])
-        self.high, self.zeros, self.low = (arrays[prefix + k] for k in ("high", "zeros", "low"))
+        self.high, self.zeros, low = (arrays[prefix + k] for k in ("high", "zeros", "low"))
+        self.low = np.ndarray(len(low) - 7, "<u8", low, strides=(1,))  # the eight bytes from each byte on
 
     @staticmethod
     def build(values: np.ndarray, prefix: str) -> dict[str, np.ndarray]:
@@ -62,7 +63,8 @@ class EliasFano:
         zeros = np.r_[0, np.cumsum(64 - np.bitwise_count(words).astype(np.int64))]
         low = np.zeros(0, dtype=np.uint8)
         if low_bits:
-            low = np.packbits(((values[:, None] >> np.arange(low_bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+            bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, count=low_bits, bitorder="little")
+            low = np.packbits(bits.ravel(), bitorder="little")
         return {prefix + "shape": np.array([n, low_bits], np.int64), prefix + "high": words, prefix + "zeros": zeros[:-1], prefix + "low": np.r_[low, np.zeros(9, np.uint8)]}
 
     def _before(self, high: np.ndarray) -> np.ndarray:
@@ -75,8 +77,7 @@ class EliasFano:
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         bit = i * self.low_bits
-        raw = self.low[(bit >> 3)[:, None] + np.arange(8)].view(np.uint64).ravel()
-        return (raw >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
+        return (self.low[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Position of each wanted number, or -1."""
@@ -86,10 +87,12 @@ class EliasFano:
         high = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
         lo, hi = self._before(high), self._before(high + 1)
         low, end = wanted & np.uint64((1 << self.low_bits) - 1), hi
-        while (open_ := lo < hi).any():  # successor search in the bucket: the first low part that is not smaller
-            mid = (lo + hi) >> 1
-            below = open_ & (self._low(np.minimum(mid, self.n - 1)) < low)
-            hi = np.where(open_ & ~below, mid, hi)
-            lo = np.where(below, mid + 1, lo)
+        hi, open_ = hi.copy(), np.flatnonzero(lo < hi)
+        while len(open_):  # successor search in the bucket: the first low part that is not smaller
+            mid = (lo[open_] + hi[open_]) >> 1
+            below = self._low(mid) < low[open_]
+            lo[open_[below]] = mid[below] + 1
+            hi[open_[~below]] = mid[~below]
+            open_ = open_[lo[open_] < hi[open_]]
         at = np.minimum(lo, self.n - 1)
         return np.where((lo < end) & (self._low(at) == low), at, -1)

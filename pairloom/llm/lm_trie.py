@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.eliasfano import EliasFano, from_blob, to_blob
 from pairloom.llm.words import Words, chain, chunks, mix
-from pairloom.runtime import stage
+from pairloom.runtime import stage_alone, staged_halves
 
 ORDER = 3
 BLOCK_BYTES = 4 << 20
@@ -69,6 +70,31 @@ def _places(order: np.ndarray) -> np.ndarray:
     return back
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct key, in the order of keys, and for every key its number in that order."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]][: len(keys)]
+    at = np.empty(len(keys), dtype=np.int64)
+    at[order] = np.cumsum(new) - 1
+    return order[new], at
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of nearly ``BLOCK_BYTES`` of text, whatever batches they come in; a longer text is one of its own."""
+    held, size = [], 0
+    for whole in batches:
+        for batch in chunks(whole, limit=BLOCK_BYTES >> 3):
+            more = pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
+            if held and size + more > BLOCK_BYTES:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(batch)
+            size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 def tokenize(docs: DataFrame, train: Column, shards: int) -> DataFrame:
     """Blocks of whole texts, in rows (block, shard, blob, ids).
 
@@ -79,22 +105,21 @@ def tokenize(docs: DataFrame, train: Column, shards: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for whole in batches:
-            for batch in chunks(whole, limit=BLOCK_BYTES):
-                words = Words(batch.column("text").to_pylist())
-                n = words.count + 1
-                keys = np.full(int(n.sum()), END, dtype=np.uint64)
-                keys[np.arange(len(words.starts)) + words.doc] = np.maximum(words.hashes(), np.uint64(2))
-                train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-                distinct, at = np.unique(keys, return_inverse=True)
-                times = np.bincount(at[np.repeat(train, n)], minlength=len(distinct))
-                order, cuts = _deal(mix(distinct) % np.uint64(shards), shards)
-                rows = [(-1, _crush(train.view(np.uint8), _least(n), _least(_places(order)[at])))]
-                rows += [(s, _crush(distinct[order[lo:hi]], _least(times[order[lo:hi]]))) for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
-                ids = [batch.column("id").to_pylist()] + [None] * (len(rows) - 1)
-                numbers, blobs = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary()), pa.array(ids, pa.list_(pa.int64()))], names=["block", "shard", "blob", "ids"])
-                block += 1
+        for batch in _together(batches):
+            words = Words(batch.column("text").to_pylist())
+            n = words.count + 1
+            keys = np.full(int(n.sum()), END, dtype=np.uint64)
+            keys[np.arange(len(words.starts)) + words.doc] = np.maximum(words.hashes(), np.uint64(2))
+            train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+            distinct, at = np.unique(keys, return_inverse=True)
+            times = np.bincount(at[np.repeat(train, n)], minlength=len(distinct))
+            order, cuts = _deal(mix(distinct) % np.uint64(shards), shards)
+            rows = [(-1, _crush(train.view(np.uint8), _least(n), _least(_places(order)[at])))]
+            rows += [(s, _crush(distinct[order[lo:hi]], _least(times[order[lo:hi]]))) for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
+            ids = [batch.column("id").to_pylist()] + [None] * (len(rows) - 1)
+            numbers, blobs = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary()), pa.array(ids, pa.list_(pa.int64()))], names=["block", "shard", "blob", "ids"])
+            block += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"), train.alias("train"))
     return rows.mapInArrow(run, f"{ROWS}, ids array<long>")
@@ -124,6 +149,15 @@ def _serve_words(shards: int):
     return run
 
 
+def _halves(contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts as steps of their upper halves, which are mostly small, and their lower halves."""
+    return np.diff(contexts >> np.uint64(32), prepend=np.uint64(0)).astype(np.uint32), _least(contexts & np.uint64(0xFFFFFFFF))
+
+
+def _whole(steps: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint32).astype(np.uint64) << np.uint64(32) | lower.astype(np.uint64)
+
+
 class Block:
     """A block's tokens in order: word, c (0 for unknown words), doc, place in the text, p (log10 so far), and context."""
 
@@ -135,17 +169,17 @@ class Block:
         self.place = np.arange(len(self.at)) - (np.cumsum(self.n) - self.n)[self.doc]
         self.training = np.repeat(self.train, self.n)
 
-    def take(self, answers: dict[int, bytes]) -> None:
-        """Go on to the next order with the shards' answers."""
+    def take(self, answers: dict[int, bytes], last: bool = False) -> None:
+        """Go on to the next order with the shards' answers; after the last there is none."""
         self.order += 1
         parts = [_uncrush(answers[s]) for s in sorted(answers)]
         if self.order == 1:
             word, c = (np.concatenate([p[k] for p in parts]).astype(t)[self.at] for k, t in ((0, np.uint64), (1, np.int64)))
             self.word, self.c = word, c
             self.p = self.base = np.log10((c + 0.5) / (self.total + 0.5 * (self.types + 1)))
-            last = (np.cumsum(self.n) - 1)[self.doc]  # the end's number also opens a text
-            self.context = np.where(self.place > 0, np.roll(word, 1), word[last])
-            self.context_n = np.where(self.place > 0, np.roll(c, 1), c[last])
+            ends = (np.cumsum(self.n) - 1)[self.doc]  # the end's number also opens a text
+            self.context = np.where(self.place > 0, np.roll(word, 1), word[ends])
+            self.context_n = np.where(self.place > 0, np.roll(c, 1), c[ends])
             self.rank = self.context.astype(np.int64)  # a number of the context below 2 ** 31 or so, in this block
         else:
             n, q, hit = np.zeros(len(self.at), dtype=np.int64), np.zeros(len(self.at)), self.at >= 0
@@ -155,16 +189,19 @@ class Block:
             prior = PRIOR[self.order]
             backed = self.p + np.log10(prior / (self.context_n + prior))
             self.p = np.where(n > 0, q, np.where(self.context_n > 0, backed, self.p))
+            if last:
+                return
             self.context = (np.roll(self.context, 1) << np.uint64(32)) | np.roll(self.word, 1)
             self.context_n = np.where(self.place > 0, np.roll(n, 1), 0)
             self.rank = np.roll(self.at, 1)
-        self._ask()
+        if not last:
+            self._ask()
 
     def _ask(self) -> None:
         """Distinct n-grams of known words in seen contexts, by shard, context and word; ``at`` is each token's place among them."""
         ask = np.flatnonzero((self.word > 0) & (self.context_n > 0))
-        keys, first, at = np.unique((self.rank[ask].astype(np.uint64) << np.uint64(32)) | self.word[ask], return_index=True, return_inverse=True)
-        self.times = np.bincount(at[self.training[ask]], minlength=len(keys))
+        first, at = _distinct((self.rank[ask].astype(np.uint64) << np.uint64(32)) | self.word[ask])
+        self.times = np.bincount(at[self.training[ask]], minlength=len(first))
         self.one = ask[first]
         context, word = self.context[self.one], self.word[self.one]
         hot = self.context_n[self.one] > HOT
@@ -173,6 +210,11 @@ class Block:
         self.at[ask] = _places(self.deal)[at]
 
     def requests(self) -> Iterator[tuple[int, bytes]]:
+        """A shard's n-grams: contexts, their successors' numbers, words, occurrences; and what it can't tell from those.
+
+        It adds up the occurrences of a context itself unless the successors are dealt over all shards. What the shorter
+        context gives a word is sent for n-grams of training texts only.
+        """
         low = np.round(-self.p[self.one] * 1024).astype(np.uint16)
         for s, (lo, hi) in enumerate(zip(self.cuts[:-1], self.cuts[1:], strict=True)):
             if lo < hi:
@@ -180,7 +222,9 @@ class Block:
                 one = self.one[part]
                 context = self.context[one]
                 runs = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-                yield s, _crush(context[runs], _least(np.diff(np.r_[runs, len(one)])), _least(self.context_n[one[runs]]), _least(self.word[one]), _least(self.times[part]), low[part])
+                context_n, times = self.context_n[one[runs]], self.times[part]
+                hot = np.flatnonzero(context_n > HOT)
+                yield s, _crush(*_halves(context[runs]), _least(np.diff(np.r_[runs, len(one)])), _least(self.word[one]), _least(times), low[part][times > 0], _least(hot), _least(context_n[hot]))
 
 
 def build_trie(context: np.ndarray, word: np.ndarray, times: np.ndarray, context_n: np.ndarray, low: np.ndarray, prior: float) -> bytes:
@@ -196,7 +240,7 @@ def build_trie(context: np.ndarray, word: np.ndarray, times: np.ndarray, context
     code = np.searchsorted(edges, p)
     book = np.bincount(code, p, minlength=len(edges) + 1) / np.maximum(1, np.bincount(code, minlength=len(edges) + 1))
     levels = EliasFano.build(context[heads], "context.") | EliasFano.build(owner.astype(np.uint64) * np.uint64(span) + word, "next.")
-    return to_blob(levels | {"span": np.array([span], np.uint64), "book": book.astype(np.float32), "code": code.astype(np.uint8), "seen": np.minimum(times, 2**32 - 1).astype(np.uint32)})
+    return to_blob(levels | {"span": np.array([span], np.uint64), "book": book.astype(np.float32), "code": code.astype(np.uint8), "seen": _least(np.minimum(times, 2**32 - 1))})
 
 
 class Trie:
@@ -214,37 +258,76 @@ class Trie:
         return found
 
 
-def _serve(order: int):
-    """For one shard: build its trie from all requests, map it, and answer each block. The trie itself is the row of block -1."""
+AT_ONCE = 1 << 20  # n-grams looked up together
+
+
+def _groups(sizes: list[int]) -> Iterator[slice]:
+    """Neighbours with about ``AT_ONCE`` together."""
+    lo, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > lo and total + size > AT_ONCE:
+            yield slice(lo, i)
+            lo, total = i, 0
+        total += size
+    if lo < len(sizes):
+        yield slice(lo, len(sizes))
+
+
+def _gather(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
+    """The distinct n-grams of training texts in all requests, sorted: context, word, occurrences, those of the context, and ``low``."""
+    parts: list[list] = [[] for _ in range(6)]
+    for blob in blobs:
+        steps, lower, lengths, word, times, low, hot, hot_n = _uncrush(blob)
+        contexts, seen = _whole(steps, lower), times > 0
+        for part, a in zip(parts, (np.repeat(contexts, lengths)[seen], word[seen].astype(np.uint32), times[seen].astype(np.uint32), low, contexts[hot], hot_n.astype(np.int64)), strict=True):
+            part.append(a)
+    context, word, times, low, hot, hot_n = (np.concatenate(p) for p in parts)
+    by = np.argsort(context)
+    context = context[by]
+    number = np.cumsum(np.r_[False, context[1:] != context[:-1]][: len(by)]).astype(np.uint64)
+    by = by[np.argsort(number << np.uint64(32) | word[by])]  # contexts keep their places
+    word = word[by]
+    heads = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])][: len(by)])
+    context, word, low = context[heads], word[heads].astype(np.uint64), low[by][heads].astype(np.int64)
+    times = np.add.reduceat(times[by].astype(np.int64), heads) if len(heads) else np.zeros(0, dtype=np.int64)
+    own = number[heads].astype(np.int64)
+    context_n = np.bincount(own, times).astype(np.int64)[own]
+    if len(hot):
+        known, first = np.unique(hot, return_index=True)
+        at = np.minimum(np.searchsorted(known, context), len(known) - 1)
+        context_n = np.where(known[at] == context, hot_n[first][at], context_n)
+    return context, word, times, context_n, low
+
+
+def _serve(order: int, last: bool, keep: bool):
+    """For one shard: build its trie from all requests, map it, and answer each block. The trie itself, if kept, is the row of block -1.
+
+    An answer has the code of each n-gram, how often it was seen (of the last order, whether), and what the codes mean.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         blocks, blobs = table.column("block").to_pylist(), table.column("blob").to_pylist()
-        parts: list[list] = [[] for _ in range(5)]
-        for blob in blobs:
-            contexts, lengths, context_n, word, times, low = _uncrush(blob)
-            seen, each = times > 0, lengths.astype(np.int64)
-            for part, a in zip(parts, (np.repeat(contexts, each), word.astype(np.uint32), times.astype(np.uint32), np.repeat(context_n, each), low), strict=True):
-                part.append(a[seen])
-        context, word, times, context_n, low = (np.concatenate(p) for p in parts)
-        by = np.lexsort((word, context))
-        context, word = context[by], word[by]
-        heads = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (word[1:] != word[:-1])][: len(by)])
-        total = np.add.reduceat(times[by].astype(np.int64), heads) if len(heads) else times
-        trie = build_trie(context[heads], word[heads].astype(np.uint64), total, context_n[by][heads].astype(np.int64), low[by][heads].astype(np.int64), PRIOR[order])
-        out = [(-1, trie)]
+        trie = build_trie(*_gather(blobs), PRIOR[order])
+        out = [(-1, trie)] if keep else []
         with tempfile.TemporaryFile() as file:
             file.write(trie)
             file.flush()
             with mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) as mapped:
                 own = Trie(mapped)
                 code, seen, book = (own.arrays[k] for k in ("code", "seen", "book"))
-                for block, blob in zip(blocks, blobs, strict=True):
-                    contexts, lengths, _, word, _, _ = _uncrush(blob)
-                    at = own.find(contexts, lengths, word)
+                for some in _groups([len(b) for b in blobs]):
+                    asked = [_uncrush(b)[:4] for b in blobs[some]]
+                    steps, lower, lengths, word = zip(*asked, strict=True)
+                    contexts = np.concatenate([_whole(*a) for a in zip(steps, lower, strict=True)])
+                    at = own.find(contexts, np.concatenate(lengths), np.concatenate(word))
                     hit = at >= 0
                     answer = (np.zeros(len(at), np.uint8), np.zeros(len(at), np.uint32))
                     answer[0][hit], answer[1][hit] = code[at[hit]], seen[at[hit]]
-                    out.append((block, _crush(answer[0], _least(answer[1]), book)))
+                    if last:
+                        answer = answer[0], hit.view(np.uint8)
+                    cuts = np.cumsum([0, *map(len, word)])
+                    for block, lo, hi in zip(blocks[some], cuts[:-1], cuts[1:], strict=True):
+                        out.append((block, _crush(answer[0][lo:hi], _least(answer[1][lo:hi]), book)))
                 del own, code, seen, book
         return _table(table.column("shard")[0].as_py(), out)
 
@@ -264,7 +347,7 @@ def _advance(blocks: DataFrame, answers: list[DataFrame], shards: int, total: in
         for own in left.to_pylist():
             block = Block(own["blob"], shards, total, types)
             for order in orders:
-                block.take({s: b for o, s, b in rows if o == order})
+                block.take({s: b for o, s, b in rows if o == order}, last and order == orders[-1])
             if not last:
                 out += [(own["block"], s, b) for s, b in block.requests()]
                 continue
@@ -281,27 +364,27 @@ def _advance(blocks: DataFrame, answers: list[DataFrame], shards: int, total: in
     return blocks.groupBy("block").cogroup(got.where("block >= 0").groupBy("block")).applyInArrow(run, kind)
 
 
-def score(docs: DataFrame, train: Column, order: int = ORDER) -> tuple[DataFrame, list[DataFrame]]:
+def score(docs: DataFrame, train: Column, order: int = ORDER, keep_model: bool = True) -> tuple[DataFrame, list[DataFrame]]:
     """Scores of all documents by a model of those where ``train`` holds, and the model.
 
     Columns: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     (log10 of the text's probability). The model is, for each order from 2, a table
-    (shard, trie) in the shared folder. Orders are 2 or 3. Null and empty texts have
+    (shard, trie) in the shared folder; without ``keep_model`` tries go when their shard has answered. Orders are 2 or 3. Null and empty texts have
     one token, the end. Repeated rows are scored, and counted, each. Without training
     texts all words are unknown. No rows give no rows. Word numbers must stay below 2 ** 32.
     """
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, -(-chars // SHARD_CHARS))
-    tokens = stage(tokenize(docs, train, shards), "tokens")
-    blocks = tokens.where("shard = -1")
-    served = stage(tokens.where("shard >= 0").select("block", "shard", "blob").groupBy("shard").applyInArrow(_serve_words(shards), ROWS), "words")
+    with staged_halves(tokenize(docs, train, shards), "tokens", F.col("shard") == -1) as (blocks, asked):
+        served = stage_alone(asked.select("block", "shard", "blob").groupBy("shard").applyInArrow(_serve_words(shards), ROWS), "words")
     answers, model = [served], []
     sums = [_uncrush(r.blob)[0] for r in served.where("block = -1").select("blob").collect()]  # two numbers a shard
     total, types = (int(sum(x[k] for x in sums)) for k in (0, 1))
     for k in range(2, order + 1):
         asked = _advance(blocks, answers, shards, total, types, False)
-        served = stage(asked.groupBy("shard").applyInArrow(_serve(k), ROWS), "answers")
+        served = stage_alone(asked.groupBy("shard").applyInArrow(_serve(k, k == order, keep_model), ROWS), "answers")
         answers.append(served)
-        model.append(served.where("block = -1").select("shard", F.col("blob").alias("trie")))
+        if keep_model:
+            model.append(served.where("block = -1").select("shard", F.col("blob").alias("trie")))
     scored = _advance(blocks, answers, shards, total, types, True)
     return scored.withColumn("train_tokens", F.lit(total).cast("long")), model

@@ -4,15 +4,18 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pairloom.llm import eliasfano, graph, hamming, jaccard, lm_trie, packing, queries, resharding
+from pairloom.runtime import shared_dir
 
 DOCS = "doc_id long, text string"
 
@@ -93,6 +96,41 @@ def test_language_model_edges(spark):
     assert all(r.score == r.base_score for r in unseen)
 
 
+def test_language_model_leaves_little_on_disk(spark, documents):
+    """Requests for words go once they are answered, tries that nobody asked for are not stored, and blocks span the batches of a task."""
+    before = set(Path(shared_dir(spark).removeprefix("file:")).iterdir())
+    docs = documents.coalesce(1)
+    kept, model = lm_trie.score(docs, queries.fold(5) != 1, keep_model=False)
+    folders = {p.name.split("-")[0]: p for p in set(Path(shared_dir(spark).removeprefix("file:")).iterdir()) - before}
+    assert model == [] and [p.name for p in folders["tokens"].iterdir() if p.is_dir()] == ["kept=true"]
+    assert spark.read.parquet(str(folders["answers"])).where("block < 0").count() == 0
+    rows = spark.read.schema(lm_trie.ROWS).parquet(str(folders["tokens"]))
+    chars = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert rows.count() <= 1 + 2 * chars // lm_trie.BLOCK_BYTES
+    same = lm_trie.score(docs, queries.fold(5) != 1)[0]
+    assert kept.exceptAll(same).isEmpty() and kept.count() == same.count()
+
+
+def test_blocks_span_batches():
+    batches = [pa.record_batch({"text": pa.array([t], pa.string())}) for t in ["a" * 1000, None, "b" * 500, "c" * (5 << 20), "d"]]
+    assert [b.num_rows for b in lm_trie._together(iter(batches))] == [3, 1, 1]
+
+
+def test_requests_tell_contexts_apart(monkeypatch):
+    """Of contexts beyond ``HOT`` the occurrences are sent, of the others they are the sum over all blocks."""
+    monkeypatch.setattr(lm_trie, "HOT", 2)
+    words = np.array([5, 6, 5, 6, 5, 7, 9], dtype=np.uint64)  # numbers of the words; the last ends the text
+    counts = np.array([3, 2, 3, 2, 3, 1, 1])
+    blobs = []
+    for train in (1, 0):
+        block = lm_trie.Block(lm_trie._crush(np.array([train], np.uint8), np.array([7], np.uint8), np.arange(7, dtype=np.uint8)), 1, 7, 4)
+        block.take({0: lm_trie._crush(words, counts)})
+        blobs += [b for _, b in block.requests()]
+    context, word, times, context_n, low = lm_trie._gather(blobs)
+    assert list(zip(context.tolist(), word.tolist(), times.tolist(), context_n.tolist())) == [(5, 6, 2, 3), (5, 7, 1, 3), (6, 5, 2, 2), (7, 9, 1, 1), (9, 5, 1, 1)]
+    assert len(low) == 5
+
+
 def brute_components(rows, size=4, percent=85):
     sets = {}
     for d, t in rows:
