@@ -27,7 +27,7 @@ LONGEST = 4
 SHARE = 80  # per cent of its occurrences that a phrase may have inside a longer candidate
 TOP = 2000
 SHARDS = 8
-BLOCK_WORDS = 8 << 20  # words that a task holds and sums up at a time
+BLOCK_WORDS = 8 << 20  # words of a task, and keys that it holds and sums up at a time
 FILTER_BITS = 27  # at most 16 MB a filter
 BITS_A_KEY = 32
 ROWS = 100_000
@@ -53,48 +53,29 @@ class Pieces(Words):
 
 
 class Block:
-    """Words of one language that a task holds. Texts are kept only if their words must be told."""
+    """Words of some texts of one language. A phrase's hash begins with its language's."""
 
-    def __init__(self, lang: str, told: bool):
-        self.lang, self.told, self.size = lang, told, 0
-        self.parts: list[tuple] = []
-
-    def add(self, texts: list) -> None:
+    def __init__(self, lang: str, texts: list):
         p = Pieces(texts)
-        self.size += len(p.starts)
-        place = (p.bytes, p.starts.astype(np.int32), p.ends.astype(np.int32)) if self.told else None
-        self.parts.append((p.hashes(), p.joined, place))
-
-    def close(self) -> None:
-        """Joins the parts; a phrase's hash begins with its language's."""
-        self.places = [p[2] for p in self.parts]
-        self.first = np.cumsum([0, *(len(p[0]) for p in self.parts)])
-        self.hashes, self.joined = np.empty(self.size, np.uint64), np.empty(self.size, bool)
-        for at in reversed(range(len(self.parts))):  # so that what is copied is free at once
-            hashes, joined, _ = self.parts.pop()
-            self.hashes[self.first[at] : self.first[at + 1]] = hashes
-            self.joined[self.first[at] : self.first[at + 1]] = joined
-        salt = np.frombuffer(self.lang.encode() + b"\0" * (-len(self.lang.encode()) % 8), np.uint64)
-        self.salt = np.array([len(self.lang) + 1], np.uint64)
+        self.lang, self.size = lang, len(p.starts)
+        self.bytes, self.starts, self.ends = p.bytes, p.starts, p.ends
+        self.hashes, self.joined = p.hashes(), p.joined
+        salt = np.frombuffer(lang.encode() + b"\0" * (-len(lang.encode()) % 8), np.uint64)
+        self.salt = np.array([len(lang) + 1], np.uint64)
         for x in salt:
             self.salt = chain(self.salt, x)
 
     def words(self) -> tuple[np.ndarray, np.ndarray]:
         """Places and keys of all words."""
-        keys = np.empty(self.size, np.uint64)
-        for lo in range(0, self.size, ROWS):
-            keys[lo : lo + ROWS] = chain(self.salt, self.hashes[lo : lo + ROWS])
-        return np.arange(self.size, dtype=np.int32), keys
+        return np.arange(self.size, dtype=np.int32), chain(self.salt, self.hashes)
 
     def longer(self, at: np.ndarray, keys: np.ndarray, length: int, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and keys of phrases one word longer than ``length``, where the phrase at ``at`` and the one after it are both ``held``."""
         good = np.zeros(self.size + 1, bool)
         good[at[held]] = True
-        some = np.flatnonzero(held & good[at + 1] & self.joined[at + (length - 1)]).astype(np.int32)
-        at, out = at[some], np.empty(len(some), np.uint64)
-        for lo in range(0, len(some), ROWS):
-            out[lo : lo + ROWS] = chain(keys[some[lo : lo + ROWS]], self.hashes[at[lo : lo + ROWS] + length])
-        return at, out
+        some = held & good[at + 1] & self.joined[at + (length - 1)]
+        at = at[some]
+        return at, chain(keys[some], self.hashes[at + length])
 
     def keys(self, at: np.ndarray, length: int) -> np.ndarray:
         """Keys of the phrases of ``length`` words at these places."""
@@ -104,30 +85,16 @@ class Block:
         return out
 
     def phrase(self, at: int, length: int) -> str:
-        part = int(np.searchsorted(self.first, at, side="right")) - 1
-        data, starts, ends = self.places[part]
-        at -= int(self.first[part])
-        return b" ".join(data[starts[i] : ends[i]] for i in range(at, at + length)).decode()
+        return b" ".join(self.bytes[self.starts[i] : self.ends[i]] for i in range(at, at + length)).decode()
 
 
-def blocks(batches: Iterator[pa.RecordBatch], limit: int, told: bool = False) -> Iterator[Block]:
-    """A task's rows (text, lang) in blocks of about ``limit`` words over all languages; a longer text is in one."""
-    held: dict[str, Block] = {}
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """A task's rows (text, lang) in blocks of one language and a chunk of text; phrases end with their texts, so a block needs no other."""
     for batch in batches:
         langs = batch.column("lang")
         for lang in pc.unique(langs).to_pylist():
             for part in chunks(batch.filter(pc.equal(langs, lang))):
-                held.setdefault(lang, Block(lang, told)).add(part.column("text").to_pylist())
-                if sum(s.size for s in held.values()) >= limit:
-                    yield from _closed(held)
-    yield from _closed(held)
-
-
-def _closed(held: dict[str, Block]) -> Iterator[Block]:
-    while held:
-        block = held.pop(next(iter(held)))
-        block.close()
-        yield block
+                yield Block(lang, part.column("text").to_pylist())
 
 
 def key_filter(keys: DataFrame) -> Broadcast:
@@ -160,18 +127,47 @@ def _signed(keys: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _counted(keys: np.ndarray, **more: int) -> Iterator[pa.RecordBatch]:
-    found, n = np.unique(keys, return_counts=True)
-    yield from _rows(key=_signed(found), n=n, **{name: np.full(len(found), value, np.int32) for name, value in more.items()})
+def _counted(parts: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct keys and how often they are in the parts, which are used up, ``ROWS`` at a time."""
+    keys = np.empty(sum(map(len, parts)), np.uint64)
+    end = len(keys)
+    while parts:  # so that what is copied is free at once
+        part = parts.pop()
+        keys[end - len(part) : end] = part
+        end -= len(part)
+    keys.sort()
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    for lo in range(0, len(first), ROWS):
+        some = first[lo : lo + ROWS + 1]
+        yield keys[some[:ROWS]], np.diff(some if len(some) > ROWS else np.r_[some, len(keys)])
+
+
+def tallied(parts: Iterator[tuple[str, np.ndarray]], limit: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """Label, keys and their sums, whenever about ``limit`` keys over all labels have come. Nothing but keys is held."""
+    held: dict[str, list] = {}
+    size = 0
+    for label, keys in parts:
+        held.setdefault(label, []).append(keys)
+        size += len(keys)
+        if size >= limit:
+            yield from _sums(held)
+            size = 0
+    yield from _sums(held)
+
+
+def _sums(held: dict[str, list]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    while held:
+        label, parts = held.popitem()
+        for keys, n in _counted(parts):
+            yield label, keys, n
 
 
 def word_counts(texts: DataFrame, limit: int) -> DataFrame:
-    """(lang, key, n): occurrences of each word in a block."""
+    """(lang, key, n): occurrences of each word in about ``limit`` words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, limit):
-            for rows in _counted(block.words()[1]):
-                yield pa.RecordBatch.from_arrays([pa.array([block.lang] * rows.num_rows, pa.string()), *rows.columns], names=["lang", "key", "n"])
+        for lang, keys, n in tallied(((b.lang, b.words()[1]) for b in blocks(batches)), limit):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(_signed(keys)), pa.array(n)], names=["lang", "key", "n"])
 
     return texts.mapInArrow(released(run), "lang string, key long, n long")
 
@@ -185,20 +181,24 @@ def _climb(block: Block, filters: list[np.ndarray]) -> Iterator[tuple[np.ndarray
         yield at, keys
 
 
+def _last(steps: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    for _, keys in steps:
+        pass
+    return keys
+
+
 def mine(texts: DataFrame, filters: list[Broadcast], shards: int, least: int, limit: int) -> DataFrame:
     """(key) of the phrases, one word longer than there are filters, that a shard has ``least`` times.
 
-    A shard is every ``shards``-th task's rows; its sums are put together from its blocks.
+    A shard is every ``shards``-th task's rows; its sums are put together from those of its tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() % shards
-        for block in blocks(batches, limit):
-            for _, keys in _climb(block, [f.value for f in filters]):
-                pass
-            yield from _counted(keys, shard=shard)
+        shard, tables = TaskContext.get().partitionId() % shards, [f.value for f in filters]
+        for _, keys, n in tallied((("", _last(_climb(b, tables))) for b in blocks(batches)), limit):
+            yield from _rows(key=_signed(keys), n=n, shard=np.full(len(keys), shard, np.int32))
 
-    # a block's rows differ already: they are dealt out as they are, without a table of them in each task
+    # a task's sums differ already: they are dealt out as they are, without a table of them in each task
     sums = texts.mapInArrow(released(run), "key long, n long, shard int").repartition("key").groupBy("key", "shard").agg(F.sum("n").alias("n"))
     return sums.where(F.col("n") >= least).select("key").distinct()
 
@@ -208,10 +208,9 @@ def count(texts: DataFrame, filters: list[Broadcast], limit: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, part = [f.value for f in filters], TaskContext.get().partitionId()
-        for block in blocks(batches, limit):
-            for (_, keys), table in zip(_climb(block, tables[:-1]), tables, strict=True):
-                if table is not tables[0]:
-                    yield from _counted(keys[held(keys, table)], part=part)
+        found = (("", keys[held(keys, t)]) for b in blocks(batches) for (_, keys), t in zip(_climb(b, tables[:-1]), tables, strict=True) if t is not tables[0])
+        for _, keys, n in tallied(found, limit):
+            yield from _rows(key=_signed(keys), n=n, part=np.full(len(keys), part, np.int32))
 
     sums = texts.mapInArrow(released(run), "key long, n long, part int").repartition("key")
     return sums.groupBy("key").agg(F.sum("n").alias("n"), F.min("part").alias("part"))
@@ -228,7 +227,7 @@ def _owned(found: DataFrame) -> DataFrame:
     return found.select("key", "part").mapInArrow(run, "key long")
 
 
-def tell(texts: DataFrame, filters: list[Broadcast], wanted: Broadcast, owned: bool, limit: int) -> DataFrame:
+def tell(texts: DataFrame, filters: list[Broadcast], wanted: Broadcast, owned: bool) -> DataFrame:
     """(lang, key, phrase, heads, tails, inner): what phrases say, and the keys of their parts.
 
     Of phrases whose parts pass ``filters``, those that ``wanted`` holds; by key and task if ``owned``, so that about one task tells each.
@@ -237,12 +236,17 @@ def tell(texts: DataFrame, filters: list[Broadcast], wanted: Broadcast, owned: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, part = [f.value for f in filters], np.array([TaskContext.get().partitionId()], np.uint64)
-        for block in blocks(batches, limit, told=True):
+        done = np.zeros(0, np.uint64)  # keys of what this task has told, in order
+        for block in blocks(batches):
             for size, (at, keys) in enumerate(_climb(block, tables), 1):
                 if size > 1:
-                    keys, first = np.unique(keys, return_index=True)
                     good = held(chain(keys, part) if owned else keys, wanted.value)
-                    keys, at = keys[good], at[first[good]]
+                    keys, first = np.unique(keys[good], return_index=True)
+                    place, new = np.searchsorted(done, keys), np.ones(len(keys), bool)
+                    inside = place < len(done)
+                    new[inside] = done[place[inside]] != keys[inside]
+                    done = np.insert(done, place[new], keys[new])
+                    keys, at = keys[new], at[good][first[new]]
                     for lo in range(0, len(at), ROWS):
                         yield _told(block, at[lo : lo + ROWS], keys[lo : lo + ROWS], size)
 
@@ -281,11 +285,11 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
         filters.append(key_filter(stage(mine(texts, filters, shards, -(-support // shards), block_words), "candidates")))
     found = stage(count(texts, filters, block_words).where(F.col("n") >= support), "found")
     owned = key_filter(_owned(found))
-    told = stage(tell(texts, filters[:-1], owned, True, block_words).join(found.select("key"), "key", "left_semi"), "told")
+    told = stage(tell(texts, filters[:-1], owned, True).join(found.select("key"), "key", "left_semi"), "told")
     missing = stage(found.join(told.select("key"), "key", "left_anti").select("key"), "missing")
     if not missing.isEmpty():  # tasks were cut in another way than before, as when files have moved
         rest = key_filter(missing)
-        told = stage(told.unionByName(tell(texts, filters[:-1], rest, False, block_words).join(missing, "key", "left_semi")), "told")
+        told = stage(told.unionByName(tell(texts, filters[:-1], rest, False).join(missing, "key", "left_semi")), "told")
         rest.destroy()
     for f in [*filters, owned]:
         f.destroy()

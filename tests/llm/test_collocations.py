@@ -1,9 +1,12 @@
 """Collocations against counts of all phrases."""
 
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +97,31 @@ def test_filter_holds_its_keys(spark):
     assert col.held(keys.view(np.uint64), table).all()
     others = np.random.default_rng(2).integers(0, 1 << 63, 20_000).astype(np.uint64)
     assert col.held(others, table).mean() < 0.06
+
+
+class Task:
+    """Stands for a frame: keeps the task function."""
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_tasks_hold_keys_of_eight_bytes(monkeypatch):
+    """Per word a task holds no more than its key, a copy and a place; telling holds nothing that grows with the words."""
+    monkeypatch.setattr(col, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    full = SimpleNamespace(value=np.full(1 << 12, 255, np.uint8))
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{i % 97}" for i in range(k, k + 50_000)) for k in range(4)], "lang": ["en"] * 4})
+
+    def peak(run, times):
+        tracemalloc.start()
+        try:
+            rows = sum(r.num_rows for r in run(batch for _ in range(times)))
+            return rows, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    words = 10 * 4 * 50_000
+    rows, most = peak(col.word_counts(Task(), 8 << 20), 10)
+    assert rows == 97 and most < 28 * words
+    rows, most = peak(col.tell(Task(), [full] * 3, full, True), 10)
+    assert rows == 3 * 97 and most < 2 * peak(col.tell(Task(), [full] * 3, full, True), 1)[1]
