@@ -294,3 +294,31 @@ def test_latent_space_is_fitted_on_all_documents(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "latent_space", lambda fitted, *more: seen.append(fitted.count()) or fit(fitted, *more))
     decontaminate.matches(docs, items).count()
     assert seen == [20_500]
+
+
+def test_sums_of_frequent_and_rare_terms(monkeypatch):
+    """Dense and gathered terms together give the products of the whole matrix; the rare ones alone are gathered."""
+    rng = np.random.default_rng(9)
+    for size, frequent in ((300, 20), (70_000, 20), (12, 128)):
+        monkeypatch.setattr(decontaminate, "FREQUENT", frequent)
+        idf, basis = rng.uniform(0.01, 9, size), rng.standard_normal((size, 5))
+        row, term = np.sort(rng.integers(0, 40, 600)), np.minimum(rng.zipf(1.3, 600) - 1, size - 1).astype(np.int32)
+        a = np.zeros((42, size))
+        np.add.at(a, (row, term), idf[term])
+        weight = np.sqrt(np.bincount(row, idf[term] ** 2, minlength=42))
+        a /= np.maximum(weight, 1e-9)[:, None]
+        got = decontaminate.Gram(basis, idf)
+        got.add(row[:0], term[:0], 3)
+        got.add(row, term, 42)
+        assert np.allclose(got.sum(), a.T @ (a @ basis), rtol=1e-4, atol=1e-4)
+        counts, _, rest = got.sums.split(row, term, 42)
+        assert not set(rest.tolist()) & set(np.argsort(idf)[:frequent].tolist()) and counts.sum() + len(rest) == 600
+
+
+def test_numbers_of_hashes():
+    rng = np.random.default_rng(10)
+    keys = np.unique(np.r_[rng.integers(0, 2**64 - 1, 500, dtype=np.uint64), np.arange(20, dtype=np.uint64), np.uint64(2**64 - 1)])
+    wanted = np.r_[keys, keys + np.uint64(1), rng.integers(0, 2**64 - 1, 2000, dtype=np.uint64)]
+    for some in (keys, keys[:-1], keys[:1]):
+        place = {int(k): i for i, k in enumerate(some, 1)}
+        assert decontaminate.Lookup(some).numbers(wanted).tolist() == [place.get(int(h), 0) for h in wanted]
