@@ -80,6 +80,27 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[new], at
 
 
+ONE_BYTE = 192  # codes below take a byte
+
+
+def _short(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes as first bytes, the lower bits of those from ``ONE_BYTE`` on, and how many bits these are."""
+    far = np.flatnonzero(codes >= ONE_BYTE)
+    rest = codes[far] - ONE_BYTE
+    bits = max(0, int(rest.max(initial=0)).bit_length() - 6)
+    first = codes.astype(np.uint8)
+    first[far] = ONE_BYTE + (rest >> bits)
+    return first, _least(rest & ((1 << bits) - 1)), np.array([bits], np.uint8)
+
+
+def _long(first: np.ndarray, rest: np.ndarray | None = None, bits: np.ndarray | None = None) -> np.ndarray:
+    codes = first.astype(np.int64)
+    if rest is not None:
+        far = np.flatnonzero(codes >= ONE_BYTE)
+        codes[far] = ONE_BYTE + (codes[far] - ONE_BYTE << int(bits[0]) | rest.astype(np.int64))
+    return codes
+
+
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows in batches of nearly ``BLOCK_BYTES`` of text, whatever batches they come in; a longer text is one of its own."""
     held, size = [], 0
@@ -99,8 +120,9 @@ def tokenize(docs: DataFrame, train: Column, shards: int) -> DataFrame:
     """Blocks of whole texts, in rows (block, shard, blob, ids).
 
     A block's own row has shard -1; its blob holds, per text, whether it trains and
-    its tokens' number, and all tokens as positions in the block's distinct words,
-    which go to their shards with their occurrences in training texts. Each text ends with ``END``.
+    its tokens' number, and all tokens as codes of the block's distinct words,
+    which go to their shards with their occurrences in training texts, the most frequent first. The code
+    of the i-th word that shard s gets is i * shards + s, so frequent words have small ones. Each text ends with ``END``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,8 +135,13 @@ def tokenize(docs: DataFrame, train: Column, shards: int) -> DataFrame:
             train = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
             distinct, at = np.unique(keys, return_inverse=True)
             times = np.bincount(at[np.repeat(train, n)], minlength=len(distinct))
-            order, cuts = _deal(mix(distinct) % np.uint64(shards), shards)
-            rows = [(-1, _crush(train.view(np.uint8), _least(n), _least(_places(order)[at])))]
+            by = np.argsort((65535 - np.minimum(np.bincount(at), 65535)).astype(np.uint16), kind="stable")
+            shard = (mix(distinct) % np.uint64(shards)).astype(np.int64)
+            order, cuts = _deal(shard[by], shards)
+            order = by[order]
+            code = np.empty(len(order), dtype=np.int64)
+            code[order] = (np.arange(len(order)) - cuts[shard[order]]) * shards + shard[order]
+            rows = [(-1, _crush(train.view(np.uint8), _least(n), *_short(code[at])))]
             rows += [(s, _crush(distinct[order[lo:hi]], _least(times[order[lo:hi]]))) for s, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
             ids = [batch.column("id").to_pylist()] + [None] * (len(rows) - 1)
             numbers, blobs = zip(*rows, strict=True)
@@ -130,19 +157,21 @@ def _table(shard: int, rows: list[tuple[int, bytes]]) -> pa.Table:
 
 
 def _serve_words(shards: int):
-    """For one shard of the vocabulary: count its words, number them, and answer each block. Block -1 gets the sums."""
+    """For one shard of the vocabulary: count its words, number them, and answer each block. Block -1 gets the sums.
+
+    The word of rank r in shard s has the number (r - 1) * shards + s + 1; answers have ranks, 0 for unknown words.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         asked = [_uncrush(b) for b in table.column("blob").to_pylist()]
         keys, at = np.unique(np.concatenate([k for k, _ in asked]), return_inverse=True)
         counts = np.bincount(at, np.concatenate([t for _, t in asked])).astype(np.int64)
-        rank = _places(np.argsort(-counts, kind="stable"))
-        number = np.where(counts > 0, rank * shards + shard + 1, 0)
+        rank = np.where(counts > 0, _places(np.argsort(-counts, kind="stable")) + 1, 0)
         out, lo = [(-1, _crush(np.array([counts.sum(), (counts > 0).sum()], dtype=np.int64)))], 0
         for block, (k, _) in zip(table.column("block").to_pylist(), asked, strict=True):
             own = at[lo : lo + len(k)]
-            out.append((block, _crush(_least(number[own]), _least(counts[own]))))
+            out.append((block, _crush(_least(rank[own]), _least(counts[own]))))
             lo += len(k)
         return _table(shard, out)
 
@@ -162,19 +191,24 @@ class Block:
     """A block's tokens in order: word, c (0 for unknown words), doc, place in the text, p (log10 so far), and context."""
 
     def __init__(self, blob: bytes, shards: int, total: int, types: int):
-        train, n, self.at = _uncrush(blob)
+        train, n, *codes = _uncrush(blob)
+        self.codes = _long(*codes)
         self.train, self.n = train.astype(bool), n.astype(np.int64)
         self.shards, self.total, self.types, self.order = shards, total, types, 0
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
-        self.place = np.arange(len(self.at)) - (np.cumsum(self.n) - self.n)[self.doc]
+        self.place = np.arange(len(self.codes)) - (np.cumsum(self.n) - self.n)[self.doc]
         self.training = np.repeat(self.train, self.n)
 
-    def take(self, answers: dict[int, bytes], last: bool = False) -> None:
-        """Go on to the next order with the shards' answers; after the last there is none."""
+    def take(self, answers: dict[int, bytes], last: bool = False, books: dict[int, np.ndarray] | None = None) -> None:
+        """Go on to the next order with the shards' answers and what their codes mean; after the last there is none."""
         self.order += 1
         parts = [_uncrush(answers[s]) for s in sorted(answers)]
         if self.order == 1:
-            word, c = (np.concatenate([p[k] for p in parts]).astype(t)[self.at] for k, t in ((0, np.uint64), (1, np.int64)))
+            first = np.zeros(self.shards, dtype=np.int64)
+            first[sorted(answers)] = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
+            self.at = first[self.codes % self.shards] + self.codes // self.shards
+            numbers = [np.where(p[0] > 0, (p[0].astype(np.int64) - 1) * self.shards + s + 1, 0) for s, p in zip(sorted(answers), parts, strict=True)]
+            word, c = np.concatenate(numbers).astype(np.uint64)[self.at], np.concatenate([p[1] for p in parts]).astype(np.int64)[self.at]
             self.word, self.c = word, c
             self.p = self.base = np.log10((c + 0.5) / (self.total + 0.5 * (self.types + 1)))
             ends = (np.cumsum(self.n) - 1)[self.doc]  # the end's number also opens a text
@@ -185,7 +219,7 @@ class Block:
             n, q, hit = np.zeros(len(self.at), dtype=np.int64), np.zeros(len(self.at)), self.at >= 0
             if parts:
                 n[hit] = np.concatenate([p[1] for p in parts])[self.at[hit]]
-                q[hit] = np.concatenate([p[2][p[0]] for p in parts])[self.at[hit]]
+                q[hit] = np.concatenate([books[s][p[0]] for s, p in zip(sorted(answers), parts, strict=True)])[self.at[hit]]
             prior = PRIOR[self.order]
             backed = self.p + np.log10(prior / (self.context_n + prior))
             self.p = np.where(n > 0, q, np.where(self.context_n > 0, backed, self.p))
@@ -302,7 +336,7 @@ def _gather(blobs: list[bytes]) -> tuple[np.ndarray, ...]:
 def _serve(order: int, last: bool, keep: bool):
     """For one shard: build its trie from all requests, map it, and answer each block. The trie itself, if kept, is the row of block -1.
 
-    An answer has the code of each n-gram, how often it was seen (of the last order, whether), and what the codes mean.
+    An answer has the code of each n-gram and how often it was seen (of the last order, whether). What the codes mean is in ``book`` of the first row.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -314,7 +348,8 @@ def _serve(order: int, last: bool, keep: bool):
             file.flush()
             with mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) as mapped:
                 own = Trie(mapped)
-                code, seen, book = (own.arrays[k] for k in ("code", "seen", "book"))
+                code, seen = (own.arrays[k] for k in ("code", "seen"))
+                book = own.arrays["book"].tobytes()
                 for some in _groups([len(b) for b in blobs]):
                     asked = [_uncrush(b)[:4] for b in blobs[some]]
                     steps, lower, lengths, word = zip(*asked, strict=True)
@@ -327,9 +362,10 @@ def _serve(order: int, last: bool, keep: bool):
                         answer = answer[0], hit.view(np.uint8)
                     cuts = np.cumsum([0, *map(len, word)])
                     for block, lo, hi in zip(blocks[some], cuts[:-1], cuts[1:], strict=True):
-                        out.append((block, _crush(answer[0][lo:hi], _least(answer[1][lo:hi]), book)))
-                del own, code, seen, book
-        return _table(table.column("shard")[0].as_py(), out)
+                        out.append((block, _crush(answer[0][lo:hi], _least(answer[1][lo:hi]))))
+                del own, code, seen
+        rows = _table(table.column("shard")[0].as_py(), out)
+        return rows.append_column("book", pa.array([book] + [None] * (len(out) - 1), pa.binary()))
 
     return run
 
@@ -337,9 +373,10 @@ def _serve(order: int, last: bool, keep: bool):
 SCORES = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _advance(blocks: DataFrame, answers: list[DataFrame], shards: int, total: int, types: int, last: bool) -> DataFrame:
-    """The blocks' next requests, or their documents' scores, after all answers so far."""
+def _advance(blocks: DataFrame, answers: list[DataFrame], books: dict[int, dict], shards: int, total: int, types: int, last: bool) -> DataFrame:
+    """The blocks' next requests, or their documents' scores, after all answers so far. ``books`` has, for each order, what the shards' codes mean."""
     orders = range(1, len(answers) + 1)
+    shared = blocks.sparkSession.sparkContext.broadcast(books)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         rows = list(zip(*(right.column(k).to_pylist() for k in ("order", "shard", "blob")), strict=True))
@@ -347,7 +384,7 @@ def _advance(blocks: DataFrame, answers: list[DataFrame], shards: int, total: in
         for own in left.to_pylist():
             block = Block(own["blob"], shards, total, types)
             for order in orders:
-                block.take({s: b for o, s, b in rows if o == order}, last and order == orders[-1])
+                block.take({s: b for o, s, b in rows if o == order}, last and order == orders[-1], shared.value.get(order))
             if not last:
                 out += [(own["block"], s, b) for s, b in block.requests()]
                 continue
@@ -359,7 +396,7 @@ def _advance(blocks: DataFrame, answers: list[DataFrame], shards: int, total: in
 
     got = answers[0].withColumn("order", F.lit(1))
     for k, a in enumerate(answers[1:], 2):
-        got = got.union(a.withColumn("order", F.lit(k)))
+        got = got.union(a.drop("book").withColumn("order", F.lit(k)))
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double" if last else ROWS
     return blocks.groupBy("block").cogroup(got.where("block >= 0").groupBy("block")).applyInArrow(run, kind)
 
@@ -377,14 +414,15 @@ def score(docs: DataFrame, train: Column, order: int = ORDER, keep_model: bool =
     shards = max(1, -(-chars // SHARD_CHARS))
     with staged_halves(tokenize(docs, train, shards), "tokens", F.col("shard") == -1) as (blocks, asked):
         served = stage_alone(asked.select("block", "shard", "blob").groupBy("shard").applyInArrow(_serve_words(shards), ROWS), "words")
-    answers, model = [served], []
+    answers, books, model = [served], {}, []
     sums = [_uncrush(r.blob)[0] for r in served.where("block = -1").select("blob").collect()]  # two numbers a shard
     total, types = (int(sum(x[k] for x in sums)) for k in (0, 1))
     for k in range(2, order + 1):
-        asked = _advance(blocks, answers, shards, total, types, False)
-        served = stage_alone(asked.groupBy("shard").applyInArrow(_serve(k, k == order, keep_model), ROWS), "answers")
+        asked = _advance(blocks, answers, books, shards, total, types, False)
+        served = stage_alone(asked.groupBy("shard").applyInArrow(_serve(k, k == order, keep_model), f"{ROWS}, book binary"), "answers")
         answers.append(served)
+        books[k] = {r.shard: np.frombuffer(r.book, np.float32) for r in served.where("book IS NOT NULL").select("shard", "book").collect()}  # 1 KB a shard
         if keep_model:
             model.append(served.where("block = -1").select("shard", F.col("blob").alias("trie")))
-    scored = _advance(blocks, answers, shards, total, types, True)
+    scored = _advance(blocks, answers, books, shards, total, types, True)
     return scored.withColumn("train_tokens", F.lit(total).cast("long")), model

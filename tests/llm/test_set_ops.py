@@ -111,6 +111,26 @@ def test_language_model_leaves_little_on_disk(spark, documents):
     assert kept.exceptAll(same).isEmpty() and kept.count() == same.count()
 
 
+def test_language_model_on_disk_is_short(spark, monkeypatch):
+    """Frequent words take a byte, and what codes mean is stored once a shard, not in each answer."""
+    rng = np.random.default_rng(4)
+    codes = np.minimum(rng.zipf(1.2, 50_000), 2_000_000).astype(np.int64)
+    for some in (codes, codes[:0], np.array([191, 192, 255, 256]), np.array([5 << 40, 0])):
+        assert lm_trie._long(*lm_trie._uncrush(lm_trie._crush(*lm_trie._short(some)))).tolist() == some.tolist()
+    first, rest, _ = lm_trie._short(np.arange(10_000) % 200)
+    assert first.itemsize == rest.itemsize == 1 and len(rest) == 400
+
+    monkeypatch.setattr(lm_trie, "SHARD_CHARS", 4_000)
+    before = set(Path(shared_dir(spark).removeprefix("file:")).iterdir())
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 400))) for i in range(60)], DOCS)
+    lm_trie.score(docs, F.lit(True), keep_model=False)[0].count()
+    for folder in set(Path(shared_dir(spark).removeprefix("file:")).iterdir()) - before:
+        if folder.name.startswith("answers"):
+            rows = spark.read.parquet(str(folder))
+            shards = rows.select("shard").distinct().count()
+            assert rows.count() > 2 * shards > 2 and rows.where("book IS NOT NULL").count() == shards
+
+
 def test_blocks_span_batches():
     batches = [pa.record_batch({"text": pa.array([t], pa.string())}) for t in ["a" * 1000, None, "b" * 500, "c" * (5 << 20), "d"]]
     assert [b.num_rows for b in lm_trie._together(iter(batches))] == [3, 1, 1]
