@@ -26,23 +26,29 @@ def from_blob(buffer) -> dict[str, np.ndarray]:
     return out
 
 
+_ONES, _TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+_IN_BYTE = np.zeros((256, 8), dtype=np.uint8)  # place of the i-th set bit of each byte
+for _byte in range(256):
+    _set = [i for i in range(8) if _byte >> i & 1]
+    _IN_BYTE[_byte, : len(_set)] = _set
+
+
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Position of the rank-th set bit (from 0) of each word, by halving."""
-    at, rank = np.zeros(len(word), dtype=np.uint64), rank.astype(np.uint64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = (word >> at) & np.uint64((1 << half) - 1)
-        ones = np.bitwise_count(low).astype(np.uint64)
-        right = rank >= ones
-        rank = np.where(right, rank - ones, rank)
-        at = np.where(right, at + np.uint64(half), at)
-    return at
+    """Position of the rank-th set bit (from 0) of each word: the byte by sums of its bytes' set bits side by side, then a table."""
+    rank = rank.astype(np.uint64)
+    sums = word - (word >> np.uint64(1) & np.uint64(0x5555555555555555))
+    sums = (sums & np.uint64(0x3333333333333333)) + (sums >> np.uint64(2) & np.uint64(0x3333333333333333))
+    sums = (sums + (sums >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _ONES
+    byte = np.bitwise_count((rank * _ONES | _TOPS) - sums & _TOPS).astype(np.uint64) * np.uint64(8)
+    rank -= sums << np.uint64(8) >> byte & np.uint64(255)
+    return _IN_BYTE.ravel()[(word >> byte & np.uint64(255)) * np.uint64(8) + rank].astype(np.uint64) + byte
 
 
 class EliasFano:
     """A strictly increasing sequence of 64-bit numbers in about 2 + log2(universe / n) bits each.
 
     The high parts are in unary in a bit vector, the low parts are packed. A number
-    is looked up in the bucket of its high part, whose ends are two selections of zeros.
+    is looked up in the bucket of its high part, which begins at a selected zero and is as long as the ones behind it.
     """
 
     def __init__(self, arrays: dict[str, np.ndarray], prefix: str):
@@ -67,13 +73,25 @@ class EliasFano:
             low = np.packbits(bits.ravel(), bitorder="little")
         return {prefix + "shape": np.array([n, low_bits], np.int64), prefix + "high": words, prefix + "zeros": zeros[:-1], prefix + "low": np.r_[low, np.zeros(9, np.uint8)]}
 
-    def _before(self, high: np.ndarray) -> np.ndarray:
-        """How many members have a smaller high part; beyond the last high part, all."""
+    def _begin(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bit behind the zero before each high part's bucket, and how many members have a smaller one; beyond the last high part, all."""
         last = len(self.high) * 64 - self.n  # zeros in the vector
         k = np.minimum(high, last) - 1  # the zero that ends the bucket before
         word = np.searchsorted(self.zeros, np.maximum(k, 0), side="right") - 1
-        at = word * 64 + _select_in_word(~self.high[word], np.maximum(k, 0) - self.zeros[word]).astype(np.int64)
-        return np.where(k < 0, 0, at - k)
+        bit = word * 64 + _select_in_word(~self.high[word], np.maximum(k, 0) - self.zeros[word]).astype(np.int64) + 1
+        bit[k < 0] = 0
+        return bit, bit - k - 1
+
+    def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First member of each high part's bucket, and the one after its last."""
+        bit, lo = self._begin(high)
+        at, left = bit >> 6, 64 - (bit & 63)
+        rest = ~self.high.take(at, mode="clip") >> (64 - left).astype(np.uint64)  # the bucket's ones are clear
+        run = np.bitwise_count(~rest & rest - np.uint64(1)).astype(np.int64) * (at < len(self.high))
+        hi, open_ = lo + run, np.flatnonzero(run >= left)  # these go on in the next word
+        if len(open_):
+            hi[open_] = self._begin(high[open_] + 1)[1]
+        return lo, hi
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         bit = i * self.low_bits
@@ -85,9 +103,8 @@ class EliasFano:
             return np.full(len(wanted), -1, dtype=np.int64)
         wanted = wanted.astype(np.uint64)
         high = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
-        lo, hi = self._before(high), self._before(high + 1)
-        low, end = wanted & np.uint64((1 << self.low_bits) - 1), hi
-        hi, open_ = hi.copy(), np.flatnonzero(lo < hi)
+        lo, end = self._bucket(high)
+        low, hi, open_ = wanted & np.uint64((1 << self.low_bits) - 1), end.copy(), np.flatnonzero(lo < end)
         while len(open_):  # successor search in the bucket: the first low part that is not smaller
             mid = (lo[open_] + hi[open_]) >> 1
             below = self._low(mid) < low[open_]

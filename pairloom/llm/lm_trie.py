@@ -37,8 +37,8 @@ ROWS = "block long, shard int, blob binary"
 def _crush(*arrays: np.ndarray) -> bytes:
     """Compressed arrays; bytes of one significance lie together."""
     head = np.array([len(arrays), *(x for a in arrays for x in (ord(a.dtype.kind), a.itemsize, len(a)))], dtype=np.int64).tobytes()
-    body = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
-    return zstandard.compress(head + body, 1)
+    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.itemsize).T) for a in map(np.ascontiguousarray, arrays)]
+    return zstandard.compress(b"".join([head, *planes]), 1)
 
 
 def _uncrush(blob: bytes) -> list[np.ndarray]:

@@ -111,6 +111,26 @@ def test_language_model_leaves_little_on_disk(spark, documents):
     assert kept.exceptAll(same).isEmpty() and kept.count() == same.count()
 
 
+def test_look_ups_select_once(monkeypatch):
+    """A bucket's end is read from the bits behind its begin; it is selected only for buckets that reach the next word."""
+    rng = np.random.default_rng(6)
+    selected, select = [], eliasfano._select_in_word
+    monkeypatch.setattr(eliasfano, "_select_in_word", lambda word, rank: selected.append(len(word)) or select(word, rank))
+    scattered = np.unique(rng.integers(0, 2**40, 5000))
+    for values in (scattered, np.arange(1000), np.arange(500) + 2**50, np.unique(np.r_[rng.integers(0, 2**20, 300) + 2**33, np.arange(400) * 2**30]), np.array([0]), np.r_[np.arange(9000), 2**62], np.zeros(0)):
+        values = values.astype(np.uint64)
+        wanted = np.r_[values, values + np.uint64(1), rng.integers(0, 2**63, 1000, dtype=np.uint64), np.arange(300, dtype=np.uint64)]
+        place = {int(v): i for i, v in enumerate(values)}
+        selected.clear()
+        found = eliasfano.EliasFano(eliasfano.EliasFano.build(values, ""), "").find(wanted)
+        assert found.tolist() == [place.get(int(w), -1) for w in wanted]
+        assert len(values) != len(scattered) or sum(selected) < 1.2 * len(wanted)
+    words = rng.integers(1, 2**64 - 1, 500, dtype=np.uint64) & rng.integers(1, 2**64 - 1, 500, dtype=np.uint64)
+    for word in [*(w for w in words.tolist() if w), 2**64 - 1, 1, 1 << 63]:
+        places = [i for i in range(64) if word >> i & 1]
+        assert select(np.full(len(places), word, np.uint64), np.arange(len(places))).tolist() == places
+
+
 def test_language_model_on_disk_is_short(spark, monkeypatch):
     """Frequent words take a byte, and what codes mean is stored once a shard, not in each answer."""
     rng = np.random.default_rng(4)
