@@ -142,6 +142,14 @@ class Steps:
         self.step = self.begin[doc] + (at - self.first[doc]) // STEP
         self.term = self.terms[at] - 1
 
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        """Sum of the rows of a matrix by term, for each step."""
+        out = np.zeros((self.count, rows.shape[1]), dtype=np.float32)
+        if len(self.step):
+            heads = np.flatnonzero(np.r_[True, np.diff(self.step) > 0])
+            out[self.step[heads]] = np.add.reduceat(rows[self.term], heads)
+        return out
+
     def around(self, step: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First step, and the one after the last, of passages and ``reach`` steps on either side, within their documents."""
         doc = self.doc[step]
@@ -176,7 +184,7 @@ class Sums:
         column, width = self.column[term], len(self.top)
         often, rare = np.flatnonzero(column >= 0), np.flatnonzero(column < 0)
         counts = np.bincount(row[often] * width + column[often], minlength=count * width)
-        return counts.reshape(count, width).astype(np.float32), row[rare], term[rare]
+        return counts.reshape(count, width).astype(float), row[rare], term[rare]
 
     def forth(self, counts: np.ndarray, row: np.ndarray, term: np.ndarray) -> np.ndarray:
         """For each row, the sum of its terms' rows of the matrix."""
@@ -269,14 +277,14 @@ class Gram:
     """transpose(A) A basis, added up by slices of the sparse matrix A of rows of length 1 whose entries are idf by occurrence."""
 
     def __init__(self, basis: np.ndarray, idf: np.ndarray):
-        self.idf, self.squares = idf, idf.astype(float) ** 2
-        self.sums = Sums((idf[:, None] * basis).astype(np.float32), idf)
+        self.idf, self.squares = idf.astype(float), (idf**2).astype(float)
+        self.sums = Sums(self.idf[:, None] * basis, idf)
         self.total = np.zeros(basis.shape)
 
     def add(self, row: np.ndarray, term: np.ndarray, rows: int) -> None:
         weight = np.bincount(row, self.squares[term], minlength=rows)  # square of the row's length
         parts = self.sums.split(row, term, rows)
-        left = self.sums.forth(*parts) / np.maximum(weight, 1e-18).astype(np.float32)[:, None]
+        left = self.sums.forth(*parts) / np.maximum(weight, 1e-18)[:, None]
         self.sums.back(*parts, left, self.total)
 
     def sum(self) -> np.ndarray:
@@ -301,7 +309,6 @@ class Judge:
     def __init__(self, items: Items, idf: np.ndarray, space: np.ndarray):
         self.items = items
         self.rows = (idf[:, None] * space).astype(np.float32)
-        self.sums = Sums(self.rows, idf)
         vectors = np.stack([self.rows[t - 1].sum(0) for t in items.terms])
         self.vectors = (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).T
         self.reach = np.maximum(1, -(-(np.array([len(t) for t in items.terms]) // 2) // STEP))  # steps on either side of a passage that an item may fill
@@ -324,7 +331,7 @@ class Judge:
 
         Of items that reach beyond a step, the cosine is that of the passage or of all within reach, if that is higher.
         """
-        sums = self.sums.forth(*self.sums.split(steps.step, steps.term, steps.count))
+        sums = steps.sums(self.rows)
         x = steps.passages(sums)
         length = np.linalg.norm(x, axis=1)
         cosine = (x / np.maximum(length, 1e-9)[:, None]) @ self.vectors

@@ -310,7 +310,7 @@ def test_sums_of_frequent_and_rare_terms(monkeypatch):
         got = decontaminate.Gram(basis, idf)
         got.add(row[:0], term[:0], 3)
         got.add(row, term, 42)
-        assert np.allclose(got.sum(), a.T @ (a @ basis), rtol=1e-4, atol=1e-4)
+        assert np.allclose(got.sum(), a.T @ (a @ basis), rtol=1e-9, atol=1e-9)
         counts, _, rest = got.sums.split(row, term, 42)
         assert not set(rest.tolist()) & set(np.argsort(idf)[:frequent].tolist()) and counts.sum() + len(rest) == 600
 
