@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pairloom.functions.naming import stem_of
 from pairloom.functions.paths import prepend_subdir
 from pairloom.operators.pairs import emit_pairs
-from pairloom.operators.resolve import reference_paths, resolve_pairs, resolve_paths
+from pairloom.operators.resolve import resolve_pairs, resolve_paths, staged_references
 from pairloom.operators.slices import PathSettings, rewrite_pairs
 from pairloom.runtime import stage
 
@@ -19,7 +19,7 @@ def audited_pairs(
 ) -> DataFrame:
     """Every strict pair with a flag per side that says whether the file exists."""
     pairs = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
-    refs = stage(reference_paths(pairs), "references")
+    refs = staged_references(pairs)
     known = stage(resolve_paths(refs, manifest, settings.pair_dir, locate=False), "resolved")
     both = resolve_pairs(pairs, known.withColumn("ok", F.lit(True)), refs)
     flags = [f"coalesce({s}_ok, false) AS {s}_ok" for s in ("input", "output")]

@@ -217,6 +217,14 @@ def reference_paths(pairs: DataFrame) -> DataFrame:
     return _counted(pairs.selectExpr("explode(array(input_ref, output_ref)) AS ref"))
 
 
+def staged_references(pairs: DataFrame) -> DataFrame:
+    """``reference_paths``, staged in files for all cores: references are short, but each is looked up under many spellings."""
+    spark = pairs.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Dealt by a hash of their own: by ``ref`` they lie already, in as few tasks as their bytes make.
+    return stage(reference_paths(pairs).repartition(tasks, F.xxhash64("ref")), "references")
+
+
 def resolve_pairs(pairs: DataFrame, known: DataFrame, refs: DataFrame) -> DataFrame:
     """Both sides of every pair with what is known about their references.
 

@@ -12,7 +12,7 @@ from pairloom.functions.naming import stem_of
 from pairloom.operators.audit import audit_examples, audit_stats, audited_pairs
 from pairloom.operators.explore import explore_stats, explore_totals, missing_roots, root_histogram
 from pairloom.operators.pairs import emit_pairs
-from pairloom.operators.resolve import reference_paths, resolve_pairs, resolve_paths
+from pairloom.operators.resolve import resolve_pairs, resolve_paths, staged_references
 from pairloom.operators.shards import (
     BATCH_ROWS,
     KEPT,
@@ -84,7 +84,7 @@ def build_pairs(
 ) -> DataFrame:
     """Every strict pair with its build status and the location of both images, without prompts."""
     pairs = rewrite_pairs(emit_pairs(rows, prompts=False), settings)
-    refs = stage(reference_paths(pairs), "references")
+    refs = staged_references(pairs)
     return build_status(resolve_pairs(pairs, check_references(refs, manifest, settings, root), refs))
 
 

@@ -111,3 +111,12 @@ def test_hot_lookup_keys_lose_nothing(spark, monkeypatch):
     refs = spark.range(4000).selectExpr("concat('results_', id, '/t', id % 5, '/x.png') AS ref").orderBy(F.rand())
     assert res.resolve_paths(refs, files).count() == 4000
     assert res.resolve_paths(refs, files, locate=False).count() == 4000
+
+
+def test_references_are_staged_for_all_cores(spark):
+    """A few MB of references make work for every core, not for the one task that their bytes would make."""
+    pairs = spark.range(5000).selectExpr("concat('a/', id % 700, '.png') AS input_ref", "IF(id % 3 = 0, NULL, concat('b/', id)) AS output_ref")
+    refs = res.staged_references(pairs)
+    counted = res.reference_paths(pairs)
+    assert refs.exceptAll(counted).isEmpty() and refs.count() == counted.count()
+    assert refs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
