@@ -350,6 +350,33 @@ def test_resharding_spreads_rows_of_one_id(spark, ids):
         assert sorted(slots) == list(range(len(slots)))
 
 
+def test_resharding_writes_the_texts_and_plans_growth(spark, tmp_path):
+    rows = [(i % 300 or None, "xyz"[i % 3] * (i * 37 % 501) if i % 50 else None, "abcde"[min(i % 7, 4)]) for i in range(3000)]
+    spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, source string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    told = queries.op8_flow_resharding(spark, str(tmp_path))
+    files = told.inputFiles()
+    assert {f.rpartition("/")[0].rpartition("/")[2] for f in files} == {f"shard={j}" for j in range(16)}
+    held = spark.read.parquet(files[0].rpartition("/shard=")[0])
+    assert sorted(((r.doc_id, r.text) for r in held.collect()), key=repr) == sorted((r[:2] for r in rows), key=repr)
+    got = told.toPandas()
+    assert sorted(zip(got["size"], got.text_crc32, strict=True)) == sorted((len(t or "") + 1, zlib.crc32((t or "").encode())) for _, t, _ in rows)
+    for _, slots in got.groupby("shard").slot:
+        assert sorted(slots) == list(range(len(slots)))
+    total, grown = got["size"].sum(), got.groupby("grown_shard")["size"].sum()
+    assert len(grown) == 20 and grown.max() - grown.min() <= 2 * got["size"].max()
+    assert got[got.grown_shard != got["shard"]]["size"].sum() <= total / 5 + 16 * got["size"].max()
+    assert told.schema["grown_shard"].dataType == told.schema["shard"].dataType
+    spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    assert queries.op8_flow_resharding(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_resharding_shuffles_rows_once(spark):
+    docs = spark.range(500).selectExpr("id AS doc_id", "repeat('x', CAST(id % 97 AS INT)) AS text", "'a' AS file", "'b' AS grown_shard")
+    placed = resharding.reshard(resharding.with_blocks(docs, F.lit(0), 2), [1] * 4, 2)
+    assert placed.where("file = 'a' AND grown_shard = 'b'").count() == 500
+    assert placed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_min_cost_flow():
     rng = np.random.default_rng(9)
     for _ in range(20):
