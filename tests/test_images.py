@@ -5,6 +5,7 @@ import struct
 import sys
 import types
 import zlib
+from urllib.parse import unquote
 
 import pytest
 from hypothesis import Phase, given, settings
@@ -169,3 +170,26 @@ def test_listing_tasks_do_not_grow_with_folders(spark, tmp_path):
     stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
     assert stages and max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
     assert found.count() == 150 and spark.conf.get(images.LISTING) == before
+
+
+def test_the_image_source_gets_a_bounded_number_of_files(spark, tmp_path, monkeypatch):
+    """The driver holds the listing of a round only; the same files are read as by one listing of all."""
+    odd = ["a b+c%20.png", "g[1]*{x}.PNG", "ä#?.jpg", "_x.png", ".x.png", "y._COPYING_", "_metadata.png", "_k=1.png", "empty.png"]
+    folders = ["d1", "_hidden/d", ".dot", "_k=2", "_metadata_dir", "w/x/y/z/deep"]
+    for folder in folders:
+        (tmp_path / folder).mkdir(parents=True)
+        for name in [*odd, *(f"{i}.png" for i in range(10))]:
+            data = b"" if name == "empty.png" else b"no image" if name == "3.png" else GOOD
+            (tmp_path / folder / name).write_bytes(data)
+    asked, decoded = [], images._decoded
+    monkeypatch.setattr(images, "FILES_AT_ONCE", 8)
+    monkeypatch.setattr(images, "_decoded", lambda spark, paths: asked.append(len(paths)) or decoded(spark, paths))
+    for names in ("*", "*.{png,jpg}"):
+        whole = spark.read.format("image").option("recursiveFileLookup", True).option("pathGlobFilter", names).load(str(tmp_path))
+        wanted = sorted((r.image.origin, r.image.height > 0) for r in whole.collect())
+        asked.clear()
+        got = images.decode_folder(spark, str(tmp_path), names).collect()
+        assert sorted((r.path, r.valid) for r in got) == sorted((unquote(o), ok) for o, ok in wanted)
+        assert len(asked) > 3 and sum(asked) >= len(wanted) and max(asked) < 30
+    (tmp_path / "none").mkdir()
+    assert images.decode_folder(spark, str(tmp_path / "none")).collect() == []
