@@ -544,7 +544,7 @@ def ingest_slices_(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def split_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     """Archives whose parts come in three batches; those that lack a part at the end are not released."""
-    listing, out, there = src.order_parts(spark, sf), new_folder(spark, "archives"), new_folder(spark, "arrivals")
+    listing, out, there = stage(src.order_parts(spark, sf), "listing"), new_folder(spark, "archives"), new_folder(spark, "arrivals")
     listing.filter("NOT lost").select("path", "size").repartition(8, F.xxhash64("path")).write.parquet(there)
     arrivals = spark.readStream.schema("path string, size long").option("maxFilesPerTrigger", 3).parquet(there)
     ingest_archives(spark, arrivals, listing.select("path", "size"), out, new_folder(spark, "offsets"))

@@ -101,3 +101,66 @@ def test_calls_to_the_store_do_not_grow_with_parts():
     assert sorted(out.path) == sorted(rows.path) and sorted(out["size"]) == list(range(500))
     assert list(processor.handleInputRows(("a",), iter([rows]), None)) == []
     assert len(calls) <= 9
+
+
+def test_state_does_not_have_a_key_for_each_archive(spark, tmp_path):
+    listed = [(f"d/a{a}.tar.split.{i}", a + i) for a in range(2500) for i in range(1 + a % 3)]
+    listing = spark.createDataFrame(listed, "path string, size long")
+    held_back = {f"d/a{a}.tar.split.0" for a in range(0, 2500, 10)}
+    rows = [r for r in listed if r[0] not in held_back]
+    random.Random(3).shuffle(rows)
+    for n in range(2):
+        arrive(spark, tmp_path / "in", rows[n::2], n)
+
+    def run():
+        stream = spark.readStream.schema("path string, size long").option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = ingest_archives(spark, stream, listing, str(tmp_path / "out"), str(tmp_path / "offsets"))
+        found = [r.archive for r in landed_archives(spark, str(tmp_path / "out")).collect()]
+        assert len(set(found)) == len(found)
+        return set(found), [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+
+    found, keys = run()
+    assert found == {f"d/a{a}.tar" for a in range(2500) if a % 10}
+    assert keys and max(keys) <= arrivals.KEYS
+    arrive(spark, tmp_path / "in", [r for r in listed if r[0] in held_back] + rows[:500], 2)
+    assert run()[0] == {f"d/a{a}.tar" for a in range(2500)}
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_archives_of_one_key_are_kept_apart(seed):
+    """Rows of many archives in one processor, against a plain count of each."""
+    calls, kept, rng = [], {}, random.Random(seed)
+
+    class Value:
+        def exists(self):
+            return "v" in kept
+
+        def get(self):
+            calls.append("get")
+            return kept["v"]
+
+        def update(self, value):
+            calls.append("update")
+            kept["v"] = value
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Value()
+
+    parts = [(f"a{a}", str(i), f"a{a}.{i}", i, n) for a in range(60) for n in [1 + a % 5] for i in range(n)]
+    coming = parts + rng.sample(parts, 80)
+    rng.shuffle(coming)
+    seen, told = {}, []
+    for at in range(0, len(coming), 40):
+        processor = arrivals._gathered()
+        processor.init(Handle())
+        batch = [pd.DataFrame(coming[x : x + 20], columns=["archive", "idx", "path", "size", "wanted"]) for x in (at, at + 20) if coming[x : x + 20]]
+        got = [r for out in processor.handleInputRows((7,), iter(batch), None) for r in out[["archive", "idx", "path", "size"]].itertuples(index=False, name=None)]
+        before = {a for a, p in seen.items() if len(p) == 1 + int(a[1:]) % 5}
+        for a, idx, path, size, _ in coming[at : at + 40]:
+            seen.setdefault(a, set()).add((a, idx, path, size))
+        now = {a for a, p in seen.items() if len(p) == 1 + int(a[1:]) % 5} - before
+        assert sorted(got) == sorted(p for a in now for p in seen[a])
+        told += got
+    assert sorted(told) == sorted(p[:4] for p in parts)
+    assert len(calls) <= 2 * -(-len(coming) // 40)
